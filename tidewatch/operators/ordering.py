@@ -4,9 +4,10 @@ A ``Window`` with ``orderBy`` but no ``partitionBy`` moves every row into one
 task.  The operators here use a two-phase prefix sum instead:
 
 1. approximate quantile *edges* of the ordering key, computed by one aggregate
-   and inlined as a scalar subquery (a bounded array of ``n_buckets-1`` values);
-2. ``bucket`` = number of edges strictly below the key — a pure function of the
-   key, so it is stable under recomputation, retries and AQE coalescing;
+   and fetched once (a bounded list of at most ``n_buckets-1`` values);
+2. ``bucket`` = position of the key among the edges (binary search in the JVM)
+   — a pure function of the key, so it is stable under recomputation, retries
+   and AQE coalescing;
 3. per-bucket totals (≤ ``n_buckets`` rows) → exclusive cumulative offsets with a
    window over that tiny table → broadcast-joined back (size bounded by
    ``n_buckets``);
@@ -21,21 +22,31 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.ml.feature import Bucketizer
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_BUCKETS = 256
 
 
-def _bucket_column(df: DataFrame, key: str, n_buckets: int) -> Column:
+def _bucketize(df: DataFrame, key: str, n_buckets: int, out: str) -> DataFrame:
+    """Add ``out`` = bucket index of ``key`` among approximate quantile edges.
+
+    The edge list is bounded by ``n_buckets`` and fetched once; the bucketing is
+    MLlib's ``Bucketizer`` (JVM-side binary search per row).
+    """
     if n_buckets <= 1:
-        return F.lit(0)
+        return df.withColumn(out, F.lit(0))
     probs = [i / n_buckets for i in range(1, n_buckets)]
-    edges = df.agg(
-        F.array_distinct(F.percentile_approx(F.col(key).cast("double"), probs, 10000)).alias("edges")
-    ).select(F.struct("edges")).scalar().getField("edges")
-    k = F.col(key).cast("double")
-    return F.coalesce(F.size(F.filter(edges, lambda e: e < k)), F.lit(0))
+    row = df.agg(F.percentile_approx(F.col(key).cast("double"), probs, 10000).alias("e")).first()
+    edges = sorted({float(x) for x in (row["e"] or []) if x is not None})
+    if not edges:
+        return df.withColumn(out, F.lit(0))
+    splits = [float("-inf")] + edges + [float("inf")]
+    tmp = "_tw_key_d"
+    b = Bucketizer(splits=splits, inputCol=tmp, outputCol=out, handleInvalid="keep")
+    return b.transform(df.withColumn(tmp, F.col(key).cast("double"))).drop(tmp) \
+        .withColumn(out, F.col(out).cast("int"))
 
 
 def running_sums(df: DataFrame, order_by: Sequence[str], value_cols: Sequence[str],
@@ -47,7 +58,7 @@ def running_sums(df: DataFrame, order_by: Sequence[str], value_cols: Sequence[st
     """
     key = order_by[0]
     b = "_tw_bucket"
-    bucketed = df.withColumn(b, _bucket_column(df, key, n_buckets))
+    bucketed = _bucketize(df, key, n_buckets, b)
     totals = bucketed.groupBy(b).agg(*[F.sum(c).alias(f"_tot_{c}") for c in value_cols])
     w_off = Window.orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(

@@ -94,3 +94,121 @@ def q_dpi_leaderboard(spark, sf):
 @query("dpi_kpis")
 def q_dpi_kpis(spark, sf):
     return _r(dpi.dpi_kpis(dpi.dpi_leaderboard(_gold(spark, sf))))
+
+
+# ------------------------------------------------------------------ profile
+from tidewatch.functions import constants as K  # noqa: E402
+from tidewatch.operators import clean, profile, quality  # noqa: E402
+
+
+def _dirty(spark, sf):
+    return fixtures.hr_dirty(spark, sf)
+
+
+def _coerced(spark, sf):
+    return clean.coerce(_dirty(spark, sf), numeric_text=["hours_text"])
+
+
+@query("class_balance")
+def q_class_balance(spark, sf):
+    return profile.class_balance(_hr(spark, sf))
+
+
+@query("attrition_by_dept")
+def q_attrition_by_dept(spark, sf):
+    return _r(profile.rate_by(_coerced(spark, sf), "sales"))
+
+
+@query("attrition_by_salary")
+def q_attrition_by_salary(spark, sf):
+    return _r(profile.rate_by_salary(_coerced(spark, sf)))
+
+
+@query("correlation_matrix")
+def q_correlation_matrix(spark, sf):
+    return _r(profile.correlation_matrix(_hr(spark, sf)))
+
+
+@query("numeric_describe")
+def q_numeric_describe(spark, sf):
+    return _r(profile.numeric_describe(_hr(spark, sf), K.CORRELATION_COLUMNS))
+
+
+for _by in ("left_flag", "sales", "salary"):
+    def _mk(by):
+        return lambda spark, sf: _r(profile.grouped_summary(_hr(spark, sf), by))
+    QUERIES[f"grouped_summary_{'left' if _by == 'left_flag' else _by}"] = _mk(_by)
+
+
+@query("top_attrition_depts")
+def q_top_attrition_depts(spark, sf):
+    return _r(profile.top_rates(_hr(spark, sf), "sales", n=5))
+
+
+# ------------------------------------------------------------------ quality (Q1–Q7)
+@query("quality_findings")
+def q_quality_findings(spark, sf):
+    return quality.all_findings(spark, _dirty(spark, sf))
+
+
+@query("quality_range_checks")
+def q_quality_range_checks(spark, sf):
+    return quality.range_findings(_dirty(spark, sf))
+
+
+@query("quality_verdict")
+def q_quality_verdict(spark, sf):
+    return quality.verdict(quality.all_findings(spark, _dirty(spark, sf)))
+
+
+@query("missing_summary")
+def q_missing_summary(spark, sf):
+    return _r(quality.missing_summary(_dirty(spark, sf)))
+
+
+@query("outlier_summary")
+def q_outlier_summary(spark, sf):
+    return _r(quality.outlier_summary(_hr(spark, sf)))
+
+
+@query("cleanup_report")
+def q_cleanup_report(spark, sf):
+    return quality.cleanup_report(_dirty(spark, sf))
+
+
+# ------------------------------------------------------------------ cleaning
+@query("clean_dedup")
+def q_clean_dedup(spark, sf):
+    return _r(clean.dedup(_dirty(spark, sf)))
+
+
+@query("clean_coerce")
+def q_clean_coerce(spark, sf):
+    return _r(_coerced(spark, sf))
+
+
+@query("clean_strict")
+def q_clean_strict(spark, sf):
+    return _r(clean.strict(_dirty(spark, sf)))
+
+
+@query("row_sequence")
+def q_row_sequence(spark, sf):
+    from tidewatch.operators.ordering import row_sequence
+    return row_sequence(_hr(spark, sf).select("EmployeeID"), ["EmployeeID"])
+
+
+@query("synthetic_week")
+def q_synthetic_week(spark, sf):
+    return clean.synthetic_week(_hr(spark, sf).select("EmployeeID"), ["EmployeeID"], K.ROWS_PER_WEEK)
+
+
+@query("synthetic_week_strict")
+def q_synthetic_week_strict(spark, sf):
+    s = clean.strict(_dirty(spark, sf)).select("EmployeeID")
+    return clean.synthetic_week(s, ["EmployeeID"], K.ROWS_PER_WEEK_VARIANT, out="weekly_ts")
+
+
+@query("distinct_weeks")
+def q_distinct_weeks(spark, sf):
+    return clean.distinct_sorted(_hr(spark, sf), "weekly_ts")

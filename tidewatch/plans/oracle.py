@@ -108,3 +108,142 @@ ORACLE["dpi_kpis"] = rounded(gold_sql("""
 SELECT COUNT(*) AS n_departments, arg_min(sales, rank) AS top_performer, AVG(dpi) AS mean_dpi,
   string_agg(CASE WHEN rank <= 5 THEN sales END, ',' ORDER BY rank) AS top_departments
 FROM ranked""", DPI_CTES), ["mean_dpi"])
+
+
+# ------------------------------------------------------------------ profile
+def dirty_sql(body: str, *extra: str) -> str:
+    return with_ctes(HR_CTES, HR_DIRTY_CTE, *extra, body=body)
+
+
+_COERCED = """
+coerced AS (
+  SELECT EmployeeID, satisfaction_level, hours_text, average_montly_hours,
+    NULLIF(salary, '') AS salary, NULLIF(sales, '') AS sales, left_flag, weekly_ts,
+    TRY_CAST(hours_text AS DOUBLE) AS hours_text_numeric
+  FROM (SELECT DISTINCT * FROM hr_dirty) d WHERE left_flag IS NOT NULL)"""
+
+ORACLE["class_balance"] = hr_sql("SELECT left_flag, COUNT(*) AS n FROM hr GROUP BY left_flag")
+ORACLE["attrition_by_dept"] = rounded(dirty_sql(
+    "SELECT sales, AVG(left_flag) AS attrition_rate FROM coerced GROUP BY sales", _COERCED), ["attrition_rate"])
+ORACLE["attrition_by_salary"] = rounded(dirty_sql("""
+SELECT salary, AVG(left_flag) AS attrition_rate,
+  CAST(CASE salary WHEN 'low' THEN 1 WHEN 'medium' THEN 2 WHEN 'high' THEN 3 ELSE 4 END AS INT) AS salary_order
+FROM coerced GROUP BY salary""", _COERCED), ["attrition_rate"])
+
+_CORR_COLS = ["satisfaction_level", "last_evaluation", "number_project", "average_montly_hours",
+              "time_spend_company", "left_flag"]
+ORACLE["correlation_matrix"] = rounded(hr_sql("\nUNION ALL\n".join(
+    f"SELECT '{a}' AS col_a, '{b}' AS col_b, corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)) AS r FROM hr"
+    for i, a in enumerate(_CORR_COLS) for b in _CORR_COLS[i + 1:])), ["r"])
+
+ORACLE["numeric_describe"] = rounded(hr_sql("\nUNION ALL\n".join(
+    f"""SELECT '{c}' AS feature, COUNT({c}) AS count, AVG(CAST({c} AS DOUBLE)) AS mean,
+  STDDEV_SAMP(CAST({c} AS DOUBLE)) AS std, CAST(MIN({c}) AS DOUBLE) AS min,
+  quantile_cont(CAST({c} AS DOUBLE), 0.25) AS q25, quantile_cont(CAST({c} AS DOUBLE), 0.5) AS q50,
+  quantile_cont(CAST({c} AS DOUBLE), 0.75) AS q75, CAST(MAX({c}) AS DOUBLE) AS max FROM hr"""
+    for c in _CORR_COLS)), ["mean", "std", "min", "q25", "q50", "q75", "max"])
+
+for _by, _key in (("left_flag", "left"), ("sales", "sales"), ("salary", "salary")):
+    _stats = ", ".join(
+        f"AVG(CAST({c} AS DOUBLE)) AS {c}_mean, MEDIAN(CAST({c} AS DOUBLE)) AS {c}_median, "
+        f"STDDEV_SAMP(CAST({c} AS DOUBLE)) AS {c}_std" for c in _CORR_COLS[:5])
+    ORACLE[f"grouped_summary_{_key}"] = rounded(
+        hr_sql(f"SELECT {_by}, {_stats} FROM hr WHERE {_by} IS NOT NULL GROUP BY {_by}"),
+        [f"{c}_{s}" for c in _CORR_COLS[:5] for s in ("mean", "median", "std")])
+
+ORACLE["top_attrition_depts"] = rounded(hr_sql("""
+SELECT * FROM (
+  SELECT sales, AVG(left_flag) AS attrition_rate,
+    CAST(ROW_NUMBER() OVER (ORDER BY AVG(left_flag) DESC, sales ASC) AS INT) AS rank
+  FROM hr WHERE sales IS NOT NULL GROUP BY sales) t WHERE rank <= 5"""), ["attrition_rate"])
+
+# ------------------------------------------------------------------ quality (Q1–Q7)
+_REQ = [("satisfaction_level", "numeric"), ("last_evaluation", "numeric"), ("number_project", "numeric"),
+        ("average_montly_hours", "numeric"), ("time_spend_company", "numeric"), ("Work_accident", "numeric"),
+        ("promotion_last_5years", "numeric"), ("salary", "text"), ("sales", "text"), ("left_flag", "numeric")]
+_REQ_VALUES = ", ".join(f"({i}, '{c}', '{k}')" for i, (c, k) in enumerate(_REQ))
+_DTYPE_CASE = """CASE column_type WHEN 'DOUBLE' THEN 'float64' WHEN 'FLOAT' THEN 'float32'
+  WHEN 'BIGINT' THEN 'int64' WHEN 'INTEGER' THEN 'int32' WHEN 'VARCHAR' THEN 'object'
+  WHEN 'TIMESTAMP' THEN 'datetime64[ns]' WHEN 'BOOLEAN' THEN 'bool' ELSE lower(column_type) END"""
+_SCHEMA_CTES = f"""
+req(seq, column_name, kind) AS (VALUES {_REQ_VALUES}),
+described AS (SELECT column_name, column_type FROM (DESCRIBE SELECT * FROM hr_dirty)),
+schema_f AS (
+  SELECT 'missing' AS check_kind, CAST(r.seq AS INT) AS seq, r.column_name, CAST(NULL AS BIGINT) AS bad_count,
+    'missing: ' || r.column_name AS message
+  FROM req r LEFT JOIN described d ON r.column_name = d.column_name WHERE d.column_name IS NULL
+  UNION ALL
+  SELECT 'type', CAST(10 + r.seq AS INT), r.column_name, CAST(NULL AS BIGINT),
+    r.column_name || ': bad dtype ' || ({_DTYPE_CASE})
+  FROM req r JOIN described d ON r.column_name = d.column_name
+  WHERE (r.kind = 'text' AND d.column_type <> 'VARCHAR')
+     OR (r.kind = 'numeric' AND d.column_type NOT IN ('DOUBLE','FLOAT','BIGINT','INTEGER','SMALLINT','TINYINT','HUGEINT'))),
+range_f AS (
+  SELECT 'range' AS check_kind, CAST(seq AS INT) AS seq, column_name, bad_count,
+    column_name || ': ' || CAST(bad_count AS VARCHAR) || ' bad' AS message
+  FROM (
+    SELECT 20 AS seq, 'satisfaction_level' AS column_name,
+      CAST(SUM(CASE WHEN satisfaction_level BETWEEN 0 AND 1 THEN 0 ELSE 1 END) AS BIGINT) AS bad_count FROM hr_dirty
+    UNION ALL SELECT 23, 'average_montly_hours',
+      CAST(SUM(CASE WHEN average_montly_hours BETWEEN 0 AND 400 THEN 0 ELSE 1 END) AS BIGINT) FROM hr_dirty
+    UNION ALL SELECT 27, 'salary',
+      CAST(SUM(CASE WHEN salary IN ('low','medium','high') THEN 0 ELSE 1 END) AS BIGINT) FROM hr_dirty) x
+  WHERE bad_count > 0),
+findings AS (SELECT * FROM schema_f UNION ALL SELECT * FROM range_f)"""
+
+ORACLE["quality_findings"] = dirty_sql("SELECT * FROM findings", _SCHEMA_CTES)
+ORACLE["quality_range_checks"] = dirty_sql("SELECT * FROM range_f", _SCHEMA_CTES)
+ORACLE["quality_verdict"] = dirty_sql("""
+SELECT COUNT(*) AS n_errors, COUNT(*) = 0 AS passed,
+  COALESCE(string_agg(message, '; ' ORDER BY seq), '') AS errors FROM findings""", _SCHEMA_CTES)
+
+_MISS_COLS = [("EmployeeID", False), ("satisfaction_level", True), ("hours_text", False),
+              ("average_montly_hours", False), ("salary", False), ("sales", False),
+              ("left_flag", False), ("weekly_ts", False)]
+ORACLE["missing_summary"] = rounded(dirty_sql("""
+SELECT m.column_name, m.missing_count,
+  CAST(m.missing_count AS DOUBLE) * 100e0 / CAST(m.n AS DOUBLE) AS missing_pct, """ + _DTYPE_CASE + """ AS dtype
+FROM (""" + "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column_name, CAST(SUM(CASE WHEN {c} IS NULL"
+    + (f" OR isnan({c})" if isnan else "") + " THEN 1 ELSE 0 END) AS BIGINT) AS missing_count, "
+    f"COUNT(*) AS n FROM hr_dirty" for c, isnan in _MISS_COLS) + """) m
+JOIN (SELECT column_name, column_type FROM (DESCRIBE SELECT * FROM hr_dirty)) d ON m.column_name = d.column_name"""),
+    ["missing_pct"])
+
+ORACLE["outlier_summary"] = rounded(hr_sql("\nUNION ALL\n".join(f"""
+SELECT '{c}' AS feature, q1, q3, q3 - q1 AS iqr, q1 - (q3 - q1) * 1.5 AS lower_bound, q3 + (q3 - q1) * 1.5 AS upper_bound,
+  (SELECT CAST(SUM(CASE WHEN {c} < q1 - (q3 - q1) * 1.5 OR {c} > q3 + (q3 - q1) * 1.5 THEN 1 ELSE 0 END) AS BIGINT) FROM hr) AS outlier_count,
+  CAST((SELECT SUM(CASE WHEN {c} < q1 - (q3 - q1) * 1.5 OR {c} > q3 + (q3 - q1) * 1.5 THEN 1 ELSE 0 END) FROM hr) AS DOUBLE)
+    * 100e0 / CAST((SELECT COUNT(*) FROM hr) AS DOUBLE) AS outlier_pct
+FROM (SELECT quantile_cont(CAST({c} AS DOUBLE), 0.25) AS q1, quantile_cont(CAST({c} AS DOUBLE), 0.75) AS q3 FROM hr) q"""
+    for c in _CORR_COLS[:5])), ["q1", "q3", "iqr", "lower_bound", "upper_bound", "outlier_pct"])
+
+ORACLE["cleanup_report"] = dirty_sql("""
+SELECT (SELECT COUNT(*) FROM hr_dirty) AS rows_before,
+  (SELECT COUNT(*) FROM hr_dirty) - COUNT(*) AS duplicates_removed,
+  CAST(SUM(CASE WHEN left_flag IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS rows_missing_left_removed,
+  CAST(SUM(CASE WHEN left_flag IS NOT NULL AND sales = '' THEN 1 ELSE 0 END) AS BIGINT) AS blank_sales_to_na,
+  CAST(SUM(CASE WHEN left_flag IS NOT NULL AND salary = '' THEN 1 ELSE 0 END) AS BIGINT) AS blank_salary_to_na,
+  CAST(SUM(CASE WHEN left_flag IS NOT NULL THEN 1 ELSE 0 END) AS BIGINT) AS rows_after
+FROM (SELECT DISTINCT * FROM hr_dirty) d""")
+
+# ------------------------------------------------------------------ cleaning
+ORACLE["clean_dedup"] = rounded(dirty_sql("SELECT DISTINCT * FROM hr_dirty"), ["satisfaction_level"])
+ORACLE["clean_coerce"] = rounded(dirty_sql("SELECT * FROM coerced", _COERCED),
+                                 ["satisfaction_level", "hours_text_numeric"])
+ORACLE["clean_strict"] = rounded(dirty_sql("""
+SELECT DISTINCT * FROM hr_dirty WHERE EmployeeID IS NOT NULL AND satisfaction_level IS NOT NULL
+  AND NOT isnan(satisfaction_level) AND hours_text IS NOT NULL AND average_montly_hours IS NOT NULL
+  AND salary IS NOT NULL AND sales IS NOT NULL AND left_flag IS NOT NULL AND weekly_ts IS NOT NULL"""),
+    ["satisfaction_level"])
+ORACLE["row_sequence"] = hr_sql("SELECT EmployeeID, ROW_NUMBER() OVER (ORDER BY EmployeeID) - 1 AS row_id FROM hr")
+ORACLE["synthetic_week"] = hr_sql("""
+SELECT EmployeeID, CAST(DATE '2024-01-01' + CAST(((ROW_NUMBER() OVER (ORDER BY EmployeeID) - 1) // 50) * 7 AS INTEGER)
+  AS TIMESTAMP) AS synthetic_ts FROM hr""")
+ORACLE["synthetic_week_strict"] = dirty_sql("""
+SELECT EmployeeID, CAST(DATE '2024-01-01' + CAST(((ROW_NUMBER() OVER (ORDER BY EmployeeID) - 1) // 500) * 7 AS INTEGER)
+  AS TIMESTAMP) AS weekly_ts
+FROM (SELECT DISTINCT * FROM hr_dirty WHERE EmployeeID IS NOT NULL AND satisfaction_level IS NOT NULL
+  AND hours_text IS NOT NULL AND average_montly_hours IS NOT NULL AND salary IS NOT NULL AND sales IS NOT NULL
+  AND left_flag IS NOT NULL AND weekly_ts IS NOT NULL) s""")
+ORACLE["distinct_weeks"] = hr_sql("SELECT DISTINCT weekly_ts FROM hr WHERE weekly_ts IS NOT NULL")
