@@ -212,3 +212,149 @@ def q_synthetic_week_strict(spark, sf):
 @query("distinct_weeks")
 def q_distinct_weeks(spark, sf):
     return clean.distinct_sorted(_hr(spark, sf), "weekly_ts")
+
+
+# ------------------------------------------------------------------ scoring
+from tidewatch.operators import evaluation as ev  # noqa: E402
+from tidewatch.operators import scoring  # noqa: E402
+
+MODELS = ["supervised_score", "anomaly_score", "fused_score"]
+
+
+def _scored(spark, sf):
+    hr = _hr(spark, sf)
+    return scoring.scored_employees(hr, features.dept_week_gold(hr))
+
+
+def _fused_tau(scored):
+    """Best threshold of the fused score on the 101-point inclusive grid (scalar subquery)."""
+    best = ev.best_threshold(ev.grid_sweep(scored, "fused_score", "left_flag", K.grid_101(), inclusive=True))
+    return best.select(F.struct("tau")).scalar().tau
+
+
+@query("minmax_scale")
+def q_minmax_scale(spark, sf):
+    dw = _gold(spark, sf)
+    return _r(scoring.minmax_scale(dw, "average_montly_hours_mean", "hours_scaled")
+              .select("sales", "weekly_ts", "hours_scaled"))
+
+
+@query("anomaly_scaled")
+def q_anomaly_scaled(spark, sf):
+    dw = scoring.violation_decision(_gold(spark, sf))
+    return _r(scoring.anomaly_score(dw, "decision").select("sales", "weekly_ts", "anomaly_score"))
+
+
+@query("fused_scores")
+def q_fused_scores(spark, sf):
+    return _r(_scored(spark, sf).select("EmployeeID", "supervised_score", "anomaly_score", "fused_score"))
+
+
+@query("fused_scores_max")
+def q_fused_scores_max(spark, sf):
+    return _r(_scored(spark, sf).select("EmployeeID", "fused_max_score"))
+
+
+@query("dept_week_risk")
+def q_dept_week_risk(spark, sf):
+    return _r(scoring.dept_week_risk(_scored(spark, sf)))
+
+
+@query("class_weight")
+def q_class_weight(spark, sf):
+    return _r(scoring.class_weight(_hr(spark, sf)))
+
+
+@query("decisions_at_tau")
+def q_decisions_at_tau(spark, sf):
+    s = F.col("score")
+    return _hr(spark, sf).select("EmployeeID", ev.decision(s, 0.5, False).alias("decision_strict"),
+                                 ev.decision(s, 0.5, True).alias("decision_inclusive"))
+
+
+# ------------------------------------------------------------------ evaluation
+@query("confusion_counts")
+def q_confusion_counts(spark, sf):
+    return ev.confusion_counts(_hr(spark, sf), "score", "left_flag", 0.5, inclusive=False)
+
+
+@query("misclassification_cost")
+def q_misclassification_cost(spark, sf):
+    return ev.with_cost(ev.confusion_counts(_hr(spark, sf), "score", "left_flag", 0.5, inclusive=False))
+
+
+@query("classification_metrics")
+def q_classification_metrics(spark, sf):
+    return _r(ev.with_metrics(ev.confusion_counts(_hr(spark, sf), "score", "left_flag", 0.5)))
+
+
+@query("cost_curve")
+def q_cost_curve(spark, sf):
+    return _r(ev.grid_sweep(_scored(spark, sf), "fused_score", "left_flag", K.grid_101(), inclusive=True))
+
+
+@query("best_tau_grid101")
+def q_best_tau_grid101(spark, sf):
+    return _r(ev.best_threshold(ev.grid_sweep(_scored(spark, sf), "fused_score", "left_flag",
+                                              K.grid_101(), inclusive=True)))
+
+
+@query("best_tau_grid100")
+def q_best_tau_grid100(spark, sf):
+    return _r(ev.best_threshold(ev.grid_sweep(_scored(spark, sf), "fused_score", "left_flag",
+                                              K.grid_100(), inclusive=False)))
+
+
+@query("best_tau_grid91")
+def q_best_tau_grid91(spark, sf):
+    return _r(ev.best_threshold(ev.grid_sweep(_scored(spark, sf), "fused_score", "left_flag",
+                                              K.grid_91(), inclusive=True)))
+
+
+@query("tau_unique_scores")
+def q_tau_unique_scores(spark, sf):
+    return _r(ev.best_distinct_tau(ev.distinct_score_sweep(_hr(spark, sf), "score", "left_flag")))
+
+
+@query("auroc")
+def q_auroc(spark, sf):
+    return _r(ev.auroc(_hr(spark, sf), "score", "left_flag"))
+
+
+@query("average_precision")
+def q_average_precision(spark, sf):
+    return _r(ev.average_precision(_hr(spark, sf), "score", "left_flag"))
+
+
+@query("calibration_uniform")
+def q_calibration_uniform(spark, sf):
+    return _r(ev.calibration_curve(_hr(spark, sf), "score", "left_flag", K.uniform_inner_edges(10)))
+
+
+@query("calibration_quantile")
+def q_calibration_quantile(spark, sf):
+    hr = _hr(spark, sf)
+    return _r(ev.calibration_curve(hr, "score", "left_flag", ev.quantile_edges(hr, "score", 10)))
+
+
+@query("brier_score")
+def q_brier_score(spark, sf):
+    return _r(ev.brier_score(_hr(spark, sf), "score", "left_flag"))
+
+
+@query("benchmark_table")
+def q_benchmark_table(spark, sf):
+    scored = _scored(spark, sf)
+    return _r(ev.benchmark_table(scored, MODELS, "left_flag", _fused_tau(scored)))
+
+
+@query("benchmark_enhanced")
+def q_benchmark_enhanced(spark, sf):
+    return _r(ev.benchmark_enhanced(_scored(spark, sf), MODELS, "left_flag", baseline="supervised_score"))
+
+
+@query("benchmark_kpi")
+def q_benchmark_kpi(spark, sf):
+    scored = _scored(spark, sf)
+    bench = ev.benchmark_table(scored, MODELS, "left_flag", _fused_tau(scored))
+    return _r(scoring.pick_model_row(bench, "fused"))

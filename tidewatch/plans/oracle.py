@@ -247,3 +247,174 @@ FROM (SELECT DISTINCT * FROM hr_dirty WHERE EmployeeID IS NOT NULL AND satisfact
   AND hours_text IS NOT NULL AND average_montly_hours IS NOT NULL AND salary IS NOT NULL AND sales IS NOT NULL
   AND left_flag IS NOT NULL AND weekly_ts IS NOT NULL) s""")
 ORACLE["distinct_weeks"] = hr_sql("SELECT DISTINCT weekly_ts FROM hr WHERE weekly_ts IS NOT NULL")
+
+
+# ------------------------------------------------------------------ scoring / evaluation
+def dbl_list(values) -> str:
+    return "[" + ", ".join(f"'{float(v)!r}'::DOUBLE" for v in values) + "]"
+
+
+SCORED_CTES = """
+dwa AS (SELECT sales, weekly_ts, -violation_density AS decision FROM dwl),
+dwa2 AS (
+  SELECT sales, weekly_ts, CASE WHEN s.mx - s.mn = 0 THEN 0.5::DOUBLE ELSE (decision - s.mn) / (s.mx - s.mn) END AS mm
+  FROM dwa, (SELECT MIN(decision) AS mn, MAX(decision) AS mx FROM dwa) s),
+anom AS (SELECT sales, weekly_ts, 1e0 - mm AS anomaly_score FROM dwa2),
+scored AS (
+  SELECT hr.*, COALESCE(anom.anomaly_score, 0.5::DOUBLE) AS anomaly_score, score AS supervised_score,
+    score * 0.7e0 + COALESCE(anom.anomaly_score, 0.5::DOUBLE) * (1e0 - 0.7e0) AS fused_score,
+    GREATEST(score, COALESCE(anom.anomaly_score, 0.5::DOUBLE)) AS fused_max_score
+  FROM hr LEFT JOIN anom ON hr.sales = anom.sales AND hr.weekly_ts = anom.weekly_ts)"""
+
+
+def scored_sql(body: str, *extra: str) -> str:
+    return with_ctes(HR_CTES, GOLD_CTES, SCORED_CTES, *extra, body=body)
+
+
+def _grid_cte(name: str, grid) -> str:
+    return (f"{name} AS (SELECT CAST(i AS INT) AS i, list_extract({dbl_list(grid)}, CAST(i + 1 AS BIGINT)) AS tau "
+            f"FROM range(0, {len(grid)}) t(i))")
+
+
+def _curve_cte(name: str, grid_name: str, score: str, op: str, src: str = "scored") -> str:
+    return f"""{name} AS (
+  SELECT g.i, g.tau,
+    CAST(SUM(CASE WHEN s.{score} {op} g.tau AND s.left_flag = 1 THEN 1 ELSE 0 END) AS BIGINT) AS tp,
+    CAST(SUM(CASE WHEN s.{score} {op} g.tau AND s.left_flag <> 1 THEN 1 ELSE 0 END) AS BIGINT) AS fp,
+    CAST(SUM(CASE WHEN NOT (s.{score} {op} g.tau) AND s.left_flag = 1 THEN 1 ELSE 0 END) AS BIGINT) AS fn,
+    CAST(SUM(CASE WHEN NOT (s.{score} {op} g.tau) AND s.left_flag <> 1 THEN 1 ELSE 0 END) AS BIGINT) AS tn
+  FROM {grid_name} g, {src} s GROUP BY g.i, g.tau),
+{name}_c AS (SELECT *, 10e0 * fn + 1e0 * fp AS cost FROM {name})"""
+
+
+try:
+    import numpy as _np
+    _G101 = _np.linspace(0.0, 1.0, 101).tolist()
+    _G100 = _np.linspace(0.0, 1.0, 100).tolist()
+    _G91 = _np.arange(0.05, 0.96, 0.01).tolist()
+except ImportError:  # pragma: no cover
+    _G101 = _G100 = _G91 = []
+
+_BEST_COLS = "i, tau, tp, fp, fn, tn, cost"
+_ROUND_CURVE = ["tau", "cost"]
+
+ORACLE["minmax_scale"] = rounded(gold_sql("""
+SELECT sales, weekly_ts, CASE WHEN s.mx - s.mn = 0 THEN 0.5::DOUBLE
+  ELSE (average_montly_hours_mean - s.mn) / (s.mx - s.mn) END AS hours_scaled
+FROM dwl, (SELECT MIN(average_montly_hours_mean) AS mn, MAX(average_montly_hours_mean) AS mx FROM dwl) s"""),
+    ["hours_scaled"])
+ORACLE["anomaly_scaled"] = rounded(scored_sql("SELECT sales, weekly_ts, anomaly_score FROM anom"), ["anomaly_score"])
+ORACLE["fused_scores"] = rounded(scored_sql(
+    "SELECT EmployeeID, supervised_score, anomaly_score, fused_score FROM scored"),
+    ["supervised_score", "anomaly_score", "fused_score"])
+ORACLE["fused_scores_max"] = rounded(scored_sql("SELECT EmployeeID, fused_max_score FROM scored"),
+                                     ["fused_max_score"])
+ORACLE["dept_week_risk"] = rounded(scored_sql("""
+SELECT sales, weekly_ts, AVG(fused_score) AS risk_score FROM scored
+WHERE sales IS NOT NULL AND weekly_ts IS NOT NULL GROUP BY sales, weekly_ts"""), ["risk_score"])
+ORACLE["class_weight"] = rounded(hr_sql("""
+SELECT neg, pos, GREATEST(1e0, CAST(neg AS DOUBLE) / CAST(GREATEST(pos, 1) AS DOUBLE)) AS scale_pos_weight
+FROM (SELECT COUNT(*) FILTER (WHERE left_flag = 0) AS neg, COUNT(*) FILTER (WHERE left_flag = 1) AS pos FROM hr) c"""),
+    ["scale_pos_weight"])
+ORACLE["decisions_at_tau"] = hr_sql("""
+SELECT EmployeeID, CAST(CASE WHEN score > 0.5 THEN 1 ELSE 0 END AS INT) AS decision_strict,
+  CAST(CASE WHEN score >= 0.5 THEN 1 ELSE 0 END AS INT) AS decision_inclusive FROM hr""")
+
+_CONF = """
+conf AS (
+  SELECT COUNT(*) FILTER (WHERE left_flag = 0 AND NOT score > 0.5) AS tn,
+         COUNT(*) FILTER (WHERE left_flag = 0 AND score > 0.5) AS fp,
+         COUNT(*) FILTER (WHERE left_flag = 1 AND NOT score > 0.5) AS fn,
+         COUNT(*) FILTER (WHERE left_flag = 1 AND score > 0.5) AS tp FROM hr)"""
+_METRICS = """CASE WHEN tp + fp = 0 THEN 0e0 ELSE CAST(tp AS DOUBLE) / CAST(tp + fp AS DOUBLE) END AS precision,
+  CASE WHEN tp + fn = 0 THEN 0e0 ELSE CAST(tp AS DOUBLE) / CAST(tp + fn AS DOUBLE) END AS recall,
+  CASE WHEN 2 * tp + fp + fn = 0 THEN 0e0 ELSE CAST(2 * tp AS DOUBLE) / CAST(2 * tp + fp + fn AS DOUBLE) END AS f1_score"""
+ORACLE["confusion_counts"] = hr_sql("SELECT * FROM conf", _CONF)
+ORACLE["misclassification_cost"] = hr_sql("SELECT *, 10e0 * fn + 1e0 * fp AS cost FROM conf", _CONF)
+ORACLE["classification_metrics"] = rounded(hr_sql(f"SELECT *, {_METRICS} FROM conf", _CONF),
+                                           ["precision", "recall", "f1_score"])
+
+ORACLE["cost_curve"] = rounded(scored_sql("SELECT * FROM curve_c", _grid_cte("grid", _G101),
+                                          _curve_cte("curve", "grid", "fused_score", ">=")), _ROUND_CURVE)
+ORACLE["best_tau_grid101"] = rounded(scored_sql(
+    f"SELECT {_BEST_COLS} FROM curve_c ORDER BY cost, i LIMIT 1",
+    _grid_cte("grid", _G101), _curve_cte("curve", "grid", "fused_score", ">=")), _ROUND_CURVE)
+ORACLE["best_tau_grid100"] = rounded(scored_sql(
+    f"SELECT {_BEST_COLS} FROM curve_c ORDER BY cost, i LIMIT 1",
+    _grid_cte("grid", _G100), _curve_cte("curve", "grid", "fused_score", ">")), _ROUND_CURVE)
+ORACLE["best_tau_grid91"] = rounded(scored_sql(
+    f"SELECT {_BEST_COLS} FROM curve_c ORDER BY cost, i LIMIT 1",
+    _grid_cte("grid", _G91), _curve_cte("curve", "grid", "fused_score", ">=")), _ROUND_CURVE)
+
+_HIST = """
+h AS (SELECT score, CAST(SUM(CASE WHEN left_flag = 1 THEN 1 ELSE 0 END) AS BIGINT) AS pos,
+              CAST(SUM(CASE WHEN left_flag = 1 THEN 0 ELSE 1 END) AS BIGINT) AS neg FROM hr GROUP BY score)"""
+ORACLE["tau_unique_scores"] = rounded(hr_sql("""
+SELECT tau, fn, fp, 10e0 * fn + 1e0 * fp AS cost FROM (
+  SELECT score AS tau, CAST(SUM(pos) OVER (ORDER BY score) - pos AS BIGINT) AS fn,
+    CAST((SELECT SUM(neg) FROM h) - (SUM(neg) OVER (ORDER BY score) - neg) AS BIGINT) AS fp FROM h) c
+ORDER BY cost, tau LIMIT 1""", _HIST), ["tau", "cost"])
+ORACLE["auroc"] = rounded(hr_sql("""
+SELECT CAST(SUM(neg * (2 * ((SELECT SUM(pos) FROM h) - cum_pos) + pos)) AS DOUBLE)
+  / CAST(2 * (SELECT SUM(pos) FROM h) * (SELECT SUM(neg) FROM h) AS DOUBLE) AS auroc
+FROM (SELECT *, SUM(pos) OVER (ORDER BY score) AS cum_pos FROM h) c""", _HIST), ["auroc"])
+ORACLE["average_precision"] = rounded(hr_sql("""
+SELECT SUM(CASE WHEN pos > 0 THEN CAST(pos AS DOUBLE) / CAST((SELECT SUM(pos) FROM h) AS DOUBLE)
+  * (CAST(tp_ge AS DOUBLE) / CAST(tp_ge + fp_ge AS DOUBLE)) END) AS average_precision
+FROM (SELECT *, SUM(pos) OVER (ORDER BY score DESC) AS tp_ge, SUM(neg) OVER (ORDER BY score DESC) AS fp_ge FROM h) c""",
+    _HIST), ["average_precision"])
+
+_UNI = dbl_list(_np.linspace(0.0, 1.0, 11)[1:-1].tolist())
+ORACLE["calibration_uniform"] = rounded(hr_sql(f"""
+SELECT CAST(len(list_filter({_UNI}, lambda e: e < score)) AS INT) AS bin, COUNT(*) AS n,
+  AVG(score) AS mean_pred, AVG(CAST(left_flag AS DOUBLE)) AS frac_pos FROM hr GROUP BY 1"""),
+    ["mean_pred", "frac_pos"])
+_QPROBS = "[" + ", ".join(f"'{i / 10!r}'::DOUBLE" for i in range(1, 10)) + "]"
+ORACLE["calibration_quantile"] = rounded(hr_sql(f"""
+SELECT CAST(len(list_filter(q.edges, lambda e: e < score)) AS INT) AS bin, COUNT(*) AS n,
+  AVG(score) AS mean_pred, AVG(CAST(left_flag AS DOUBLE)) AS frac_pos
+FROM hr, (SELECT quantile_cont(score, {_QPROBS}) AS edges FROM hr) q GROUP BY 1"""), ["mean_pred", "frac_pos"])
+ORACLE["brier_score"] = rounded(hr_sql("""
+SELECT CASE WHEN MIN(left_flag) <> MAX(left_flag)
+  THEN AVG((score - CAST(left_flag AS DOUBLE)) * (score - CAST(left_flag AS DOUBLE))) END AS brier FROM hr"""),
+    ["brier"])
+
+_LONG = """
+long_s AS (
+  SELECT 'supervised_score' AS model, supervised_score AS s, left_flag FROM scored
+  UNION ALL SELECT 'anomaly_score', anomaly_score, left_flag FROM scored
+  UNION ALL SELECT 'fused_score', fused_score, left_flag FROM scored)"""
+_BENCH = f"""
+bt AS (SELECT tau FROM curve_c ORDER BY cost, i LIMIT 1),
+bench AS (
+  SELECT upper(substr(replace(model, '_score', ''), 1, 1)) || lower(substr(replace(model, '_score', ''), 2)) AS model,
+    (SELECT tau FROM bt) AS threshold, {_METRICS}
+  FROM (SELECT model,
+          COUNT(*) FILTER (WHERE left_flag = 1 AND s > (SELECT tau FROM bt)) AS tp,
+          COUNT(*) FILTER (WHERE left_flag <> 1 AND s > (SELECT tau FROM bt)) AS fp,
+          COUNT(*) FILTER (WHERE left_flag = 1 AND NOT s > (SELECT tau FROM bt)) AS fn
+        FROM long_s GROUP BY model) c)"""
+ORACLE["benchmark_table"] = rounded(scored_sql(
+    "SELECT * FROM bench", _grid_cte("grid", _G101), _curve_cte("curve", "grid", "fused_score", ">="), _LONG, _BENCH),
+    ["threshold", "precision", "recall", "f1_score"])
+ORACLE["benchmark_kpi"] = rounded(scored_sql(
+    "SELECT * FROM bench WHERE lower(model) = 'fused'", _grid_cte("grid", _G101),
+    _curve_cte("curve", "grid", "fused_score", ">="), _LONG, _BENCH),
+    ["threshold", "precision", "recall", "f1_score"])
+ORACLE["benchmark_enhanced"] = rounded(scored_sql(f"""
+SELECT model AS model_variant, tau AS threshold, {_METRICS}, CAST(cost AS BIGINT) AS total_cost,
+  CASE WHEN model = 'supervised_score' THEN 0e0
+       ELSE ((SELECT cost FROM best WHERE model = 'supervised_score') - cost)
+            / (SELECT cost FROM best WHERE model = 'supervised_score') * 100e0 END AS cost_reduction_pct
+FROM best""", _grid_cte("grid", _G100), _LONG, """
+mcurve AS (
+  SELECT s.model, g.i, g.tau,
+    CAST(SUM(CASE WHEN s.s > g.tau AND s.left_flag = 1 THEN 1 ELSE 0 END) AS BIGINT) AS tp,
+    CAST(SUM(CASE WHEN s.s > g.tau AND s.left_flag <> 1 THEN 1 ELSE 0 END) AS BIGINT) AS fp,
+    CAST(SUM(CASE WHEN NOT (s.s > g.tau) AND s.left_flag = 1 THEN 1 ELSE 0 END) AS BIGINT) AS fn
+  FROM grid g, long_s s GROUP BY s.model, g.i, g.tau),
+best AS (
+  SELECT model, arg_min(tau, cost * 1000 + i) AS tau, arg_min(tp, cost * 1000 + i) AS tp,
+    arg_min(fp, cost * 1000 + i) AS fp, arg_min(fn, cost * 1000 + i) AS fn, MIN(cost) AS cost
+  FROM (SELECT *, 10e0 * fn + 1e0 * fp AS cost FROM mcurve) x GROUP BY model)"""),
+    ["threshold", "precision", "recall", "f1_score", "cost_reduction_pct"])
