@@ -358,3 +358,131 @@ def q_benchmark_kpi(spark, sf):
     scored = _scored(spark, sf)
     bench = ev.benchmark_table(scored, MODELS, "left_flag", _fused_tau(scored))
     return _r(scoring.pick_model_row(bench, "fused"))
+
+
+# ------------------------------------------------------------------ fairness
+from tidewatch.operators import fairness  # noqa: E402
+from tidewatch.session import scratch_path  # noqa: E402
+from tidewatch.sources import files  # noqa: E402
+
+
+def _hr_pred(spark, sf):
+    return _hr(spark, sf).withColumn("pred", ev.decision(F.col("score"), 0.5, inclusive=False))
+
+
+def _gp(spark, sf):
+    return fixtures.group_preds(spark, sf)
+
+
+def _audit_tau(df, label="y_true", prob="y_prob"):
+    return ev.best_distinct_tau(ev.distinct_score_sweep(df, prob, label)).select(F.struct("tau")).scalar().tau
+
+
+for _g in ("sales", "salary"):
+    def _mk_fair(g):
+        QUERIES[f"fairness_parity_{g}"] = lambda spark, sf: _r(
+            fairness.demographic_parity(_hr_pred(spark, sf), g, "pred"))
+        QUERIES[f"fairness_odds_{g}"] = lambda spark, sf: _r(
+            fairness.equalized_odds(_hr_pred(spark, sf), g, "left_flag", "pred"))
+        QUERIES[f"fairness_summary_{g}"] = lambda spark, sf: _r(
+            fairness.fairness_summary(_hr_pred(spark, sf), g, "left_flag", "pred"))
+    _mk_fair(_g)
+
+
+@query("fairness_parity_lang")
+def q_fairness_parity_lang(spark, sf):
+    return _r(fairness.demographic_parity(_gp(spark, sf), "grp", "y_pred"))
+
+
+@query("fairness_odds_lang")
+def q_fairness_odds_lang(spark, sf):
+    return _r(fairness.equalized_odds(_gp(spark, sf), "grp", "y_true", "y_pred"))
+
+
+@query("fairness_summary_lang")
+def q_fairness_summary_lang(spark, sf):
+    return _r(fairness.fairness_summary(_gp(spark, sf), "grp", "y_true", "y_pred"))
+
+
+@query("bias_report")
+def q_bias_report(spark, sf):
+    return _r(fairness.bias_report(_hr_pred(spark, sf), "left_flag", "pred",
+                                   {"department": "sales", "salary": "salary"}))
+
+
+@query("fairness_group_metrics")
+def q_fairness_group_metrics(spark, sf):
+    gp = _gp(spark, sf)
+    return _r(fairness.audit_group_metrics(gp, "grp", "y_true", "y_prob", _audit_tau(gp)))
+
+
+@query("fairness_overall")
+def q_fairness_overall(spark, sf):
+    gp = _gp(spark, sf)
+    return _r(fairness.audit_overall(gp, "y_true", "y_prob", _audit_tau(gp)))
+
+
+@query("fairness_fnr_gap")
+def q_fairness_fnr_gap(spark, sf):
+    gp = _gp(spark, sf)
+    return _r(fairness.fnr_gap(fairness.audit_group_metrics(gp, "grp", "y_true", "y_prob", _audit_tau(gp))))
+
+
+@query("fairness_audit_predictions")
+def q_fairness_audit_predictions(spark, sf):
+    path = scratch_path(spark, "predictions") + ".csv"
+    files.save_df(_gp(spark, sf).select("y_true", "y_prob"), path)
+    preds = files.read_predictions_csv(spark, path)
+    return _r(fairness.audit_group_metrics(preds, "dept", "y_true", "y_prob", _audit_tau(preds)))
+
+
+@query("fairness_report_json")
+def q_fairness_report_json(spark, sf):
+    gp = _gp(spark, sf)
+    return fairness.audit_report_json(gp, "grp", "y_true", "y_prob", _audit_tau(gp))
+
+
+# ------------------------------------------------------------------ sources
+@query("raw_load")
+def q_raw_load(spark, sf):
+    hr = _hr(spark, sf)
+    raw = hr.select(*[F.col(c) for c in ["satisfaction_level", "last_evaluation", "number_project",
+                                         "average_montly_hours", "time_spend_company", "Work_accident"]],
+                    F.col("left_flag").alias("left"), "promotion_last_5years",
+                    F.col("sales").alias("Department"), "salary")
+    path = scratch_path(spark, "raw") + ".csv"
+    files.save_df(raw, path)
+    return _r(files.read_raw_csv(spark, path))
+
+
+@query("preview_top_rows")
+def q_preview_top_rows(spark, sf):
+    return _r(files.preview(_hr(spark, sf), ["EmployeeID"], 50))
+
+
+@query("dataset_manifest")
+def q_dataset_manifest(spark, sf):
+    from tidewatch.sources.tables import TABLES, read_table
+    m = files.dataset_manifest({t: read_table(spark, sf, t) for t in TABLES})
+    return m.select("dataset", "n_rows", "n_columns")
+
+
+@query("dataset_fingerprint")
+def q_dataset_fingerprint(spark, sf):
+    from tidewatch.sources.tables import TABLES, read_table
+    return files.dataset_manifest({t: read_table(spark, sf, t) for t in TABLES})
+
+
+@query("source_checksums")
+def q_source_checksums(spark, sf):
+    return files.file_checksums(spark, f"{sf.rstrip('/')}/*.parquet")
+
+
+@query("threshold_lookup")
+def q_threshold_lookup(spark, sf):
+    best = ev.best_threshold(ev.grid_sweep(_scored(spark, sf), "fused_score", "left_flag",
+                                           K.grid_101(), inclusive=True))
+    path = scratch_path(spark, "metrics") + ".json"
+    files.save_df(best.select(F.col("tau").alias("optimal_threshold"), F.col("cost").alias("naive_fusion_cost")),
+                  path)
+    return files.read_threshold(spark, path)

@@ -418,3 +418,121 @@ best AS (
     arg_min(fp, cost * 1000 + i) AS fp, arg_min(fn, cost * 1000 + i) AS fn, MIN(cost) AS cost
   FROM (SELECT *, 10e0 * fn + 1e0 * fp AS cost FROM mcurve) x GROUP BY model)"""),
     ["threshold", "precision", "recall", "f1_score", "cost_reduction_pct"])
+
+
+# ------------------------------------------------------------------ fairness
+def sql_fixed(expr: str, digits: int) -> str:
+    scale = 10 ** digits
+    q = f"CAST(FLOOR(ABS({expr}) * {scale}e0 + 0.5e0) AS BIGINT)"
+    return (f"(CASE WHEN ({expr}) < 0 AND {q} > 0 THEN '-' ELSE '' END || CAST({q} // {scale} AS VARCHAR) || '.' "
+            f"|| lpad(CAST({q} % {scale} AS VARCHAR), {digits}, '0'))")
+
+
+_PRED = "p AS (SELECT *, CAST(CASE WHEN score > 0.5 THEN 1 ELSE 0 END AS INT) AS pred FROM hr)"
+_GP_P = "p AS (SELECT *, y_true AS left_flag, y_pred AS pred FROM group_preds)"
+
+
+def _parity(g: str) -> str:
+    return f"""SELECT {g}, AVG(CAST(pred AS DOUBLE)) AS positive_rate,
+  ABS(AVG(CAST(pred AS DOUBLE)) - (SELECT AVG(CAST(pred AS DOUBLE)) FROM p)) AS parity_difference,
+  COUNT(*) AS sample_size FROM p GROUP BY {g}"""
+
+
+def _odds(g: str) -> str:
+    return f"""SELECT {g},
+  CASE WHEN tp + fn = 0 THEN 0e0 ELSE CAST(tp AS DOUBLE) / CAST(tp + fn AS DOUBLE) END AS true_positive_rate,
+  CASE WHEN fp + tn = 0 THEN 0e0 ELSE CAST(fp AS DOUBLE) / CAST(fp + tn AS DOUBLE) END AS false_positive_rate,
+  CAST(tp + tn AS DOUBLE) / CAST(n AS DOUBLE) AS accuracy
+FROM (SELECT {g}, COUNT(*) AS n,
+  COUNT(*) FILTER (WHERE left_flag = 1 AND pred = 1) AS tp, COUNT(*) FILTER (WHERE left_flag = 0 AND pred = 1) AS fp,
+  COUNT(*) FILTER (WHERE left_flag = 1 AND pred = 0) AS fn, COUNT(*) FILTER (WHERE left_flag = 0 AND pred = 0) AS tn
+  FROM p GROUP BY {g}) c WHERE tp + fn > 0 AND fp + tn > 0"""
+
+
+def _summary(g: str) -> str:
+    return f"""SELECT AVG(CASE WHEN left_flag = pred THEN 1e0 ELSE 0e0 END) AS accuracy,
+  AVG(CAST(pred AS DOUBLE)) AS positive_rate, AVG(CAST(left_flag AS DOUBLE)) AS base_rate,
+  (SELECT MAX(parity_difference) FROM ({_parity(g)}) x) AS max_parity_difference,
+  (SELECT MAX(parity_difference) FROM ({_parity(g)}) x) > 0.05 AS fairness_violation FROM p"""
+
+
+_PAR_D = ["positive_rate", "parity_difference"]
+_ODDS_D = ["true_positive_rate", "false_positive_rate", "accuracy"]
+_SUM_D = ["accuracy", "positive_rate", "base_rate", "max_parity_difference"]
+for _g in ("sales", "salary"):
+    ORACLE[f"fairness_parity_{_g}"] = rounded(hr_sql(_parity(_g), _PRED), _PAR_D)
+    ORACLE[f"fairness_odds_{_g}"] = rounded(hr_sql(_odds(_g), _PRED), _ODDS_D)
+    ORACLE[f"fairness_summary_{_g}"] = rounded(hr_sql(_summary(_g), _PRED), _SUM_D)
+
+_GP_SQL = lambda body, *extra: with_ctes(GROUP_PREDS_CTE, *extra, body=body)
+ORACLE["fairness_parity_lang"] = rounded(_GP_SQL(_parity("grp"), _GP_P), _PAR_D)
+ORACLE["fairness_odds_lang"] = rounded(_GP_SQL(_odds("grp"), _GP_P), _ODDS_D)
+ORACLE["fairness_summary_lang"] = rounded(_GP_SQL(_summary("grp"), _GP_P), _SUM_D)
+
+_BIAS_ROWS = f"""
+dims AS (
+  SELECT 'department' AS dimension, max_parity_difference, fairness_violation,
+    CASE WHEN fairness_violation THEN 'ALERT: Department bias detected. Max parity difference: '
+      || {sql_fixed('max_parity_difference', 3)} END AS recommendation FROM ({_summary('sales')}) a
+  UNION ALL
+  SELECT 'salary', max_parity_difference, fairness_violation,
+    CASE WHEN fairness_violation THEN 'ALERT: Salary-based bias detected. Max parity difference: '
+      || {sql_fixed('max_parity_difference', 3)} END FROM ({_summary('salary')}) b)"""
+ORACLE["bias_report"] = rounded(hr_sql("""
+SELECT * FROM dims UNION ALL
+SELECT 'all', CAST(NULL AS DOUBLE), FALSE, 'No significant bias detected. Model meets fairness criteria.'
+FROM (SELECT SUM(CAST(fairness_violation AS INT)) AS v FROM dims) s WHERE v = 0""", _PRED, _BIAS_ROWS),
+    ["max_parity_difference"])
+
+
+def _audit_sql(src: str, group_expr: str, group_name: str) -> tuple[str, ...]:
+    h = f"""ah AS (SELECT y_prob AS score, CAST(SUM(CASE WHEN y_true = 1 THEN 1 ELSE 0 END) AS BIGINT) AS pos,
+  CAST(SUM(CASE WHEN y_true = 1 THEN 0 ELSE 1 END) AS BIGINT) AS neg FROM {src} GROUP BY y_prob)"""
+    tau = """atau AS (SELECT tau FROM (
+  SELECT score AS tau, 10e0 * (SUM(pos) OVER (ORDER BY score) - pos)
+    + 1e0 * ((SELECT SUM(neg) FROM ah) - (SUM(neg) OVER (ORDER BY score) - neg)) AS cost FROM ah) c
+  ORDER BY cost, tau LIMIT 1)"""
+    counts = f"""ac AS (
+  SELECT {group_expr} AS {group_name}, COUNT(*) AS n,
+    COUNT(*) FILTER (WHERE y_true = 1 AND y_prob >= (SELECT tau FROM atau)) AS tp,
+    COUNT(*) FILTER (WHERE y_true = 0 AND y_prob >= (SELECT tau FROM atau)) AS fp,
+    COUNT(*) FILTER (WHERE y_true = 1 AND NOT y_prob >= (SELECT tau FROM atau)) AS fn,
+    COUNT(*) FILTER (WHERE y_true = 0 AND NOT y_prob >= (SELECT tau FROM atau)) AS tn,
+    CASE WHEN MIN(y_true) <> MAX(y_true) THEN AVG((y_prob - CAST(y_true AS DOUBLE)) * (y_prob - CAST(y_true AS DOUBLE))) END AS brier
+  FROM {src} GROUP BY 1)"""
+    metrics = f"""am AS (
+  SELECT {group_name}, n,
+    CASE WHEN n = 0 THEN 0e0 ELSE CAST(tp + fn AS DOUBLE) / CAST(n AS DOUBLE) END AS prevalence,
+    CASE WHEN tp + fn = 0 THEN 0e0 ELSE CAST(tp AS DOUBLE) / CAST(tp + fn AS DOUBLE) END AS recall,
+    1e0 - CASE WHEN tp + fn = 0 THEN 0e0 ELSE CAST(tp AS DOUBLE) / CAST(tp + fn AS DOUBLE) END AS fnr,
+    CASE WHEN tp + fp = 0 THEN 0e0 ELSE CAST(tp AS DOUBLE) / CAST(tp + fp AS DOUBLE) END AS precision,
+    CAST(fp AS DOUBLE) / CAST(GREATEST(fp + tn, 1) AS DOUBLE) AS fpr, brier FROM ac)"""
+    return h, tau, counts, metrics
+
+
+_AUD_D = ["prevalence", "recall", "fnr", "precision", "fpr", "brier"]
+ORACLE["fairness_group_metrics"] = rounded(_GP_SQL("SELECT * FROM am", *_audit_sql("group_preds", "grp", "grp")),
+                                           _AUD_D)
+ORACLE["fairness_overall"] = rounded(_GP_SQL("SELECT recall, fnr, precision, fpr, brier FROM am",
+                                             *_audit_sql("group_preds", "'all'", "grp")), _AUD_D[1:])
+ORACLE["fairness_fnr_gap"] = rounded(_GP_SQL(
+    "SELECT MAX(fnr) - MIN(fnr) AS fnr_gap, COALESCE(MAX(fnr) - MIN(fnr) > 0.05, FALSE) AS failed FROM am",
+    *_audit_sql("group_preds", "grp", "grp")), ["fnr_gap"])
+ORACLE["fairness_audit_predictions"] = rounded(_GP_SQL(
+    "SELECT * FROM am", *_audit_sql("group_preds", "'unknown'", "dept")), _AUD_D)
+
+# ------------------------------------------------------------------ sources
+ORACLE["raw_load"] = rounded(hr_sql("""
+SELECT satisfaction_level, last_evaluation, number_project, average_montly_hours, time_spend_company,
+  Work_accident, left_flag, promotion_last_5years, sales, salary FROM hr"""),
+    ["satisfaction_level", "last_evaluation"])
+ORACLE["preview_top_rows"] = rounded(hr_sql(
+    "SELECT *, (SELECT COUNT(*) FROM hr) AS n_rows FROM hr ORDER BY EmployeeID LIMIT 50"),
+    ["satisfaction_level", "last_evaluation", "score"])
+_TABLE_COLS = {"region": 2, "nation": 3, "customer": 5, "supplier": 4, "part": 6, "orders": 6, "lineitem": 11,
+               "events": 6, "documents": 5, "embeddings": 3, "pages": 3, "benchmark": 2, "labels": 3,
+               "conversations": 4}
+ORACLE["dataset_manifest"] = "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS dataset, COUNT(*) AS n_rows, "
+    f"(SELECT CAST(COUNT(*) AS INT) FROM (DESCRIBE SELECT * FROM {t})) AS n_columns FROM {t}"
+    for t in _TABLE_COLS)
