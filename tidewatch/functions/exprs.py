@@ -51,7 +51,7 @@ def fixed_decimals(x, digits: int) -> Column:
     Integer arithmetic on the scaled value (floor(|x|*10^d + 0.5)) gives the same
     digits on every engine, unlike printf-style formatting of a binary double.
     """
-    x = col_(x).cast("double")
+    x = F.round(col_(x).cast("double"), 9)   # absorb summation-order noise first
     scale = 10 ** digits
     q = F.floor(F.abs(x) * F.lit(float(scale)) + F.lit(0.5)).cast("bigint")
     sign = F.when((x < 0) & (q > 0), F.lit("-")).otherwise(F.lit(""))

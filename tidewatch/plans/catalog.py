@@ -486,3 +486,86 @@ def q_threshold_lookup(spark, sf):
     files.save_df(best.select(F.col("tau").alias("optimal_threshold"), F.col("cost").alias("naive_fusion_cost")),
                   path)
     return files.read_threshold(spark, path)
+
+
+# ------------------------------------------------------------------ alerts and text
+from tidewatch.functions import text as TX  # noqa: E402
+from tidewatch.operators import alerts  # noqa: E402
+
+
+def _alert_ctx(spark, sf):
+    hr = _hr(spark, sf)
+    dw = features.dept_week_gold(hr)
+    scored = scoring.scored_employees(hr, dw)
+    return alerts.alert_context(scoring.dept_week_risk(scored), dw), scored
+
+
+def _alerts(spark, sf):
+    ctx, scored = _alert_ctx(spark, sf)
+    return alerts.alert_records(ctx, _fused_tau(scored))
+
+
+def _flat_drivers(df, col="top_drivers"):
+    return df.withColumn(col, F.array_join(col, "|"))
+
+
+@query("alert_context")
+def q_alert_context(spark, sf):
+    return _r(_alert_ctx(spark, sf)[0])
+
+
+@query("top_drivers")
+def q_top_drivers(spark, sf):
+    ctx, _ = _alert_ctx(spark, sf)
+    return _flat_drivers(alerts.top_drivers(ctx).select("sales", "weekly_ts", "top_drivers"))
+
+
+@query("alert_records")
+def q_alert_records(spark, sf):
+    return _r(_flat_drivers(_alerts(spark, sf)))
+
+
+@query("alert_summaries")
+def q_alert_summaries(spark, sf):
+    return alerts.with_summary(_alerts(spark, sf)).select("dept", "weekly_ts", "summary")
+
+
+@query("sanitized_alerts")
+def q_sanitized_alerts(spark, sf):
+    a = _alerts(spark, sf).withColumn("internal_id", F.xxhash64("dept", "weekly_ts"))
+    return _r(_flat_drivers(alerts.sanitize(a)))
+
+
+@query("driver_phrases")
+def q_driver_phrases(spark, sf):
+    a = _alerts(spark, sf)
+    return a.select("dept", "weekly_ts", F.array_join(TX.driver_phrases(F.col("top_drivers")), "|").alias("phrases"))
+
+
+@query("summary_lines")
+def q_summary_lines(spark, sf):
+    a = _alerts(spark, sf)
+    return a.select("dept", "weekly_ts", F.posexplode(alerts.summary_lines(F.col("dept"), F.col("weekly_ts"),
+                                                                            F.col("top_drivers")))
+                    .alias("line_no", "line"))
+
+
+@query("sanitized_text")
+def q_sanitized_text(spark, sf):
+    from tidewatch.sources.tables import read_table
+    d = read_table(spark, sf, "documents")
+    return d.select("doc_id", TX.clip_text(F.col("text")).alias("clipped")).withColumn(
+        "clipped_len", F.length("clipped").cast("bigint"))
+
+
+@query("notices")
+def q_notices(spark, sf):
+    hr = _hr(spark, sf)
+    scored = scoring.scored_employees(hr, features.dept_week_gold(hr))
+    return _r(alerts.notices(scoring.dept_week_risk(scored), _fused_tau(scored)))
+
+
+@query("employee_alerts")
+def q_employee_alerts(spark, sf):
+    scored = _scored(spark, sf)
+    return _r(alerts.employee_alerts(scored, _fused_tau(scored)))

@@ -423,7 +423,7 @@ best AS (
 # ------------------------------------------------------------------ fairness
 def sql_fixed(expr: str, digits: int) -> str:
     scale = 10 ** digits
-    q = f"CAST(FLOOR(ABS({expr}) * {scale}e0 + 0.5e0) AS BIGINT)"
+    q = f"CAST(FLOOR(ABS(ROUND({expr}, 9)) * {scale}e0 + 0.5e0) AS BIGINT)"
     return (f"(CASE WHEN ({expr}) < 0 AND {q} > 0 THEN '-' ELSE '' END || CAST({q} // {scale} AS VARCHAR) || '.' "
             f"|| lpad(CAST({q} % {scale} AS VARCHAR), {digits}, '0'))")
 
@@ -536,3 +536,105 @@ ORACLE["dataset_manifest"] = "\nUNION ALL\n".join(
     f"SELECT '{t}' AS dataset, COUNT(*) AS n_rows, "
     f"(SELECT CAST(COUNT(*) AS INT) FROM (DESCRIBE SELECT * FROM {t})) AS n_columns FROM {t}"
     for t in _TABLE_COLS)
+
+
+# ------------------------------------------------------------------ alerts and text
+_PHRASES = [("v1_overtime_sum", "overtime pressure"),
+            ("v2_overload_satisfaction_sum", "high workload with low satisfaction"),
+            ("v3_stagnation_sum", "career stagnation"),
+            ("v4_post_accident_overwork_sum", "post-accident overwork pattern"),
+            ("violation_density", "elevated violation density"),
+            ("average_montly_hours_mean", "high average monthly hours"),
+            ("time_spend_company_mean", "long tenure concentration"),
+            ("satisfaction_level_mean", "lower average satisfaction"),
+            ("attrition_rate", "elevated attrition rate"),
+            ("leavers", "higher number of leavers")]
+_PHRASE_CASE = "CASE lower(d) " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in _PHRASES) + \
+    " ELSE replace(lower(d), '_', ' ') END"
+
+_ALERT_CTES = f"""
+risk AS (SELECT sales, weekly_ts, AVG(fused_score) AS risk_score FROM scored
+         WHERE sales IS NOT NULL AND weekly_ts IS NOT NULL GROUP BY sales, weekly_ts),
+ctx AS (SELECT risk.*, dwl.headcount, dwl.leavers, dwl.attrition_rate, dwl.satisfaction_level_mean,
+          dwl.average_montly_hours_mean, dwl.time_spend_company_mean, dwl.v1_overtime_sum,
+          dwl.v2_overload_satisfaction_sum, dwl.v3_stagnation_sum, dwl.v4_post_accident_overwork_sum,
+          dwl.violation_density
+        FROM risk LEFT JOIN dwl ON risk.sales = dwl.sales AND risk.weekly_ts = dwl.weekly_ts),
+drv AS (SELECT *, list_filter([
+    CASE WHEN ROUND(CAST(attrition_rate AS DOUBLE), 9) >= 0.25 THEN 'attrition_rate' END,
+    CASE WHEN ROUND(CAST(average_montly_hours_mean AS DOUBLE), 9) >= 210 THEN 'average_montly_hours_mean' END,
+    CASE WHEN ROUND(CAST(satisfaction_level_mean AS DOUBLE), 9) <= 0.45 THEN 'satisfaction_level_mean' END,
+    CASE WHEN ROUND(CAST(time_spend_company_mean AS DOUBLE), 9) >= 4 THEN 'time_spend_company_mean' END,
+    CASE WHEN ROUND(CAST(v1_overtime_sum AS DOUBLE), 9) > 0 THEN 'v1_overtime_sum' END,
+    CASE WHEN ROUND(CAST(v2_overload_satisfaction_sum AS DOUBLE), 9) > 0 THEN 'v2_overload_satisfaction_sum' END,
+    CASE WHEN ROUND(CAST(v3_stagnation_sum AS DOUBLE), 9) > 0 THEN 'v3_stagnation_sum' END,
+    CASE WHEN ROUND(CAST(v4_post_accident_overwork_sum AS DOUBLE), 9) > 0 THEN 'v4_post_accident_overwork_sum' END,
+    CASE WHEN ROUND(CAST(violation_density AS DOUBLE), 9) > 0 THEN 'violation_density' END], lambda x: x IS NOT NULL) AS hits FROM ctx),
+drv2 AS (SELECT *, CASE WHEN len(hits) = 0 THEN ['fused_score_pattern'] ELSE hits[1:5] END AS top_drivers FROM drv),
+bt AS (SELECT tau FROM curve_c ORDER BY cost, i LIMIT 1),
+alerts AS (
+  SELECT sales AS dept, strftime(weekly_ts, '%Y-%m-%d') AS weekly_ts, CAST(headcount AS BIGINT) AS headcount,
+    CAST(leavers AS BIGINT) AS leavers, CAST(attrition_rate AS DOUBLE) AS attrition_rate,
+    SIGN(ROUND(risk_score, 9)) * FLOOR(ABS(ROUND(risk_score, 9)) * 1e4 + 0.5) / 1e4 AS risk_score,
+    SIGN(ROUND((SELECT tau FROM bt), 9)) * FLOOR(ABS(ROUND((SELECT tau FROM bt), 9)) * 1e4 + 0.5) / 1e4 AS threshold,
+    top_drivers, risk_score > (SELECT tau FROM bt) AS warning,
+    'Simulated weekly monitoring on HR prototype data.' AS notes
+  FROM drv2),
+phr AS (SELECT *, list_transform(top_drivers[1:5], lambda d: {_PHRASE_CASE}) AS phrases FROM alerts)"""
+
+
+def _alert_sql(body: str) -> str:
+    return scored_sql(body, _grid_cte("grid", _G101), _curve_cte("curve", "grid", "fused_score", ">="), _ALERT_CTES)
+
+
+_SUMMARY = ("'Department ' || dept || ' for week ' || weekly_ts || ' was scored by the early-warning layer.'"
+            " || chr(10) || 'Risk score is ' || " + sql_fixed("risk_score", 3) + " || ' against threshold ' || "
+            + sql_fixed("threshold", 3) + " || '. Warning status: ' || CASE WHEN warning THEN 'triggered' "
+            "ELSE 'not triggered' END || '.'"
+            " || COALESCE(chr(10) || 'Context: ' || array_to_string(list_filter(["
+            "'headcount ' || CAST(headcount AS VARCHAR), 'leavers ' || CAST(leavers AS VARCHAR), "
+            "CASE WHEN attrition_rate IS NOT NULL THEN 'attrition rate ' || " + sql_fixed("attrition_rate * 100e0", 1)
+            + " || '%' END], lambda x: x IS NOT NULL), ', ') || '.', '')"
+            " || CASE WHEN len(phrases) = 1 THEN chr(10) || 'Primary driver appears to be ' || phrases[1] || '.'"
+            " WHEN len(phrases) > 1 THEN chr(10) || 'Main drivers appear to be ' || array_to_string(phrases[1:len(phrases)-1], ', ')"
+            " || ', and ' || phrases[len(phrases)] || '.' ELSE '' END"
+            " || chr(10) || 'Additional note: ' || notes"
+            " || chr(10) || 'This summary is advisory only. Any HR action requires human review and confirmation.'")
+
+_ALERT_D = ["attrition_rate", "risk_score", "threshold"]
+ORACLE["alert_context"] = rounded(_alert_sql("SELECT * FROM ctx"),
+                                  ["risk_score", "attrition_rate", "satisfaction_level_mean",
+                                   "average_montly_hours_mean", "time_spend_company_mean", "violation_density"])
+ORACLE["top_drivers"] = _alert_sql("SELECT sales, weekly_ts, array_to_string(top_drivers, '|') AS top_drivers FROM drv2")
+ORACLE["alert_records"] = rounded(_alert_sql(
+    "SELECT * REPLACE (array_to_string(top_drivers, '|') AS top_drivers) FROM alerts"), _ALERT_D)
+ORACLE["sanitized_alerts"] = ORACLE["alert_records"]
+ORACLE["driver_phrases"] = _alert_sql("SELECT dept, weekly_ts, array_to_string(phrases, '|') AS phrases FROM phr")
+ORACLE["alert_summaries"] = _alert_sql(f"SELECT dept, weekly_ts, {_SUMMARY} AS summary FROM phr")
+ORACLE["summary_lines"] = _alert_sql("""
+SELECT dept, weekly_ts, CAST(UNNEST(range(len(lines))) AS INT) AS line_no, UNNEST(lines) AS line FROM (
+  SELECT dept, weekly_ts, [
+    'Department ' || dept || ' for week ' || weekly_ts || ' was scored by the early-warning layer.',
+    'Risk score is n/a against threshold n/a. Warning status: triggered.',
+    CASE WHEN len(phrases) = 1 THEN 'Primary driver appears to be ' || phrases[1] || '.'
+         ELSE 'Main drivers appear to be ' || array_to_string(phrases[1:len(phrases)-1], ', ')
+              || ', and ' || phrases[len(phrases)] || '.' END,
+    'This summary is advisory only. Any HR action requires human review and confirmation.'] AS lines
+  FROM phr) x""")
+ORACLE["notices"] = rounded(_alert_sql("""
+SELECT sales AS dept, strftime(weekly_ts, '%Y-%m-%d') AS week,
+  SIGN(ROUND(risk_score, 9)) * FLOOR(ABS(ROUND(risk_score, 9)) * 1e4 + 0.5) / 1e4 AS score, risk_score > (SELECT tau FROM bt) AS notice
+FROM risk"""), ["score"])
+ORACLE["employee_alerts"] = rounded(_alert_sql("""
+SELECT EmployeeID AS employee_id, sales AS department, strftime(weekly_ts, '%Y-%m-%d') AS week,
+  fused_score, (SELECT tau FROM bt) AS threshold,
+  CASE WHEN fused_score > (SELECT tau FROM bt) THEN 'HIGH' ELSE 'MEDIUM' END AS risk_level,
+  fused_score > (SELECT tau FROM bt) AS action_required
+FROM scored WHERE fused_score > (SELECT tau FROM bt) * 0.8e0"""), ["fused_score", "threshold"])
+
+_WS = ("[\\x{0009}-\\x{000D}\\x{001C}-\\x{0020}\\x{0085}\\x{00A0}\\x{1680}\\x{2000}-\\x{200A}"
+       "\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}]")
+ORACLE["sanitized_text"] = f"""
+SELECT doc_id, clipped, CAST(length(clipped) AS BIGINT) AS clipped_len FROM (
+  SELECT doc_id, substring(regexp_replace(replace(replace(text, chr(13), ' '), chr(10), ' '),
+    '^{_WS}+|{_WS}+$', '', 'g'), 1, 500) AS clipped FROM documents) x"""
