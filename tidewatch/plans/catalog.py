@@ -569,3 +569,24 @@ def q_notices(spark, sf):
 def q_employee_alerts(spark, sf):
     scored = _scored(spark, sf)
     return _r(alerts.employee_alerts(scored, _fused_tau(scored)))
+
+
+# ------------------------------------------------------------------ streaming
+from tidewatch.streaming import weekly  # noqa: E402
+
+
+@query("stream_weekly_risk")
+def q_stream_weekly_risk(spark, sf):
+    src = f"{sf.rstrip('/')}/events.parquet"
+    return _r(weekly.weekly_event_stream(spark, src, "ts", ["event_type"], "value", delay="1 hour"))
+
+
+@query("stream_weekly_alerts")
+def q_stream_weekly_alerts(spark, sf):
+    hr = _hr(spark, sf)
+    dw = features.dept_week_gold(hr)
+    scored = scoring.scored_employees(hr, dw)
+    best = ev.best_threshold(ev.grid_sweep(scored, "fused_score", "left_flag", K.grid_101(), inclusive=True))
+    tau = float(best.select("tau").first()["tau"])     # one value; a running stream needs a constant
+    out = weekly.weekly_alert_stream(spark, scored, dw, tau)
+    return _r(_flat_drivers(out))
