@@ -130,24 +130,35 @@ def best_distinct_tau(sweep: DataFrame, default: float = 0.5) -> DataFrame:
 
 # --------------------------------------------------------------------- E4 / E5
 def auroc(df: DataFrame, score: str, label: str, n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
-    """Tie-aware ROC AUC = Σ neg·(pos above + ½·pos tied) / (P·N), integer sums first."""
+    """Tie-aware ROC AUC = Σ neg·(pos above + ½·pos tied) / (P·N).
+
+    With cum_pos the inclusive running count of positives in ascending score
+    order, the numerator ×2 is 2PN − 2Σ neg·cum_pos + Σ neg·pos: plain sums,
+    exact in decimal(38,0) (no overflow at 10^12 rows), one division at the end.
+    """
     hist = label_histogram(df, score, label)
     cum = running_sums(hist, [score], ["pos"], prefix="cum_", n_buckets=n_buckets)
-    t = hist.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N")).select(F.struct("P", "N")).scalar()
-    above = t.P - F.col("cum_pos")
-    twice = cum.agg(F.sum(F.col("neg") * (above * 2 + F.col("pos"))).alias("s"))
-    return twice.select(safe_ratio(F.col("s"), t.P * t.N * 2).alias("auroc"))
+    d = "decimal(38,0)"
+    s = cum.agg(F.sum(F.col("pos").cast(d)).alias("P"), F.sum(F.col("neg").cast(d)).alias("N"),
+                F.sum(F.col("neg").cast(d) * F.col("cum_pos").cast(d)).alias("A"),
+                F.sum(F.col("neg").cast(d) * F.col("pos").cast(d)).alias("B"))
+    two_pn = F.col("P") * F.col("N") * 2
+    return s.select(safe_ratio((two_pn - F.col("A") * 2 + F.col("B")).cast("double"),
+                               two_pn.cast("double")).alias("auroc"))
 
 
 def average_precision(df: DataFrame, score: str, label: str, n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
-    """Σ over distinct thresholds of ΔRecall · Precision (step-wise, not trapezoidal)."""
-    hist = label_histogram(df, score, label)
-    cum = running_sums(hist, [score], ["pos", "neg"], prefix="cum_", n_buckets=n_buckets)
-    t = hist.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N")).select(F.struct("P", "N")).scalar()
-    tp_ge = t.P - (F.col("cum_pos") - F.col("pos"))
-    fp_ge = t.N - (F.col("cum_neg") - F.col("neg"))
-    term = F.col("pos").cast("double") / t.P.cast("double") * (tp_ge.cast("double") / (tp_ge + fp_ge).cast("double"))
-    return cum.agg(F.sum(F.when(F.col("pos") > 0, term)).alias("average_precision"))
+    """Σ over distinct thresholds of ΔRecall · Precision (step-wise, not trapezoidal).
+
+    Running sums in *descending* score order give TP(≥t) and FP(≥t) directly;
+    AP = Σ pos(t)·TP(≥t)/(TP(≥t)+FP(≥t)) / P.
+    """
+    hist = label_histogram(df, score, label).withColumn("_desc", -F.col(score).cast("double"))
+    cum = running_sums(hist, ["_desc"], ["pos", "neg"], prefix="cum_", n_buckets=n_buckets)
+    prec = F.col("cum_pos").cast("double") / (F.col("cum_pos") + F.col("cum_neg")).cast("double")
+    s = cum.agg(F.sum(F.when(F.col("pos") > 0, F.col("pos").cast("double") * prec)).alias("s"),
+                F.sum("pos").alias("P"))
+    return s.select(safe_ratio(F.col("s"), F.col("P")).alias("average_precision"))
 
 
 # --------------------------------------------------------------------- E6–E8

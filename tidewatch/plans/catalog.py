@@ -590,3 +590,105 @@ def q_stream_weekly_alerts(spark, sf):
     tau = float(best.select("tau").first()["tau"])     # one value; a running stream needs a constant
     out = weekly.weekly_alert_stream(spark, scored, dw, tau)
     return _r(_flat_drivers(out))
+
+
+# ------------------------------------------------------------------ models (M1–M12) — rows-only checks
+from tidewatch.operators import iforest, models  # noqa: E402
+
+
+def _emp_gold(spark, sf):
+    hr = _hr(spark, sf)
+    dw = features.dept_week_gold(hr)
+    return features.employee_gold(hr, dw, features.category_levels(hr, "sales")), dw
+
+
+@query("stratified_split")
+def q_stratified_split(spark, sf):
+    s = models.stratified_split(_hr(spark, sf), "EmployeeID", 0.3)
+    return s.groupBy("left_flag", "split").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("logreg_scores")
+def q_logreg_scores(spark, sf):
+    emp, _ = _emp_gold(spark, sf)
+    cols = models.feature_columns(emp, models.LOGISTIC_BASE)
+    split = models.stratified_split(emp, "EmployeeID", 0.2)
+    m = models.fit_logistic(split.where(F.col("split") == "train"), cols, "left_flag")
+    return models.score(m, split, cols, "logreg_score").select("EmployeeID", "split", "logreg_score")
+
+
+@query("gbt_scores")
+def q_gbt_scores(spark, sf):
+    emp, _ = _emp_gold(spark, sf)
+    cols = models.feature_columns(emp, models.SUPERVISED_BASE)
+    split = models.stratified_split(emp, "EmployeeID", 0.2)
+    m = models.fit_gbt(split.where(F.col("split") == "train"), cols, "left_flag", rounds=20, depth=6, step=0.1,
+                       subsample=0.8)
+    return models.score(m, split, cols, "gbt_score").select("EmployeeID", "split", "gbt_score")
+
+
+@query("gbt_weighted_scores")
+def q_gbt_weighted_scores(spark, sf):
+    emp, _ = _emp_gold(spark, sf)
+    cols = models.feature_columns(emp, models.SUPERVISED_BASE)
+    split = models.stratified_split(emp, "EmployeeID", 0.2)
+    train = models.with_class_weight(split.where(F.col("split") == "train"), "left_flag")
+    m = models.fit_gbt(train, cols, "left_flag", rounds=20, depth=4, step=0.05, subsample=0.9, weight_col="weight")
+    return models.score(m, split, cols, "gbt_weighted_score").select("EmployeeID", "split", "gbt_weighted_score")
+
+
+@query("calibrated_scores")
+def q_calibrated_scores(spark, sf):
+    emp, _ = _emp_gold(spark, sf)
+    cols = models.feature_columns(emp, models.SUPERVISED_BASE)
+    return models.calibrated_gbt_scores(emp, cols, "left_flag", "EmployeeID", folds=3, rounds=10)
+
+
+@query("group_folds")
+def q_group_folds(spark, sf):
+    return models.group_folds(spark, _hr(spark, sf), "sales", 5)
+
+
+@query("group_cv_metrics")
+def q_group_cv_metrics(spark, sf):
+    emp, _ = _emp_gold(spark, sf)
+    cols = [c for c in models.feature_columns(emp, models.SUPERVISED_BASE)]
+    return _r(models.group_cv_metrics(spark, emp, cols, "left_flag", "sales", n_folds=5, rounds=10))
+
+
+def _iforest_dept(spark, sf):
+    dw = iforest.feature_array(_gold(spark, sf), models.ANOMALY_FEATURES)
+    nodes, psi = iforest.fit(dw, ["sales", "weekly_ts"], "features", n_trees=100, max_samples=256)
+    return iforest.score(spark, dw, ["sales", "weekly_ts"], "features", nodes, psi)
+
+
+@query("iforest_scores")
+def q_iforest_scores(spark, sf):
+    return scoring.anomaly_score(_iforest_dept(spark, sf), "decision", "anomaly_score")
+
+
+@query("iforest_flags")
+def q_iforest_flags(spark, sf):
+    return iforest.with_contamination(_iforest_dept(spark, sf), 0.1)
+
+
+@query("iforest_embeddings")
+def q_iforest_embeddings(spark, sf):
+    from tidewatch.sources.tables import read_table
+    emb = read_table(spark, sf, "embeddings").withColumn("features", F.col("embedding").cast("array<double>"))
+    nodes, psi = iforest.fit(emb, ["vec_id"], "features", n_trees=100, max_samples=256)
+    return iforest.score(spark, emb, ["vec_id"], "features", nodes, psi)
+
+
+@query("fusion_learned_scores")
+def q_fusion_learned_scores(spark, sf):
+    hr = _hr(spark, sf)
+    dw = features.dept_week_gold(hr)
+    anom = scoring.anomaly_score(
+        iforest.score(spark, *(lambda d: (d, ["sales", "weekly_ts"], "features",
+                                          *iforest.fit(d, ["sales", "weekly_ts"], "features")))(
+            iforest.feature_array(dw, models.ANOMALY_FEATURES))), "decision", "iforest_score")
+    emp = scoring.attach_dept_score(hr, anom, "iforest_score")
+    emp = emp.join(dw.select("sales", "weekly_ts", "violation_density"), ["sales", "weekly_ts"], "left")
+    return models.learned_fusion_scores(emp, ["score", "iforest_score", "violation_density"], "left_flag",
+                                        "EmployeeID")

@@ -359,8 +359,8 @@ SELECT CAST(SUM(neg * (2 * ((SELECT SUM(pos) FROM h) - cum_pos) + pos)) AS DOUBL
   / CAST(2 * (SELECT SUM(pos) FROM h) * (SELECT SUM(neg) FROM h) AS DOUBLE) AS auroc
 FROM (SELECT *, SUM(pos) OVER (ORDER BY score) AS cum_pos FROM h) c""", _HIST), ["auroc"])
 ORACLE["average_precision"] = rounded(hr_sql("""
-SELECT SUM(CASE WHEN pos > 0 THEN CAST(pos AS DOUBLE) / CAST((SELECT SUM(pos) FROM h) AS DOUBLE)
-  * (CAST(tp_ge AS DOUBLE) / CAST(tp_ge + fp_ge AS DOUBLE)) END) AS average_precision
+SELECT SUM(CASE WHEN pos > 0 THEN CAST(pos AS DOUBLE) * (CAST(tp_ge AS DOUBLE) / CAST(tp_ge + fp_ge AS DOUBLE)) END)
+  / CAST((SELECT SUM(pos) FROM h) AS DOUBLE) AS average_precision
 FROM (SELECT *, SUM(pos) OVER (ORDER BY score DESC) AS tp_ge, SUM(neg) OVER (ORDER BY score DESC) AS fp_ge FROM h) c""",
     _HIST), ["average_precision"])
 
