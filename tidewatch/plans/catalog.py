@@ -692,3 +692,84 @@ def q_fusion_learned_scores(spark, sf):
     emp = emp.join(dw.select("sales", "weekly_ts", "violation_density"), ["sales", "weekly_ts"], "left")
     return models.learned_fusion_scores(emp, ["score", "iforest_score", "violation_density"], "left_flag",
                                         "EmployeeID")
+
+
+# ------------------------------------------------------------------ drift
+from tidewatch.operators import drift, governance  # noqa: E402
+
+DRIFT_CUT = "1995-01-01"
+DRIFT_COLS = K.NUMERIC_PROFILE_COLUMNS + ["score"]
+
+
+def _periods(spark, sf):
+    return drift.split_periods(_hr(spark, sf), "weekly_ts", DRIFT_CUT)
+
+
+def _cat_drift(spark, sf):
+    p = _periods(spark, sf)
+    return drift.category_drift(p, "sales").unionByName(drift.category_drift(p, "salary"))
+
+
+@query("drift_numeric")
+def q_drift_numeric(spark, sf):
+    return _r(drift.numeric_drift(_periods(spark, sf), DRIFT_COLS))
+
+
+@query("drift_category")
+def q_drift_category(spark, sf):
+    return _r(_cat_drift(spark, sf))
+
+
+@query("drift_rates")
+def q_drift_rates(spark, sf):
+    s = drift.split_periods(_scored(spark, sf), "weekly_ts", DRIFT_CUT)
+    return _r(drift.rate_drift(s, "sales", "left_flag", "fused_score", "anomaly_score"))
+
+
+@query("drift_policy")
+def q_drift_policy(spark, sf):
+    return _r(drift.drift_policy(drift.numeric_drift(_periods(spark, sf), DRIFT_COLS), _cat_drift(spark, sf)))
+
+
+@query("batch_verdict")
+def q_batch_verdict(spark, sf):
+    levels = features.category_levels(_hr(spark, sf), "sales")
+    return drift.batch_verdict(_dirty(spark, sf), [c for c, _ in K.REQUIRED_COLUMNS], "weekly_ts", "left_flag",
+                               {"salary": K.SALARY_LEVELS, "sales": levels})
+
+
+@query("promotion_gate")
+def q_promotion_gate(spark, sf):
+    enh = ev.benchmark_enhanced(_scored(spark, sf), MODELS, "left_flag", baseline="supervised_score")
+    return _r(drift.promotion_gate(enh, "supervised_score", "fused_score"))
+
+
+# ------------------------------------------------------------------ governance
+def _scan(spark, sf):
+    from tidewatch.sources.tables import read_table
+    return governance.secret_scan(read_table(spark, sf, "documents"), "text", ["doc_id", "source"])
+
+
+def _findings(spark, sf):
+    d = _dirty(spark, sf)
+    return governance.findings(spark, quality.all_findings(spark, d), quality.missing_summary(d), _scan(spark, sf))
+
+
+@query("secret_scan")
+def q_secret_scan(spark, sf):
+    return _scan(spark, sf).withColumn("found", F.array_join("found", "|"))
+
+
+@query("secret_scan_summary")
+def q_secret_scan_summary(spark, sf):
+    return governance.secret_summary(_scan(spark, sf), "source")
+
+
+@query("findings_score")
+def q_findings_score(spark, sf):
+    return governance.findings_score(_findings(spark, sf))
+
+
+@query("findings_recommendations")
+def q_findings_recommendations(spark, sf):
+    return governance.recommendations(spark, _findings(spark, sf))

@@ -651,3 +651,133 @@ ORACLE["stream_weekly_alerts"] = rounded(_alert_sql(f"""
 SELECT * EXCLUDE (phrases) REPLACE (array_to_string(top_drivers, '|') AS top_drivers) FROM (
   SELECT alerts.*, {_SUMMARY} AS summary FROM phr AS alerts) a
 WHERE weekly_ts < (SELECT MAX(weekly_ts) FROM alerts)"""), _ALERT_D)
+
+
+# ------------------------------------------------------------------ drift
+_PER = "per AS (SELECT *, CASE WHEN weekly_ts < TIMESTAMP '1995-01-01' THEN 'baseline' ELSE 'current' END AS period FROM hr)"
+_DCOLS = ["satisfaction_level", "last_evaluation", "number_project", "average_montly_hours", "time_spend_company",
+          "score"]
+
+
+def _b(c):
+    return f"CASE WHEN period = 'baseline' THEN CAST({c} AS DOUBLE) END"
+
+
+def _c(c):
+    return f"CASE WHEN period = 'current' THEN CAST({c} AS DOUBLE) END"
+
+
+_NUM_DRIFT = "\nUNION ALL\n".join(f"""
+SELECT '{c}' AS feature, bm AS baseline_mean, cm AS current_mean, bs AS baseline_std, cs AS current_std,
+  cm - bm AS mean_diff, CASE WHEN ABS(bm) = 0 THEN NULL ELSE (cm - bm) / ABS(bm) END AS rel_change,
+  CASE WHEN bs = 0 THEN NULL ELSE cs / bs END AS std_ratio
+FROM (SELECT AVG({_b(c)}) AS bm, STDDEV_SAMP({_b(c)}) AS bs, AVG({_c(c)}) AS cm, STDDEV_SAMP({_c(c)}) AS cs FROM per) x"""
+    for c in _DCOLS)
+ORACLE["drift_numeric"] = rounded(hr_sql(_NUM_DRIFT, _PER),
+                                  ["baseline_mean", "current_mean", "baseline_std", "current_std", "mean_diff",
+                                   "rel_change", "std_ratio"])
+
+
+def _cat_sql(col: str) -> str:
+    return f"""
+SELECT '{col}' AS feature, category, n_base, n_cur,
+  CAST(n_base AS DOUBLE) / CAST(tb AS DOUBLE) AS baseline_share, CAST(n_cur AS DOUBLE) / CAST(tc AS DOUBLE) AS current_share,
+  (GREATEST(CAST(n_cur AS DOUBLE) / CAST(tc AS DOUBLE), 1e-6) - GREATEST(CAST(n_base AS DOUBLE) / CAST(tb AS DOUBLE), 1e-6))
+  * ln(GREATEST(CAST(n_cur AS DOUBLE) / CAST(tc AS DOUBLE), 1e-6) / GREATEST(CAST(n_base AS DOUBLE) / CAST(tb AS DOUBLE), 1e-6)) AS psi_term
+FROM (SELECT COALESCE({col}, '<null>') AS category, COUNT(*) FILTER (WHERE period = 'baseline') AS n_base,
+        COUNT(*) FILTER (WHERE period = 'current') AS n_cur FROM per GROUP BY 1) g,
+     (SELECT COUNT(*) FILTER (WHERE period = 'baseline') AS tb, COUNT(*) FILTER (WHERE period = 'current') AS tc FROM per) t"""
+
+
+_CAT = f"cat AS ({_cat_sql('sales')} UNION ALL {_cat_sql('salary')})"
+ORACLE["drift_category"] = rounded(hr_sql("SELECT * FROM cat", _PER, _CAT),
+                                   ["baseline_share", "current_share", "psi_term"])
+ORACLE["drift_policy"] = rounded(hr_sql("""
+SELECT feature, metric, value,
+  CASE WHEN value > 0.25 THEN 'high' WHEN value > 0.1 THEN 'moderate' ELSE 'low' END AS level,
+  CASE WHEN value > 0.25 THEN 'retrain and re-validate' WHEN value > 0.1 THEN 'review features and thresholds'
+       ELSE 'monitor' END AS action
+FROM (SELECT feature, 'rel_change' AS metric, ABS(rel_change) AS value FROM num
+      UNION ALL SELECT feature, 'psi', SUM(psi_term) FROM cat GROUP BY feature) x""",
+    _PER, _CAT, f"num AS ({_NUM_DRIFT})"), ["value"])
+ORACLE["drift_rates"] = rounded(scored_sql("""
+SELECT *, attrition_cur - attrition_base AS attrition_shift, score_cur - score_base AS score_shift,
+  anomaly_rate_cur - anomaly_rate_base AS anomaly_rate_shift FROM (
+  SELECT sales,
+    AVG(CASE WHEN period = 'baseline' THEN CAST(left_flag AS DOUBLE) END) AS attrition_base,
+    AVG(CASE WHEN period = 'current' THEN CAST(left_flag AS DOUBLE) END) AS attrition_cur,
+    AVG(CASE WHEN period = 'baseline' THEN fused_score END) AS score_base,
+    AVG(CASE WHEN period = 'current' THEN fused_score END) AS score_cur,
+    AVG(CASE WHEN period = 'baseline' THEN CASE WHEN anomaly_score >= 0.5 THEN 1e0 ELSE 0e0 END END) AS anomaly_rate_base,
+    AVG(CASE WHEN period = 'current' THEN CASE WHEN anomaly_score >= 0.5 THEN 1e0 ELSE 0e0 END END) AS anomaly_rate_cur
+  FROM (SELECT *, CASE WHEN weekly_ts < TIMESTAMP '1995-01-01' THEN 'baseline' ELSE 'current' END AS period FROM scored) s
+  WHERE sales IS NOT NULL GROUP BY sales) g"""),
+    ["attrition_base", "attrition_cur", "score_base", "score_cur", "anomaly_rate_base", "anomaly_rate_cur",
+     "attrition_shift", "score_shift", "anomaly_rate_shift"])
+ORACLE["batch_verdict"] = dirty_sql("""
+SELECT *, 'last_evaluation,number_project,time_spend_company,Work_accident,promotion_last_5years' AS missing_columns,
+  'rejected' AS outcome FROM (
+  SELECT COUNT(*) AS n_rows, COUNT(*) FILTER (WHERE weekly_ts IS NULL) AS null_timestamps,
+    COUNT(*) FILTER (WHERE left_flag IS NULL) AS null_labels,
+    COUNT(*) FILTER (WHERE NOT COALESCE(salary IN ('low', 'medium', 'high'), FALSE)) AS unknown_salary,
+    COUNT(*) FILTER (WHERE NOT COALESCE(sales IN (SELECT DISTINCT sales FROM hr WHERE sales IS NOT NULL), FALSE)) AS unknown_sales,
+    CAST((SELECT COUNT(*) FROM hr_dirty) - (SELECT COUNT(*) FROM (SELECT DISTINCT * FROM hr_dirty) d) AS BIGINT) AS duplicate_rows
+  FROM hr_dirty) x""")
+
+# ------------------------------------------------------------------ governance
+_KW = ["password", "secret", "key", "token", "api_key", "private_key", "credential", "auth"]
+_SCAN = ("scan AS (SELECT doc_id, source, list_filter([" + ", ".join(f"'{k}'" for k in _KW)
+         + "], lambda k: contains(lower(text), k)) AS found FROM documents)")
+ORACLE["secret_scan"] = with_ctes(_SCAN, body=(
+    "SELECT doc_id, source, array_to_string(found, '|') AS found FROM scan WHERE len(found) > 0"))
+ORACLE["secret_scan_summary"] = with_ctes(_SCAN, body=(
+    "SELECT source, keyword, COUNT(*) AS hits FROM (SELECT source, UNNEST(found) AS keyword FROM scan) u "
+    "GROUP BY source, keyword"))
+
+_MISS_CTE = "miss AS (" + "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column_name, SUM(CASE WHEN {c} IS NULL" + (f" OR isnan({c})" if isnan else "")
+    + " THEN 1 ELSE 0 END) AS missing_count FROM hr_dirty" for c, isnan in _MISS_COLS) + ")"
+_FND = """
+fnd AS (
+  SELECT CASE check_kind WHEN 'missing' THEN 'missing_column' WHEN 'type' THEN 'bad_type' ELSE 'domain_rule' END AS category,
+         CASE check_kind WHEN 'missing' THEN 'CRITICAL' ELSE 'HIGH' END AS priority FROM findings
+  UNION ALL SELECT 'missing_values', 'MEDIUM' FROM miss WHERE missing_count > 0
+  UNION ALL SELECT 'secret_keyword', 'CRITICAL' FROM (SELECT DISTINCT UNNEST(found) AS k FROM scan) s)"""
+ORACLE["findings_score"] = dirty_sql("""
+SELECT *, CASE WHEN security_score < 50 THEN 'CRITICAL' WHEN security_score < 70 THEN 'HIGH' ELSE 'MEDIUM' END AS risk_level
+FROM (SELECT critical, high, total,
+        CAST(GREATEST(0, 100 - (critical * 20 + high * 10 + (total - critical - high) * 5)) AS INT) AS security_score
+      FROM (SELECT COUNT(*) FILTER (WHERE priority = 'CRITICAL') AS critical,
+                   COUNT(*) FILTER (WHERE priority = 'HIGH') AS high, COUNT(*) AS total FROM fnd) a) b""",
+    _SCHEMA_CTES, _MISS_CTE, _SCAN, _FND)
+ORACLE["findings_recommendations"] = dirty_sql("""
+SELECT f.category, r.priority, f.n, replace(r.template, '%d', CAST(f.n AS VARCHAR)) AS recommendation
+FROM (SELECT category, COUNT(*) AS n FROM fnd GROUP BY category) f
+JOIN (VALUES
+  ('missing_column', 'CRITICAL', '%d required columns are missing: fix the extract before loading'),
+  ('secret_keyword', 'CRITICAL', '%d secret keywords occur in text: move secrets out of the data'),
+  ('bad_type', 'HIGH', '%d columns have the wrong type: cast at ingestion'),
+  ('domain_rule', 'HIGH', '%d columns break domain rules: quarantine the failing rows'),
+  ('missing_values', 'MEDIUM', '%d columns contain missing values: define imputation')) r(category, priority, template)
+  ON f.category = r.category WHERE f.n > 0""", _SCHEMA_CTES, _MISS_CTE, _SCAN, _FND)
+ORACLE["promotion_gate"] = rounded(scored_sql("""
+SELECT 'supervised_score' AS production, 'fused_score' AS candidate,
+  (SELECT CAST(cost AS BIGINT) FROM bx WHERE model = 'supervised_score') AS production_cost,
+  (SELECT CAST(cost AS BIGINT) FROM bx WHERE model = 'fused_score') AS candidate_cost,
+  (SELECT f1_score FROM bx WHERE model = 'supervised_score') AS production_f1,
+  (SELECT f1_score FROM bx WHERE model = 'fused_score') AS candidate_f1,
+  CASE WHEN (SELECT cost FROM bx WHERE model = 'fused_score') < (SELECT cost FROM bx WHERE model = 'supervised_score')
+        AND (SELECT f1_score FROM bx WHERE model = 'fused_score') >= (SELECT f1_score FROM bx WHERE model = 'supervised_score') - 0e0
+       THEN 'promote' ELSE 'keep production' END AS decision""",
+    _grid_cte("grid", _G100), _LONG, """
+mcurve AS (
+  SELECT s.model, g.i, g.tau,
+    CAST(SUM(CASE WHEN s.s > g.tau AND s.left_flag = 1 THEN 1 ELSE 0 END) AS BIGINT) AS tp,
+    CAST(SUM(CASE WHEN s.s > g.tau AND s.left_flag <> 1 THEN 1 ELSE 0 END) AS BIGINT) AS fp,
+    CAST(SUM(CASE WHEN NOT (s.s > g.tau) AND s.left_flag = 1 THEN 1 ELSE 0 END) AS BIGINT) AS fn
+  FROM grid g, long_s s GROUP BY s.model, g.i, g.tau),
+bx AS (
+  SELECT model, MIN(cost) AS cost, arg_min(CASE WHEN 2 * tp + fp + fn = 0 THEN 0e0
+      ELSE CAST(2 * tp AS DOUBLE) / CAST(2 * tp + fp + fn AS DOUBLE) END, cost * 1000 + i) AS f1_score
+  FROM (SELECT *, 10e0 * fn + 1e0 * fp AS cost FROM mcurve) x GROUP BY model)"""),
+    ["production_f1", "candidate_f1"])
