@@ -32,12 +32,17 @@ def _r(df: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ shared plans
+from tidewatch.plans.layers import materialized  # noqa: E402
+
+
 def _hr(spark, sf):
-    return fixtures.hr(spark, sf)
+    """Silver layer: the employee projection of the driver tables, written once per session."""
+    return materialized(spark, sf, "silver_hr", lambda: fixtures.hr(spark, sf))
 
 
 def _gold(spark, sf):
-    return features.dept_week_gold(_hr(spark, sf))
+    """Gold layer: the 19-column department-week table, written once per session."""
+    return materialized(spark, sf, "gold_dept_week", lambda: features.dept_week_gold(_hr(spark, sf)))
 
 
 # ------------------------------------------------------------------ features
@@ -61,14 +66,14 @@ def q_dept_week_features(spark, sf):
 
 @query("dept_week_lags")
 def q_dept_week_lags(spark, sf):
-    return _r(_gold(spark, sf))
+    return _r(features.dept_week_gold(_hr(spark, sf)))
 
 
 @query("employee_gold")
 def q_employee_gold(spark, sf):
     hr = _hr(spark, sf)
     levels = features.category_levels(hr, "sales")
-    return _r(features.employee_gold(hr, features.dept_week_gold(hr), levels))
+    return _r(features.employee_gold(hr, _gold(spark, sf), levels))
 
 
 @query("dept_week_fixed_rules")
@@ -88,7 +93,7 @@ def q_infer_department(spark, sf):
 # ------------------------------------------------------------------ DPI
 @query("dpi_leaderboard")
 def q_dpi_leaderboard(spark, sf):
-    return _r(dpi.dpi_leaderboard(_gold(spark, sf)))
+    return _r(dpi.dpi_leaderboard(features.dept_week_gold(_hr(spark, sf))))
 
 
 @query("dpi_kpis")
@@ -222,8 +227,7 @@ MODELS = ["supervised_score", "anomaly_score", "fused_score"]
 
 
 def _scored(spark, sf):
-    hr = _hr(spark, sf)
-    return scoring.scored_employees(hr, features.dept_week_gold(hr))
+    return scoring.scored_employees(_hr(spark, sf), _gold(spark, sf))
 
 
 def _fused_tau(scored):
@@ -495,7 +499,7 @@ from tidewatch.operators import alerts  # noqa: E402
 
 def _alert_ctx(spark, sf):
     hr = _hr(spark, sf)
-    dw = features.dept_week_gold(hr)
+    dw = _gold(spark, sf)
     scored = scoring.scored_employees(hr, dw)
     return alerts.alert_context(scoring.dept_week_risk(scored), dw), scored
 
@@ -560,8 +564,7 @@ def q_sanitized_text(spark, sf):
 
 @query("notices")
 def q_notices(spark, sf):
-    hr = _hr(spark, sf)
-    scored = scoring.scored_employees(hr, features.dept_week_gold(hr))
+    scored = _scored(spark, sf)
     return _r(alerts.notices(scoring.dept_week_risk(scored), _fused_tau(scored)))
 
 
@@ -584,7 +587,7 @@ def q_stream_weekly_risk(spark, sf):
 @query("stream_weekly_alerts")
 def q_stream_weekly_alerts(spark, sf):
     hr = _hr(spark, sf)
-    dw = features.dept_week_gold(hr)
+    dw = _gold(spark, sf)
     scored = scoring.scored_employees(hr, dw)
     best = ev.best_threshold(ev.grid_sweep(scored, "fused_score", "left_flag", K.grid_101(), inclusive=True))
     tau = float(best.select("tau").first()["tau"])     # one value; a running stream needs a constant
@@ -598,7 +601,7 @@ from tidewatch.operators import iforest, models  # noqa: E402
 
 def _emp_gold(spark, sf):
     hr = _hr(spark, sf)
-    dw = features.dept_week_gold(hr)
+    dw = _gold(spark, sf)
     return features.employee_gold(hr, dw, features.category_levels(hr, "sales")), dw
 
 
@@ -683,7 +686,7 @@ def q_iforest_embeddings(spark, sf):
 @query("fusion_learned_scores")
 def q_fusion_learned_scores(spark, sf):
     hr = _hr(spark, sf)
-    dw = features.dept_week_gold(hr)
+    dw = _gold(spark, sf)
     anom = scoring.anomaly_score(
         iforest.score(spark, *(lambda d: (d, ["sales", "weekly_ts"], "features",
                                           *iforest.fit(d, ["sales", "weekly_ts"], "features")))(
