@@ -24,23 +24,20 @@ def con():
 
 
 def _norm(v):
-    if v is None or (isinstance(v, float) and math.isnan(v)):
+    import pandas as pd
+    if v is None or v is pd.NA or v is pd.NaT or (isinstance(v, float) and math.isnan(v)):
         return None
     if hasattr(v, "to_pydatetime"):
         return v.to_pydatetime().replace(tzinfo=None)
-    if isinstance(v, float):
-        return round(v, 9)
-    if isinstance(v, (bool, np.bool_)):
-        return int(v)
-    if hasattr(v, "item"):
-        return v.item()
+    if isinstance(v, (bool, np.bool_, int, float, np.integer, np.floating)):
+        return round(float(v), 9)
     return v
 
 
 def _rows(df):
     cols = sorted(df.columns)
     rows = [tuple(_norm(x) for x in r) for r in df[cols].astype(object).itertuples(index=False, name=None)]
-    return cols, sorted(rows, key=repr)
+    return cols, sorted(rows, key=lambda r: tuple((x is None, str(x)) for x in r))
 
 
 @pytest.mark.parametrize("key", KEYS)
