@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewatch.functions import constants as K
-from tidewatch.functions.exprs import safe_ratio, scalar_row
+from tidewatch.functions.exprs import safe_ratio
 
 
 def department_rollup(dept_week: DataFrame) -> DataFrame:
@@ -27,19 +27,21 @@ def department_rollup(dept_week: DataFrame) -> DataFrame:
 def dpi_leaderboard(dept_week: DataFrame) -> DataFrame:
     """X4 + W2: retention, workload, compliance → weighted DPI, ranked 1..n.
 
-    Maxima come from a struct scalar subquery over the roll-up; ties in DPI are
-    broken by department name so the rank is deterministic.
+    The roll-up has one row per department, so the maxima are a window over
+    that bounded table (the same single partition the rank uses) instead of a
+    second pass over the employee rows.  Ties in DPI are broken by department
+    name so the rank is deterministic.
     """
     dept = department_rollup(dept_week)
-    mx = scalar_row(dept.agg(F.max("average_montly_hours_mean").alias("max_hours"),
-                             F.max("violation_density").alias("max_density")))
+    all_depts = Window.partitionBy()
+    max_hours = F.max("average_montly_hours_mean").over(all_depts)
+    max_density = F.max("violation_density").over(all_depts)
     w = K.DPI_WEIGHTS
     scored = dept.withColumns({
         "retention_score": F.lit(1.0) - F.col("attrition_rate"),
-        "workload_score": (F.lit(1.0) - F.col("average_montly_hours_mean") / mx.max_hours) * 0.5
+        "workload_score": (F.lit(1.0) - F.col("average_montly_hours_mean") / max_hours) * 0.5
         + F.col("satisfaction_level_mean") * 0.5,
-        "compliance_score": F.when(mx.max_density > 0,
-                                   F.lit(1.0) - safe_ratio("violation_density", mx.max_density))
+        "compliance_score": F.when(max_density > 0, F.lit(1.0) - safe_ratio("violation_density", max_density))
         .otherwise(F.lit(1.0)),
     })
     scored = scored.withColumn(

@@ -227,7 +227,9 @@ MODELS = ["supervised_score", "anomaly_score", "fused_score"]
 
 
 def _scored(spark, sf):
-    return scoring.scored_employees(_hr(spark, sf), _gold(spark, sf))
+    """Scored employees (supervised, anomaly, fused) as a layer read by downstream queries."""
+    return materialized(spark, sf, "scored_employees",
+                        lambda: scoring.scored_employees(_hr(spark, sf), _gold(spark, sf)))
 
 
 def _fused_tau(scored):
@@ -251,7 +253,8 @@ def q_anomaly_scaled(spark, sf):
 
 @query("fused_scores")
 def q_fused_scores(spark, sf):
-    return _r(_scored(spark, sf).select("EmployeeID", "supervised_score", "anomaly_score", "fused_score"))
+    scored = scoring.scored_employees(_hr(spark, sf), _gold(spark, sf))
+    return _r(scored.select("EmployeeID", "supervised_score", "anomaly_score", "fused_score"))
 
 
 @query("fused_scores_max")
