@@ -107,7 +107,7 @@ from tidewatch.operators import clean, profile, quality  # noqa: E402
 
 
 def _dirty(spark, sf):
-    return fixtures.hr_dirty(spark, sf)
+    return fixtures.hr_dirty(spark, sf, _hr(spark, sf))
 
 
 def _coerced(spark, sf):

@@ -72,8 +72,9 @@ def hr(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def hr_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
-    h = hr(spark, sf_dir)
+def hr_dirty(spark: SparkSession, sf_dir: str, hr_df: DataFrame | None = None) -> DataFrame:
+    """``hr`` (or a stored copy of it, ``hr_df``) with injected data-quality defects."""
+    h = hr_df if hr_df is not None else hr(spark, sf_dir)
     doubled = h.unionByName(h.filter(F.col("EmployeeID") % 97 == 0))
     eid = F.col("EmployeeID")
     return doubled.select(
