@@ -12,7 +12,8 @@ from tidewatch.sources.tables import TABLES
 
 SF = "/root/testdata/sf0.001"
 KEYS = ["dpi_leaderboard", "dept_week_lags", "quality_findings", "tau_unique_scores", "cost_curve",
-        "bias_report", "alert_summaries", "fairness_group_metrics", "stream_weekly_risk", "synthetic_week"]
+        "bias_report", "alert_summaries", "fairness_group_metrics", "stream_weekly_risk", "synthetic_week",
+        "stream_weekly_alerts", "benchmark_enhanced"]
 
 
 @pytest.fixture(scope="module")
@@ -68,3 +69,11 @@ def test_isolation_forest_ranks_planted_outliers_first(spark):
     assert {r.id for r in scored} == {1000, 1001, 1002, 1003, 1004}
     again = iforest.score(spark, df.repartition(3), ["id"], "features", nodes, psi)
     assert again.where(F.col("decision").isNull()).count() == 0
+
+
+@pytest.mark.parametrize("key", ["dpi_leaderboard", "cost_curve", "alert_summaries", "fairness_group_metrics",
+                                 "auroc", "employee_gold"])
+def test_core_plans_stay_in_the_jvm(spark, key):
+    """No Python UDF evaluation in the core plans (only the isolation forest uses Python)."""
+    plan = E.queries()[key](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
