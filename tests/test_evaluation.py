@@ -68,3 +68,10 @@ def test_bucket_count_does_not_change_results(spark, preds):
 def test_brier_single_class_is_null(spark):
     df = spark.createDataFrame([(1, 0.2), (1, 0.9)], "y int, p double")
     assert ev.brier_score(df, "p", "y").first().brier is None
+
+
+def test_adaptive_buckets(spark, monkeypatch):
+    from tidewatch.operators import ordering
+    monkeypatch.setattr(ordering, "ROWS_PER_BUCKET", 97)     # force ~11 buckets for 1000 rows
+    ids = row_sequence(spark.range(1000).withColumnRenamed("id", "k").repartition(5), ["k"]).collect()
+    assert sorted((r.k, r.row_id) for r in ids) == [(i, i) for i in range(1000)]

@@ -37,7 +37,7 @@ def week_offset(start: str, k: Column) -> Column:
 
 def synthetic_week(df: DataFrame, order_by: Sequence[str], rows_per_week: int = K.ROWS_PER_WEEK,
                    out: str = "synthetic_ts", start: str = K.SYNTHETIC_WEEK_START,
-                   n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                   n_buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
     """week = start + (row position // rows_per_week) weeks.
 
     The position follows the declared key order (``order_by``); it comes from the

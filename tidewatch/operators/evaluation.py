@@ -110,7 +110,7 @@ def best_threshold(curve: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 # --------------------------------------------------------------------- H4 / W4
 def distinct_score_sweep(df: DataFrame, score: str, label: str, fn_w: float = K.FN_WEIGHT,
-                         fp_w: float = K.FP_WEIGHT, n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                         fp_w: float = K.FP_WEIGHT, n_buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
     """Cost at every distinct score used as an inclusive threshold (``>=``)."""
     hist = label_histogram(df, score, label)
     cum = running_sums(hist, [score], ["pos", "neg"], prefix="cum_", n_buckets=n_buckets)
@@ -129,7 +129,7 @@ def best_distinct_tau(sweep: DataFrame, default: float = 0.5) -> DataFrame:
 
 
 # --------------------------------------------------------------------- E4 / E5
-def auroc(df: DataFrame, score: str, label: str, n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+def auroc(df: DataFrame, score: str, label: str, n_buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
     """Tie-aware ROC AUC = Σ neg·(pos above + ½·pos tied) / (P·N).
 
     With cum_pos the inclusive running count of positives in ascending score
@@ -147,7 +147,7 @@ def auroc(df: DataFrame, score: str, label: str, n_buckets: int = DEFAULT_BUCKET
                                two_pn.cast("double")).alias("auroc"))
 
 
-def average_precision(df: DataFrame, score: str, label: str, n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+def average_precision(df: DataFrame, score: str, label: str, n_buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
     """Σ over distinct thresholds of ΔRecall · Precision (step-wise, not trapezoidal).
 
     Running sums in *descending* score order give TP(≥t) and FP(≥t) directly;

@@ -14,8 +14,8 @@ task.  The operators here use a two-phase prefix sum instead:
 4. a window *partitioned by bucket* gives the within-bucket running sum, plus the
    bucket offset.
 
-Pick ``n_buckets`` so one bucket fits a task: about rows / 5e6 for row-level
-input; the default suits aggregated inputs such as distinct-score histograms.
+By default the bucket count adapts to the input (about 2 million rows per bucket,
+at most 4096 buckets), so one bucket always fits a task; small inputs use one.
 """
 
 from __future__ import annotations
@@ -26,21 +26,35 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_BUCKETS = 256
+DEFAULT_BUCKETS = None            # adaptive: about ROWS_PER_BUCKET rows per bucket
+ROWS_PER_BUCKET = 2_000_000
+MAX_BUCKETS = 4096
 
 
-def _bucketize(df: DataFrame, key: str, n_buckets: int, out: str) -> DataFrame:
+def _bucketize(df: DataFrame, key: str, n_buckets: int | None, out: str) -> DataFrame:
     """Add ``out`` = bucket index of ``key`` among approximate quantile edges.
 
-    The edge list is bounded by ``n_buckets`` and fetched once; the bucketing is
-    MLlib's ``Bucketizer`` (JVM-side binary search per row).
+    One aggregate returns the row count and ``MAX_BUCKETS`` fine edges; with
+    ``n_buckets=None`` the bucket count is rows / ``ROWS_PER_BUCKET`` (1 for small
+    inputs), and every k-th fine edge is kept.  The edge list is bounded by
+    ``MAX_BUCKETS`` and fetched once; bucketing is MLlib's ``Bucketizer`` (a JVM
+    binary search per row).
     """
-    if n_buckets <= 1:
+    if n_buckets is not None and n_buckets <= 1:
         return df.withColumn(out, F.lit(0))
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    row = df.agg(F.percentile_approx(F.col(key).cast("double"), probs, 10000).alias("e")).first()
-    edges = sorted({float(x) for x in (row["e"] or []) if x is not None})
-    if not edges:
+    fine = n_buckets if n_buckets is not None else MAX_BUCKETS
+    probs = [i / fine for i in range(1, fine)]
+    row = df.agg(F.count(F.lit(1)).alias("n"),
+                 F.percentile_approx(F.col(key).cast("double"), probs, 10000).alias("e")).first()
+    if n_buckets is None:
+        nb = max(1, min(MAX_BUCKETS, -(-int(row["n"]) // ROWS_PER_BUCKET)))
+        fine_edges = row["e"] or []
+        step = MAX_BUCKETS // nb
+        picked = [fine_edges[i * step - 1] for i in range(1, nb) if i * step - 1 < len(fine_edges)]
+    else:
+        nb, picked = n_buckets, (row["e"] or [])
+    edges = sorted({float(x) for x in picked if x is not None})
+    if nb <= 1 or not edges:
         return df.withColumn(out, F.lit(0))
     splits = [float("-inf")] + edges + [float("inf")]
     tmp = "_tw_key_d"
@@ -50,7 +64,7 @@ def _bucketize(df: DataFrame, key: str, n_buckets: int, out: str) -> DataFrame:
 
 
 def running_sums(df: DataFrame, order_by: Sequence[str], value_cols: Sequence[str],
-                 prefix: str = "cum_", n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                 prefix: str = "cum_", n_buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
     """Inclusive running sums of ``value_cols`` in ascending ``order_by`` order.
 
     The first ordering column defines the buckets; remaining columns break ties
@@ -74,7 +88,7 @@ def running_sums(df: DataFrame, order_by: Sequence[str], value_cols: Sequence[st
 
 
 def row_sequence(df: DataFrame, order_by: Sequence[str], name: str = "row_id",
-                 n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                 n_buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
     """0-based sequential id in ``order_by`` order, computed without a global window."""
     one = "_tw_one"
     out = running_sums(df.withColumn(one, F.lit(1)), order_by, [one], prefix="_c", n_buckets=n_buckets)
@@ -98,7 +112,7 @@ def value_counts(df: DataFrame, col: str) -> DataFrame:
 
 
 def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float],
-                    n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                    n_buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
     """Linear-interpolated exact quantiles (numpy / pandas default) as one row.
 
     Works on the distinct-value histogram with two-phase cumulative counts, so
