@@ -34,27 +34,19 @@ MAX_BUCKETS = 4096
 def _bucketize(df: DataFrame, key: str, n_buckets: int | None, out: str) -> DataFrame:
     """Add ``out`` = bucket index of ``key`` among approximate quantile edges.
 
-    One aggregate returns the row count and ``MAX_BUCKETS`` fine edges; with
-    ``n_buckets=None`` the bucket count is rows / ``ROWS_PER_BUCKET`` (1 for small
-    inputs), and every k-th fine edge is kept.  The edge list is bounded by
-    ``MAX_BUCKETS`` and fetched once; bucketing is MLlib's ``Bucketizer`` (a JVM
-    binary search per row).
+    With ``n_buckets=None`` a row count (column-pruned) sets the bucket count to
+    rows / ``ROWS_PER_BUCKET`` (capped at ``MAX_BUCKETS``; small inputs get one
+    bucket and no quantile job).  The edge list is bounded by the bucket count and
+    fetched once; bucketing is MLlib's ``Bucketizer`` (a JVM binary search per row).
     """
-    if n_buckets is not None and n_buckets <= 1:
-        return df.withColumn(out, F.lit(0))
-    fine = n_buckets if n_buckets is not None else MAX_BUCKETS
-    probs = [i / fine for i in range(1, fine)]
-    row = df.agg(F.count(F.lit(1)).alias("n"),
-                 F.percentile_approx(F.col(key).cast("double"), probs, 10000).alias("e")).first()
     if n_buckets is None:
-        nb = max(1, min(MAX_BUCKETS, -(-int(row["n"]) // ROWS_PER_BUCKET)))
-        fine_edges = row["e"] or []
-        step = MAX_BUCKETS // nb
-        picked = [fine_edges[i * step - 1] for i in range(1, nb) if i * step - 1 < len(fine_edges)]
-    else:
-        nb, picked = n_buckets, (row["e"] or [])
-    edges = sorted({float(x) for x in picked if x is not None})
-    if nb <= 1 or not edges:
+        n_buckets = max(1, min(MAX_BUCKETS, -(-df.count() // ROWS_PER_BUCKET)))
+    if n_buckets <= 1:
+        return df.withColumn(out, F.lit(0))
+    probs = [i / n_buckets for i in range(1, n_buckets)]
+    row = df.agg(F.percentile_approx(F.col(key).cast("double"), probs, 10000).alias("e")).first()
+    edges = sorted({float(x) for x in (row["e"] or []) if x is not None})
+    if not edges:
         return df.withColumn(out, F.lit(0))
     splits = [float("-inf")] + edges + [float("inf")]
     tmp = "_tw_key_d"
