@@ -665,7 +665,9 @@ def q_group_cv_metrics(spark, sf):
 def _iforest_dept(spark, sf):
     dw = iforest.feature_array(_gold(spark, sf), models.ANOMALY_FEATURES)
     nodes, psi = iforest.fit(dw, ["sales", "weekly_ts"], "features", n_trees=100, max_samples=256)
-    return iforest.score(spark, dw, ["sales", "weekly_ts"], "features", nodes, psi)
+    # scores feed both a one-row subquery (min/max or quantile) and the output: keep them
+    # cached rather than running the Python scoring twice (lost blocks recompute from lineage)
+    return iforest.score(spark, dw, ["sales", "weekly_ts"], "features", nodes, psi).persist()
 
 
 @query("iforest_scores")
