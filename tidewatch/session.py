@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
@@ -33,22 +34,30 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster-shared folder named by ``spark.checkpoint.dir``.
+    """The cluster-shared folder named by ``spark.checkpoint.dir``, registered for ``checkpoint()``.
 
     On a cluster this setting must point at shared storage (HDFS, object
-    store).  Only when it is unset -- local tests -- a private folder is
-    created and registered, so later lookups agree.
+    store); without it a clear error is raised.  Only on a local master --
+    tests -- is a private folder created and registered, so later lookups agree.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="tidewatch-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-        spark.sparkContext.setCheckpointDir(d)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
     return d
 
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` computed once into the shared folder; its lineage ends there."""
+    shared_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique sub-path of the shared folder for one job's output."""
     base = shared_dir(spark).rstrip("/")
