@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import quality_rules, simhash
+from tidewatch.llm import mixing, packing, quality_rules, simhash
 from tidewatch.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,6 +27,16 @@ def op1_quality_rules(spark, sf_dir):
                       q.base_failed, q.kept, q.dup_line_chars, q.dup_ngram_chars)
 
 
+@query
+def op2_best_fit_packing(spark, sf_dir):
+    return packing.pack(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_source_mixing(spark, sf_dir):
+    return mixing.mix(read_table(spark, sf_dir, "documents")).drop("spans")
+
+
 @query
 def op9_simhash(spark, sf_dir):
     found = simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
