@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import mixing, packing, quality_rules, simhash
+import corpus_pipeline
+from tidewatch.llm import mixing, packing, pii, quality_rules, simhash
 from tidewatch.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,6 +33,12 @@ def op2_best_fit_packing(spark, sf_dir):
     return packing.pack(read_table(spark, sf_dir, "documents"))
 
 
+@query
+def op3_pii(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.pseudonymised(docs).select("doc_id", "text", F.size("spans").cast("long").alias("n_replaced"), "spans")
+
+
 @query
 def op5_source_mixing(spark, sf_dir):
     return mixing.mix(read_table(spark, sf_dir, "documents")).drop("spans")
@@ -41,3 +48,8 @@ def op5_source_mixing(spark, sf_dir):
 def op9_simhash(spark, sf_dir):
     found = simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL:
+    ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
