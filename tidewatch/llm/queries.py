@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tidewatch.llm import chat, mixing, packing, pii, quality_classifier, quality_rules, simhash, url_filter
+from tidewatch.llm import chat, mixing, packing, pii, quality_classifier, quality_rules, simhash, url_filter, vector_join
 from tidewatch.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,6 +62,11 @@ def op9_simhash(spark, sf_dir):
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+@query
+def op7_embedding_near_dedup(spark, sf_dir):
+    return vector_join.near_duplicates(read_table(spark, sf_dir, "embeddings"))
+
+
 #: The contract's rules.
 URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
              ("net", "/es/", "block"), ("net", "/fr/", "block")]
