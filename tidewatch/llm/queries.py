@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tidewatch.llm import chat, mixing, packing, pii, quality_classifier, quality_rules, simhash, url_filter, vector_join
+from tidewatch.llm import chat, mixing, packing, pii, quality_classifier, quality_rules, simhash, substring_dedup, url_filter, vector_join
 from tidewatch.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,6 +39,14 @@ def op3_pii(spark, sf_dir):
     return pii.pseudonymised(docs).select("doc_id", "text", F.size("spans").cast("long").alias("n_replaced"), "spans")
 
 
+@query
+def op4_substring_dedup(spark, sf_dir):
+    out = substring_dedup.deduplicated(read_table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s.length)
+    return out.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+                      F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query
 def op5_source_mixing(spark, sf_dir):
     return mixing.mix(read_table(spark, sf_dir, "documents")).drop("spans")
