@@ -22,8 +22,9 @@ def failing(ok: Column) -> Column:
 
 
 def nan_to_null(c) -> Column:
+    """NaN (of a floating column) as NULL; other types pass unchanged."""
     c = col_(c)
-    return F.when(F.isnan(c), F.lit(None)).otherwise(c)
+    return F.when(F.coalesce(F.isnan(c.cast("double")), F.lit(False)), F.lit(None)).otherwise(c)
 
 
 def safe_ratio(num, den) -> Column:
@@ -45,15 +46,30 @@ def scalar_row(one_row: DataFrame) -> Column:
     return one_row.select(F.struct(*one_row.columns).alias("s")).scalar()
 
 
+def rounded_units(x, digits: int) -> Column:
+    """``|x| * 10**digits`` as the nearest long; an exact tie goes to the even neighbour.
+
+    A tie is exact when ``x`` has at most ``digits + 1`` binary places (6.25 to one
+    digit); a decimal that only looks like a tie (0.15) is not one in binary and goes
+    up.  ``x`` is first rounded to 9 decimals, which absorbs summation-order noise.
+    """
+    x = F.abs(F.round(col_(x).cast("double"), 9))
+    scaled = x * F.lit(float(10 ** digits))
+    low = F.floor(scaled)
+    bits = x * F.lit(float(2 ** (digits + 1)))
+    to_even = (scaled - low == 0.5) & (bits == F.floor(bits)) & (low % 2 == 0)
+    return F.when(to_even, low).otherwise(F.floor(scaled + F.lit(0.5))).cast("bigint")
+
+
 def fixed_decimals(x, digits: int) -> Column:
-    """Text of ``x`` with exactly ``digits`` decimals, rounding half away from zero.
+    """Text of ``x`` with exactly ``digits`` decimals, rounded as in :func:`rounded_units`.
 
-    Integer arithmetic on the scaled value (floor(|x|*10^d + 0.5)) gives the same
-    digits on every engine, unlike printf-style formatting of a binary double.
+    Integer arithmetic gives the same digits on every engine, unlike printf-style
+    formatting of a binary double.
     """
-    x = F.round(col_(x).cast("double"), 9)   # absorb summation-order noise first
     scale = 10 ** digits
-    q = F.floor(F.abs(x) * F.lit(float(scale)) + F.lit(0.5)).cast("bigint")
+    q = rounded_units(x, digits)
+    x = F.round(col_(x).cast("double"), 9)
     sign = F.when((x < 0) & (q > 0), F.lit("-")).otherwise(F.lit(""))
     if digits == 0:
         return F.concat(sign, q.cast("string"))

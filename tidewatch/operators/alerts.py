@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions import constants as K
 from tidewatch.functions import text as TX
-from tidewatch.functions.exprs import col_
+from tidewatch.functions.exprs import col_, rounded_units
 
 KEYS = ["sales", "weekly_ts"]
 CONTEXT_COLUMNS = ["headcount", "leavers", "attrition_rate", "satisfaction_level_mean",
@@ -21,15 +21,10 @@ CONTEXT_COLUMNS = ["headcount", "leavers", "attrition_rate", "satisfaction_level
                    "violation_density"]
 
 
-def round_half_up(c, digits: int) -> Column:
-    """Round half away from zero via floor(|x|·10^d + 0.5) — identical on every engine.
-
-    A first rounding to 9 decimals absorbs last-bit noise of sums taken in a
-    different order, so a mean that is exactly half-way stays half-way.
-    """
+def rounded(c, digits: int) -> Column:
+    """``c`` to ``digits`` decimals, exact ties to even (see :func:`rounded_units`)."""
     x = F.round(col_(c).cast("double"), 9)
-    s = float(10 ** digits)
-    return F.signum(x) * F.floor(F.abs(x) * s + 0.5) / s
+    return F.signum(x) * rounded_units(c, digits) / float(10 ** digits)
 
 
 def top_drivers(df: DataFrame, out: str = "top_drivers") -> DataFrame:
@@ -64,8 +59,8 @@ def alert_records(ctx: DataFrame, tau: Column) -> DataFrame:
         F.col("headcount").cast("bigint").alias("headcount"),
         F.col("leavers").cast("bigint").alias("leavers"),
         F.col("attrition_rate").cast("double").alias("attrition_rate"),
-        round_half_up("risk_score", 4).alias("risk_score"),
-        round_half_up(tau, 4).alias("threshold"),
+        rounded("risk_score", 4).alias("risk_score"),
+        rounded(tau, 4).alias("threshold"),
         "top_drivers",
         (F.col("risk_score") > tau).alias("warning"),
         F.lit(K.ALERT_NOTE).alias("notes"),
@@ -116,7 +111,7 @@ def summary_lines(dept, week, drivers) -> Column:
 def notices(risk: DataFrame, tau: Column) -> DataFrame:
     """L3: short weekly notice per department."""
     return risk.select(F.col("sales").alias("dept"), F.date_format("weekly_ts", "yyyy-MM-dd").alias("week"),
-                       round_half_up("risk_score", 4).alias("score"), (F.col("risk_score") > tau).alias("notice"))
+                       rounded("risk_score", 4).alias("score"), (F.col("risk_score") > tau).alias("notice"))
 
 
 def employee_alerts(scored: DataFrame, tau: Column, score: str = "fused_score") -> DataFrame:

@@ -51,7 +51,7 @@ def dpi_leaderboard(dept_week: DataFrame) -> DataFrame:
     return scored.select(
         F.row_number().over(rank_w).cast("int").alias("rank"),
         "sales", "dpi", "retention_score", "workload_score", "compliance_score", "headcount",
-    )
+    ).orderBy("rank")
 
 
 def dpi_kpis(leaderboard: DataFrame, top_n: int = 5) -> DataFrame:
@@ -61,6 +61,6 @@ def dpi_kpis(leaderboard: DataFrame, top_n: int = 5) -> DataFrame:
         F.min_by("sales", "rank").alias("top_performer"),
         F.avg("dpi").alias("mean_dpi"),
         F.array_join(
-            F.transform(F.slice(F.array_sort(F.collect_list(F.struct("rank", "sales"))), 1, top_n),
+            F.transform(F.array_sort(F.collect_list(F.when(F.col("rank") <= top_n, F.struct("rank", "sales")))),
                         lambda s: s["sales"]), ",").alias("top_departments"),
     )

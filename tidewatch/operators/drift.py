@@ -114,13 +114,12 @@ def batch_verdict(df: DataFrame, required: Sequence[str], ts_col: str, label: st
 
 def promotion_gate(enhanced: DataFrame, production: str, candidate: str, f1_tolerance: float = 0.0) -> DataFrame:
     """Promote the candidate when its cost is lower and its F1 is not worse."""
-    p = scalar_row(enhanced.where(F.col("model_variant") == production)
-                   .select(F.col("total_cost").alias("c"), F.col("f1_score").alias("f")))
-    c = scalar_row(enhanced.where(F.col("model_variant") == candidate)
-                   .select(F.col("total_cost").alias("c"), F.col("f1_score").alias("f")))
-    one = enhanced.agg(F.count(F.lit(1)).alias("_n"))
-    promote = (c.c < p.c) & (c.f >= p.f - F.lit(f1_tolerance))
-    return one.select(F.lit(production).alias("production"), F.lit(candidate).alias("candidate"),
-                      p.c.alias("production_cost"), c.c.alias("candidate_cost"),
-                      p.f.alias("production_f1"), c.f.alias("candidate_f1"),
+    def of(model: str, column: str) -> Column:
+        return F.max(F.when(F.col("model_variant") == model, F.col(column)))
+
+    one = enhanced.agg(of(production, "total_cost").alias("production_cost"), of(candidate, "total_cost").alias("candidate_cost"),
+                       of(production, "f1_score").alias("production_f1"), of(candidate, "f1_score").alias("candidate_f1"))
+    promote = (F.col("candidate_cost") < F.col("production_cost")) & \
+        (F.col("candidate_f1") >= F.col("production_f1") - F.lit(f1_tolerance))
+    return one.select(F.lit(production).alias("production"), F.lit(candidate).alias("candidate"), *one.columns,
                       F.when(promote, "promote").otherwise("keep production").alias("decision"))

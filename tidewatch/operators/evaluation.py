@@ -21,14 +21,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewatch.functions import constants as K
-from tidewatch.functions.exprs import safe_ratio, zero_if_undefined
+from tidewatch.functions.exprs import nan_to_null, safe_ratio, zero_if_undefined
 from tidewatch.operators.ordering import DEFAULT_BUCKETS, label_histogram, running_sums
 
 
 # --------------------------------------------------------------------- E1–E3, X5
 def decision(score: Column, tau, inclusive: bool) -> Column:
-    """1 when the score passes the threshold (``>=`` if inclusive, else ``>``)."""
+    """1 when the score passes the threshold (``>=`` if inclusive, else ``>``); NULL and NaN do not."""
     t = tau if isinstance(tau, Column) else F.lit(float(tau))
+    score = nan_to_null(score)
     return F.when(score >= t if inclusive else score > t, 1).otherwise(0).cast("int")
 
 
@@ -62,19 +63,15 @@ def with_metrics(counts: DataFrame) -> DataFrame:
 
 # --------------------------------------------------------------------- grid bins
 def passed_count(df: DataFrame, col: str, edges: Sequence[float], inclusive: bool, out: str) -> DataFrame:
-    """``out`` = number of sorted ``edges`` e with e <= x (inclusive) or e < x (strict)."""
+    """``out`` = number of sorted ``edges`` e with e <= x (inclusive) or e < x (strict); 0 for NULL and NaN."""
     edges = [float(e) for e in edges]
-    if inclusive:
-        splits = [float("-inf")] + edges + [float("inf")]
-        b = Bucketizer(splits=splits, inputCol="_tw_x", outputCol=out, handleInvalid="keep")
-        res = b.transform(df.withColumn("_tw_x", F.col(col).cast("double")))
-        return res.drop("_tw_x").withColumn(out, F.col(out).cast("int"))
+    x = nan_to_null(F.col(col).cast("double"))
     # count(e < x) = n - count(-e <= -x)
-    neg = sorted(-e for e in edges)
-    splits = [float("-inf")] + neg + [float("inf")]
+    splits = [float("-inf"), *(edges if inclusive else sorted(-e for e in edges)), float("inf")]
     b = Bucketizer(splits=splits, inputCol="_tw_x", outputCol="_tw_b", handleInvalid="keep")
-    res = b.transform(df.withColumn("_tw_x", -F.col(col).cast("double")))
-    return res.drop("_tw_x").withColumn(out, (F.lit(len(edges)) - F.col("_tw_b")).cast("int")).drop("_tw_b")
+    res = b.transform(df.withColumn("_tw_x", x if inclusive else -x))
+    passed = F.col("_tw_b") if inclusive else F.lit(len(edges)) - F.col("_tw_b")
+    return res.withColumn(out, F.when(F.col("_tw_x").isNull(), 0).otherwise(passed).cast("int")).drop("_tw_x", "_tw_b")
 
 
 def grid_sweep(df: DataFrame, score: str, label: str, grid: Sequence[float], inclusive: bool,
@@ -111,13 +108,13 @@ def best_threshold(curve: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 # --------------------------------------------------------------------- H4 / W4
 def distinct_score_sweep(df: DataFrame, score: str, label: str, fn_w: float = K.FN_WEIGHT,
                          fp_w: float = K.FP_WEIGHT, n_buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
-    """Cost at every distinct score used as an inclusive threshold (``>=``)."""
+    """Cost at every distinct score used as an inclusive threshold (``>=``); unscored rows pass none."""
     hist = label_histogram(df, score, label)
     cum = running_sums(hist, [score], ["pos", "neg"], prefix="cum_", n_buckets=n_buckets)
-    tot = hist.agg(F.sum("neg").alias("N")).select(F.struct("N")).scalar().getField("N")
+    tot = cum.agg(F.max("cum_neg").alias("N")).select(F.struct("N")).scalar().getField("N")
     fn = F.col("cum_pos") - F.col("pos")                 # positives strictly below tau
     fp = tot - (F.col("cum_neg") - F.col("neg"))         # negatives at or above tau
-    return cum.select(F.col(score).alias("tau"), fn.cast("bigint").alias("fn"), fp.cast("bigint").alias("fp"),
+    return cum.where(F.col(score).isNotNull()).select(F.col(score).alias("tau"), fn.cast("bigint").alias("fn"), fp.cast("bigint").alias("fp"),
                       (F.lit(float(fn_w)) * fn + F.lit(float(fp_w)) * fp).alias("cost"))
 
 
@@ -135,6 +132,7 @@ def auroc(df: DataFrame, score: str, label: str, n_buckets: int | None = DEFAULT
     With cum_pos the inclusive running count of positives in ascending score
     order, the numerator ×2 is 2PN − 2Σ neg·cum_pos + Σ neg·pos: plain sums,
     exact in decimal(38,0) (no overflow at 10^12 rows), one division at the end.
+    Rows without a score rank below all others, as they pass no threshold.
     """
     hist = label_histogram(df, score, label)
     cum = running_sums(hist, [score], ["pos"], prefix="cum_", n_buckets=n_buckets)
@@ -151,22 +149,25 @@ def average_precision(df: DataFrame, score: str, label: str, n_buckets: int | No
     """Σ over distinct thresholds of ΔRecall · Precision (step-wise, not trapezoidal).
 
     Running sums in *descending* score order give TP(≥t) and FP(≥t) directly;
-    AP = Σ pos(t)·TP(≥t)/(TP(≥t)+FP(≥t)) / P.
+    AP = Σ pos(t)·TP(≥t)/(TP(≥t)+FP(≥t)) / P.  Positives without a score are never found.
     """
-    hist = label_histogram(df, score, label).withColumn("_desc", -F.col(score).cast("double"))
-    cum = running_sums(hist, ["_desc"], ["pos", "neg"], prefix="cum_", n_buckets=n_buckets)
+    hist = label_histogram(df, score, label).withColumns(
+        {"_none": F.col(score).isNull(), "_desc": -F.col(score).cast("double")})
+    cum = running_sums(hist, ["_none", "_desc"], ["pos", "neg"], prefix="cum_", n_buckets=n_buckets)
     prec = F.col("cum_pos").cast("double") / (F.col("cum_pos") + F.col("cum_neg")).cast("double")
-    s = cum.agg(F.sum(F.when(F.col("pos") > 0, F.col("pos").cast("double") * prec)).alias("s"),
+    s = cum.agg(F.sum(F.when((F.col("pos") > 0) & ~F.col("_none"), F.col("pos").cast("double") * prec)).alias("s"),
                 F.sum("pos").alias("P"))
     return s.select(safe_ratio(F.col("s"), F.col("P")).alias("average_precision"))
 
 
 # --------------------------------------------------------------------- E6–E8
 def calibration_curve(df: DataFrame, prob: str, label: str, inner_edges: Sequence[float]) -> DataFrame:
-    """Reliability curve: bin = number of inner edges strictly below p; empty bins absent."""
-    arr = F.array(*[F.lit(float(e)) for e in inner_edges])
-    p = F.col(prob).cast("double")
-    binned = df.withColumn("bin", F.size(F.filter(arr, lambda e: e < p)).cast("int"))
+    """Reliability curve: bin = number of inner edges strictly below p; empty bins absent.
+
+    Rows without a probability or a label are left out; the bin is a JVM binary search.
+    """
+    scored = df.withColumn(prob, nan_to_null(prob)).where(F.col(prob).isNotNull() & F.col(label).isNotNull())
+    binned = passed_count(scored, prob, sorted(set(float(e) for e in inner_edges)), False, "bin")
     return binned.groupBy("bin").agg(F.count(F.lit(1)).alias("n"), F.avg(prob).alias("mean_pred"),
                                      F.avg(F.col(label).cast("double")).alias("frac_pos"))
 
@@ -212,7 +213,8 @@ def benchmark_enhanced(df: DataFrame, score_cols: Sequence[str], label: str, bas
     lg = long_scores(df, score_cols, label)
     best = with_metrics(best_threshold(grid_sweep(lg, "score", label, grid, inclusive=False, by=["model"]),
                                        by=["model"]))
-    base_cost = best.where(F.col("model") == baseline).select(F.struct(F.col("cost").alias("c"))).scalar().c
+    models = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)      # one row per model
+    base_cost = F.max(F.when(F.col("model") == baseline, F.col("cost"))).over(models)
     return best.select(
         F.col("model").alias("model_variant"), F.col("tau").alias("threshold"), "precision", "recall",
         "f1_score", F.col("cost").cast("bigint").alias("total_cost"),

@@ -8,11 +8,11 @@ Output is long: one row per group.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewatch.functions import constants as K
-from tidewatch.functions.exprs import fixed_decimals, safe_ratio, scalar_row, zero_if_undefined
+from tidewatch.functions.exprs import fixed_decimals, nan_to_null, safe_ratio, scalar_row, zero_if_undefined
 
 # FIXED VALUES — report wording per group dimension
 BIAS_ALERT = {
@@ -22,27 +22,34 @@ BIAS_ALERT = {
 ALL_CLEAR = "No significant bias detected. Model meets fairness criteria."
 
 
+#: Over a table of one row per group: all of its rows.
+_ALL_GROUPS = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+
+
 def demographic_parity(df: DataFrame, group: str, pred: str) -> DataFrame:
-    """Positive rate per group, absolute gap to the overall rate, group size."""
-    overall = scalar_row(df.agg(F.avg(F.col(pred).cast("double")).alias("rate"))).rate
-    g = df.groupBy(group).agg(F.avg(F.col(pred).cast("double")).alias("positive_rate"),
-                              F.count(F.lit(1)).alias("sample_size"))
-    return g.select(group, "positive_rate", F.abs(F.col("positive_rate") - overall).alias("parity_difference"),
-                    "sample_size")
+    """Positive rate per group, absolute gap to the overall rate, group size.
 
+    One pass: the overall rate is the groups' sums over their sizes.
+    """
+    p = F.col(pred).cast("double")
+    g = df.groupBy(group).agg(F.sum(p).alias("_pos"), F.count(p).alias("_of"), F.count(F.lit(1)).alias("sample_size"))
+    rate = safe_ratio(F.col("_pos"), F.col("_of"))
+    overall = safe_ratio(F.sum("_pos").over(_ALL_GROUPS), F.sum("_of").over(_ALL_GROUPS))
+    return g.select(group, rate.alias("positive_rate"), F.abs(rate - overall).alias("parity_difference"), "sample_size")
 
-def _counts(df: DataFrame, by, label: str, pred: str):
+
+def _count_columns(label: str, pred: str) -> list[Column]:
     y, p = F.col(label), F.col(pred)
-    return df.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_if((y == 1) & (p == 1)).alias("tp"), F.count_if((y == 0) & (p == 1)).alias("fp"),
-        F.count_if((y == 1) & (p == 0)).alias("fn"), F.count_if((y == 0) & (p == 0)).alias("tn"),
-    )
+    return [F.count(F.lit(1)).alias("n"),
+            F.count_if((y == 1) & (p == 1)).alias("tp"), F.count_if((y == 0) & (p == 1)).alias("fp"),
+            F.count_if((y == 1) & (p == 0)).alias("fn"), F.count_if((y == 0) & (p == 0)).alias("tn"),
+            F.sum(p.cast("double")).alias("pos"), F.count(p).alias("of_pos"),
+            F.sum(y.cast("double")).alias("base"), F.count(y).alias("of_base")]
 
 
 def equalized_odds(df: DataFrame, group: str, label: str, pred: str) -> DataFrame:
     """TPR, FPR, accuracy per group; groups with a single class are skipped."""
-    c = _counts(df, [group], label, pred)
+    c = df.groupBy(group).agg(*_count_columns(label, pred))
     both = (F.col("tp") + F.col("fn") > 0) & (F.col("fp") + F.col("tn") > 0)
     return c.where(both).select(
         group,
@@ -51,45 +58,45 @@ def equalized_odds(df: DataFrame, group: str, label: str, pred: str) -> DataFram
         safe_ratio(F.col("tp") + F.col("tn"), F.col("n")).alias("accuracy"))
 
 
+def _summaries(df: DataFrame, dimensions: dict[str, str], label: str, pred: str, limit: float) -> DataFrame:
+    """N3 for several group columns in one pass: rows dealt once per dimension, counted per group, summed."""
+    deal = F.explode(F.array(*[F.struct(F.lit(d).alias("dimension"), F.col(c).cast("string").alias("g"))
+                               for d, c in dimensions.items()]))
+    groups = (df.select(label, pred, deal.alias("_d")).groupBy(F.col("_d.dimension").alias("dimension"), F.col("_d.g").alias("g"))
+              .agg(*_count_columns(label, pred)))
+    overall = Window.partitionBy("dimension")              # one row per group
+    rate = safe_ratio(F.sum("pos").over(overall), F.sum("of_pos").over(overall))
+    groups = groups.withColumn("gap", F.abs(safe_ratio(F.col("pos"), F.col("of_pos")) - rate))
+    return groups.groupBy("dimension").agg(
+        safe_ratio(F.sum("tp") + F.sum("tn"), F.sum("n")).alias("accuracy"),
+        safe_ratio(F.sum("pos"), F.sum("of_pos")).alias("positive_rate"),
+        safe_ratio(F.sum("base"), F.sum("of_base")).alias("base_rate"),
+        F.max("gap").alias("max_parity_difference"),
+        (F.max("gap") > F.lit(limit)).alias("fairness_violation"))
+
+
 def fairness_summary(df: DataFrame, group: str, label: str, pred: str,
                      limit: float = K.PARITY_LIMIT) -> DataFrame:
-    """Overall accuracy, positive and base rate, max parity gap, violation flag."""
-    parity = demographic_parity(df, group, pred)
-    gap = scalar_row(parity.agg(F.max("parity_difference").alias("g"))).g
-    y, p = F.col(label), F.col(pred)
-    return df.agg(
-        F.avg(F.when(y == p, 1.0).otherwise(0.0)).alias("accuracy"),
-        F.avg(p.cast("double")).alias("positive_rate"),
-        F.avg(y.cast("double")).alias("base_rate"),
-    ).withColumns({"max_parity_difference": gap, "fairness_violation": gap > F.lit(limit)})
+    """Overall accuracy, positive and base rate, max parity gap, violation flag; one pass."""
+    return _summaries(df, {group: group}, label, pred, limit).drop("dimension")
 
 
 def bias_report(df: DataFrame, label: str, pred: str, dimensions: dict[str, str],
                 limit: float = K.PARITY_LIMIT) -> DataFrame:
     """One row per dimension with its max gap and alert text; an all-clear row
-    when no dimension violates the limit."""
-    parts = []
-    for dim, col in dimensions.items():
-        s = fairness_summary(df, col, label, pred, limit)
-        parts.append(s.select(
-            F.lit(dim).alias("dimension"), "max_parity_difference", "fairness_violation",
-            F.when(F.col("fairness_violation"),
-                   F.concat(F.lit(BIAS_ALERT[dim]), fixed_decimals(F.col("max_parity_difference"), 3)))
-            .alias("recommendation")))
-    rows = parts[0]
-    for p in parts[1:]:
-        rows = rows.unionByName(p)
-    # The all-clear row exists only when no dimension is violated: inline an
-    # array that is empty otherwise (one row out of a one-row aggregate).
-    row_t = "array<struct<dimension:string,max_parity_difference:double,fairness_violation:boolean," \
-            "recommendation:string>>"
+    when no dimension violates the limit.  One pass over the rows; what is collected is a
+    row per dimension."""
+    alert = F.coalesce(*[F.when(F.col("dimension") == d, F.lit(BIAS_ALERT[d])) for d in dimensions])
+    rows = _summaries(df, dimensions, label, pred, limit).select(
+        "dimension", "max_parity_difference", "fairness_violation",
+        F.when(F.col("fairness_violation"), F.concat(alert, fixed_decimals(F.col("max_parity_difference"), 3))).alias("recommendation"))
     clear_row = F.array(F.struct(F.lit("all").alias("dimension"),
                                  F.lit(None).cast("double").alias("max_parity_difference"),
                                  F.lit(False).alias("fairness_violation"),
                                  F.lit(ALL_CLEAR).alias("recommendation")))
-    v = rows.agg(F.sum(F.col("fairness_violation").cast("int")).alias("v"))
-    clear = v.select(F.inline(F.when(F.col("v") == 0, clear_row).otherwise(F.array().cast(row_t))))
-    return rows.unionByName(clear)
+    found = rows.agg(F.array_sort(F.collect_list(F.struct(*rows.columns))).alias("r"),
+                     F.count_if("fairness_violation").alias("v"))
+    return found.select(F.inline(F.when(F.col("v") == 0, F.concat("r", clear_row)).otherwise(F.col("r"))))
 
 
 def _audit_cols(c: DataFrame, brier: Column) -> list[Column]:
@@ -108,9 +115,10 @@ def audit_group_metrics(df: DataFrame, group: str, label: str, prob: str, tau: C
                         inclusive: bool = True) -> DataFrame:
     """N, prevalence, recall, FNR, precision, FPR (denominator max(neg,1)), Brier per group."""
     t = tau if isinstance(tau, Column) else F.lit(float(tau))
-    scored = df.withColumn("_yhat", F.when(F.col(prob) >= t if inclusive else F.col(prob) > t, 1).otherwise(0))
+    p = nan_to_null(prob)                                   # no score passes no threshold
+    scored = df.where(F.col(label).isNotNull()).withColumn("_yhat", F.when(p >= t if inclusive else p > t, 1).otherwise(0))
     y = F.col(label).cast("double")
-    sq = (F.col(prob) - y) * (F.col(prob) - y)
+    sq = (p - y) * (p - y)
     c = scored.groupBy(group).agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if((F.col(label) == 1) & (F.col("_yhat") == 1)).alias("tp"),

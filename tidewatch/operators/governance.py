@@ -18,10 +18,15 @@ RULES = [
 
 
 def secret_scan(docs: DataFrame, text_col: str, keep: list[str]) -> DataFrame:
-    """G1: keywords (in fixed order) contained in the lower-cased text; rows with a hit."""
+    """G1: keywords (in fixed order) contained in the lower-cased text; rows with a hit.
+
+    One case-insensitive pattern picks the few texts with a hit; only those are lower-cased,
+    once (the generated code shares the common expression), and tested by keyword.
+    """
+    hits = docs.where(F.col(text_col).rlike("(?iu)" + "|".join(K.SECRET_KEYWORDS)))
     low = F.lower(F.col(text_col))
-    found = F.filter(F.array(*[F.lit(k) for k in K.SECRET_KEYWORDS]), lambda k: F.contains(low, k))
-    return docs.select(*keep, found.alias("found")).where(F.size("found") > 0)
+    found = F.array_compact(F.array(*[F.when(F.contains(low, F.lit(k)), k) for k in K.SECRET_KEYWORDS]))
+    return hits.select(*keep, found.alias("found")).where(F.size("found") > 0)
 
 
 def secret_summary(scan: DataFrame, by: str) -> DataFrame:

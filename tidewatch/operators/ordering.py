@@ -1,70 +1,51 @@
 """Order-dependent operators without a global single-task window.
 
 A ``Window`` with ``orderBy`` but no ``partitionBy`` moves every row into one
-task.  The operators here use a two-phase prefix sum instead:
-
-1. approximate quantile *edges* of the ordering key, computed by one aggregate
-   and fetched once (a bounded list of at most ``n_buckets-1`` values);
-2. ``bucket`` = position of the key among the edges (binary search in the JVM)
-   — a pure function of the key, so it is stable under recomputation, retries
-   and AQE coalescing;
-3. per-bucket totals (≤ ``n_buckets`` rows) → exclusive cumulative offsets with a
-   window over that tiny table → broadcast-joined back (size bounded by
-   ``n_buckets``);
-4. a window *partitioned by bucket* gives the within-bucket running sum, plus the
-   bucket offset.
-
-By default the bucket count adapts to the input (about 2 million rows per bucket,
-at most 4096 buckets), so one bucket always fits a task; small inputs use one.
+task.  The operators here use a two-phase prefix sum instead, the same at every size:
+
+1. rows are range-partitioned on *all* ordering columns (Spark samples the bounds and
+   compares whole tuples, so any orderable type works, NULLs are a value that sorts
+   first, NaN one that sorts last, and a hot first column is split by the next ones),
+   numbered by partition and stored once under the shared folder, which keeps the
+   numbers stable under retries;
+2. per-partition totals (one row per partition) → exclusive cumulative offsets with a
+   window over that tiny table → broadcast-joined back (size bounded by the partitions);
+3. a window *partitioned by that number* gives the running sum inside, plus the offset.
+
+The number of partitions is Spark's (``spark.sql.shuffle.partitions`` and adaptive
+coalescing by size) unless a caller fixes it.  Rows that are equal in every ordering
+column stay together.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_BUCKETS = None            # adaptive: about ROWS_PER_BUCKET rows per bucket
-ROWS_PER_BUCKET = 2_000_000
-MAX_BUCKETS = 4096
+from tidewatch.functions.exprs import nan_to_null
+from tidewatch.session import checkpointed
 
+DEFAULT_BUCKETS = None            # Spark's own number of partitions
 
-def _bucketize(df: DataFrame, key: str, n_buckets: int | None, out: str) -> DataFrame:
-    """Add ``out`` = bucket index of ``key`` among approximate quantile edges.
 
-    With ``n_buckets=None`` a row count (column-pruned) sets the bucket count to
-    rows / ``ROWS_PER_BUCKET`` (capped at ``MAX_BUCKETS``; small inputs get one
-    bucket and no quantile job).  The edge list is bounded by the bucket count and
-    fetched once; bucketing is MLlib's ``Bucketizer`` (a JVM binary search per row).
-    """
-    if n_buckets is None:
-        n_buckets = max(1, min(MAX_BUCKETS, -(-df.count() // ROWS_PER_BUCKET)))
-    if n_buckets <= 1:
-        return df.withColumn(out, F.lit(0))
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    row = df.agg(F.percentile_approx(F.col(key).cast("double"), probs, 10000).alias("e")).first()
-    edges = sorted({float(x) for x in (row["e"] or []) if x is not None})
-    if not edges:
-        return df.withColumn(out, F.lit(0))
-    splits = [float("-inf")] + edges + [float("inf")]
-    tmp = "_tw_key_d"
-    b = Bucketizer(splits=splits, inputCol=tmp, outputCol=out, handleInvalid="keep")
-    return b.transform(df.withColumn(tmp, F.col(key).cast("double"))).drop(tmp) \
-        .withColumn(out, F.col(out).cast("int"))
+def _ranged(df: DataFrame, order_by: Sequence[str], n_buckets: int | None, out: str) -> DataFrame:
+    """``df`` stored in key ranges, ``out`` = number of the range."""
+    cols = [F.col(c) for c in order_by]
+    parted = df.repartitionByRange(*cols) if n_buckets is None else df.repartitionByRange(n_buckets, *cols)
+    return checkpointed(parted.withColumn(out, F.spark_partition_id()))
 
 
 def running_sums(df: DataFrame, order_by: Sequence[str], value_cols: Sequence[str],
                  prefix: str = "cum_", n_buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
-    """Inclusive running sums of ``value_cols`` in ascending ``order_by`` order.
+    """Inclusive running sums of ``value_cols`` in ascending ``order_by`` order (NULLs first).
 
-    The first ordering column defines the buckets; remaining columns break ties
-    inside a bucket.  Adds ``{prefix}{col}`` for each value column.
+    Adds ``{prefix}{col}`` for each value column.  The result reads the stored copy, so
+    further steps on it do not run the input again.
     """
-    key = order_by[0]
     b = "_tw_bucket"
-    bucketed = _bucketize(df, key, n_buckets, b)
+    bucketed = _ranged(df, order_by, n_buckets, b)
     totals = bucketed.groupBy(b).agg(*[F.sum(c).alias(f"_tot_{c}") for c in value_cols])
     w_off = Window.orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
@@ -90,10 +71,13 @@ def row_sequence(df: DataFrame, order_by: Sequence[str], name: str = "row_id",
 def label_histogram(df: DataFrame, score: str, label: str, by: Sequence[str] = ()) -> DataFrame:
     """Rows per distinct (group, score): positives and negatives.
 
-    One partial+final hash aggregate; a hot score value collapses map-side.
+    Rows without a label are left out.  A NULL or NaN score passes no threshold;
+    such rows are counted under a NULL score.  One partial+final hash aggregate; a
+    hot score value collapses map-side.
     """
     y = F.col(label)
-    return df.groupBy(*by, score).agg(
+    scored = df.where(y.isNotNull()).withColumn(score, nan_to_null(score))
+    return scored.groupBy(*by, score).agg(
         F.sum(F.when(y == 1, 1).otherwise(0)).cast("bigint").alias("pos"),
         F.sum(F.when(y == 1, 0).otherwise(1)).cast("bigint").alias("neg"),
     )
@@ -103,6 +87,27 @@ def value_counts(df: DataFrame, col: str) -> DataFrame:
     return df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("cnt"))
 
 
+def grouped_quantiles(df: DataFrame, by: Sequence[str], col: str, probs: Sequence[float],
+                      n_buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
+    """``(*by, q)``: linear-interpolated exact quantiles of every group (NULL values left out, no NULL keys).
+
+    One histogram of (group, value) and one running count over it serve all groups, so
+    neither a hot group nor many distinct values meet in one task.
+    """
+    hist = df.where(F.col(col).isNotNull()).groupBy(*by, col).agg(F.count(F.lit(1)).alias("cnt"))
+    cum = running_sums(hist, [*by, col], ["cnt"], prefix="cum_", n_buckets=n_buckets)
+    ends = cum.groupBy(*by).agg(F.min(F.col("cum_cnt") - F.col("cnt")).alias("_base"), F.sum("cnt").alias("_n"))
+    ranked = cum.join(ends, list(by)).withColumn("_to", F.col("cum_cnt") - F.col("_base"))
+    aggs = []
+    for i, p in enumerate(probs):
+        pos = (F.col("_n") - 1).cast("double") * F.lit(float(p))
+        aggs += [F.min(F.when(F.col("_to") > F.floor(pos), F.col(col).cast("double"))).alias(f"_lo{i}"),
+                 F.min(F.when(F.col("_to") > F.ceil(pos), F.col(col).cast("double"))).alias(f"_hi{i}"),
+                 F.max(pos - F.floor(pos)).alias(f"_part{i}")]
+    q = [F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_part{i}") for i in range(len(probs))]
+    return ranked.groupBy(*by).agg(*aggs).select(*by, F.array(*q).alias("q"))
+
+
 def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float],
                     n_buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
     """Linear-interpolated exact quantiles (numpy / pandas default) as one row.
@@ -113,7 +118,7 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float],
     """
     hist = value_counts(df, col)
     cum = running_sums(hist, [col], ["cnt"], prefix="cum_", n_buckets=n_buckets)
-    n = hist.agg(F.sum("cnt").alias("n")).select(F.struct("n")).scalar().getField("n")
+    n = cum.agg(F.max("cum_cnt").alias("n")).select(F.struct("n")).scalar().getField("n")
     rows = []
     for i, p in enumerate(probs):
         pos = (n - 1).cast("double") * F.lit(float(p))

@@ -14,6 +14,8 @@ from pyspark.sql import types as T
 
 from tidewatch.functions import constants as K
 from tidewatch.functions.exprs import failing, scalar_row
+from tidewatch.operators.ordering import grouped_quantiles
+from tidewatch.operators.profile import long_values
 
 FINDING_SCHEMA = T.StructType([
     T.StructField("check_kind", T.StringType(), False),
@@ -121,16 +123,17 @@ def missing_summary(df: DataFrame) -> DataFrame:
         F.struct(F.lit(name).alias("column_name"), F.col(f"m__{name}").alias("missing_count"),
                  (F.col(f"m__{name}") * 100.0 / F.col("__n")).alias("missing_pct"),
                  F.lit(dt).alias("dtype"))
-        for name, dt in structs])))
+        for name, dt in structs]))).orderBy(F.desc("missing_count"), "column_name")
 
 
 def outlier_summary(df: DataFrame, cols: Sequence[str] = tuple(K.NUMERIC_PROFILE_COLUMNS)) -> DataFrame:
     """Q6: IQR fences per column and the share of all rows outside them.
 
-    Quartiles come from one aggregate (a struct scalar subquery); the outlier
-    counts are a second single pass, so two scans in total for all columns.
+    Quartiles come from one histogram of all columns (inlined as a struct scalar
+    subquery); the outlier counts are a second single pass.
     """
-    q = scalar_row(df.agg(*[F.percentile(F.col(c).cast("double"), [0.25, 0.75]).alias(c) for c in cols]))
+    found = grouped_quantiles(long_values(df, cols), ["feature"], "value", [0.25, 0.75])
+    q = scalar_row(found.agg(*[F.max(F.when(F.col("feature") == c, F.col("q"))).alias(c) for c in cols]))
     out = []
     for c in cols:
         q1, q3 = q.getField(c)[0], q.getField(c)[1]

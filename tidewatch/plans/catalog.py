@@ -501,10 +501,8 @@ from tidewatch.operators import alerts  # noqa: E402
 
 
 def _alert_ctx(spark, sf):
-    hr = _hr(spark, sf)
-    dw = _gold(spark, sf)
-    scored = scoring.scored_employees(hr, dw)
-    return alerts.alert_context(scoring.dept_week_risk(scored), dw), scored
+    scored = _scored(spark, sf)
+    return alerts.alert_context(scoring.dept_week_risk(scored), _gold(spark, sf)), scored
 
 
 def _alerts(spark, sf):

@@ -421,9 +421,22 @@ best AS (
 
 
 # ------------------------------------------------------------------ fairness
+def sql_units(expr: str, digits: int) -> str:
+    """|expr| * 10**digits to the nearest whole number; ties exact in binary go to the even one."""
+    x = f"ABS(ROUND({expr}, 9))"
+    s = f"{x} * {10 ** digits}e0"
+    bits = f"{x} * {2 ** (digits + 1)}e0"
+    return (f"CAST(CASE WHEN {s} - FLOOR({s}) = 0.5e0 AND {bits} = FLOOR({bits}) AND CAST(FLOOR({s}) AS BIGINT) % 2 = 0 "
+            f"THEN FLOOR({s}) ELSE FLOOR({s} + 0.5e0) END AS BIGINT)")
+
+
+def sql_round(expr: str, digits: int) -> str:
+    return f"SIGN(ROUND({expr}, 9)) * {sql_units(expr, digits)} / {10 ** digits}e0"
+
+
 def sql_fixed(expr: str, digits: int) -> str:
     scale = 10 ** digits
-    q = f"CAST(FLOOR(ABS(ROUND({expr}, 9)) * {scale}e0 + 0.5e0) AS BIGINT)"
+    q = sql_units(expr, digits)
     return (f"(CASE WHEN ({expr}) < 0 AND {q} > 0 THEN '-' ELSE '' END || CAST({q} // {scale} AS VARCHAR) || '.' "
             f"|| lpad(CAST({q} % {scale} AS VARCHAR), {digits}, '0'))")
 
@@ -575,8 +588,8 @@ bt AS (SELECT tau FROM curve_c ORDER BY cost, i LIMIT 1),
 alerts AS (
   SELECT sales AS dept, strftime(weekly_ts, '%Y-%m-%d') AS weekly_ts, CAST(headcount AS BIGINT) AS headcount,
     CAST(leavers AS BIGINT) AS leavers, CAST(attrition_rate AS DOUBLE) AS attrition_rate,
-    SIGN(ROUND(risk_score, 9)) * FLOOR(ABS(ROUND(risk_score, 9)) * 1e4 + 0.5) / 1e4 AS risk_score,
-    SIGN(ROUND((SELECT tau FROM bt), 9)) * FLOOR(ABS(ROUND((SELECT tau FROM bt), 9)) * 1e4 + 0.5) / 1e4 AS threshold,
+    {sql_round("risk_score", 4)} AS risk_score,
+    {sql_round("(SELECT tau FROM bt)", 4)} AS threshold,
     top_drivers, risk_score > (SELECT tau FROM bt) AS warning,
     'Simulated weekly monitoring on HR prototype data.' AS notes
   FROM drv2),
@@ -621,9 +634,9 @@ SELECT dept, weekly_ts, CAST(UNNEST(range(len(lines))) AS INT) AS line_no, UNNES
               || ', and ' || phrases[len(phrases)] || '.' END,
     'This summary is advisory only. Any HR action requires human review and confirmation.'] AS lines
   FROM phr) x""")
-ORACLE["notices"] = rounded(_alert_sql("""
+ORACLE["notices"] = rounded(_alert_sql(f"""
 SELECT sales AS dept, strftime(weekly_ts, '%Y-%m-%d') AS week,
-  SIGN(ROUND(risk_score, 9)) * FLOOR(ABS(ROUND(risk_score, 9)) * 1e4 + 0.5) / 1e4 AS score, risk_score > (SELECT tau FROM bt) AS notice
+  {sql_round("risk_score", 4)} AS score, risk_score > (SELECT tau FROM bt) AS notice
 FROM risk"""), ["score"])
 ORACLE["employee_alerts"] = rounded(_alert_sql("""
 SELECT EmployeeID AS employee_id, sales AS department, strftime(weekly_ts, '%Y-%m-%d') AS week,

@@ -29,9 +29,11 @@ RAW_SCHEMA = T.StructType([
 
 # --------------------------------------------------------------------- S1 / S2
 def read_raw_csv(spark: SparkSession, path: str, schema: T.StructType = RAW_SCHEMA) -> DataFrame:
-    """Raw CSV with an explicit schema (no inference pass); ``Department`` → ``sales``,
-    label ``left`` → ``left_flag``."""
-    df = spark.read.schema(schema).option("header", True).csv(path)
+    """Raw CSV by header name, typed by ``schema`` (no inference pass; bad text is NULL);
+    ``Department`` → ``sales``, label ``left`` → ``left_flag``.  Columns may come in any order;
+    one that the file lacks is left out, for the missing-column check to report."""
+    text = spark.read.option("header", True).csv(path)
+    df = text.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema if f.name in text.columns])
     if "Department" in df.columns:
         df = df.withColumnRenamed("Department", "sales")
     if "left" in df.columns:
