@@ -22,10 +22,6 @@ BIAS_ALERT = {
 ALL_CLEAR = "No significant bias detected. Model meets fairness criteria."
 
 
-#: Over a table of one row per group: all of its rows.
-_ALL_GROUPS = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-
-
 def demographic_parity(df: DataFrame, group: str, pred: str) -> DataFrame:
     """Positive rate per group, absolute gap to the overall rate, group size.
 
@@ -34,7 +30,8 @@ def demographic_parity(df: DataFrame, group: str, pred: str) -> DataFrame:
     p = F.col(pred).cast("double")
     g = df.groupBy(group).agg(F.sum(p).alias("_pos"), F.count(p).alias("_of"), F.count(F.lit(1)).alias("sample_size"))
     rate = safe_ratio(F.col("_pos"), F.col("_of"))
-    overall = safe_ratio(F.sum("_pos").over(_ALL_GROUPS), F.sum("_of").over(_ALL_GROUPS))
+    groups = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)      # one row per group
+    overall = safe_ratio(F.sum("_pos").over(groups), F.sum("_of").over(groups))
     return g.select(group, rate.alias("positive_rate"), F.abs(rate - overall).alias("parity_difference"), "sample_size")
 
 
