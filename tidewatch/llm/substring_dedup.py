@@ -446,8 +446,8 @@ def deduplicated(docs: DataFrame, id: str = "doc_id", text: str = "text", length
     # 2. open segments with their bytes; those of crowded keys in runs of fewer windows
     crowded = opened.groupBy("key").agg(F.count("*").alias("many")).where(F.col("many") > key_segments)
     whole = length - _gram(length) + 1
-    most = F.greatest(F.lit(1), F.floor(F.lit(whole * key_segments) / F.col("many"))).cast("long")
-    runs = (opened.join(crowded, "key", "left").withColumn("most", F.coalesce(most, F.lit(whole).cast("long")))
+    most = F.when(F.col("many").isNull(), whole).otherwise(F.greatest(F.lit(1), F.floor(F.lit(whole * key_segments) / F.col("many"))))
+    runs = (opened.join(crowded, "key", "left").withColumn("most", most.cast("long"))
             .groupBy("doc", "version").agg(F.collect_list(F.struct("start", "size", "anchor", "most")).alias("open")))
     pieces = (base.join(runs.hint("shuffle_hash"), ["doc", "version"]).select("doc", "version", "text", "open", "id")
               .select("doc", "version", "text", "open").mapInArrow(_deal(length), PIECE))
