@@ -85,12 +85,33 @@ def test_every_operator_is_registered_once():
     assert "pipeline" in E.queries() and set(queries.ORACLE) <= set(queries.QUERIES)
 
 
-def test_sql_oracle(spark):
+@pytest.mark.parametrize("key,table", [("op8_url_filter", "pages"), ("op1_quality_rules", "documents")])
+def test_sql_oracle(spark, key, table):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW pages AS SELECT * FROM read_parquet('{SF}/pages.parquet')")
-    expected = sorted(con.execute(queries.ORACLE["op8_url_filter"]).fetchall(), key=str)
-    got = queries.QUERIES["op8_url_filter"](spark, SF).select("page_id", "host", "path", "rule", "verdict").collect()
-    assert sorted((tuple(r) for r in got), key=str) == expected
+    con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{SF}/{table}.parquet')")
+    expected = con.execute(queries.ORACLE[key]).df()
+    got = queries.QUERIES[key](spark, SF).toPandas()
+    assert sorted(got.columns) == sorted(expected.columns)
+    rows = lambda df: sorted(map(str, df[sorted(df.columns)].astype(object).where(df.notna(), None).values.tolist()))
+    assert rows(got) == rows(expected)
+
+
+CONTRACT = {
+    "op1_quality_rules": "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept",
+    "op2_best_fit_packing": "doc_id piece start length ids_crc32 sequence_id offset",
+    "op4_substring_dedup": "doc_id n_bytes n_removed n_spans kept_sha256",
+    "op5_source_mixing": "doc_id size source_size target taken",
+    "op6_chat_format": "conv_id n_turns turns_sha256 loss_chars loss_sha256 formatted_chars",
+    "op7_embedding_near_dedup": "vec_id n_links component_id kept",
+    "op8_url_filter": "page_id host path rule verdict",
+    "op9_simhash": "doc_id fingerprint component_id",
+    "op10_compression_classifier": "doc_id held_out score predicted",
+}
+
+
+@pytest.mark.parametrize("key", CONTRACT)
+def test_contract_columns(spark, key):
+    assert queries.QUERIES[key](spark, SF).columns[:len(CONTRACT[key].split())] == CONTRACT[key].split()
 
 
 def test_native_operators_run_no_python(spark):

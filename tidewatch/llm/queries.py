@@ -20,12 +20,46 @@ def query(fn):
     return fn
 
 
+_GRAMS = sorted(quality_rules.NGRAM_LIMITS)
+
+
 @query
 def op1_quality_rules(spark, sf_dir):
     out = quality_rules.judged(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
-    q = F.col("quality")
-    return out.select("doc_id", q.n_words, q.word_chars, q.n_symbols, q.n_dup_lines, q.n_repeat_words,
-                      q.base_failed, q.kept, q.dup_line_chars, q.dup_ngram_chars)
+    names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "dup_line_chars"]
+    grams = [F.col("quality.dup_ngram_chars")[i].alias(f"dup_{k}gram_chars") for i, k in enumerate(_GRAMS)]
+    return out.select("doc_id", *[F.col(f"quality.{c}").alias(c) for c in names], *grams)
+
+
+ORACLE["op1_quality_rules"] = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
+), lines AS (
+  SELECT doc_id, line, count(*) - 1 AS again, length(regexp_replace(line, '[\x20\x09-\x0D]+', '', 'g')) AS chars
+  FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d) WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
+  GROUP BY doc_id, line
+), by_line AS (SELECT doc_id, sum(again) AS n, sum(again * chars) AS chars FROM lines GROUP BY doc_id
+), words AS (SELECT doc_id, generate_subscripts(ws, 1) AS i, unnest(ws) AS word FROM d
+), grams AS (SELECT doc_id, i, word, %s FROM words WINDOW o AS (PARTITION BY doc_id ORDER BY i)
+), twice AS (SELECT doc_id, i, word, %s FROM grams
+), covered AS (SELECT doc_id, word, %s FROM twice
+), by_gram AS (
+  SELECT doc_id, count(*) FILTER (WHERE in5) AS n, %s FROM covered GROUP BY doc_id
+), m AS (
+  SELECT doc_id, len(ws) AS n_words, length(array_to_string(ws, '')) AS word_chars,
+    length(regexp_replace(t, '[^#*$%%&|<>]', '', 'g')) AS n_symbols, coalesce(l.n, 0) AS n_dup_lines,
+    coalesce(g.n, 0) AS n_repeat_words, coalesce(l.chars, 0) AS dup_line_chars, %s
+  FROM d LEFT JOIN by_line l USING (doc_id) LEFT JOIN by_gram g USING (doc_id)
+), f AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM m)
+SELECT *, NOT base_failed AND dup_line_chars <= %s * word_chars AND n_symbols <= %s * n_words AND %s AS kept FROM f
+""" % (", ".join("word || " + " || ".join(f"' ' || lead(word, {j}) OVER o" for j in range(1, k)) + f" AS g{k}" for k in _GRAMS),
+       ", ".join(f"g{k} IS NOT NULL AND count(*) OVER (PARTITION BY doc_id, g{k}) > 1 AS t{k}" for k in _GRAMS),
+       ", ".join(f"bool_or(t{k}) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN {k - 1} PRECEDING AND CURRENT ROW) AS in{k}"
+                 for k in _GRAMS),
+       ", ".join(f"sum(length(word)) FILTER (WHERE in{k}) AS c{k}" for k in _GRAMS),
+       ", ".join(f"coalesce(c{k}, 0) AS dup_{k}gram_chars" for k in _GRAMS),
+       quality_rules.LINE_LIMIT, quality_rules.SYMBOLS_PER_WORD,
+       " AND ".join(f"dup_{k}gram_chars <= {quality_rules.NGRAM_LIMITS[k]} * word_chars" for k in _GRAMS))
 
 
 @query
@@ -107,6 +141,9 @@ FROM parts p LEFT JOIN fits f ON f.host = p.host AND f.path = p.path AND f.place
 """
 
 
+_GRAMS = sorted(quality_rules.NGRAM_LIMITS)
+
+
 @query
 def op10_compression_classifier(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
