@@ -38,7 +38,7 @@ WITH d AS (
   SELECT doc_id, line, count(*) - 1 AS again, length(regexp_replace(line, '[\x20\x09-\x0D]+', '', 'g')) AS chars
   FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d) WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
   GROUP BY doc_id, line
-), by_line AS (SELECT doc_id, sum(again) AS n, sum(again * chars) AS chars FROM lines GROUP BY doc_id
+), by_line AS (SELECT doc_id, sum(again)::BIGINT AS n, sum(again * chars)::BIGINT AS chars FROM lines GROUP BY doc_id
 ), words AS (SELECT doc_id, generate_subscripts(ws, 1) AS i, unnest(ws) AS word FROM d
 ), grams AS (SELECT doc_id, i, word, %s FROM words WINDOW o AS (PARTITION BY doc_id ORDER BY i)
 ), twice AS (SELECT doc_id, i, word, %s FROM grams
@@ -56,7 +56,7 @@ SELECT *, NOT base_failed AND dup_line_chars <= %s * word_chars AND n_symbols <=
        ", ".join(f"g{k} IS NOT NULL AND count(*) OVER (PARTITION BY doc_id, g{k}) > 1 AS t{k}" for k in _GRAMS),
        ", ".join(f"bool_or(t{k}) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN {k - 1} PRECEDING AND CURRENT ROW) AS in{k}"
                  for k in _GRAMS),
-       ", ".join(f"sum(length(word)) FILTER (WHERE in{k}) AS c{k}" for k in _GRAMS),
+       ", ".join(f"(sum(length(word)) FILTER (WHERE in{k}))::BIGINT AS c{k}" for k in _GRAMS),
        ", ".join(f"coalesce(c{k}, 0) AS dup_{k}gram_chars" for k in _GRAMS),
        quality_rules.LINE_LIMIT, quality_rules.SYMBOLS_PER_WORD,
        " AND ".join(f"dup_{k}gram_chars <= {quality_rules.NGRAM_LIMITS[k]} * word_chars" for k in _GRAMS))
