@@ -582,17 +582,15 @@ from tidewatch.streaming import weekly  # noqa: E402
 @query("stream_weekly_risk")
 def q_stream_weekly_risk(spark, sf):
     src = f"{sf.rstrip('/')}/events.parquet"
-    return _r(weekly.weekly_event_stream(spark, src, "ts", ["event_type"], "value", delay="1 hour"))
+    return _r(weekly.weekly_event_stream(spark, src, "ts", ["event_type"], "value"))
 
 
 @query("stream_weekly_alerts")
 def q_stream_weekly_alerts(spark, sf):
-    hr = _hr(spark, sf)
-    dw = _gold(spark, sf)
-    scored = scoring.scored_employees(hr, dw)
+    scored = _scored(spark, sf)
     best = ev.best_threshold(ev.grid_sweep(scored, "fused_score", "left_flag", K.grid_101(), inclusive=True))
     tau = float(best.select("tau").first()["tau"])     # one value; a running stream needs a constant
-    out = weekly.weekly_alert_stream(spark, scored, dw, tau)
+    out = weekly.weekly_alert_stream(spark, scored, _gold(spark, sf), tau)
     return _r(_flat_drivers(out))
 
 

@@ -655,15 +655,12 @@ SELECT doc_id, clipped, CAST(length(clipped) AS BIGINT) AS clipped_len FROM (
 
 # ------------------------------------------------------------------ streaming
 ORACLE["stream_weekly_risk"] = rounded("""
-SELECT * FROM (
-  SELECT CAST(date_trunc('week', ts) AS TIMESTAMP) AS week_start, event_type, COUNT(*) AS n,
-    AVG(value) AS avg_value, SUM(value) AS sum_value
-  FROM events GROUP BY 1, 2) w
-WHERE week_start + INTERVAL 7 DAY <= (SELECT MAX(ts) FROM events) - INTERVAL 1 HOUR""", ["avg_value", "sum_value"])
+SELECT CAST(date_trunc('week', ts) AS TIMESTAMP) AS week_start, event_type, COUNT(*) AS n,
+  AVG(value) AS avg_value, SUM(value) AS sum_value
+FROM events GROUP BY 1, 2""", ["avg_value", "sum_value"])
 ORACLE["stream_weekly_alerts"] = rounded(_alert_sql(f"""
 SELECT * EXCLUDE (phrases) REPLACE (array_to_string(top_drivers, '|') AS top_drivers) FROM (
-  SELECT alerts.*, {_SUMMARY} AS summary FROM phr AS alerts) a
-WHERE weekly_ts < (SELECT MAX(weekly_ts) FROM alerts)"""), _ALERT_D)
+  SELECT alerts.*, {_SUMMARY} AS summary FROM phr AS alerts) a"""), _ALERT_D)
 
 
 # ------------------------------------------------------------------ drift

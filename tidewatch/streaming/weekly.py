@@ -1,16 +1,20 @@
 """Structured Streaming: weekly event windows and the weekly alert replay.
 
-* R2 ``weekly_event_stream`` — file source → event time → watermark → tumbling
-  Monday-aligned one-week windows per key → append-mode file sink.  Only closed
-  windows (end ≤ watermark) are emitted.
-* R1/R3/R4 ``weekly_alert_stream`` — scored employee rows arrive as files in
-  event-time order; each closed department-week window is averaged, joined to
-  the static department-week context inside ``foreachBatch`` and written as
-  JSON alert records.  Every micro-batch writes its own ``batch=<id>`` folder in
-  overwrite mode, so a replayed batch after a failure replaces, not duplicates.
-
-Checkpoints and sinks live under the shared folder (``spark.checkpoint.dir``),
-so a restarted driver resumes from the last committed batch.
+* R2 ``weekly_event_stream`` — file source → event time → tumbling Monday-aligned
+  one-week windows per key, in update mode.
+* R1/R3/R4 ``weekly_alert_stream`` — scored employee rows arrive as files, week by
+  week; department-week means are updated, joined to the static department-week
+  context inside ``foreachBatch`` and written as JSON ``{alert, summary}`` records.
+
+A micro-batch writes the windows it changed to its own ``batch=<id>`` folder in
+overwrite mode, so a batch that is replayed after a failure replaces its output;
+readers take each window's latest version.  Every week is there, the open one too, and
+a late row only updates its week.  State is one row per window and key; ``delay`` sets
+a watermark that lets old windows go (and drops rows later than that), none keeps all.
+
+With a ``name``, landing folder, sink and checkpoint live under
+``<shared folder>/streams/<name>`` and a restarted driver goes on after the last
+committed batch; without one, each call is a new stream.
 """
 
 from __future__ import annotations
@@ -22,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewatch.operators import alerts as AL
-from tidewatch.session import scratch_path
+from tidewatch.session import scratch_path, shared_dir
 
 WEEK = "1 week"
 MONDAY_OFFSET = "4 days"          # epoch day 0 is a Thursday; +4 days aligns windows to Monday
@@ -58,60 +62,109 @@ def _file_stream(spark: SparkSession, path: str, schema: T.StructType, max_files
     return reader.parquet(path)
 
 
-def weekly_event_stream(spark: SparkSession, source: str, ts_col: str, keys: Sequence[str],
-                        value_col: str, delay: str = "1 hour") -> DataFrame:
-    """R2: run the windowed aggregation to completion and return the closed windows."""
-    schema = spark.read.parquet(source).schema
-    stream = _file_stream(spark, source, schema)
-    timed = stream.withColumn("_et", event_time_utc(F.col(ts_col))).withWatermark("_et", delay)
-    agg = timed.groupBy(F.window("_et", WEEK, WEEK, MONDAY_OFFSET).alias("w"), *keys).agg(
-        F.count(F.lit(1)).alias("n"), F.avg(value_col).alias("avg_value"), F.sum(value_col).alias("sum_value"))
-    out = agg.select(window_start_ntz(F.col("w.start")).alias("week_start"), *keys, "n", "avg_value", "sum_value")
-    sink, ckpt = scratch_path(spark, "weekly-events"), scratch_path(spark, "weekly-events-ckpt")
-    q = (out.writeStream.outputMode("append").format("parquet").option("path", sink)
-         .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+def _home(spark: SparkSession, name: str | None) -> str:
+    return f"{shared_dir(spark).rstrip('/')}/streams/{name}" if name else scratch_path(spark, "stream")
+
+
+def _weekly(stream: DataFrame, ts_col: str, keys: Sequence[str], delay: str | None, *aggs: Column) -> DataFrame:
+    """Updates of Monday-aligned weekly windows: ``week``, the keys and the aggregates."""
+    timed = stream.withColumn("_et", event_time_utc(F.col(ts_col)))
+    if delay is not None:
+        timed = timed.withWatermark("_et", delay)
+    agg = timed.groupBy(F.window("_et", WEEK, WEEK, MONDAY_OFFSET).alias("w"), *keys).agg(*aggs)
+    return agg.select(window_start_ntz(F.col("w.start")).alias("week"), *[c for c in agg.columns if c != "w"])
+
+
+def _run(updates: DataFrame, home: str, publish) -> None:
+    """All that is available now, batch by batch, to ``<home>/sink/batch=<id>``."""
+    q = (updates.writeStream.outputMode("update")
+         .foreachBatch(lambda batch, batch_id: publish(batch, f"{home}/sink/batch={batch_id}"))
+         .option("checkpointLocation", f"{home}/checkpoint").trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.schema(out.schema).parquet(sink)
 
 
-def stage_by_week(df: DataFrame, path: str, week_col: str = "weekly_ts") -> str:
-    """Land rows as parquet files grouped by week (one file per week and task)."""
-    df.repartition(week_col).write.mode("overwrite").parquet(path)
-    return path
+def latest(log: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Each window's last version in a log of ``batch`` folders."""
+    rest = [c for c in log.columns if c not in keys and c != "batch"]
+    last = log.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.col("batch").cast("bigint")).alias("v"))
+    return last.select(*keys, "v.*")
 
 
-def weekly_alert_stream(spark: SparkSession, scored: DataFrame, dept_week: DataFrame, tau: float,
-                        delay: str = "0 seconds", max_files: int | None = None) -> DataFrame:
-    """R1 + R3 + R4: weekly department risk from a stream of scored rows → alert records.
+def weekly_event_stream(spark: SparkSession, source: str, ts_col: str, keys: Sequence[str], value_col: str,
+                        delay: str | None = None, max_files: int | None = None, name: str | None = None) -> DataFrame:
+    """R2: run the windowed aggregation over all that is available and return every window."""
+    stream = _file_stream(spark, source, spark.read.parquet(source).schema, max_files)
+    out = _weekly(stream, ts_col, keys, delay, F.count(F.lit(1)).alias("n"), F.avg(value_col).alias("avg_value"),
+                  F.sum(value_col).alias("sum_value")).withColumnRenamed("week", "week_start")
+    home = _home(spark, name)
+    _run(out, home, lambda batch, path: batch.write.mode("overwrite").parquet(path))
+    log = spark.read.option("basePath", f"{home}/sink").schema(out.schema.add("batch", T.LongType())).parquet(f"{home}/sink/batch=*")
+    return latest(log, ["week_start", *keys])
+
 
-    ``tau`` is a plain float: a streaming query runs indefinitely, so the
-    threshold is resolved once when the query starts.
+def stage_by_week(df: DataFrame, path: str, week_col: str = "weekly_ts", split_by: str = "EmployeeID") -> str:
+    """Land rows as one folder per week, for a file stream to pick up in week order.
+
+    Rows are range-partitioned by week and ``split_by``, so a hot week is several files.
+    File sources take files by modification time, so new files get theirs in path order.
     """
-    src = stage_by_week(scored.select("EmployeeID", "sales", "weekly_ts", "fused_score"),
-                        scratch_path(spark, "scored-landing"))
-    schema = spark.read.parquet(src).schema
-    stream = _file_stream(spark, src, schema, max_files)
-    timed = stream.withColumn("_et", event_time_utc(F.col("weekly_ts"))).withWatermark("_et", delay)
-    risk = timed.groupBy(F.window("_et", WEEK, WEEK, MONDAY_OFFSET).alias("w"), "sales").agg(
-        F.avg("fused_score").alias("risk_score"))
-    risk = risk.select("sales", window_start_ntz(F.col("w.start")).alias("weekly_ts"), "risk_score")
-    sink = scratch_path(spark, "alerts-jsonl")
-    context = dept_week.select(*AL.KEYS, *[c for c in AL.CONTEXT_COLUMNS if c in dept_week.columns])
+    spark = df.sparkSession
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def files() -> set[str]:
+        found = set()
+        if fs.exists(folder):
+            each = fs.listFiles(folder, True)
+            while each.hasNext():
+                found.add(each.next().getPath().toString())
+        return found
+
+    before = files()
+    (df.withColumn("week", F.date_format(week_col, "yyyy-MM-dd")).repartitionByRange("week", split_by)
+     .write.mode("append").partitionBy("week").parquet(path))
+    new = sorted(f for f in files() - before if f.endswith(".parquet"))
+    now = jvm.java.lang.System.currentTimeMillis()
+    for i, f in enumerate(new):
+        fs.setTimes(jvm.org.apache.hadoop.fs.Path(f), now - len(new) + i, -1)
+    return path
 
-    def publish(batch: DataFrame, batch_id: int) -> None:
-        records = AL.alert_records(batch.join(context, AL.KEYS, "left"), F.lit(float(tau)))
-        out = AL.with_summary(records)
-        out.write.mode("overwrite").json(f"{sink}/batch={batch_id}")
 
-    q = (risk.writeStream.outputMode("append").foreachBatch(publish)
-         .option("checkpointLocation", scratch_path(spark, "alerts-ckpt"))
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    alert_schema = T.StructType([
+ALERT_RECORD = T.StructType([
+    T.StructField("alert", T.StructType([
         T.StructField("dept", T.StringType()), T.StructField("weekly_ts", T.StringType()),
         T.StructField("headcount", T.LongType()), T.StructField("leavers", T.LongType()),
         T.StructField("attrition_rate", T.DoubleType()), T.StructField("risk_score", T.DoubleType()),
         T.StructField("threshold", T.DoubleType()), T.StructField("top_drivers", T.ArrayType(T.StringType())),
-        T.StructField("warning", T.BooleanType()), T.StructField("notes", T.StringType()),
-        T.StructField("summary", T.StringType())])
-    return spark.read.schema(alert_schema).json(f"{sink}/batch=*")
+        T.StructField("warning", T.BooleanType()), T.StructField("notes", T.StringType())])),
+    T.StructField("summary", T.StringType())])
+
+
+def weekly_alert_stream(spark: SparkSession, scored: DataFrame, dept_week: DataFrame, tau: float,
+                        delay: str | None = None, max_files: int | None = None, name: str | None = None) -> DataFrame:
+    """R1 + R3 + R4: land the rows week by week, update department-week risk, write alert records.
+
+    Returns the latest record of every department-week, flat.  ``tau`` is a plain float: a
+    streaming query runs indefinitely, so the threshold is resolved once when it starts.
+    A second call with the same ``name`` lands its rows beside the first and resumes.
+    """
+    home = _home(spark, name)
+    landing = stage_by_week(scored.select("EmployeeID", "sales", "weekly_ts", "fused_score"), f"{home}/landing")
+    schema = T.StructType([scored.schema[c] for c in ("EmployeeID", "sales", "weekly_ts", "fused_score")])
+    stream = _file_stream(spark, landing, schema, max_files)
+    risk = _weekly(stream, "weekly_ts", ["sales"], delay, F.avg("fused_score").alias("risk_score")) \
+        .withColumnRenamed("week", "weekly_ts")
+    context = dept_week.select(*AL.KEYS, *[c for c in AL.CONTEXT_COLUMNS if c in dept_week.columns])
+
+    def publish(batch: DataFrame, path: str) -> None:
+        known = batch.where(F.col("sales").isNotNull() & F.col("weekly_ts").isNotNull())
+        records = AL.alert_records(known.join(context, AL.KEYS, "left"), F.lit(float(tau)))
+        alert = F.struct(*records.columns)
+        AL.with_summary(records).select(alert.alias("alert"), "summary").write.mode("overwrite").json(path)
+
+    _run(risk, home, publish)
+    log = spark.read.option("basePath", f"{home}/sink").schema(T.StructType([*ALERT_RECORD.fields, T.StructField("batch", T.LongType())])) \
+        .json(f"{home}/sink/batch=*")
+    flat = log.select("alert.*", "summary", "batch")
+    return latest(flat, ["dept", "weekly_ts"])
