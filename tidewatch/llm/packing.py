@@ -30,7 +30,7 @@ from tidewatch.session import checkpointed
 
 CAPACITY, END_ID = 2048, 0
 #: Pieces of one length that are ranked together; longer lists are split into buckets.
-BUCKET_ROWS = 4096
+BUCKET_ROWS = 512
 
 PIECE = "array<struct<start:bigint,length:bigint,ids_crc32:bigint,ids:binary>>"
 
