@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewatch.functions import constants as K
-from tidewatch.functions.exprs import nan_to_null, safe_ratio, zero_if_undefined
+from tidewatch.functions.exprs import nan_to_null, safe_ratio, scalar_row, zero_if_undefined
 from tidewatch.operators.ordering import DEFAULT_BUCKETS, label_histogram, running_sums
 
 
@@ -219,4 +219,24 @@ def benchmark_enhanced(df: DataFrame, score_cols: Sequence[str], label: str, bas
         F.col("model").alias("model_variant"), F.col("tau").alias("threshold"), "precision", "recall",
         "f1_score", F.col("cost").cast("bigint").alias("total_cost"),
         F.when(F.col("model") == baseline, F.lit(0.0))
-        .otherwise((base_cost - F.col("cost")) / base_cost * 100.0).alias("cost_reduction_pct"))
+        .otherwise(safe_ratio(base_cost - F.col("cost"), base_cost) * 100.0).alias("cost_reduction_pct"))
+
+
+# --------------------------------------------------------------------- evaluation flow
+def by_part(df: DataFrame, report, split: str = "split") -> DataFrame:
+    """``report`` over the training part and the held-out part, with a ``part`` column."""
+    parts = [report(df.where(F.col(split) == p)).withColumn("part", F.lit(p)) for p in ("train", "test")]
+    return parts[0].unionByName(parts[1])
+
+
+def evaluation_report(df: DataFrame, label: str, naive: str, learned: str) -> DataFrame:
+    """One row of five keys: each fusion's cheapest threshold (101 points, ``>=``), its cost there (``>``), and how cost counts."""
+    def one(score: str):
+        tau = best_threshold(grid_sweep(df, score, label, K.grid_101(), inclusive=True)).select(F.struct("tau")).scalar().tau
+        return tau, scalar_row(with_cost(confusion_counts(df, score, label, tau)).select("cost")).cost.cast("bigint")
+
+    (naive_tau, naive_cost), (learned_tau, learned_cost) = one(naive), one(learned)
+    return df.sparkSession.range(1).select(
+        naive_tau.alias("optimal_threshold"), learned_tau.alias("fusion_lr_threshold"), naive_cost.alias("naive_fusion_cost"),
+        learned_cost.alias("learned_fusion_cost"),
+        F.lit(f"{K.FN_WEIGHT:g}*FN + {K.FP_WEIGHT:g}*FP").alias("cost_fn"))

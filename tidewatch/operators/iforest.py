@@ -22,6 +22,8 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 import numpy as np
 import pandas as pd
@@ -76,12 +78,15 @@ def fit(df: DataFrame, key_cols: Sequence[str], features: str, n_trees: int = 10
     psi = int(min(max_samples, n))
     p = min(1.0, pool_factor * n_trees * psi / max(n, 1))
     keys = [F.col(c) for c in key_cols]
-    pool = df.where(F.pmod(F.xxhash64(F.lit(seed), *keys), F.lit(1_000_000_000)) < int(p * 1_000_000_000)) \
-        .select(*key_cols, features)
-    exploded = pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1))))
+    pool = df.where(F.pmod(F.xxhash64(F.lit(seed), *keys), F.lit(1 << 62)) <= int(p * ((1 << 62) - 1))).select(*key_cols, features)
+    # keys are ranked per tree first; features follow for the sampled keys only (<= n_trees * psi rows)
+    exploded = pool.select(*key_cols).withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1))))
     rank = F.row_number().over(Window.partitionBy("tree").orderBy(
         F.xxhash64(F.lit(seed), F.col("tree"), *keys), *keys))
-    sample = exploded.withColumn("_r", rank).where(F.col("_r") <= psi).select("tree", features)
+    chosen = exploded.withColumn("_r", rank).where(F.col("_r") <= psi)
+    chosen = chosen.select("tree", *[F.col(c).alias(f"_k_{c}") for c in key_cols])
+    same = [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in key_cols]
+    sample = pool.join(F.broadcast(chosen), reduce(and_, same)).select("tree", features)
 
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:
         X = np.vstack(pdf[features].to_numpy()).astype(float)

@@ -13,11 +13,13 @@ from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import MinMaxScaler, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.functions.exprs import scalar_row
 from tidewatch.operators import evaluation as ev
+from tidewatch.operators.ordering import running_sums
+from tidewatch.session import checkpointed
 
 # FIXED VALUES — feature lists shared by fit and score
 SUPERVISED_BASE = ["satisfaction_level", "last_evaluation", "number_project", "average_montly_hours",
@@ -45,13 +47,27 @@ def _prob(df: DataFrame, out: str) -> DataFrame:
 
 
 # --------------------------------------------------------------------- M10
-def stratified_split(df: DataFrame, key: str, test_fraction: float, seed: int = 42, out: str = "split") -> DataFrame:
-    """Deterministic split from a hash of the key: reproducible, no shuffle, and the
-    share is the same in expectation within every class (hash ⟂ label)."""
+def hash_split(df: DataFrame, key: str, test_fraction: float, seed: int = 42, out: str = "split") -> DataFrame:
+    """Deterministic split from a hash of the key: reproducible, no shuffle; shares hold in
+    expectation within every class (the hash does not depend on the label)."""
     u = F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(1_000_000))
     return df.withColumn(out, F.when(u < int(test_fraction * 1_000_000), "test").otherwise("train"))
 
 
+def stratified_split(df: DataFrame, key: str, test_fraction: float, label: str = "left_flag", seed: int = 42,
+                     out: str = "split") -> DataFrame:
+    """Exact share per class: rows of a class ordered by a seeded digest of the key, the first
+    ``round(share * class size)`` of them are the test part.  Ranks come from the two-phase
+    prefix sum, so a class of any size is never one task."""
+    rows = df.withColumns({"_digest": F.md5(F.concat_ws("|", F.lit(str(seed)), F.col(key).cast("string"))), "_one": F.lit(1)})
+    ranked = running_sums(rows, [label, "_digest", key], ["_one"], prefix="_upto")
+    ends = ranked.groupBy(label).agg(F.min("_upto_one").alias("_first"), F.count(F.lit(1)).alias("_size"))
+    ends = ends.withColumnRenamed(label, "_class")
+    both = ranked.join(F.broadcast(ends), F.col(label).eqNullSafe(F.col("_class")))          # one row per class
+    test = F.col("_upto_one") - F.col("_first") < F.round(F.col("_size") * test_fraction)
+    return both.withColumn(out, F.when(test, "test").otherwise("train")).select(*df.columns, out)
+
+
 # --------------------------------------------------------------------- M8
 def fit_logistic(train: DataFrame, cols: Sequence[str], label: str, C: float = 1.0) -> PipelineModel:
     """Standardise then L2 logistic regression with sklearn's C mapped to regParam = 1/(C·n)."""
@@ -66,17 +82,26 @@ def fit_logistic(train: DataFrame, cols: Sequence[str], label: str, C: float = 1
 
 
 # --------------------------------------------------------------------- M1 / M2
-def fit_gbt(train: DataFrame, cols: Sequence[str], label: str, rounds: int = 20, depth: int = 4,
-            step: float = 0.05, subsample: float = 0.9, weight_col: str | None = None,
-            seed: int = 42) -> PipelineModel:
-    """Boosted trees (MLlib GBT); ``weight_col`` gives the cost-weighted variant."""
+def fit_gbt(train: DataFrame, cols: Sequence[str], label: str, rounds: int = 500, depth: int = 4,
+            step: float = 0.05, subsample: float = 0.9, columns: float = 0.9, weight_col: str | None = None,
+            stop_gain: float | None = 1e-3, seed: int = 42) -> PipelineModel:
+    """Boosted trees (MLlib GBT) on row and column samples; ``weight_col`` gives the cost-weighted variant.
+
+    ``rounds`` is the most; with ``stop_gain`` a tenth of the rows (by a hash of the
+    features) is held back and boosting stops when a round lowers its loss by less than that
+    share.  ``stop_gain=None`` runs every round on all rows.
+    """
     kw = dict(featuresCol="features", labelCol=label, maxIter=rounds, maxDepth=depth, stepSize=step,
-              subsamplingRate=subsample, featureSubsetStrategy="all", seed=seed)
+              subsamplingRate=subsample, featureSubsetStrategy="all" if columns >= 1 else str(columns), seed=seed)
     if weight_col:
         kw["weightCol"] = weight_col
+    data = _prepared(train, cols).withColumn(label, F.col(label).cast("double"))
+    if stop_gain is not None:
+        kw.update(validationIndicatorCol="_held_back", validationTol=stop_gain)
+        data = data.withColumn("_held_back", F.pmod(F.xxhash64(F.lit(seed), *cols), F.lit(10)) == 0)
     pipe = Pipeline(stages=[VectorAssembler(inputCols=list(cols), outputCol="features", handleInvalid="keep"),
                             GBTClassifier(**kw)])
-    return pipe.fit(_prepared(train, cols).withColumn(label, F.col(label).cast("double")))
+    return pipe.fit(data)
 
 
 def with_class_weight(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
@@ -89,51 +114,54 @@ def with_class_weight(df: DataFrame, label: str, out: str = "weight") -> DataFra
 
 
 def score(model: PipelineModel, df: DataFrame, cols: Sequence[str], out: str) -> DataFrame:
-    """Batch scoring; the positive-class probability as a double column."""
-    return _prob(model.transform(_prepared(df, cols)), out)
+    """Batch scoring; the positive-class probability as a double column beside those of ``df``."""
+    return _prob(model.transform(_prepared(df, cols)), out).select(*df.columns, out)
 
 
 # --------------------------------------------------------------------- M11
-def save_model(model: PipelineModel, path: str) -> None:
+def save_model(model: PipelineModel, bundle: str, variant: str = "model") -> str:
+    """Save a fitted model as ``<bundle>/<variant>``; a bundle holds a model per variant name."""
+    path = f"{bundle.rstrip('/')}/{variant}"
     model.write().overwrite().save(path)
+    return path
 
 
-def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+def load_model(bundle: str, variant: str = "model") -> PipelineModel:
+    return PipelineModel.load(f"{bundle.rstrip('/')}/{variant}")
 
 
 # --------------------------------------------------------------------- M4
-def group_folds(spark: SparkSession, df: DataFrame, group: str, n_folds: int = 5, max_groups: int = 100_000) -> DataFrame:
-    """Group-to-fold table: biggest group first, each to the currently lightest fold.
+def group_folds(spark: SparkSession, df: DataFrame, group: str, n_folds: int = 5, greedy: int = 10_000) -> DataFrame:
+    """Group-to-fold table ``(group, fold, n)``: biggest group first, each to the currently lightest fold.
 
-    Only the per-group sizes (one row per group, bounded by ``max_groups``)
-    reach the driver; the result is a small table to broadcast-join.
+    The ``greedy`` biggest groups are placed so on the driver (a top-k report of their
+    sizes); any further ones are smaller than all of these and are dealt by a hash.
     """
-    sizes = df.groupBy(group).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), F.asc(group)) \
-        .limit(max_groups + 1).collect()
-    if len(sizes) > max_groups:
-        raise ValueError(f"more than {max_groups} groups")
+    sizes = checkpointed(df.groupBy(group).agg(F.count(F.lit(1)).alias("n")))
+    top = sizes.orderBy(F.desc("n"), F.asc(group)).limit(greedy).collect()
     load = [0] * n_folds
     rows = []
-    for r in sizes:
+    for r in top:
         f = min(range(n_folds), key=lambda i: (load[i], i))
         load[f] += r["n"]
-        rows.append((r[group], f, r["n"]))
-    return spark.createDataFrame(rows, f"{group} string, fold int, n long")
+        rows.append((r[group], f))
+    placed = spark.createDataFrame(rows, f"_g {sizes.schema[group].dataType.simpleString()}, _f int")
+    out = sizes.join(F.broadcast(placed), sizes[group].eqNullSafe(placed._g), "left")         # <= greedy rows
+    rest = F.pmod(F.xxhash64(F.col(group)), F.lit(n_folds)).cast("int")
+    return out.select(group, F.coalesce("_f", rest).alias("fold"), "n")
 
 
 # --------------------------------------------------------------------- M3
 def group_cv_metrics(spark: SparkSession, df: DataFrame, cols: Sequence[str], label: str, group: str,
-                     n_folds: int = 5, rounds: int = 10) -> DataFrame:
+                     n_folds: int = 5, rounds: int = 500) -> DataFrame:
     """Per fold: AUROC and average precision of a cost-weighted GBT trained on the other folds."""
     folds = group_folds(spark, df, group, n_folds)
-    data = df.join(F.broadcast(folds.select(group, "fold")), group).cache()
+    data = checkpointed(df.join(folds.select(group, "fold"), group))
     out = None
     for k in range(n_folds):
         train = with_class_weight(data.where(F.col("fold") != k), label)
-        valid = data.where(F.col("fold") == k)
         model = fit_gbt(train, cols, label, rounds=rounds, weight_col="weight")
-        scored = score(model, valid, cols, "p")
+        scored = score(model, data.where(F.col("fold") == k), cols, "p").select("p", label)
         auc = scalar_row(ev.auroc(scored, "p", label)).auroc
         ap = scalar_row(ev.average_precision(scored, "p", label)).average_precision
         row = train.agg(F.max("weight").alias("scale_pos_weight")).select(
@@ -142,34 +170,47 @@ def group_cv_metrics(spark: SparkSession, df: DataFrame, cols: Sequence[str], la
     return out
 
 
+def cv_summary(folds: DataFrame) -> DataFrame:
+    """Mean and sample standard deviation over the folds, one row per metric."""
+    long = folds.unpivot("fold", ["auroc", "auprc"], "metric", "value")
+    return long.groupBy("metric").agg(F.count("value").alias("folds"), F.avg("value").alias("mean"),
+                                      F.stddev_samp("value").alias("std"))
+
+
 # --------------------------------------------------------------------- M5
 def calibrated_gbt_scores(df: DataFrame, cols: Sequence[str], label: str, key: str, folds: int = 3,
-                          rounds: int = 10, seed: int = 42, out: str = "calibrated_score") -> DataFrame:
-    """Isotonic calibration with ``folds``-fold cross-fitting, averaged over folds."""
+                          rounds: int = 500, seed: int = 42, out: str = "calibrated_score",
+                          train: Column | None = None) -> DataFrame:
+    """Isotonic calibration with ``folds``-fold cross-fitting, averaged over folds.
+
+    The fold models and their calibrations are applied as columns of one table, so no
+    rows are joined.  The isotonic step fits the histogram of scores with counts as
+    weights.  ``train`` (a condition) limits what is fitted on; every row is scored.
+    """
     fold = F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(folds))
-    data = df.withColumn("_fold", fold)
-    parts = []
+    fitted = df if train is None else df.where(train)
+    res = df
     for k in range(folds):
-        model = fit_gbt(data.where(F.col("_fold") != k), cols, label, rounds=rounds)
-        held = score(model, data.where(F.col("_fold") == k), cols, "_p")
-        iso = IsotonicRegression(featuresCol="_p", labelCol=label, predictionCol="_cal", isotonic=True) \
-            .fit(held.withColumn(label, F.col(label).cast("double")))
-        parts.append(iso.transform(score(model, df, cols, "_p")).select(key, F.col("_cal").alias(f"_c{k}")))
-    res = parts[0]
-    for p in parts[1:]:
-        res = res.join(p, key)
-    return res.select(key, (sum((F.col(f"_c{k}") for k in range(folds)), F.lit(0.0)) / folds).alias(out))
+        model = fit_gbt(fitted.where(fold != k), cols, label, rounds=rounds)
+        held = score(model, fitted.where(fold == k), cols, "_p")
+        points = held.groupBy("_p").agg(F.avg(F.col(label).cast("double")).alias("_rate"), F.count(label).cast("double").alias("_n"))
+        iso = IsotonicRegression(featuresCol="_p", labelCol="_rate", weightCol="_n", predictionCol=f"_c{k}").fit(points)
+        res = iso.transform(score(model, res, cols, "_p")).drop("_p")
+    mean = sum((F.col(f"_c{k}") for k in range(folds)), F.lit(0.0)) / folds
+    return res.select(key, mean.alias(out))
 
 
 # --------------------------------------------------------------------- M9
 def learned_fusion_scores(df: DataFrame, cols: Sequence[str], label: str, key: str,
-                          out: str = "fusion_lr_score") -> DataFrame:
-    """Min-max scale the meta-features, fit a logistic regression on a stratified
-    70 % split, score every row."""
+                          out: str = "fusion_lr_score", train: Column | None = None) -> DataFrame:
+    """Min-max scale the meta-features, fit a logistic regression on the rows of ``train`` (a
+    condition; by default a stratified 70 % split), score every row."""
     prepared = _prepared(df, cols).withColumn(label, F.col(label).cast("double"))
-    split = stratified_split(prepared, key, 0.3)
+    if train is None:
+        prepared = stratified_split(prepared, key, 0.3, label, out="_split")
+        train = F.col("_split") == "train"
     pipe = Pipeline(stages=[VectorAssembler(inputCols=list(cols), outputCol="_raw"),
                             MinMaxScaler(inputCol="_raw", outputCol="features"),
                             LogisticRegression(featuresCol="features", labelCol=label)])
-    model = pipe.fit(split.where(F.col("split") == "train"))
+    model = pipe.fit(prepared.where(train))
     return _prob(model.transform(prepared), out).select(key, out)

@@ -369,7 +369,7 @@ def q_benchmark_kpi(spark, sf):
 
 # ------------------------------------------------------------------ fairness
 from tidewatch.operators import fairness  # noqa: E402
-from tidewatch.session import scratch_path  # noqa: E402
+from tidewatch.session import checkpointed, scratch_path  # noqa: E402
 from tidewatch.sources import files  # noqa: E402
 
 
@@ -487,11 +487,8 @@ def q_source_checksums(spark, sf):
 
 @query("threshold_lookup")
 def q_threshold_lookup(spark, sf):
-    best = ev.best_threshold(ev.grid_sweep(_scored(spark, sf), "fused_score", "left_flag",
-                                           K.grid_101(), inclusive=True))
     path = scratch_path(spark, "metrics") + ".json"
-    files.save_df(best.select(F.col("tau").alias("optimal_threshold"), F.col("cost").alias("naive_fusion_cost")),
-                  path)
+    files.save_df(ev.evaluation_report(_scored(spark, sf), "left_flag", "fused_score", "fused_max_score"), path)
     return files.read_threshold(spark, path)
 
 
@@ -606,64 +603,14 @@ def _emp_gold(spark, sf):
 
 @query("stratified_split")
 def q_stratified_split(spark, sf):
-    s = models.stratified_split(_hr(spark, sf), "EmployeeID", 0.3)
-    return s.groupBy("left_flag", "split").agg(F.count(F.lit(1)).alias("n"))
-
-
-@query("logreg_scores")
-def q_logreg_scores(spark, sf):
-    emp, _ = _emp_gold(spark, sf)
-    cols = models.feature_columns(emp, models.LOGISTIC_BASE)
-    split = models.stratified_split(emp, "EmployeeID", 0.2)
-    m = models.fit_logistic(split.where(F.col("split") == "train"), cols, "left_flag")
-    return models.score(m, split, cols, "logreg_score").select("EmployeeID", "split", "logreg_score")
-
-
-@query("gbt_scores")
-def q_gbt_scores(spark, sf):
-    emp, _ = _emp_gold(spark, sf)
-    cols = models.feature_columns(emp, models.SUPERVISED_BASE)
-    split = models.stratified_split(emp, "EmployeeID", 0.2)
-    m = models.fit_gbt(split.where(F.col("split") == "train"), cols, "left_flag", rounds=20, depth=6, step=0.1,
-                       subsample=0.8)
-    return models.score(m, split, cols, "gbt_score").select("EmployeeID", "split", "gbt_score")
-
-
-@query("gbt_weighted_scores")
-def q_gbt_weighted_scores(spark, sf):
-    emp, _ = _emp_gold(spark, sf)
-    cols = models.feature_columns(emp, models.SUPERVISED_BASE)
-    split = models.stratified_split(emp, "EmployeeID", 0.2)
-    train = models.with_class_weight(split.where(F.col("split") == "train"), "left_flag")
-    m = models.fit_gbt(train, cols, "left_flag", rounds=20, depth=4, step=0.05, subsample=0.9, weight_col="weight")
-    return models.score(m, split, cols, "gbt_weighted_score").select("EmployeeID", "split", "gbt_weighted_score")
-
-
-@query("calibrated_scores")
-def q_calibrated_scores(spark, sf):
-    emp, _ = _emp_gold(spark, sf)
-    cols = models.feature_columns(emp, models.SUPERVISED_BASE)
-    return models.calibrated_gbt_scores(emp, cols, "left_flag", "EmployeeID", folds=3, rounds=10)
-
-
-@query("group_folds")
-def q_group_folds(spark, sf):
-    return models.group_folds(spark, _hr(spark, sf), "sales", 5)
-
-
-@query("group_cv_metrics")
-def q_group_cv_metrics(spark, sf):
-    emp, _ = _emp_gold(spark, sf)
-    cols = [c for c in models.feature_columns(emp, models.SUPERVISED_BASE)]
-    return _r(models.group_cv_metrics(spark, emp, cols, "left_flag", "sales", n_folds=5, rounds=10))
+    return models.stratified_split(_hr(spark, sf).select("EmployeeID", "left_flag"), "EmployeeID", 0.3)
 
 
 def _iforest_dept(spark, sf):
     dw = iforest.feature_array(_gold(spark, sf), models.ANOMALY_FEATURES)
     nodes, psi = iforest.fit(dw, ["sales", "weekly_ts"], "features", n_trees=100, max_samples=256)
-    # scores feed both a one-row subquery (min/max or quantile) and the output: keep them
-    # cached rather than running the Python scoring twice (lost blocks recompute from lineage)
-    return iforest.score(spark, dw, ["sales", "weekly_ts"], "features", nodes, psi).persist()
+    # scores feed both a one-row subquery (min/max or quantile) and the output: stored, not scored twice
+    return checkpointed(iforest.score(spark, dw, ["sales", "weekly_ts"], "features", nodes, psi))
 
 
 @query("iforest_scores")
@@ -684,18 +631,100 @@ def q_iforest_embeddings(spark, sf):
     return iforest.score(spark, emb, ["vec_id"], "features", nodes, psi)
 
 
-@query("fusion_learned_scores")
-def q_fusion_learned_scores(spark, sf):
-    hr = _hr(spark, sf)
-    dw = _gold(spark, sf)
-    anom = scoring.anomaly_score(
-        iforest.score(spark, *(lambda d: (d, ["sales", "weekly_ts"], "features",
-                                          *iforest.fit(d, ["sales", "weekly_ts"], "features")))(
-            iforest.feature_array(dw, models.ANOMALY_FEATURES))), "decision", "iforest_score")
-    emp = scoring.attach_dept_score(hr, anom, "iforest_score")
-    emp = emp.join(dw.select("sales", "weekly_ts", "violation_density"), ["sales", "weekly_ts"], "left")
-    return models.learned_fusion_scores(emp, ["score", "iforest_score", "violation_density"], "left_flag",
-                                        "EmployeeID")
+TEST_SHARE = 0.3
+ENSEMBLE = ["logreg_score", "gbt_score", "iforest_score", "fused_score"]
+VARIANTS = ["gbt_score", "gbt_weighted_score", "calibrated_score", "logreg_score", "fused_score", "fusion_lr_score"]
+
+
+def _model_scores(spark, sf):
+    """Every fitted model's score for every employee, with the train / test split: fitted on the
+    training part once per session and stored, as a production bundle would be scored once."""
+    def build():
+        emp, dw = _emp_gold(spark, sf)
+        emp = models.stratified_split(emp, "EmployeeID", TEST_SHARE)
+        cols = models.feature_columns(emp, models.SUPERVISED_BASE)
+        linear = models.feature_columns(emp, models.LOGISTIC_BASE)
+        is_train = F.col("split") == "train"
+        train = emp.where(is_train)
+        bundle = scratch_path(spark, "bundle")
+        models.save_model(models.fit_logistic(train, linear, "left_flag"), bundle, "logreg")
+        models.save_model(models.fit_gbt(train, cols, "left_flag", rounds=100, depth=6, step=0.1, subsample=0.8, columns=0.8,
+                                         stop_gain=None), bundle, "gbt")
+        models.save_model(models.fit_gbt(models.with_class_weight(train, "left_flag"), cols, "left_flag", weight_col="weight"),
+                          bundle, "gbt_weighted")
+        out = emp
+        for name, features_of in (("logreg", linear), ("gbt", cols), ("gbt_weighted", cols)):
+            out = models.score(models.load_model(bundle, name), out, features_of, f"{name}_score")
+        calibrated = models.calibrated_gbt_scores(emp, cols, "left_flag", "EmployeeID", train=is_train)
+        anomaly = scoring.anomaly_score(_iforest_dept(spark, sf), "decision", "iforest_score").select("sales", "weekly_ts", "iforest_score")
+        keep = ["EmployeeID", "sales", "salary", "weekly_ts", "left_flag", "split", "violation_density",
+                "logreg_score", "gbt_score", "gbt_weighted_score"]
+        out = out.select(*keep).join(calibrated, "EmployeeID")
+        out = scoring.attach_dept_score(out, anomaly, "iforest_score")
+        out = out.withColumn("fused_score", scoring.fuse(F.col("gbt_score"), F.col("iforest_score"), K.FUSION_WEIGHT_SUPERVISED))
+        learned = models.learned_fusion_scores(out, ["gbt_weighted_score", "iforest_score", "violation_density"], "left_flag",
+                                               "EmployeeID", train=is_train)
+        return out.join(learned, "EmployeeID")
+
+    return materialized(spark, sf, "model_scores", build)
+
+
+for _key, _col in (("logreg_scores", "logreg_score"), ("gbt_scores", "gbt_score"), ("gbt_weighted_scores", "gbt_weighted_score"),
+                   ("calibrated_scores", "calibrated_score"), ("fusion_learned_scores", "fusion_lr_score")):
+    def _mk_scores(col):
+        return lambda spark, sf: _model_scores(spark, sf).select("EmployeeID", "split", col)
+    QUERIES[_key] = _mk_scores(_col)
+
+
+@query("benchmark_models")
+def q_benchmark_models(spark, sf):
+    """Four fitted models at the naive fusion's threshold, for the training and the held-out part."""
+    scores = _model_scores(spark, sf)
+    tau = _fused_tau(scores)
+    return _r(ev.by_part(scores, lambda df: ev.benchmark_table(df, ENSEMBLE, "left_flag", tau)))
+
+
+@query("benchmark_variants")
+def q_benchmark_variants(spark, sf):
+    """Six variants, each at its own cheapest threshold, for the training and the held-out part."""
+    return _r(ev.by_part(_model_scores(spark, sf), lambda df: ev.benchmark_enhanced(df, VARIANTS, "left_flag", "gbt_score")))
+
+
+@query("evaluation_report")
+def q_evaluation_report(spark, sf):
+    """Naive and learned fusion of fitted models: the five-key metrics file, written as JSON and read back."""
+    path = scratch_path(spark, "evaluation") + ".json"
+    files.save_df(ev.evaluation_report(_model_scores(spark, sf), "left_flag", "fused_score", "fusion_lr_score"), path)
+    return spark.read.json(path)
+
+
+for _g in ("sales", "salary"):
+    def _mk_heldout(g):
+        return lambda spark, sf: _r(fairness.fairness_summary(
+            _model_scores(spark, sf).where("split = 'test'").withColumn("pred", ev.decision(F.col("gbt_score"), 0.5, False)),
+            g, "left_flag", "pred"))
+    QUERIES[f"fairness_heldout_{_g}"] = _mk_heldout(_g)
+
+
+@query("group_folds")
+def q_group_folds(spark, sf):
+    return models.group_folds(spark, _hr(spark, sf), "sales", 5)
+
+
+def _cv(spark, sf):
+    emp, _ = _emp_gold(spark, sf)
+    cols = models.feature_columns(emp, models.SUPERVISED_BASE)
+    return materialized(spark, sf, "group_cv", lambda: models.group_cv_metrics(spark, emp, cols, "left_flag", "sales", n_folds=5))
+
+
+@query("group_cv_metrics")
+def q_group_cv_metrics(spark, sf):
+    return _r(_cv(spark, sf))
+
+
+@query("group_cv_summary")
+def q_group_cv_summary(spark, sf):
+    return _r(models.cv_summary(_cv(spark, sf)))
 
 
 # ------------------------------------------------------------------ drift

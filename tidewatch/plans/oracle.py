@@ -551,6 +551,27 @@ ORACLE["dataset_manifest"] = "\nUNION ALL\n".join(
     for t in _TABLE_COLS)
 
 
+ORACLE["threshold_lookup"] = rounded(scored_sql(
+    "SELECT tau AS threshold FROM curve_c ORDER BY cost, i LIMIT 1", _grid_cte("grid", _G101),
+    _curve_cte("curve", "grid", "fused_score", ">=")), ["threshold"])
+ORACLE["stratified_split"] = hr_sql("""
+SELECT EmployeeID, left_flag, CASE WHEN place <= ROUND(size * 0.3e0) THEN 'test' ELSE 'train' END AS split FROM (
+  SELECT EmployeeID, left_flag, COUNT(*) OVER (PARTITION BY left_flag) AS size,
+    ROW_NUMBER() OVER (PARTITION BY left_flag ORDER BY md5('42|' || CAST(EmployeeID AS VARCHAR)), EmployeeID) AS place
+  FROM hr) x""")
+# biggest group first, each to the lightest fold so far: one recursion step per group
+ORACLE["group_folds"] = "WITH RECURSIVE " + hr_sql("""
+SELECT sales, CAST(fold AS INT) AS fold, n FROM deal WHERE place > 0""", """
+sizes AS (SELECT sales, COUNT(*) AS n, ROW_NUMBER() OVER (ORDER BY COUNT(*) DESC, sales) AS place FROM hr GROUP BY sales),
+deal AS (
+  SELECT CAST(NULL AS VARCHAR) AS sales, CAST(0 AS BIGINT) AS n, CAST(0 AS BIGINT) AS place, CAST(-1 AS BIGINT) AS fold,
+         [CAST(0 AS BIGINT), 0, 0, 0, 0] AS load
+  UNION ALL
+  SELECT s.sales, s.n, s.place, list_position(d.load, list_min(d.load)) - 1,
+         list_transform(d.load, lambda x, i: CASE WHEN i = list_position(d.load, list_min(d.load)) THEN x + s.n ELSE x END)
+  FROM deal d JOIN sizes s ON s.place = d.place + 1)""")[5:]
+
+
 # ------------------------------------------------------------------ alerts and text
 _PHRASES = [("v1_overtime_sum", "overtime pressure"),
             ("v2_overload_satisfaction_sum", "high workload with low satisfaction"),
