@@ -120,8 +120,6 @@ DRIVER_RULES = [
     ("v4_post_accident_overwork_sum", "v4_post_accident_overwork_sum", ">", 0),
     ("violation_density", "violation_density", ">", 0),
 ]
-# Value used when a driver column is missing / null (matches a dict default).
-DRIVER_DEFAULTS = {"satisfaction_level_mean": 1}
 DRIVER_FALLBACK = "fused_score_pattern"
 MAX_DRIVERS = 5
 
@@ -146,8 +144,13 @@ MAX_FIELD_LEN = 500
 MAX_LIST_ITEMS = 20
 
 ALERT_NOTE = "Simulated weekly monitoring on HR prototype data."
-SUMMARY_HEADER = "Department {dept} for week {week} was scored by the early-warning layer."
-SUMMARY_RISK = "Risk score is {score} against threshold {threshold}. Warning status: {status}."
+# Sentences of the summary, cut at the values they hold.
+SUMMARY_HEADER = ("Department ", " for week ", " was scored by the early-warning layer.")
+SUMMARY_RISK = ("Risk score is ", " against threshold ", ". Warning status: ", ".")
+SUMMARY_STATUS = ("triggered", "not triggered")
+SUMMARY_CONTEXT = ("Context: ", "headcount ", "leavers ", "attrition rate ")
+SUMMARY_DRIVERS = ("Primary driver appears to be ", "Main drivers appear to be ", ", and ")
+SUMMARY_NOTE = "Additional note: "
 SUMMARY_ADVISORY = "This summary is advisory only. Any HR action requires human review and confirmation."
 
 # Characters removed by a whitespace strip (the Unicode whitespace set).

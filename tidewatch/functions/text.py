@@ -61,22 +61,20 @@ def fmt_pct(c) -> Column:
 
 def summary_text(dept, week, risk, threshold, warning, headcount, leavers, attrition, drivers, notes) -> Column:
     """The multi-line advisory summary; optional lines are NULL and skipped by concat_ws."""
-    header = F.concat(F.lit("Department "), F.coalesce(col_(dept), F.lit("unknown")), F.lit(" for week "),
-                      F.coalesce(col_(week), F.lit("n/a")), F.lit(" was scored by the early-warning layer."))
-    status = F.when(F.coalesce(col_(warning), F.lit(False)), F.lit("triggered")).otherwise(F.lit("not triggered"))
-    risk_line = F.concat(F.lit("Risk score is "), fmt_score(risk), F.lit(" against threshold "),
-                         fmt_score(threshold), F.lit(". Warning status: "), status, F.lit("."))
+    h, r, (on, off), c, w = K.SUMMARY_HEADER, K.SUMMARY_RISK, K.SUMMARY_STATUS, K.SUMMARY_CONTEXT, K.SUMMARY_DRIVERS
+    header = F.concat(F.lit(h[0]), F.coalesce(col_(dept), F.lit("unknown")), F.lit(h[1]), F.coalesce(col_(week), F.lit("n/a")), F.lit(h[2]))
+    status = F.when(F.coalesce(col_(warning), F.lit(False)), F.lit(on)).otherwise(F.lit(off))
+    risk_line = F.concat(F.lit(r[0]), fmt_score(risk), F.lit(r[1]), fmt_score(threshold), F.lit(r[2]), status, F.lit(r[3]))
     parts = F.array_compact(F.array(
-        F.concat(F.lit("headcount "), col_(headcount).cast("string")),
-        F.concat(F.lit("leavers "), col_(leavers).cast("string")),
-        F.when(col_(attrition).isNotNull(), F.concat(F.lit("attrition rate "), fmt_pct(attrition)))))
-    ctx = F.when(F.size(parts) > 0, F.concat(F.lit("Context: "), F.array_join(parts, ", "), F.lit(".")))
+        F.concat(F.lit(c[1]), col_(headcount).cast("string")),
+        F.concat(F.lit(c[2]), col_(leavers).cast("string")),
+        F.when(col_(attrition).isNotNull(), F.concat(F.lit(c[3]), fmt_pct(attrition)))))
+    ctx = F.when(F.size(parts) > 0, F.concat(F.lit(c[0]), F.array_join(parts, ", "), F.lit(".")))
     d = driver_phrases(F.coalesce(col_(drivers), F.array().cast("array<string>")))
     n = F.size(d)
-    drv = (F.when(n == 1, F.concat(F.lit("Primary driver appears to be "), F.element_at(d, 1), F.lit(".")))
-           .when(n > 1, F.concat(F.lit("Main drivers appear to be "), F.array_join(F.slice(d, 1, n - 1), ", "),
-                                 F.lit(", and "), F.element_at(d, -1), F.lit("."))))
-    note = F.when(F.coalesce(F.length(col_(notes)), F.lit(0)) > 0, F.concat(F.lit("Additional note: "), col_(notes)))
+    drv = (F.when(n == 1, F.concat(F.lit(w[0]), F.element_at(d, 1), F.lit(".")))
+           .when(n > 1, F.concat(F.lit(w[1]), F.array_join(F.slice(d, 1, n - 1), ", "), F.lit(w[2]), F.element_at(d, -1), F.lit("."))))
+    note = F.when(F.coalesce(F.length(col_(notes)), F.lit(0)) > 0, F.concat(F.lit(K.SUMMARY_NOTE), col_(notes)))
     return F.concat_ws("\n", header, risk_line, ctx, drv, note, F.lit(K.SUMMARY_ADVISORY))
 
 

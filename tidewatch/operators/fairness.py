@@ -149,3 +149,15 @@ def audit_report_json(df: DataFrame, group: str, label: str, prob: str, tau: Col
         tau.alias("tau"), F.lit(float(fn_weight)).alias("fn_weight"),
         F.struct(*ov.columns).alias("overall"), per_list.alias("per_group"),
         F.struct(gap.alias("fnr_gap")).alias("gaps"))).alias("report"))
+
+
+def parse_audit_report(reports: DataFrame, group: str) -> DataFrame:
+    """The report's metrics as rows: the overall ones (``group`` = overall, no size) and one per group."""
+    metrics = "recall double, fnr double, precision double, fpr double, brier double"
+    schema = (f"tau double, fn_weight double, overall struct<{metrics.replace(' double', ':double')}>, "
+              f"per_group array<struct<{group}:string,n:bigint,prevalence:double,{metrics.replace(' double', ':double').replace(', ', ',')}>>")
+    r = reports.select(F.from_json("report", schema).alias("r"))
+    names = ["recall", "fnr", "precision", "fpr", "brier"]
+    whole = F.struct(F.lit("overall").alias(group), F.lit(None).cast("bigint").alias("n"), *[F.col(f"r.overall.{m}").alias(m) for m in names])
+    groups = F.transform("r.per_group", lambda g: F.struct(g[group].alias(group), g["n"].alias("n"), *[g[m].alias(m) for m in names]))
+    return r.select("r.tau", "r.fn_weight", F.inline(F.concat(F.array(whole), groups)))

@@ -449,6 +449,63 @@ def q_fairness_report_json(spark, sf):
     return fairness.audit_report_json(gp, "grp", "y_true", "y_prob", _audit_tau(gp))
 
 
+@query("fairness_report_values")
+def q_fairness_report_values(spark, sf):
+    """The JSON report parsed again: one row for the overall metrics and one per group."""
+    gp = _gp(spark, sf)
+    report = fairness.audit_report_json(gp, "grp", "y_true", "y_prob", _audit_tau(gp))
+    return _r(fairness.parse_audit_report(report, "grp"))
+
+
+# ------------------------------------------------------------------ every defect at once
+def _wide(spark, sf):
+    return fixtures.hr_wide_dirty(_hr(spark, sf))
+
+
+@query("quality_all_rules")
+def q_quality_all_rules(spark, sf):
+    return quality.all_findings(spark, _wide(spark, sf))
+
+
+@query("quality_verdict_clean")
+def q_quality_verdict_clean(spark, sf):
+    return quality.verdict(quality.all_findings(spark, _hr(spark, sf)))
+
+
+@query("row_sequence_by_week")
+def q_row_sequence_by_week(spark, sf):
+    from tidewatch.operators.ordering import row_sequence
+    return row_sequence(_wide(spark, sf).select("EmployeeID", "weekly_ts"), ["weekly_ts", "EmployeeID"])
+
+
+@query("cost_curve_dirty")
+def q_cost_curve_dirty(spark, sf):
+    return _r(ev.grid_sweep(_wide(spark, sf), "score", "left_flag", K.grid_101(), inclusive=True))
+
+
+@query("bias_report_alerts")
+def q_bias_report_alerts(spark, sf):
+    skewed = _hr(spark, sf).withColumn("pred", ((F.col("score") > 0.5) | (F.col("sales") == "BUILDING")
+                                                | (F.col("salary") == "high")).cast("int"))
+    return _r(fairness.bias_report(skewed, "left_flag", "pred", {"department": "sales", "salary": "salary"}))
+
+
+def _verdict_of(spark, sf, df):
+    levels = features.category_levels(_hr(spark, sf), "sales")
+    return drift.batch_verdict(df, [c for c, _ in K.REQUIRED_COLUMNS], "weekly_ts", "left_flag",
+                               {"salary": K.SALARY_LEVELS, "sales": levels})
+
+
+@query("batch_verdict_clean")
+def q_batch_verdict_clean(spark, sf):
+    return _verdict_of(spark, sf, _hr(spark, sf))
+
+
+@query("batch_verdict_warnings")
+def q_batch_verdict_warnings(spark, sf):
+    return _verdict_of(spark, sf, _wide(spark, sf))
+
+
 # ------------------------------------------------------------------ sources
 @query("raw_load")
 def q_raw_load(spark, sf):
@@ -766,9 +823,7 @@ def q_drift_policy(spark, sf):
 
 @query("batch_verdict")
 def q_batch_verdict(spark, sf):
-    levels = features.category_levels(_hr(spark, sf), "sales")
-    return drift.batch_verdict(_dirty(spark, sf), [c for c, _ in K.REQUIRED_COLUMNS], "weekly_ts", "left_flag",
-                               {"salary": K.SALARY_LEVELS, "sales": levels})
+    return _verdict_of(spark, sf, _dirty(spark, sf))
 
 
 @query("promotion_gate")

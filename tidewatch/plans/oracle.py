@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tidewatch.plans.sql_fixtures import (GOLD_CTES, GROUP_PREDS_CTE, HR_CTES, HR_DIRTY_CTE,
+                                          HR_WIDE_CTE,
                                           rounded, with_ctes)
 
 ORACLE: dict[str, str] = {}
@@ -572,6 +573,56 @@ deal AS (
   FROM deal d JOIN sizes s ON s.place = d.place + 1)""")[5:]
 
 
+# ------------------------------------------------------------------ every defect at once
+_RULES = [("satisfaction_level", "BETWEEN 0 AND 1"), ("last_evaluation", "BETWEEN 0 AND 1"), ("number_project", "BETWEEN 0 AND 20"),
+          ("average_montly_hours", "BETWEEN 0 AND 400"), ("time_spend_company", "BETWEEN 0 AND 50"), ("Work_accident", "IN (0, 1)"),
+          ("promotion_last_5years", "IN (0, 1)"), ("salary", "IN ('low', 'medium', 'high')")]
+ORACLE["quality_all_rules"] = hr_sql("""
+SELECT 'range' AS check_kind, CAST(seq AS INT) AS seq, column_name, bad_count,
+  column_name || ': ' || CAST(bad_count AS VARCHAR) || ' bad' AS message FROM (
+""" + "\nUNION ALL\n".join(
+    f"SELECT {20 + i} AS seq, '{c}' AS column_name, COUNT(*) FILTER (WHERE ({c} {rule}) IS NOT TRUE) AS bad_count FROM hr_wide"
+    for i, (c, rule) in enumerate(_RULES)) + ") x WHERE bad_count > 0", HR_WIDE_CTE)
+ORACLE["quality_verdict_clean"] = hr_sql("SELECT CAST(0 AS BIGINT) AS n_errors, TRUE AS passed, '' AS errors FROM (SELECT COUNT(*) FROM hr) x")
+ORACLE["row_sequence_by_week"] = hr_sql("""
+SELECT EmployeeID, weekly_ts, ROW_NUMBER() OVER (ORDER BY weekly_ts ASC NULLS FIRST, EmployeeID) - 1 AS row_id FROM hr_wide""",
+                                        HR_WIDE_CTE)
+_PASSES = "(s.score IS NOT NULL AND NOT isnan(s.score) AND s.score >= g.tau)"
+ORACLE["cost_curve_dirty"] = rounded(hr_sql(f"""
+SELECT *, 10e0 * fn + 1e0 * fp AS cost FROM (
+  SELECT g.i, g.tau, COUNT(*) FILTER (WHERE {_PASSES} AND left_flag = 1) AS tp, COUNT(*) FILTER (WHERE {_PASSES} AND left_flag = 0) AS fp,
+    COUNT(*) FILTER (WHERE NOT {_PASSES} AND left_flag = 1) AS fn, COUNT(*) FILTER (WHERE NOT {_PASSES} AND left_flag = 0) AS tn
+  FROM grid g, hr_wide s GROUP BY g.i, g.tau) c""", HR_WIDE_CTE, _grid_cte("grid", _G101)), ["tau", "cost"])
+_SKEWED = "p AS (SELECT *, CAST(CASE WHEN score > 0.5 OR sales = 'BUILDING' OR salary = 'high' THEN 1 ELSE 0 END AS INT) AS pred FROM hr)"
+ORACLE["bias_report_alerts"] = rounded(hr_sql("SELECT * FROM dims", _SKEWED, _BIAS_ROWS), ["max_parity_difference"])
+
+
+def _batch_sql(src: str, *extra: str) -> str:
+    return hr_sql(f"""
+SELECT *, '' AS missing_columns, CASE WHEN worst > 0.05e0 THEN 'rejected' WHEN issues > 0 THEN 'accepted with warnings' ELSE 'accepted' END AS outcome
+FROM (SELECT n_rows, null_timestamps, null_labels, unknown_salary, unknown_sales, duplicate_rows FROM b) x
+CROSS JOIN (SELECT null_timestamps + null_labels + unknown_salary + unknown_sales + duplicate_rows AS issues,
+  GREATEST(null_timestamps, null_labels, unknown_salary, unknown_sales, duplicate_rows) / CAST(n_rows AS DOUBLE) AS worst FROM b) y""", *extra, f"""
+b AS (SELECT COUNT(*) AS n_rows, COUNT(*) FILTER (WHERE weekly_ts IS NULL) AS null_timestamps,
+    COUNT(*) FILTER (WHERE left_flag IS NULL) AS null_labels,
+    COUNT(*) FILTER (WHERE NOT COALESCE(salary IN ('low', 'medium', 'high'), FALSE)) AS unknown_salary,
+    COUNT(*) FILTER (WHERE NOT COALESCE(sales IN (SELECT DISTINCT sales FROM hr WHERE sales IS NOT NULL), FALSE)) AS unknown_sales,
+    CAST(COUNT(*) - (SELECT COUNT(*) FROM (SELECT DISTINCT * FROM {src}) d) AS BIGINT) AS duplicate_rows FROM {src})""")
+
+
+ORACLE["batch_verdict_clean"] = f"SELECT * EXCLUDE (issues, worst) FROM ({_batch_sql('hr')}) z"
+ORACLE["batch_verdict_warnings"] = f"SELECT * EXCLUDE (issues, worst) FROM ({_batch_sql('hr_wide', HR_WIDE_CTE)}) z"
+ORACLE["fairness_report_values"] = rounded(_GP_SQL("""
+SELECT (SELECT tau FROM atau) AS tau, 10e0 AS fn_weight, 'overall' AS grp, o.n, o.recall, o.fnr, o.precision, o.fpr, o.brier FROM (
+  SELECT CAST(NULL AS BIGINT) AS n, recall, fnr, precision, fpr, brier FROM am_all) o
+UNION ALL
+SELECT (SELECT tau FROM atau), 10e0, grp, n, recall, fnr, precision, fpr, brier FROM am""",
+    *_audit_sql("group_preds", "grp", "grp"),
+    _audit_sql("group_preds", "'all'", "grp")[2].replace("ac AS (", "ac_all AS (", 1),
+    _audit_sql("group_preds", "'all'", "grp")[3].replace("am AS (", "am_all AS (", 1).replace("FROM ac)", "FROM ac_all)")),
+    ["tau", "recall", "fnr", "precision", "fpr", "brier"])
+
+
 # ------------------------------------------------------------------ alerts and text
 _PHRASES = [("v1_overtime_sum", "overtime pressure"),
             ("v2_overload_satisfaction_sum", "high workload with low satisfaction"),

@@ -43,6 +43,22 @@ hr_dirty AS (
     CASE WHEN EmployeeID % 131 = 0 THEN NULL ELSE left_flag END AS left_flag, weekly_ts
   FROM (SELECT * FROM hr UNION ALL SELECT * FROM hr WHERE EmployeeID % 97 = 0) u)"""
 
+HR_WIDE_CTE = """
+hr_wide AS (
+  SELECT * REPLACE (
+    CASE WHEN EmployeeID % 101 = 0 THEN NULL WHEN EmployeeID % 211 = 0 THEN satisfaction_level + 1 ELSE satisfaction_level END AS satisfaction_level,
+    CASE WHEN EmployeeID % 61 = 0 THEN last_evaluation + 2 ELSE last_evaluation END AS last_evaluation,
+    CAST(CASE WHEN EmployeeID % 67 = 0 THEN 99 ELSE number_project END AS INT) AS number_project,
+    CAST(CASE WHEN EmployeeID % 89 = 0 THEN average_montly_hours + 400 ELSE average_montly_hours END AS INT) AS average_montly_hours,
+    CAST(CASE WHEN EmployeeID % 71 = 0 THEN -1 ELSE time_spend_company END AS INT) AS time_spend_company,
+    CAST(CASE WHEN EmployeeID % 73 = 0 THEN 2 ELSE Work_accident END AS INT) AS Work_accident,
+    CAST(CASE WHEN EmployeeID % 79 = 0 THEN 5 ELSE promotion_last_5years END AS INT) AS promotion_last_5years,
+    CASE WHEN EmployeeID % 109 = 0 THEN 'exec' ELSE salary END AS salary,
+    CASE WHEN EmployeeID % 131 = 0 THEN NULL ELSE left_flag END AS left_flag,
+    CASE WHEN EmployeeID % 83 = 0 THEN NULL ELSE weekly_ts END AS weekly_ts,
+    CASE WHEN EmployeeID % 59 = 0 THEN NULL WHEN EmployeeID % 53 = 0 THEN CAST('NaN' AS DOUBLE) ELSE score END AS score)
+  FROM hr)"""
+
 GROUP_PREDS_CTE = """
 group_preds AS (
   SELECT d.doc_id, d.lang AS grp, l.toxic AS y_true, 1 - l.quality AS y_pred,

@@ -96,6 +96,24 @@ def hr_dirty(spark: SparkSession, sf_dir: str, hr_df: DataFrame | None = None) -
     )
 
 
+def hr_wide_dirty(h: DataFrame) -> DataFrame:
+    """All required columns of ``h`` with defects in each: every domain rule is broken somewhere,
+    weeks, labels and scores are missing, and some scores are NaN."""
+    eid = F.col("EmployeeID")
+    bad = {"satisfaction_level": [(101, None), (211, F.col("satisfaction_level") + 1)],
+           "last_evaluation": [(61, F.col("last_evaluation") + 2)], "number_project": [(67, F.lit(99))],
+           "average_montly_hours": [(89, F.col("average_montly_hours") + 400)], "time_spend_company": [(71, F.lit(-1))],
+           "Work_accident": [(73, F.lit(2))], "promotion_last_5years": [(79, F.lit(5))], "salary": [(109, F.lit("exec"))],
+           "left_flag": [(131, None)], "weekly_ts": [(83, None)], "score": [(59, None), (53, F.lit(float("nan")))]}
+    out = []
+    for f in h.schema.fields:
+        c = F.col(f.name)
+        for k, v in reversed(bad.get(f.name, [])):
+            c = F.when(eid % k == 0, F.lit(None) if v is None else v).otherwise(c)
+        out.append(c.cast(f.dataType).alias(f.name))
+    return h.select(*out)
+
+
 def group_preds(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = read_table(spark, sf_dir, "documents").select("doc_id", "lang")
     lab = read_table(spark, sf_dir, "labels")
