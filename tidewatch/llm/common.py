@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 #: Words everywhere in this package: runs of anything but space and U+0009..U+000D.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -12,12 +14,20 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: bounds the numpy temporaries (about 60 bytes a text byte); a longer text is one slice.
 SLICE_BYTES = 1 << 20
 
+#: A table of at most so many rows may be broadcast (rows of keys and numbers, under 200 bytes).
+SMALL_ROWS = 20_000
+
 _SEPARATOR = np.zeros(256, bool)
 _SEPARATOR[[0x20, *range(0x09, 0x0E)]] = True
 
 _ODD = 0x9E3779B97F4A7C15          # odd multiplier of the rolling hashes
 
 
+def small(df: DataFrame) -> DataFrame:
+    """``df`` (stored) marked for broadcast if its row count allows, else as it is."""
+    return F.broadcast(df) if df.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS else df
+
+
 def byte_slices(texts, limit: int = SLICE_BYTES):
     """``(first row, end row, bytes, offsets)`` over an Arrow string array; null is empty."""
     texts = pa.array(texts) if not isinstance(texts, pa.Array) else texts

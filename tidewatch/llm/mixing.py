@@ -21,23 +21,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import WORD
+from tidewatch.llm.common import WORD, small
 from tidewatch.session import checkpointed
 
 WEIGHTS, TOTAL, MAX_REPEATS = (5, 2, 1), 1.5, 2
 BLOCK_WORDS, SHARD_WORDS, SEED = 64, 1 << 20, 17
-#: A table of at most so many rows may be broadcast (its rows are under 200 bytes).
-SMALL_ROWS = 20_000
-
 #: Primes above any number of blocks in a shard, so coprime to it.
 PRIMES = (2147483587, 2147483629, 2147483647, 4294967279, 4294967291)
 
 
-def small(df: DataFrame) -> DataFrame:
-    """``df`` (stored) marked for broadcast if its row count allows, else as it is."""
-    return F.broadcast(df) if df.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS else df
-
-
 def targets(sources: DataFrame, weights=WEIGHTS, total: float = TOTAL, max_repeats: int = MAX_REPEATS) -> DataFrame:
     """``(source, source_size)`` with ``weight`` and ``target``: shares by weight below a cap.
 

@@ -36,8 +36,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import Rolling, byte_slices, mixed
-from tidewatch.session import scratch_path
+from tidewatch.llm.common import Rolling, byte_slices, mixed, small
+from tidewatch.session import checkpointed, scratch_path
 
 LENGTH = 100
 #: Segments of one key that are compared in one piece; keys with more are dealt finer.
@@ -444,10 +444,10 @@ def deduplicated(docs: DataFrame, id: str = "doc_id", text: str = "text", length
     marks = spark.read.schema(MARK).parquet(path)
     opened = marks.where("key is not null")
     # 2. open segments with their bytes; those of crowded keys in runs of fewer windows
-    crowded = opened.groupBy("key").agg(F.count("*").alias("many")).where(F.col("many") > key_segments)
+    crowded = checkpointed(opened.groupBy("key").agg(F.count("*").alias("many")).where(F.col("many") > key_segments))
     whole = length - _gram(length) + 1
     most = F.when(F.col("many").isNull(), whole).otherwise(F.greatest(F.lit(1), F.floor(F.lit(whole * key_segments) / F.col("many"))))
-    runs = (opened.join(crowded, "key", "left").withColumn("most", most.cast("long"))
+    runs = (opened.join(small(crowded), "key", "left").withColumn("most", most.cast("long"))
             .groupBy("doc", "version").agg(F.collect_list(F.struct("start", "size", "anchor", "most")).alias("open")))
     pieces = (base.join(runs.hint("shuffle_hash"), ["doc", "version"]).select("doc", "version", "text", "open", "id")
               .select("doc", "version", "text", "open").mapInArrow(_deal(length), PIECE))
