@@ -417,6 +417,15 @@ def q_bias_report(spark, sf):
                                    {"department": "sales", "salary": "salary"}))
 
 
+@query("bias_report_file")
+def q_bias_report_file(spark, sf):
+    """The bias report written as JSON lines and read back."""
+    path = scratch_path(spark, "bias") + ".json"
+    report = fairness.bias_report(_hr_pred(spark, sf), "left_flag", "pred", {"department": "sales", "salary": "salary"})
+    files.save_df(report, path)
+    return _r(spark.read.schema(report.schema).json(path))
+
+
 @query("fairness_group_metrics")
 def q_fairness_group_metrics(spark, sf):
     gp = _gp(spark, sf)
@@ -537,6 +546,16 @@ def q_dataset_fingerprint(spark, sf):
     return files.dataset_manifest({t: read_table(spark, sf, t) for t in TABLES})
 
 
+@query("run_manifest")
+def q_run_manifest(spark, sf):
+    """The run manifest written as one JSON document and read back (its time left out)."""
+    from tidewatch.sources.tables import TABLES, read_table
+    path = scratch_path(spark, "manifest") + ".json"
+    files.write_run_manifest({t: read_table(spark, sf, t) for t in TABLES}, path, {"fn_weight": "10", "fp_weight": "1"})
+    back = files.read_run_manifest(spark, path)
+    return back.select("dataset", "n_rows", "n_columns", F.col("parameters")["fn_weight"].alias("fn_weight"))
+
+
 @query("source_checksums")
 def q_source_checksums(spark, sf):
     return files.file_checksums(spark, f"{sf.rstrip('/')}/*.parquet")

@@ -550,6 +550,8 @@ ORACLE["dataset_manifest"] = "\nUNION ALL\n".join(
     f"SELECT '{t}' AS dataset, COUNT(*) AS n_rows, "
     f"(SELECT CAST(COUNT(*) AS INT) FROM (DESCRIBE SELECT * FROM {t})) AS n_columns FROM {t}"
     for t in _TABLE_COLS)
+ORACLE["run_manifest"] = f"SELECT *, '10' AS fn_weight FROM ({ORACLE['dataset_manifest']}) m"
+ORACLE["bias_report_file"] = ORACLE["bias_report"]
 
 
 ORACLE["threshold_lookup"] = rounded(scored_sql(

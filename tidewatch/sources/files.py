@@ -116,3 +116,20 @@ def dataset_manifest(tables: dict[str, DataFrame]) -> DataFrame:
             F.lit(df.schema.json()).alias("schema_json"), "hash_sum", "hash_xor")
         rows = one if rows is None else rows.unionByName(one)
     return rows
+
+
+def write_run_manifest(tables: dict[str, DataFrame], path: str, parameters: dict[str, str]) -> None:
+    """One JSON document: when the run was, its parameters, and each dataset's manifest row."""
+    rows = dataset_manifest(tables)
+    doc = rows.agg(F.array_sort(F.collect_list(F.struct(*rows.columns))).alias("datasets"))     # one entry per dataset
+    pairs = [x for k, v in sorted(parameters.items()) for x in (F.lit(k), F.lit(v))]
+    doc.select(F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ssXXX").alias("created_at"),
+               F.create_map(*pairs).alias("parameters") if pairs else F.lit(None).cast("map<string,string>").alias("parameters"),
+               "datasets").coalesce(1).write.mode("overwrite").json(path)
+
+
+def read_run_manifest(spark: SparkSession, path: str) -> DataFrame:
+    """The manifest's datasets as rows, with the run's time and parameters."""
+    schema = ("created_at string, parameters map<string,string>, datasets array<struct<dataset:string,n_rows:bigint,"
+              "n_columns:int,schema_json:string,hash_sum:string,hash_xor:bigint>>")
+    return spark.read.schema(schema).json(path).select("created_at", "parameters", F.inline("datasets"))
