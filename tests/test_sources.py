@@ -31,3 +31,13 @@ def test_run_manifest_round_trip(spark, tmp_path):
     files.write_run_manifest({"region": df}, path, {"seed": "42"})
     r = files.read_run_manifest(spark, path).first()
     assert r.dataset == "region" and r.n_rows == df.count() and r.parameters == {"seed": "42"} and r.created_at[:2] == "20"
+
+
+def test_layers_follow_their_source(spark, tmp_path):
+    from tidewatch.plans.layers import materialized
+    src = str(tmp_path / "src")
+    build = lambda: spark.read.parquet(src)
+    spark.range(3).write.parquet(src)
+    assert materialized(spark, src, "t", build).count() == 3
+    spark.range(2).write.mode("append").parquet(src)
+    assert materialized(spark, src, "t", build).count() == 5

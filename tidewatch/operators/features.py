@@ -2,7 +2,7 @@
 
 Plan shape at scale (employees ≫ department-weeks):
 
-* global thresholds: one aggregate → struct scalar subquery, inlined as literals;
+* global thresholds: one histogram and its running counts → struct scalar subquery, inlined as literals;
 * flags: narrow projection inside the scan's whole-stage-codegen stage;
 * department-week: partial hash aggregate before the exchange on
   (department, week), so a hot department-week collapses map-side;
@@ -17,35 +17,31 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewatch.functions import constants as K
 from tidewatch.functions.exprs import flag, safe_ratio, scalar_row
+from tidewatch.operators.ordering import grouped_quantiles
+from tidewatch.operators.profile import long_values
 
 KEYS = ["sales", "weekly_ts"]
 
 
 # --------------------------------------------------------------------- A8
-def violation_thresholds(df: DataFrame, approx: bool = False) -> DataFrame:
+def violation_thresholds(df: DataFrame) -> DataFrame:
     """One row: p95 hours, p75 projects, p25 satisfaction, p75 tenure, median hours.
 
-    Exact linear-interpolated percentiles (the pandas default).  The exact
-    aggregate keeps one count per distinct value, which is bounded for these
-    integer / two-decimal domains; ``approx=True`` switches to
-    ``percentile_approx`` for unbounded domains.
+    Exact linear-interpolated percentiles (the pandas default) from one histogram of all
+    four columns, whatever the number of distinct values.
     """
-    def pct(c: str, p: float) -> Column:
-        x = F.col(c).cast("double")
-        return F.percentile_approx(x, p, 100000) if approx else F.percentile(x, p)
-
-    return df.agg(
-        pct("average_montly_hours", 0.95).alias("p95_hours"),
-        pct("number_project", 0.75).alias("p75_projects"),
-        pct("satisfaction_level", 0.25).alias("p25_satisfaction"),
-        pct("time_spend_company", 0.75).alias("p75_tenure"),
-        pct("average_montly_hours", 0.5).alias("median_hours"),
-    )
+    wanted = {"p95_hours": ("average_montly_hours", 0.95), "p75_projects": ("number_project", 0.75),
+              "p25_satisfaction": ("satisfaction_level", 0.25), "p75_tenure": ("time_spend_company", 0.75),
+              "median_hours": ("average_montly_hours", 0.5)}
+    probs = sorted({p for _, p in wanted.values()})
+    long = long_values(df, list(dict.fromkeys(c for c, _ in wanted.values())))
+    q = grouped_quantiles(long, ["feature"], "value", probs)
+    return q.agg(*[F.max(F.when(F.col("feature") == c, F.col("q")[probs.index(p)])).alias(name) for name, (c, p) in wanted.items()])
 
 
 # --------------------------------------------------------------------- A9
@@ -95,9 +91,9 @@ def add_lags(dept_week: DataFrame, cols: Sequence[str] = tuple(K.LAGGED_COLUMNS)
     return dept_week.withColumns({f"{c}_lag1": F.lag(c, 1).over(w) for c in cols})
 
 
-def dept_week_gold(hr: DataFrame, approx: bool = False) -> DataFrame:
+def dept_week_gold(hr: DataFrame) -> DataFrame:
     """Thresholds → flags → department-week aggregate → lags (19 columns)."""
-    flagged = violation_flags(hr, violation_thresholds(hr, approx=approx))
+    flagged = violation_flags(hr, violation_thresholds(hr))
     return add_lags(dept_week_features(flagged))
 
 

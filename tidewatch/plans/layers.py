@@ -6,8 +6,8 @@ queries read the files.  This cuts the lineage (a lost executor re-reads a few
 files instead of recomputing the whole projection) and lets every scalar
 subquery scan a small table instead of re-deriving it.
 
-Layers are keyed by session and source folder and live only as long as the
-session, so results never come from a stale run.
+Layers are keyed by session, source folder and the source files' names, sizes and times,
+so results never come from a stale run or a changed source.
 """
 
 from __future__ import annotations
@@ -20,12 +20,24 @@ from pyspark.sql import DataFrame, SparkSession
 from tidewatch.session import shared_dir
 
 _LOCK = threading.RLock()
-_DONE: dict[tuple[str, str, str], str] = {}
+_DONE: dict[tuple[str, str, str, str], str] = {}
+
+
+def _state(spark: SparkSession, folder: str) -> str:
+    """A digest of the files below ``folder``: names, sizes, modification times."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    each = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(path, True)
+    found = []
+    while each.hasNext():
+        f = each.next()
+        found.append(f"{f.getPath()} {f.getLen()} {f.getModificationTime()}")
+    return hashlib.sha1("\n".join(sorted(found)).encode()).hexdigest()
 
 
 def materialized(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
     """Parquet copy of ``build()`` for this session and source folder."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name, _state(spark, sf_dir))
     with _LOCK:
         path = _DONE.get(key)
         if path is None:
