@@ -20,9 +20,10 @@ from pyspark.sql import functions as F
 from tidewatch.llm.common import Rolling, byte_slices, mixed, repeated, word_spans
 
 SYMBOLS = "#*$%&|<>"
-#: Largest kept share of a text's word characters inside repeated n-grams, by n. Lengths the
-#: published repetition filters use; shares are a little looser as first occurrences count too.
-NGRAM_LIMITS = {5: 0.25, 6: 0.24, 7: 0.23, 8: 0.22, 9: 0.21, 10: 0.20}
+#: Largest kept share of a text's word characters inside repeated n-grams, by n. The longer
+#: lengths are those published repetition filters use, with looser shares as first occurrences
+#: count too (a short text may repeat one passage); 3 finds words repeated a few times each.
+NGRAM_LIMITS = {3: 0.75, 5: 0.30, 6: 0.30, 7: 0.30, 8: 0.30, 9: 0.30, 10: 0.30}
 LINE_LIMIT = 0.30                  # of word characters, inside lines equal to an earlier line
 SYMBOLS_PER_WORD = 0.10
 BASE_WORDS, BASE_REPEAT_PERCENT, BASE_WINDOW = 10, 20, 5
@@ -32,7 +33,7 @@ MEASURES = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_
 
 
 def measures(texts: pa.Array, lengths: tuple[int, ...]) -> pa.Array:
-    """Struct array of ``MEASURES`` for an Arrow string array; lengths start with 5."""
+    """Struct array of ``MEASURES`` for an Arrow string array; ``lengths`` ascend and hold 5."""
     is_symbol = np.zeros(256, bool)
     is_symbol[list(SYMBOLS.encode())] = True
     columns = {k: [] for k in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "dup_line_chars")}
@@ -84,7 +85,7 @@ def measures(texts: pa.Array, lengths: tuple[int, ...]) -> pa.Array:
         columns["n_symbols"].append(symbols[offs[1:]] - symbols[offs[:-1]])
         columns["n_dup_lines"].append(np.bincount(line_doc, later, n).astype(np.int64))
         columns["dup_line_chars"].append(np.bincount(line_doc, line_chars, n).astype(np.int64))
-        columns["n_repeat_words"].append(per_doc(covered[0]))
+        columns["n_repeat_words"].append(per_doc(covered[lengths.index(BASE_WINDOW)]))
         spans.append(np.stack([per_doc(c * chars) for c in covered], 1))
     flat = {k: np.concatenate(v) if v else np.zeros(0, np.int64) for k, v in columns.items()}
     arrays = [pa.array(v, pa.int64()) for v in flat.values()]
@@ -106,8 +107,8 @@ def judged(docs: DataFrame, text: str = "text", into: str = "quality",
     ``symbols_per_word`` symbols a word.  A column named ``into`` is replaced.
     """
     lengths = tuple(sorted(ngram_limits))
-    if lengths[:1] != (BASE_WINDOW,):
-        raise ValueError(f"the shortest n-gram length must be {BASE_WINDOW}")
+    if BASE_WINDOW not in lengths:
+        raise ValueError(f"the n-gram lengths must hold {BASE_WINDOW}")
 
     def run(texts: pa.Array) -> pa.Array:
         return measures(texts, lengths)
