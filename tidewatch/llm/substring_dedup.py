@@ -433,11 +433,14 @@ def deduplicated(docs: DataFrame, id: str = "doc_id", text: str = "text", length
     """One row per row of ``docs``: id, ``n_bytes``, ``kept`` (bytes) and ``spans`` (removed ranges, in bytes)."""
     spark = docs.sparkSession
     t = F.col(text).cast("string")
-    base = docs.select(F.col(id).cast("long").alias("id"), t.alias("text"),
-                       F.coalesce(F.col(id).cast("long"), F.lit(_SMALLEST)).alias("doc"),
-                       F.pmod(F.xxhash64(t), F.lit(1 << _VERSION_BITS)).alias("version"))
+    # the version's last bit tells a null id; both columns are never null, so that the two joins
+    # below plan, and share, the same shuffle of the texts
+    none = F.col(id).isNull().cast("long")
+    version = F.pmod(F.xxhash64(t), F.lit(1 << (_VERSION_BITS - 1))) * 2 + none
+    base = docs.select(F.coalesce(F.col(id).cast("long"), F.lit(_SMALLEST)).alias("doc"),
+                       F.coalesce(version, F.lit(0)).alias("version"), t.alias("text"))
     # 1. segments, and what equal ones settle
-    found = base.select("doc", "version", "text").mapInArrow(_cut(length), SEGMENT)
+    found = base.mapInArrow(_cut(length), SEGMENT)
     order = ["key", "content", "doc", "pos"]
     path = scratch_path(spark, "repeat-marks")
     found.repartition("key").sortWithinPartitions(*order).mapInArrow(_settle(length), MARK).write.parquet(path)
@@ -449,8 +452,8 @@ def deduplicated(docs: DataFrame, id: str = "doc_id", text: str = "text", length
     most = F.when(F.col("many").isNull(), whole).otherwise(F.greatest(F.lit(1), F.floor(F.lit(whole * key_segments) / F.col("many"))))
     runs = (opened.join(small(crowded), "key", "left").withColumn("most", most.cast("long"))
             .groupBy("doc", "version").agg(F.collect_list(F.struct("start", "size", "anchor", "most")).alias("open")))
-    pieces = (base.join(runs.hint("shuffle_hash"), ["doc", "version"]).select("doc", "version", "text", "open", "id")
-              .select("doc", "version", "text", "open").mapInArrow(_deal(length), PIECE))
+    pieces = (base.join(runs.hint("shuffle_hash"), ["doc", "version"]).select("doc", "version", "text", "open")
+              .mapInArrow(_deal(length), PIECE))
     # 3. repeats inside them
     inner = (pieces.repartition("route").sortWithinPartitions("route", "content", "doc", "version", "start")
              .mapInArrow(_compare(length, array_bytes), RANGE))
@@ -459,4 +462,4 @@ def deduplicated(docs: DataFrame, id: str = "doc_id", text: str = "text", length
               .groupBy("doc", "version").agg(F.collect_list(F.struct("start", "size")).alias("ranges")))
     cut = F.arrow_udf(_kept, "n_bytes long, kept binary, spans array<struct<start:bigint,length:bigint>>")
     out = base.join(ranges.hint("shuffle_hash"), ["doc", "version"], "left").withColumn("r", cut("text", "ranges"))
-    return out.select(F.col("id").alias(id), "r.n_bytes", "r.kept", "r.spans")
+    return out.select(F.when(F.col("version") % 2 == 0, F.col("doc")).alias(id), "r.n_bytes", "r.kept", "r.spans")
