@@ -129,29 +129,18 @@ def missing_summary(df: DataFrame) -> DataFrame:
 def outlier_summary(df: DataFrame, cols: Sequence[str] = tuple(K.NUMERIC_PROFILE_COLUMNS)) -> DataFrame:
     """Q6: IQR fences per column and the share of all rows outside them.
 
-    Quartiles come from one histogram of all columns (inlined as a struct scalar
-    subquery); the outlier counts are a second single pass.
+    Quartiles come from one histogram of all columns; the outlier counts are a second
+    single pass against that small table (one row per column).
     """
-    found = grouped_quantiles(long_values(df, cols), ["feature"], "value", [0.25, 0.75])
-    q = scalar_row(found.agg(*[F.max(F.when(F.col("feature") == c, F.col("q"))).alias(c) for c in cols]))
-    out = []
-    for c in cols:
-        q1, q3 = q.getField(c)[0], q.getField(c)[1]
-        lo = q1 - (q3 - q1) * 1.5
-        hi = q3 + (q3 - q1) * 1.5
-        x = F.col(c)
-        out += [F.sum(F.when((x < lo) | (x > hi), 1).otherwise(0)).cast("bigint").alias(f"o__{c}")]
-    counts = df.agg(F.count(F.lit(1)).alias("__n"), *out)
-    rows = []
-    for c in cols:
-        q1, q3 = q.getField(c)[0], q.getField(c)[1]
-        iqr = q3 - q1
-        rows.append(F.struct(
-            F.lit(c).alias("feature"), q1.alias("q1"), q3.alias("q3"), iqr.alias("iqr"),
-            (q1 - iqr * 1.5).alias("lower_bound"), (q3 + iqr * 1.5).alias("upper_bound"),
-            F.col(f"o__{c}").alias("outlier_count"),
-            (F.col(f"o__{c}") * 100.0 / F.col("__n")).alias("outlier_pct")))
-    return counts.select(F.inline(F.array(*rows))).where(F.col("q1").isNotNull())
+    long = long_values(df, cols)
+    q = grouped_quantiles(long, ["feature"], "value", [0.25, 0.75])
+    q1, q3, x = F.col("q")[0], F.col("q")[1], F.col("value")
+    fences = q.select("feature", q1.alias("q1"), q3.alias("q3"), (q3 - q1).alias("iqr"),
+                      (q1 - (q3 - q1) * 1.5).alias("lower_bound"), (q3 + (q3 - q1) * 1.5).alias("upper_bound"))
+    beyond = (x < F.col("lower_bound")) | (x > F.col("upper_bound"))
+    keys = fences.columns
+    return long.join(F.broadcast(fences), "feature").groupBy(*keys).agg(
+        F.count_if(beyond).alias("outlier_count"), (F.count_if(beyond) * 100.0 / F.count(F.lit(1))).alias("outlier_pct"))
 
 
 def cleanup_report(df: DataFrame, label: str = "left_flag") -> DataFrame:
