@@ -85,7 +85,8 @@ def test_every_operator_is_registered_once():
     assert "pipeline" in E.queries() and set(queries.ORACLE) <= set(queries.QUERIES)
 
 
-@pytest.mark.parametrize("key,table", [("op8_url_filter", "pages"), ("op1_quality_rules", "documents")])
+@pytest.mark.parametrize("key,table", [("op8_url_filter", "pages"), ("op1_quality_rules", "documents"),
+                                       ("op6_chat_format", "conversations"), ("op7_embedding_near_dedup", "embeddings")])
 def test_sql_oracle(spark, key, table):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{SF}/{table}.parquet')")
