@@ -72,3 +72,40 @@ def test_many_values_in_one_text(spark):
     text = " ".join(f"n{i} 10.0.{i // 256}.{i % 256}" for i in range(600))
     new, spans = out(spark, [text])[0]
     assert len(spans) == 600 and len({new[s.start:s.start + s.length] for s in spans}) == 600
+
+
+def test_cards_in_every_grouping_and_beside_other_numbers(spark):
+    card, same = "4111 1111 1111 1111", out(spark, ["4111111111111111"])[0][0]
+    beside = [f"{card} 12/27", f"{card} 123", f"{card} 2027", f"{card} 12", f"{card} 1234567", f"2027 {card}", f"12 {card}",
+              f"{card} 12th", f"{card} 10.0.0.1", f"{card} 2024-05-06", f"{card} 123-45-6789", f"{card} 555 123 4567",
+              f"100 200 {card}", f"{card}-123", "4111111111111111 2027", f"{card} {card}"]
+    for text, (new, spans) in zip(beside, out(spark, beside)):
+        hit = re.search(r"\d{4}[ ]\d{4}[ ]\d{4}[ ]\d{4}|\d{16}", new[text.index("4111"):])[0]
+        assert re.sub(" ", "", hit) == same and "4111 1111" not in new and len(new) >= len(text) - 4
+        assert "card" in [s.kind for s in spans]
+        assert hit in [new[s.start:s.start + s.length] for s in spans]
+        assert not any(v in new for v in ("10.0.0.1", "2024-05-06", "123-45-6789", "555 123 4567"))
+    groupings = ["3782 822463 10005", "3056 930902 5904", "3782-822463-10005", "6304 0000 0000 0000 018 ", "6304000000000000018"]
+    assert all(luhn(re.sub(r"\D", "", g)) for g in groupings)
+    for text, (new, spans) in zip(groupings, out(spark, groupings)):
+        assert new != text and luhn(re.sub(r"\D", "", new)) and [s.kind for s in spans] == ["card"]
+        assert re.sub(r"\d", "0", new) == re.sub(r"\d", "0", text)
+    assert out(spark, [f"x 2027 {card} 99 y"])[0][0].startswith("x 2027 ") and out(spark, [f"{card} 99 y"])[0][0].endswith(" 99 y")
+
+
+def test_timestamps_and_phones(spark):
+    texts = ["2024-05-06T12:00", "at 2024-05-06T12:00:00Z.", "555 123 4567", "(555) 123 4567", "+1 555 123 4567", "+44 20 7946 0958",
+             "+33 1 23 45 67 89", "+49 (0)30 123456", "+49 30 123456", "+4420794609", "+45 12 34 56 78", "+47 2212 345"]
+    kinds = ["date"] * 2 + ["phone"] * 10
+    for text, kind, (new, spans) in zip(texts, kinds, out(spark, texts)):
+        assert new != text and [s.kind for s in spans] == [kind] and re.sub(r"\d", "0", new) == re.sub(r"\d", "0", text)
+    assert out(spark, ["2024-05-06T12:00"])[0][0][10:] == "T12:00"
+    new, spans = out(spark, ["+49 30 123456 4111 1111 1111 1111 +44 20 7946 0958 2024-05-06"])[0]
+    assert [s.kind for s in spans] == ["phone", "card", "phone", "date"]
+    assert out(spark, ["2024-05-06x 2024-05-06Tx"])[0][0] == "2024-05-06x 2024-05-06Tx"
+
+
+def test_a_long_run_of_digit_groups(spark):
+    text = "1234 " * 30000 + "4111 1111 1111 1111"
+    new, spans = out(spark, [text])[0]
+    assert len(new) == len(text) and not new.endswith("1111 1111 1111")

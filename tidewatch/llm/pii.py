@@ -8,7 +8,9 @@ secrets have no numeric domain: they get keyed digests in their own format.
 
 One regular expression finds the values; a text without one is passed on as it is.
 The rest runs on the array of found values with higher-order functions: no shuffle, no
-Python, whole texts.
+Python, whole texts.  Cards are sought in whole runs of digit groups: from every group on,
+each grouping of ``CARDS`` is tried until one passes the Luhn test, so numbers before or
+after a card do not hide it.
 
 Validation decides what is personal: a card number must pass the Luhn test, a date exist,
 an address have octets up to 255, a social security number have no all-zero or reserved
@@ -30,19 +32,34 @@ DEFAULT_KEY = "pseudonym-key-1"
 
 _EDGE = r"(?<![\p{L}\p{N}_])"
 _END = r"(?![\p{L}\p{N}_])"
+_IP = r"(?<![\p{L}\p{N}.])\d{1,3}(?:\.\d{1,3}){3}(?![\p{L}\p{N}]|\.\d)"
+#: A date may end before the time of an ISO timestamp.
+_DATE = rf"{_EDGE}(?:\d{{4}}-\d{{2}}-\d{{2}}(?!(?!T\d)[\p{{L}}\p{{N}}_])|\d{{2}}[./]\d{{2}}[./]\d{{4}}{_END})"
+_SSN = r"(?<![\p{L}\p{N}\-])\d{3}-\d{2}-\d{4}(?![\p{L}\p{N}]|-\d)"
+#: Four groups of four (and no fifth) or a 4-6-5 or 4-6-4 card begin here: no part of a phone number.
+_NO_CARD = r"(?!(?<!\d)\d{4}[ \-](?:\d{4}[ \-]\d{4}[ \-]\d{4}(?!\d|[ \-]\d{4}(?!\d))|\d{6}[ \-]\d{4,5}(?!\d)))"
+_PHONE = (rf"(?<![\p{{L}}\p{{N}}])(?:\+\d{{1,3}}[ .\-]?)?(?:\(\d{{3}}\)[ .\-]?|\d{{3}}[ .\-])\d{{3}}[ .\-]{_NO_CARD}\d{{4}}{_END}"
+          # 8 to 15 digits after a plus, grouped in any way
+          rf"|(?<![\p{{L}}\p{{N}}])\+\d(?:(?:[ .\-]?\(?|\)[ .\-]?){_NO_CARD}(?!(?<!\d)(?:{_DATE}|{_IP}))\d){{7,14}}{_END}")
 #: What is looked for, by kind, in order of precedence at one place.
 PATTERNS = {
     "email": r"(?<![\p{L}\p{N}._%+\-])[\p{L}\p{N}._%+\-]++@[\p{L}\p{N}\-]++(?:\.[\p{L}\p{N}\-]++)+",
     "secret": (r"(?i:\b(?:token|secret|password|passwd|api[_-]?key|access[_-]?key)\b[\"']?\s*[=:]\s*)(?:\"[^\"\s]{6,}+\"|'[^'\s]{6,}+'|[^\s\"'|]{6,}+)"
                rf"|{_EDGE}(?:AKIA|ASIA)[A-Z0-9]{{16}}{_END}"),
-    "ip": rf"(?<![\p{{L}}\p{{N}}.])\d{{1,3}}(?:\.\d{{1,3}}){{3}}(?![\p{{L}}\p{{N}}]|\.\d)",
-    "date": rf"{_EDGE}(?:\d{{4}}-\d{{2}}-\d{{2}}|\d{{2}}[./]\d{{2}}[./]\d{{4}}){_END}",
-    "ssn": rf"(?<![\p{{L}}\p{{N}}\-])\d{{3}}-\d{{2}}-\d{{4}}(?![\p{{L}}\p{{N}}]|-\d)",
-    "phone": rf"(?<![\p{{L}}\p{{N}}])(?:\+\d{{1,3}}[ .\-]?)?(?:\(\d{{3}}\)[ .\-]?|\d{{3}}[.\-])\d{{3}}[ .\-]\d{{4}}{_END}"
-             rf"|(?<![\p{{L}}\p{{N}}])\+\d{{10,15}}{_END}",
-    "card": rf"{_EDGE}\d{{13,19}}{_END}|{_EDGE}\d{{4}}([ \-])\d{{4}}(?:[ \-]\d{{2,7}}){{1,3}}{_END}",
+    "ip": _IP,
+    "date": _DATE,
+    "ssn": _SSN,
+    "phone": _PHONE,
+    # a run of digit groups up to where another value begins
+    "card": rf"{_EDGE}(?=(?:\d[ \-]?){{13}})\d++{_END}(?:[ \-](?!{_IP}|{_DATE}|{_SSN}|{_PHONE})\d++{_END})*+",
 }
 
+#: Groupings of a card number, those in use first; at one place the first that passes the Luhn test counts.
+CARDS = [rf"^{groups}(?!\d)" for groups in (
+    r"\d{13,19}", r"\d{4}(?:[ \-]\d{4}){3}[ \-]\d{3}", r"\d{4}(?:[ \-]\d{4}){3}", r"\d{4}[ \-]\d{6}[ \-]\d{5}", r"\d{4}[ \-]\d{6}[ \-]\d{4}",
+    *(rf"\d{{4}}[ \-]\d{{4}}(?:[ \-]\d{{2,7}}){{{n}}}" for n in (3, 2, 1)))]
+CARD_GROUPS = 5
+
 
 def _digest(key: Column, *parts) -> Column:
     return F.sha2(F.concat_ws("|", key, *parts), 256)
@@ -88,9 +105,52 @@ def _luhn_sum(digits: Column, doubled: int) -> Column:
     return F.aggregate(each, F.lit(0), lambda a, x: a + x)
 
 
+def _is_card(value: Column) -> Column:
+    digits = _digits(value)
+    return F.length(digits).between(13, 19) & (_luhn_sum(digits, 0) % 10 == 0)
+
+
+def _let(value: Column, use) -> Column:
+    """``use(value)``, with the value computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _plain(value: Column) -> Column:
+    return F.struct(F.lit(None).cast("string").alias("kind"), value.alias("value"))
+
+
+def _run(value: Column) -> Column:
+    """A run of digit groups as (kind, value) pieces: its cards, and what is between them."""
+    def cards(parts: Column) -> Column:                    # groups at even places, separators at odd ones
+        at = F.sequence(F.lit(0), F.size(parts) - 1, F.lit(2))
+        ahead = lambda i: F.array_join(F.slice(parts, i + 1, F.lit(2 * CARD_GROUPS)), "")
+        return F.transform(at, lambda i: _let(ahead(i), lambda t: F.get(F.filter(
+            F.array(*[F.regexp_extract(t, shape, 0) for shape in CARDS]), _is_card), F.lit(0))))
+
+    def split(parts: Column, card: Column) -> Column:
+        text = lambda a, b: F.array_join(F.slice(parts, a + 1, b - a), "")
+
+        def step(state: Column, i: Column) -> Column:
+            end = 2 * i + F.size(F.regexp_extract_all(F.get(card, i), F.lit(r"\d+|[ \-]"), F.lit(0)))
+            mark = F.struct(state.end.alias("before"), (2 * i).alias("start"), F.get(card, i).alias("value"))
+            hit = F.get(card, i).isNotNull() & (2 * i >= state.end)
+            return F.when(hit, F.struct(end.alias("end"), F.concat(state.marks, F.array(mark)).alias("marks"))).otherwise(state)
+
+        none = F.expr("cast(array() as array<struct<before:int,start:int,value:string>>)")
+        found = F.aggregate(F.sequence(F.lit(0), F.size(card) - 1), F.struct(F.lit(0).alias("end"), none.alias("marks")), step)
+        pieces = lambda f: F.concat(
+            F.flatten(F.transform(f.marks, lambda m: F.array(_plain(text(m.before, m.start)), F.struct(F.lit("card").alias("kind"), m.value.alias("value"))))),
+            F.array(_plain(text(f.end, F.size(parts)))))
+        return _let(found, pieces)
+
+    # most runs hold no card
+    return _let(F.regexp_extract_all(value, F.lit(r"\d+|[ \-]"), F.lit(0)), lambda parts: _let(cards(parts), lambda card: F.when(
+        F.exists(card, lambda c: c.isNotNull()), split(parts, card)).otherwise(F.array(_plain(F.array_join(parts, ""))))))
+
+
 def _card(value: Column, key: Column) -> Column:
     digits = _digits(value)
-    valid = F.length(digits).between(13, 19) & (_luhn_sum(digits, 0) % 10 == 0)
+    valid = _is_card(value)
     body = F.substr(digits, F.lit(1), F.length(digits) - 1)
     image = _by_length(body, range(12, 19), key, "card")
     check = F.pmod(10 - _luhn_sum(image, 1) % 10, F.lit(10)).cast("string")
@@ -152,11 +212,12 @@ def _ssn(value: Column, key: Column) -> Column:
 
 
 def _phone(value: Column, key: Column) -> Column:
-    """The last ten digits (or all after a short country code) are permuted; the rest stays."""
+    """The last ten digits (or all of fewer) are permuted; the rest stays."""
     digits = _digits(value)
-    head = F.substr(digits, F.lit(1), F.length(digits) - 10)
-    tail = F.substr(digits, F.length(digits) - 9, F.lit(10))
-    return _into(value, F.concat(head, _by_length(tail, [10], key, "phone")))
+    n = F.least(F.length(digits), F.lit(10))
+    head = F.substr(digits, F.lit(1), F.length(digits) - n)
+    tail = F.substr(digits, F.length(digits) - n + 1, n)
+    return _into(value, F.concat(head, _by_length(tail, [8, 9, 10], key, "phone")))
 
 
 def _email(value: Column, key: Column) -> Column:
@@ -207,23 +268,22 @@ def pseudonymised(docs: DataFrame, text: str = "text", key: str = DEFAULT_KEY, s
     k, t = F.lit(key), F.col(text).cast("string")
     values = F.regexp_extract_all(t, F.lit(ANY), F.lit(0))
     between = F.split(t, ANY, -1)                           # one more than values
-    marked = F.transform(F.transform(values, lambda v: F.struct(_kind(v).alias("kind"), v.alias("value"))),
-                         lambda f: F.struct(f.kind.alias("kind"), f.value.alias("value"), _pseudonym(f, k).alias("new")))
-    work = docs.withColumn("_found", F.when(t.rlike(MAYBE) & t.rlike(ANY),
-                                            F.struct(marked.alias("values"), between.alias("pieces"))))
-    found, made = F.col("_found"), F.col("_found").getField("values")
-    new = lambda i: F.coalesce(F.get(made, i).new, F.get(made, i).value, F.lit(""))
-    joined = F.array_join(F.transform(found.pieces, lambda piece, i: F.concat(piece, new(i))), "")
-    out = work.withColumn("_new", joined)
+    typed = F.transform(values, lambda v: F.struct(_kind(v).alias("kind"), v.alias("value")))
+    typed = F.transform(typed, lambda f: F.when(f.kind == "card", _run(f.value)).otherwise(F.array(f)))
+    # the text in pieces: what is between values has no kind
+    pieces = F.flatten(F.zip_with(between, typed, lambda b, f: F.concat(F.array(_plain(b)), F.coalesce(f, F.array(_plain(F.lit("")))))))
+    made = F.transform(pieces, lambda f: F.struct(f.kind.alias("kind"), f.value.alias("value"), _pseudonym(f, k).alias("new")))
+    work = docs.withColumn("_found", F.when(t.rlike(MAYBE) & t.rlike(ANY), made))
+    found = F.col("_found")
+    put = lambda f: F.coalesce(f.new, f.value)
+    out = work.withColumn("_new", F.array_join(F.transform(found, put), ""))
     if spans:
-        def step(state: Column, i: Column) -> Column:
-            at = state.at + F.length(F.get(found.pieces, i))
-            mark = F.struct(F.get(made, i).kind.alias("kind"), at.alias("start"), F.length(new(i)).alias("length"))
-            return F.struct(F.when(F.get(made, i).new.isNotNull(), F.concat(state.marks, F.array(mark)))
-                            .otherwise(state.marks).alias("marks"), (at + F.length(new(i))).alias("at"))
+        def step(state: Column, f: Column) -> Column:
+            mark = F.struct(f.kind.alias("kind"), state.at.alias("start"), F.length(put(f)).alias("length"))
+            return F.struct(F.when(f.new.isNotNull(), F.concat(state.marks, F.array(mark)))
+                            .otherwise(state.marks).alias("marks"), (state.at + F.length(put(f))).alias("at"))
 
         none = F.expr("cast(array() as array<struct<kind:string,start:int,length:int>>)")
-        marks = F.aggregate(F.sequence(F.lit(0), F.size(made) - 1), F.struct(none.alias("marks"), F.lit(0).alias("at")),
-                            step, lambda s: s.marks)
+        marks = F.aggregate(found, F.struct(none.alias("marks"), F.lit(0).alias("at")), step, lambda s: s.marks)
         out = out.withColumn(spans, F.when(found.isNotNull(), marks).otherwise(none))
     return out.withColumn(text, F.coalesce("_new", t)).drop("_found", "_new")
