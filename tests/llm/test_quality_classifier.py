@@ -1,6 +1,8 @@
+import random
 import zlib
 
 import pytest
+from pyspark.sql import functions as F
 from tidewatch.llm import quality_classifier as Q
 
 SF = "/root/testdata/sf0.01"
@@ -37,3 +39,23 @@ def test_odd_documents_and_missing_classes(spark, odd_documents):
     assert scored.columns == odd_documents.columns and scored.count() == odd_documents.count()
     assert all(0 <= r["size"] <= 1 for r in scored.collect())
     assert Q.scored(odd_documents.limit(0), model).count() == 0
+
+
+def test_what_follows_the_first_max_chars_is_learned(spark):
+    """Bad texts start like good ones; only what comes later tells."""
+    random.seed(4)
+    words = ["".join(random.choice("abcdefghij") for _ in range(random.randint(2, 8))) for _ in range(300)]
+    clean = lambda n: " ".join(random.choice(words) for _ in range(n))
+    junk = lambda n: " ".join("".join(random.choice("!#%&0123456789XYZ") for _ in range(6)) for _ in range(n))
+    rows = [(i, clean(600) if i % 2 else clean(200) + " " + junk(400), i % 2) for i in range(240)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, quality int")
+    scored = Q.scored(docs, Q.fit(docs, labels, max_chars=800)).where(Q.held_out(F.col("doc_id"))).collect()
+    assert len(scored) > 30 and all((r.score >= 0.5) == r.doc_id % 2 for r in scored)
+
+
+def test_dictionary_samples_come_from_across_a_text(spark):
+    texts = ["short", "é" * 16, "".join(chr(200 + i) for i in range(100))]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [r.s for r in df.select(Q._spread(F.col("t"), 16).alias("s")).collect()]
+    assert got[:2] == texts[:2] and len(got[2]) == 16 and got[2][:2] == texts[2][:2] and got[2][-2:] == texts[2][-2:]

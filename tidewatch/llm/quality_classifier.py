@@ -5,9 +5,11 @@ normalised compressed-size difference, with its compressed sizes and length, goe
 through a logistic calibration fitted on labelled texts that no dictionary saw.
 
 Fitting sees a bounded sample: the ``per_class`` labelled texts of each class with the
-smallest seeded id hashes, each up to ``max_chars`` characters, half for the
-dictionaries and half for the calibration.  Scoring covers every whole text, in one
-Arrow UDF whose closure is the two dictionaries and ten weights.
+smallest seeded id hashes, half for the dictionaries and half for the calibration.  A
+dictionary takes up to ``max_chars`` characters of a text, in pieces from across it; the
+calibration's features are those of whole texts, computed in tasks as for scoring.
+Scoring covers every whole text, in one Arrow UDF whose closure is the two dictionaries
+and ten weights.
 
 Defined cases: a null text scores as an empty one, an empty text gets the score its
 compressed sizes give; ids labelled both ways are not learned from; without usable
@@ -23,10 +25,15 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tidewatch.session import checkpointed
+
 PER_CLASS, MAX_CHARS, DICTIONARY_BYTES, LEVEL, SEED = 2000, 8000, 1 << 16, 3, 23
 HOLD_OUT = 5
+#: Pieces, evenly spread, of which a longer text's dictionary sample is made.
+PIECES = 8
 
 
 @dataclass
@@ -51,6 +58,13 @@ def _dictionary(texts: list[bytes], size: int) -> tuple[bytes, bool]:
         return b"\n".join(texts)[:size] or b"\n", False
 
 
+def _spread(text: Column, chars: int) -> Column:
+    """A text of up to ``chars`` characters whole, else ``PIECES`` pieces from its start to its end."""
+    n = max(1, chars // PIECES)
+    pieces = [F.substr(text, F.floor(F.lit(i) * (F.length(text) - n) / (PIECES - 1)).cast("int") + 1, F.lit(n)) for i in range(PIECES)]
+    return F.when(F.length(text) <= chars, text).otherwise(F.concat(*pieces))
+
+
 def _features(model: Model, texts, level: int = LEVEL) -> np.ndarray:
     """A row of compression features for each text (bytes)."""
     how = dict(level=level, write_content_size=False, write_checksum=False, write_dict_id=False)
@@ -68,6 +82,10 @@ def _features(model: Model, texts, level: int = LEVEL) -> np.ndarray:
                      alone ** 2, length ** 2, length * alone, in_good ** 2], 1)
 
 
+def _text_features(model: Model, texts: pa.Array) -> np.ndarray:
+    return _features(model, ((t.as_py() or "").encode("utf-8", "surrogatepass") for t in texts))
+
+
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3) -> np.ndarray:
     """Newton's method on the ridge-penalised log likelihood."""
     w = np.zeros(x.shape[1])
@@ -94,17 +112,25 @@ def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "tex
     order = [F.xxhash64(F.lit(seed), "_id"), F.col("_id")]
     chosen = usable.where("_y = 0").orderBy(*order).limit(per_class).unionByName(
         usable.where("_y = 1").orderBy(*order).limit(per_class))
-    rows = (docs.join(F.broadcast(chosen), docs[id] == chosen._id)                  # <= 2 * per_class rows
-            .groupBy("_id", "_y").agg(F.min(F.substring(F.coalesce(F.col(text).cast("string"), F.lit("")), 1, max_chars)).alias("t"))
-            .orderBy(*order).collect())
+    sample = checkpointed(docs.join(F.broadcast(chosen), docs[id] == chosen._id)    # <= 2 * per_class texts
+                          .groupBy("_id", "_y").agg(F.min(F.coalesce(F.col(text).cast("string"), F.lit(""))).alias("t")))
+    # of each class the first half by hash is for the dictionary
+    of_class = Window.partitionBy("_y")
+    halves = (sample.select("_id", "_y").withColumn("_n", F.row_number().over(of_class.orderBy(*order)))
+              .select("_id", (F.col("_n") <= F.floor(F.count("*").over(of_class) / 2)).alias("_first")))
+    sample = sample.join(F.broadcast(halves), "_id")
+    rows = sample.where("_first").select("_id", "_y", _spread(F.col("t"), max_chars).alias("t")).orderBy(*order).collect()
     texts = {y: [r.t.encode("utf-8", "surrogatepass") for r in rows if r._y == y] for y in (0, 1)}
-    if min(len(t) for t in texts.values()) < 2:
+    if min(len(t) for t in texts.values()) < 1:
         return Model(share, [])
-    half = {y: (t[:len(t) // 2], t[len(t) // 2:]) for y, t in texts.items()}
-    model = Model(share, [_dictionary(half[y][0], dictionary_bytes) for y in (0, 1)])
-    seen = half[0][1] + half[1][1]
-    y = np.array([0.0] * len(half[0][1]) + [1.0] * len(half[1][1]))
-    x = _features(model, seen)
+    model = Model(share, [_dictionary(texts[y], dictionary_bytes) for y in (0, 1)])
+
+    def measured(texts: pa.Array) -> pa.Array:
+        return pa.array(list(_text_features(model, texts)), pa.list_(pa.float64()))
+
+    seen = (sample.where("not _first").select("_id", "_y", F.arrow_udf(measured, "array<double>")("t").alias("x"))
+            .orderBy("_y", *order).collect())
+    y, x = np.array([float(r._y) for r in seen]), np.array([r.x for r in seen])
     model.mean, model.scale = x.mean(0), x.std(0) + 1e-9
     model.mean[0], model.scale[0] = 0, 1
     model.weights = _logistic((x - model.mean) / model.scale, y)
@@ -119,8 +145,7 @@ def scored(docs: DataFrame, model: Model, text: str = "text", into: str = "score
         return docs.withColumn(into, F.lit(float(model.share)))
 
     def run(texts: pa.Array) -> pa.Array:
-        raw = (t.as_py() or "" for t in texts)
-        x = _features(model, [t.encode("utf-8", "surrogatepass") for t in raw])
+        x = _text_features(model, texts)
         return pa.array(1 / (1 + np.exp(-np.clip((x - model.mean) / model.scale @ model.weights, -30, 30))), pa.float64())
 
     return docs.withColumn(into, F.arrow_udf(run, "double")(F.col(text).cast("string")))
