@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tidewatch.llm import substring_dedup as S
 
 
@@ -94,3 +95,36 @@ def test_nearest_smaller():
         v = random.sample(range(99), random.randint(0, 40))
         expected = [max([j for j in range(i) if v[j] < v[i]] or [-1]) for i in range(len(v))]
         assert S.nearest_smaller(np.array(v, int)).tolist() == expected
+
+
+@pytest.mark.parametrize("first_hash_bits", [64, 4])
+def test_many_texts_under_one_null_id(spark, monkeypatch, first_hash_bits):
+    """Equal bits of one hash never mix up documents; each text starts with the same passage, which one keeps."""
+    if first_hash_bits < 64:
+        whole = S._text_hashes
+        monkeypatch.setattr(S, "_text_hashes", lambda t: [F.pmod(whole(t)[0], F.lit(1 << first_hash_bits)), whole(t)[1]])
+    random.seed(12)
+    own = lambda n: "".join(random.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+    shared = own(150)
+    rows = [(None, (shared if i % 2 else own(i % 70)) + own(200) + (shared if i % 3 == 0 else "")) for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    out = S.deduplicated(df).collect()
+    # documents of one id are ordered by their hashes, the first without its last bit
+    first, second = S._text_hashes(F.col("text"))
+    ordered = df.select("text", first.alias("a"), second.alias("b")).collect()
+    texts = [r.text for r in sorted(ordered, key=lambda r: (r.a >> 1, r.b))]
+    expected = brute(list(enumerate(texts)), 100)
+    assert all(r.doc_id is None for r in out)
+    assert sorted((r.n_bytes, bytes(r.kept), [(s.start, s.length) for s in r.spans]) for r in out) == sorted(expected.values())
+
+
+def test_texts_of_one_id_are_told_apart_by_whole_hashes(spark):
+    """So many texts under one null id that 24 bits of a hash collide."""
+    passage = " the same passage here" * 6
+    own = F.concat(*[F.sha2(F.concat(F.lit(x), F.col("id").cast("string")), 256) for x in "ab"])
+    own = F.concat(own, F.substr(own, F.lit(1), (F.col("id") % 7 * 8).cast("int")))
+    df = spark.range(30000).select(F.lit(None).cast("long").alias("doc_id"), F.concat(own, F.lit(passage)).alias("text"))
+    extra = F.length("kept") - (F.col("n_bytes") - len(passage))
+    left = S.deduplicated(df).agg(F.count_if(extra > 20).alias("with_it"), F.count_if(extra.between(-20, 0)).alias("without")).first()
+    # a few bytes before the passage may be the same by chance
+    assert (left.with_it, left.without) == (1, 29999)

@@ -22,6 +22,8 @@ segment, about one for 33 bytes, known by the anchor's hash (key) and its bytes'
 
 Steps 2 and 4 read one shuffle of the texts.  The marks of step 1 are written to the
 shared folder.  Hash equality (two of 64 bits) stands for byte equality in step 1 only.
+A document is its id and its version, 127 bits of hashes of the text in two columns, so rows
+that share an id (all null ids do) stay apart.
 
 Defined cases: a null text is empty; matches never cross documents; rows that repeat an
 id and a text are one document and get equal results; rows that share an id only are
@@ -33,7 +35,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.llm.common import Rolling, byte_slices, mixed, small
@@ -45,7 +47,7 @@ KEY_SEGMENTS = 1000
 #: Bytes of segments in one suffix array.
 ARRAY_BYTES = 1 << 20
 
-_START_BITS, _SIZE_BITS, _VERSION_BITS, _PLACE_BITS = 31, 7, 25, 21
+_SIZE_BITS, _PLACE_BITS = 7, 21
 _SMALLEST = -(1 << 63)
 
 
@@ -94,33 +96,33 @@ def _segments(data: np.ndarray, offs: np.ndarray, length: int):
             of, first - offs[of], end - first, anchor[first] - first)
 
 
-def _firsts(key, content, doc, pos):
+def _firsts(key, content, doc, version, second, pos):
     """Of rows equal in key and content: (first ones, later ones), without rows equal in all."""
-    order = np.lexsort((pos, doc, content, key))
-    k, c, d, p = key[order], content[order], doc[order], pos[order]
+    order = np.lexsort((pos, second, version, doc, content, key))
+    k, c, d, v, w, p = (x[order] for x in (key, content, doc, version, second, pos))
     new = np.ones(len(k), bool)
     new[1:] = (k[1:] != k[:-1]) | (c[1:] != c[:-1])
     head = np.maximum.accumulate(np.where(new, np.arange(len(k)), 0)) if len(k) else new.astype(np.int64)
-    later = ~new & ((d != d[head]) | (p != p[head]))
+    later = ~new & ((d != d[head]) | (v != v[head]) | (w != w[head]) | (p != p[head]))
     return order[new], order[later]
 
 
-def _pack(version, start, size):
-    return (version << (_START_BITS + _SIZE_BITS)) | (start << _SIZE_BITS) | size
+def _pack(start, size):
+    return (start << _SIZE_BITS) | size
 
 
 def _unpack(pos):
-    return pos >> (_START_BITS + _SIZE_BITS), (pos >> _SIZE_BITS) & ((1 << _START_BITS) - 1), pos & ((1 << _SIZE_BITS) - 1)
+    return pos >> _SIZE_BITS, pos & ((1 << _SIZE_BITS) - 1)
 
 
-def _merged(doc, version, start, size):
+def _merged(doc, version, second, start, size):
     """Touching or overlapping byte ranges of a document as one."""
-    order = np.lexsort((start, version, doc))
-    d, v, s = doc[order], version[order], start[order]
+    order = np.lexsort((start, second, version, doc))
+    d, v, w, s = doc[order], version[order], second[order], start[order]
     e = s + size[order]
     if not len(d):
-        return d, v, s, e
-    same = (d[1:] == d[:-1]) & (v[1:] == v[:-1])
+        return d, v, w, s, e
+    same = (d[1:] == d[:-1]) & (v[1:] == v[:-1]) & (w[1:] == w[:-1])
     group = np.concatenate([[0], np.cumsum(~same)])
     # the farthest end so far in the document: ends lifted above those of documents before
     lift = group * (int(e.max()) + 1)
@@ -128,7 +130,7 @@ def _merged(doc, version, start, size):
     new = np.ones(len(d), bool)
     new[1:] = ~same | (s[1:] > reach[:-1])
     heads = np.flatnonzero(new)
-    return d[heads], v[heads], s[heads], np.maximum.reduceat(reach, heads) - s[heads]
+    return d[heads], v[heads], w[heads], s[heads], np.maximum.reduceat(reach, heads) - s[heads]
 
 
 def _batch(arrays: dict) -> pa.RecordBatch:
@@ -141,38 +143,39 @@ def _nullable(values: np.ndarray, n_null: int, kind=pa.int64()) -> pa.Array:
 
 
 #: ``size`` is a range's bytes, or a segment's anchor place.
-SEGMENT = "key long, content long, doc long, pos long, size long"
+SEGMENT = "key long, content long, doc long, version long, second long, pos long, size long"
 
 
 def _cut(length: int):
-    """Step 1, in a task: (doc, version, text) -> new segments, and byte ranges (null content) already known to repeat."""
+    """Step 1, in a task: (doc, version, second, text) -> new segments, and byte ranges (null content) already known to repeat."""
     def run(batches):
         for batch in batches:
             if not batch.num_rows:
                 continue
             docs = batch.column(0).to_numpy(zero_copy_only=False)
-            versions = batch.column(1).to_numpy(zero_copy_only=False)
+            versions, seconds = (batch.column(i).to_numpy(zero_copy_only=False) for i in (1, 2))
             parts = []
-            for i, _, data, offs in byte_slices(batch.column(2)):
+            for i, _, data, offs in byte_slices(batch.column(3)):
                 key, content, of, start, n, anchor = _segments(data, offs, length)
-                parts.append((key, content, docs[of + i], _pack(versions[of + i], start, n), anchor))
-            key, content, doc, pos, anchor = (np.concatenate(c) for c in zip(*parts))
-            first, later = _firsts(key, content, doc, pos)
-            version, start, n = _unpack(pos[later])
-            d, v, s, size = _merged(doc[later], version, start, n - 1 + length)
+                parts.append((key, content, docs[of + i], versions[of + i], seconds[of + i], _pack(start, n), anchor))
+            key, content, doc, version, second, pos, anchor = (np.concatenate(c) for c in zip(*parts))
+            first, later = _firsts(key, content, doc, version, second, pos)
+            start, n = _unpack(pos[later])
+            d, v, w, s, size = _merged(doc[later], version[later], second[later], start, n - 1 + length)
             yield _batch({
                 "key": np.concatenate([s + size, key[first]]), "content": _nullable(content[first], len(d)),
-                "doc": np.concatenate([d, doc[first]]), "pos": np.concatenate([_pack(v, s, 0), pos[first]]),
+                "doc": np.concatenate([d, doc[first]]), "version": np.concatenate([v, version[first]]),
+                "second": np.concatenate([w, second[first]]), "pos": np.concatenate([_pack(s, 0), pos[first]]),
                 "size": np.concatenate([size, anchor[first]])})
 
     return run
 
 
-MARK = "doc long, version long, start long, size long, anchor long, key long"
+MARK = "doc long, version long, second long, start long, size long, anchor long, key long"
 
 
 def _settle(length: int):
-    """Step 1, over the cluster: rows sorted by key, content, doc, pos -> byte ranges (null key) and open segments."""
+    """Step 1, over the cluster: rows sorted by key, content, doc, version, second, pos -> byte ranges (null key) and open segments."""
     def run(batches):
         held = None                                        # the last first row, and whether it has been given out
         for batch in batches:
@@ -180,23 +183,22 @@ def _settle(length: int):
                 continue
             content = batch.column(1)
             known = content.is_null().to_numpy(zero_copy_only=False)
-            key, doc, pos, size = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 2, 3, 4))
+            key, doc, version, second, pos, size = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 2, 3, 4, 5, 6))
             content = content.fill_null(0).to_numpy(zero_copy_only=False)
-            v0, s0, _ = _unpack(pos[known])
-            ranges = [(doc[known], v0, s0, size[known])]
-            k, c, d, p, w = (x[~known] for x in (key, content, doc, pos, size))
+            ranges = [(doc[known], version[known], second[known], _unpack(pos[known])[0], size[known])]
+            k, c, d, v, w, p, far = (x[~known] for x in (key, content, doc, version, second, pos, size))
             opened = np.zeros(0, np.int64)
             if len(k):
                 given = False
                 if held:
-                    k, c, d, p, w = (np.concatenate([[h], x]) for h, x in zip(held, (k, c, d, p, w)))
-                    given = held[5]
+                    k, c, d, v, w, p, far = (np.concatenate([[h], x]) for h, x in zip(held, (k, c, d, v, w, p, far)))
+                    given = held[7]
                 new = np.ones(len(k), bool)
                 new[1:] = (k[1:] != k[:-1]) | (c[1:] != c[:-1])
                 head = np.maximum.accumulate(np.where(new, np.arange(len(k)), 0))
-                later = ~new & ((d != d[head]) | (p != p[head]))
-                v, s, n = _unpack(p[later])
-                ranges.append((d[later], v, s, n - 1 + length))
+                later = ~new & ((d != d[head]) | (v != v[head]) | (w != w[head]) | (p != p[head]))
+                s, n = _unpack(p[later])
+                ranges.append((d[later], v[later], w[later], s, n - 1 + length))
                 first = np.flatnonzero(new)
                 same = k[first][1:] == k[first][:-1]
                 shared = np.zeros(len(first), bool)
@@ -204,38 +206,38 @@ def _settle(length: int):
                 shared[:-1] |= same
                 last_given = bool(shared[-1]) or (given and len(first) == 1)
                 at = first[-1]
-                held = (k[at], c[at], d[at], p[at], w[at], last_given)
+                held = (k[at], c[at], d[at], v[at], w[at], p[at], far[at], last_given)
                 if given:
                     shared[0] = False
                 opened = first[shared]
-                v, s, n = _unpack(p[opened])
-                open_rows = (d[opened], v, s, n, w[opened], k[opened])
+                s, n = _unpack(p[opened])
+                open_rows = (d[opened], v[opened], w[opened], s, n, far[opened], k[opened])
             else:
-                open_rows = tuple(np.zeros(0, np.int64) for _ in range(6))
+                open_rows = tuple(np.zeros(0, np.int64) for _ in range(7))
             r = _merged(*[np.concatenate(x) for x in zip(*ranges)])
             r = (*r, np.zeros(len(r[0]), np.int64))
-            yield _batch({name: np.concatenate([a, b]) for name, a, b in zip(("doc", "version", "start", "size", "anchor"), r, open_rows)}
-                         | {"key": _nullable(open_rows[5], len(r[0]))})
+            yield _batch({name: np.concatenate([a, b]) for name, a, b in zip(("doc", "version", "second", "start", "size", "anchor"), r, open_rows)}
+                         | {"key": _nullable(open_rows[6], len(r[0]))})
 
     return run
 
 
-PIECE = "route long, content long, doc long, version long, start long, size long, bytes binary"
+PIECE = "route long, content long, doc long, version long, second long, start long, size long, bytes binary"
 
 
 def _deal(length: int):
-    """Step 2: (doc, version, text, open segments) -> runs of windows with their bytes, equal ones once a batch."""
+    """Step 2: (doc, version, second, text, open segments) -> runs of windows with their bytes, equal ones once a batch."""
     def run(batches):
         for batch in batches:
-            lists = batch.column(3)
+            lists = batch.column(4)
             if not batch.num_rows:
                 continue
             ends = np.asarray(lists.offsets, np.int64)
             flat = lists.values.slice(ends[0], ends[-1] - ends[0])
             ends = ends - ends[0]
             fields = [flat.field(i).to_numpy(zero_copy_only=False) for i in range(4)]
-            docs, versions = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-            for i, j, data, offs in byte_slices(batch.column(2)):
+            docs, versions, seconds = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1, 2))
+            for i, j, data, offs in byte_slices(batch.column(3)):
                 lo, hi = ends[i], ends[j]
                 row = np.repeat(np.arange(j - i), np.diff(ends[i:j + 1]))
                 start, windows, anchor, most = (f[lo:hi] for f in fields)
@@ -252,9 +254,9 @@ def _deal(length: int):
                 text = Rolling(data.astype(np.uint64) + np.uint64(1))
                 route = text.of(place - c * most[of], place - (c + 1) * most[of] + 1 + length).view(np.int64)
                 content = text.of(at, at + n - 1 + length).view(np.int64)
-                doc, version = docs[row + i], versions[row + i]
-                first, later = _firsts(route, content, doc, _pack(version, begin, n))
-                d, v, s, size = _merged(doc[later], version[later], begin[later], n[later] - 1 + length)
+                doc, version, second = docs[row + i], versions[row + i], seconds[row + i]
+                first, later = _firsts(route, content, doc, version, second, _pack(begin, n))
+                d, v, w, s, size = _merged(doc[later], version[later], second[later], begin[later], n[later] - 1 + length)
                 sizes = n[first] - 1 + length
                 to = np.concatenate([[0], np.cumsum(sizes)])
                 raw = data[np.repeat(at[first] - to[:-1], sizes) + np.arange(to[-1])]
@@ -262,6 +264,7 @@ def _deal(length: int):
                 yield _batch({
                     "route": np.concatenate([s + size, route[first]]), "content": _nullable(content[first], len(d)),
                     "doc": np.concatenate([d, doc[first]]), "version": np.concatenate([v, version[first]]),
+                    "second": np.concatenate([w, second[first]]),
                     "start": np.concatenate([s, begin[first]]), "size": np.concatenate([size, sizes]),
                     "bytes": pa.concat_arrays([pa.nulls(len(d), pa.binary()), blobs])})
 
@@ -338,23 +341,23 @@ def longest_previous_factors(data: np.ndarray, starts: np.ndarray, place: np.nda
     return factors
 
 
-RANGE = "doc long, version long, start long, size long"
+RANGE = "doc long, version long, second long, start long, size long"
 
 
 def _compare(length: int, array_bytes: int):
-    """Step 3: rows sorted by route, content, doc, version, start -> byte ranges that repeat."""
+    """Step 3: rows sorted by route, content, doc, version, second, start -> byte ranges that repeat."""
     def solve(rows):
-        doc, version, start, size, blobs = (np.concatenate([r[i] for r in rows]) for i in range(5))
+        doc, version, second, start, size, blobs = (np.concatenate([r[i] for r in rows]) for i in range(6))
         data = np.frombuffer(b"".join(blobs), np.uint8)
         ends = np.cumsum(size)
         windows = size - length + 1
         of = np.repeat(np.arange(len(size)), windows)
         inner = np.arange(len(of)) - np.repeat(np.cumsum(windows) - windows, windows)
-        d, v, s = doc[of], version[of], start[of] + inner
+        d, v, w, s = doc[of], version[of], second[of], start[of] + inner
         place = np.empty(len(of), np.int64)
-        place[np.lexsort((s, v, d))] = np.arange(len(of))
+        place[np.lexsort((s, w, v, d))] = np.arange(len(of))
         repeat = longest_previous_factors(data, (ends - size)[of] + inner, place, length) >= length
-        return d[repeat], v[repeat], s[repeat], np.full(int(repeat.sum()), length)
+        return d[repeat], v[repeat], w[repeat], s[repeat], np.full(int(repeat.sum()), length)
 
     def run(batches):
         held, held_bytes, last = [], 0, None               # rows of distinct contents whose routes may go on
@@ -363,12 +366,12 @@ def _compare(length: int, array_bytes: int):
             if not batch.num_rows:
                 continue
             known = batch.column(1).is_null().to_numpy(zero_copy_only=False)
-            cols = [batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 2, 3, 4, 5)]
+            cols = [batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 2, 3, 4, 5, 6)]
             content = batch.column(1).fill_null(0).to_numpy(zero_copy_only=False)
             ranges = [tuple(c[known] for c in cols[1:])]
-            route, doc, version, start, size = (c[~known] for c in cols)
+            route, doc, version, second, start, size = (c[~known] for c in cols)
             content = content[~known]
-            blobs = np.array(batch.column(6).filter(pa.array(~known)).to_pylist(), object)
+            blobs = np.array(batch.column(7).filter(pa.array(~known)).to_pylist(), object)
             if len(route):
                 # equal contents follow each other: only the first takes part, later ones repeat it
                 new = np.ones(len(route), bool)
@@ -377,12 +380,12 @@ def _compare(length: int, array_bytes: int):
                     new[0] = (route[0], content[0]) != last[:2]
                 head = np.maximum.accumulate(np.where(new, np.arange(len(route)), -1))
                 owner = [np.where(head < 0, last[2 + i] if last is not None else 0, x[head])
-                         for i, x in enumerate((doc, version, start))]
-                other = (doc != owner[0]) | (version != owner[1]) | (start != owner[2])
+                         for i, x in enumerate((doc, version, second, start))]
+                other = (doc != owner[0]) | (version != owner[1]) | (second != owner[2]) | (start != owner[3])
                 later = ~new & other
-                ranges.append((doc[later], version[later], start[later], size[later]))
+                ranges.append((doc[later], version[later], second[later], start[later], size[later]))
                 at = len(route) - 1
-                last = (route[at], content[at], owner[0][at], owner[1][at], owner[2][at])
+                last = (route[at], content[at], owner[0][at], owner[1][at], owner[2][at], owner[3][at])
                 firsts = np.flatnonzero(new)
                 # whole routes go into one suffix array
                 edges = np.flatnonzero(np.diff(route[firsts])) + 1
@@ -394,11 +397,11 @@ def _compare(length: int, array_bytes: int):
                         ranges.append(solve(held))
                         held, held_bytes = [], 0
                     route_open = r
-                    held.append(tuple(x[part] for x in (doc, version, start, size, blobs)))
+                    held.append(tuple(x[part] for x in (doc, version, second, start, size, blobs)))
                     held_bytes += int(size[part].sum())
-            yield _batch(dict(zip(("doc", "version", "start", "size"), _merged(*[np.concatenate(x) for x in zip(*ranges)]))))
+            yield _batch(dict(zip(("doc", "version", "second", "start", "size"), _merged(*[np.concatenate(x) for x in zip(*ranges)]))))
         if held:
-            yield _batch(dict(zip(("doc", "version", "start", "size"), _merged(*solve(held)))))
+            yield _batch(dict(zip(("doc", "version", "second", "start", "size"), _merged(*solve(held)))))
 
     return run
 
@@ -414,7 +417,7 @@ def _kept(texts: pa.Array, lists: pa.Array) -> pa.Array:
             both = ranges.values
             start, size = (both.field(i).to_numpy(zero_copy_only=False) for i in (0, 1))
             zero = np.zeros(len(start), np.int64)
-            _, _, s, n = _merged(zero, zero, start, size)
+            _, _, _, s, n = _merged(zero, zero, zero, start, size)
             merged = list(zip(s.tolist(), n.tolist()))
             at, out = 0, []
             for s, n in merged:
@@ -428,20 +431,26 @@ def _kept(texts: pa.Array, lists: pa.Array) -> pa.Array:
                                       ["n_bytes", "kept", "spans"])
 
 
+def _text_hashes(text: Column) -> list[Column]:
+    """What tells apart the texts of one id: two 64-bit hashes."""
+    return [F.xxhash64(text), F.xxhash64(F.lit(1), text)]
+
+
 def deduplicated(docs: DataFrame, id: str = "doc_id", text: str = "text", length: int = LENGTH,
                  key_segments: int = KEY_SEGMENTS, array_bytes: int = ARRAY_BYTES) -> DataFrame:
     """One row per row of ``docs``: id, ``n_bytes``, ``kept`` (bytes) and ``spans`` (removed ranges, in bytes)."""
     spark = docs.sparkSession
     t = F.col(text).cast("string")
-    # the version's last bit tells a null id; both columns are never null, so that the two joins
+    document = ["doc", "version", "second"]
+    # the version's last bit tells a null id; these columns are never null, so that the two joins
     # below plan, and share, the same shuffle of the texts
     none = F.col(id).isNull().cast("long")
-    version = F.pmod(F.xxhash64(t), F.lit(1 << (_VERSION_BITS - 1))) * 2 + none
+    hashes = [F.coalesce(h, F.lit(0).cast("long")) for h in _text_hashes(t)]
     base = docs.select(F.coalesce(F.col(id).cast("long"), F.lit(_SMALLEST)).alias("doc"),
-                       F.coalesce(version, F.lit(0)).alias("version"), t.alias("text"))
+                       hashes[0].bitwiseAND(F.lit(-2)).bitwiseOR(none).alias("version"), hashes[1].alias("second"), t.alias("text"))
     # 1. segments, and what equal ones settle
     found = base.mapInArrow(_cut(length), SEGMENT)
-    order = ["key", "content", "doc", "pos"]
+    order = ["key", "content", "doc", "version", "second", "pos"]
     path = scratch_path(spark, "repeat-marks")
     found.repartition("key").sortWithinPartitions(*order).mapInArrow(_settle(length), MARK).write.parquet(path)
     marks = spark.read.schema(MARK).parquet(path)
@@ -451,15 +460,15 @@ def deduplicated(docs: DataFrame, id: str = "doc_id", text: str = "text", length
     whole = length - _gram(length) + 1
     most = F.when(F.col("many").isNull(), whole).otherwise(F.greatest(F.lit(1), F.floor(F.lit(whole * key_segments) / F.col("many"))))
     runs = (opened.join(small(crowded), "key", "left").withColumn("most", most.cast("long"))
-            .groupBy("doc", "version").agg(F.collect_list(F.struct("start", "size", "anchor", "most")).alias("open")))
-    pieces = (base.join(runs.hint("shuffle_hash"), ["doc", "version"]).select("doc", "version", "text", "open")
+            .groupBy(*document).agg(F.collect_list(F.struct("start", "size", "anchor", "most")).alias("open")))
+    pieces = (base.join(runs.hint("shuffle_hash"), document).select(*document, "text", "open")
               .mapInArrow(_deal(length), PIECE))
     # 3. repeats inside them
-    inner = (pieces.repartition("route").sortWithinPartitions("route", "content", "doc", "version", "start")
+    inner = (pieces.repartition("route").sortWithinPartitions("route", "content", *document, "start")
              .mapInArrow(_compare(length, array_bytes), RANGE))
     # 4. all marks of a document
-    ranges = (marks.where("key is null").select("doc", "version", "start", "size").unionByName(inner)
-              .groupBy("doc", "version").agg(F.collect_list(F.struct("start", "size")).alias("ranges")))
+    ranges = (marks.where("key is null").select(*document, "start", "size").unionByName(inner)
+              .groupBy(*document).agg(F.collect_list(F.struct("start", "size")).alias("ranges")))
     cut = F.arrow_udf(_kept, "n_bytes long, kept binary, spans array<struct<start:bigint,length:bigint>>")
-    out = base.join(ranges.hint("shuffle_hash"), ["doc", "version"], "left").withColumn("r", cut("text", "ranges"))
-    return out.select(F.when(F.col("version") % 2 == 0, F.col("doc")).alias(id), "r.n_bytes", "r.kept", "r.spans")
+    out = base.join(ranges.hint("shuffle_hash"), document, "left").withColumn("r", cut("text", "ranges"))
+    return out.select(F.when(F.col("version").bitwiseAND(F.lit(1)) == 0, F.col("doc")).alias(id), "r.n_bytes", "r.kept", "r.spans")
