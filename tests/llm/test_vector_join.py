@@ -39,3 +39,18 @@ def test_links_and_components(spark, groups, cell, block):
     got = sorted((tuple(r) for r in V.near_duplicates(df, cell=cell, block=block).collect()), key=str)
     assert got == brute(rows, groups)
     assert V.near_duplicates(df.limit(0)).collect() == []
+
+
+def test_groups_of_a_bounded_number_of_pivots(spark, groups):
+    """A label with many pivots is worked on in tiles of them, with the same links."""
+    rng = np.random.default_rng(3)
+    centre = rng.normal(size=(30, 4))
+    rows = [(i, [float(x) for x in centre[i % 30] + rng.normal(size=4) * 0.3], i % 2) for i in range(600)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = sorted((tuple(r) for r in V.near_duplicates(df, cell=5, block=16, deal=100, tile=8).collect()), key=str)
+    assert got == brute(rows, groups)
+    _, distinct = V.classes(df, "vec_id", "embedding", "label")
+    dealt, pivots = V._dealt(distinct, cell=1, deal=100, tile=20)
+    sizes = pivots.groupBy("p_label", "p_dim", "p_deal", "p_tile").count().collect()
+    assert pivots.select("p_c").distinct().count() == 600 and max(r["count"] for r in sizes) < 60
+    assert max(r["count"] for r in dealt.groupBy("label", "dim", "deal").count().collect()) < 200

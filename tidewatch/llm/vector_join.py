@@ -9,6 +9,10 @@ pivots' bisecting plane says it more tightly.  Such boundary vectors are copied
 cell of smaller number, so every pair of partners meets in exactly one cell, and cells
 join independently.
 
+Vectors meet pivots in groups of about ``DEAL`` vectors and ``TILE`` pivots, once to find
+the nearest pivot and once to find the cells to be copied to, so a task's memory does not
+grow with a label.
+
 Equal vectors collapse to one class first, with a count.  A cell is worked on in pairs of
 blocks of ``BLOCK`` vectors, so a hot cell is many groups; a group returns each vector's
 number of links and a spanning forest of them, never pairs.
@@ -30,7 +34,7 @@ from tidewatch.llm.components import connected, forest
 from tidewatch.session import checkpointed
 
 COSINE = 0.93
-CELL, BLOCK, DEAL = 2000, 1024, 8192
+CELL, BLOCK, DEAL, TILE = 2000, 1024, 8192, 2048
 SEED = 31
 
 
@@ -53,49 +57,85 @@ def classes(vectors: DataFrame, id: str, vector: str, label: str) -> tuple[DataF
     return rows.drop("v"), checkpointed(distinct)
 
 
-def cells(distinct: DataFrame, radius: float, cell: int = CELL) -> DataFrame:
+def _dealt(distinct: DataFrame, cell: int, deal: int, tile: int) -> tuple[DataFrame, DataFrame]:
+    """Vectors with their deal and their label's number of tiles, and pivots by (label, dim, deal, tile)."""
+    sizes = distinct.groupBy("label", "dim").agg(F.count("*").alias("m")).withColumn("k", F.ceil(F.col("m") / cell))
+    sizes = sizes.withColumn("deals", F.ceil(F.col("m") / deal)).withColumn("tiles", F.ceil(F.col("k") / tile))
+    # a fraction of k / m of each label by hash, so pivots need no sort of a label; a label may have none
+    dealt = (distinct.join(sizes, ["label", "dim"]).withColumn("label", F.col("label").cast("string"))
+             .withColumn("pick", F.pmod(F.xxhash64(F.lit(SEED), "h1", "h2"), F.lit(1 << 32))))
+    pivots = (dealt.where(F.col("pick") < F.col("k") / F.col("m") * float(1 << 32))
+              .withColumn("deal", F.explode(F.sequence(F.lit(0).cast("long"), F.col("deals") - 1)))
+              .select(F.col("label").alias("p_label"), F.col("dim").alias("p_dim"), F.col("deal").alias("p_deal"),
+                      F.pmod(F.xxhash64("h2"), F.col("tiles")).alias("p_tile"), F.col("c").alias("p_c"), F.col("v").alias("p")))
+    rows = dealt.withColumn("deal", F.pmod(F.xxhash64("h1"), F.col("deals"))).select("label", "dim", "deal", "tiles", "c", "n", "v")
+    return rows, pivots
+
+
+def _unit(column) -> np.ndarray:
+    x = _matrix(column)
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+def cells(distinct: DataFrame, radius: float, cell: int = CELL, deal: int = DEAL, tile: int = TILE) -> DataFrame:
     """``(label, dim, cell, home, c, n, v)``: every vector in its own cell and, where it may have partners, in others.
 
-    Vectors meet their label's pivots in groups of about ``DEAL``.
+    A cell is named by its pivot's ``c``; the cell of a label without pivots is -1.
     """
-    sizes = distinct.groupBy("label", "dim").agg(F.count("*").alias("m"))
-    sizes = sizes.withColumn("k", F.ceil(F.col("m") / cell)).withColumn("deals", F.ceil(F.col("m") / DEAL))
-    # a fraction of k / m of each label by hash, so pivots need no sort of a label; at least one hash is 0 .. 2**32 / m
-    dealt = distinct.join(sizes, ["label", "dim"]).withColumn("pick", F.pmod(F.xxhash64(F.lit(SEED), "h1", "h2"), F.lit(1 << 32)))
-    pivots = (dealt.where(F.col("pick") < F.col("k") / F.col("m") * float(1 << 32)).select("label", "dim", "h1", "h2", "v", "deals")
-              .withColumn("deal", F.explode(F.sequence(F.lit(0).cast("long"), F.col("deals") - 1)))
-              .select(F.col("label").cast("string").alias("p_label"), F.col("dim").alias("p_dim"), F.col("deal").alias("p_deal"),
-                      "h1", "h2", F.col("v").alias("p")))
-    rows = dealt.withColumn("deal", F.pmod(F.xxhash64("h1"), F.col("deals"))).select(F.col("label").cast("string").alias("label"), "dim", "deal", "c", "n", "v")
-    schema = "label string, dim int, cell long, home boolean, c long, n long, v array<double>"
-    names = ["label", "dim", "cell", "home", "c", "n", "v"]
+    rows, pivots = _dealt(distinct, cell, deal, tile)
+    place = ["label", "dim", "deal", "tile"]
+    keyed = pivots.groupBy("p_label", "p_dim", "p_deal", "p_tile")
+    tiled = lambda df: df.withColumn("tile", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1))).groupBy(*place)
 
-    def assign(left: pa.Table, right: pa.Table) -> pa.Table:
+    def nearest(left: pa.Table, right: pa.Table) -> pa.Table:
+        m = left.num_rows
+        near, own, pivot = np.full(m, np.inf), np.full(m, -1, np.int64), pa.nulls(m, pa.list_(pa.float64()))
+        if m and right.num_rows:
+            u, p, best = _unit(left["v"]), _unit(right["p"]), np.zeros(m, np.int64)
+            for at in range(0, m, BLOCK):
+                square = np.maximum(2 - 2 * u[at:at + BLOCK] @ p.T, 0)             # squared distances to the pivots
+                best[at:at + BLOCK] = square.argmin(axis=1)
+                near[at:at + BLOCK] = square.min(axis=1)
+            own, pivot = right["p_c"].to_numpy()[best], right["p"].take(pa.array(best))
+        kept = [left[name] for name in ("label", "dim", "deal", "tiles", "c", "n", "v")]
+        return pa.table([*kept, pa.array(near), pa.array(own), pivot],
+                        ["label", "dim", "deal", "tiles", "c", "n", "v", "near", "own", "p"])
+
+    def reached(left: pa.Table, right: pa.Table) -> pa.Table:
         m = left.num_rows
-        x = _matrix(left["v"]) if m else np.zeros((0, 1))
+        counts, found = np.zeros(m, np.int64), [np.zeros(0, np.int64)]
+        own = left["own"].to_numpy() if m else np.zeros(0, np.int64)
+        first = bool(m) and left["tile"][0].as_py() == 0   # the first tile's group also gives the own cell
         if m and right.num_rows:
-            order = np.lexsort((right["h2"].to_numpy(), right["h1"].to_numpy()))
-            p = _matrix(right["p"])[order]
-            p = p / np.linalg.norm(p, axis=1, keepdims=True)
-            u = x / np.linalg.norm(x, axis=1, keepdims=True)
-            square = np.maximum(2 - 2 * u @ p.T, 0)        # squared distances to the pivots
-            own = square.argmin(axis=1)
-            near = square[np.arange(m), own]
-            apart = np.sqrt(np.maximum(2 - 2 * p @ p.T, 0))[own]
-            # distance to the bisecting plane times twice the pivots' distance, with room for rounding
-            reach = (square - near[:, None]) <= 2 * apart * radius + 1e-9
-            reach &= np.arange(len(p))[None, :] < own[:, None]
-            who, where = np.nonzero(reach)
-        else:
-            own, who, where = np.zeros(m, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        take = np.concatenate([np.arange(m), who])
-        out = left.take(pa.array(take))
-        cell_of = np.concatenate([own, where]).astype(np.int64)
-        home = np.arange(len(take)) < m
-        return pa.table([out["label"], out["dim"], pa.array(cell_of), pa.array(home), out["c"], out["n"], out["v"]], names)
-
-    return (rows.groupBy("label", "dim", "deal").cogroup(pivots.groupBy("p_label", "p_dim", "p_deal"))
-            .applyInArrow(assign, schema))
+            x, o, p, name = _unit(left["v"]), _unit(left["p"]), _unit(right["p"]), right["p_c"].to_numpy()
+            near = left["near"].to_numpy()
+        for at in range(0, m, BLOCK):
+            some = slice(at, at + BLOCK)
+            reach = np.zeros((len(own[some]), 0), bool)
+            if right.num_rows:
+                square = np.maximum(2 - 2 * x[some] @ p.T, 0)
+                apart = np.sqrt(np.maximum(2 - 2 * o[some] @ p.T, 0))
+                # distance to the bisecting plane times twice the pivots' distance, with room for rounding
+                reach = (square - near[some, None]) <= 2 * apart * radius + 1e-9
+                reach &= name[None, :] < own[some, None]
+            there = np.concatenate([np.full((len(reach), int(first)), True), reach], axis=1)
+            who, where = np.nonzero(there)
+            counts[some] = there.sum(axis=1)
+            of = where - int(first)
+            found.append(np.where(of < 0, own[some][who], name[of] if right.num_rows else -1))
+        ends = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+        lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found).astype(np.int64)))
+        out = pa.table([*[left[k] for k in ("label", "dim", "own", "c", "n", "v")], lists], ["label", "dim", "own", "c", "n", "v", "cells"])
+        return out.filter(pa.array(counts > 0))
+
+    vector = "label string, dim int, deal long, tiles long, c long, n long, v array<double>"
+    met = tiled(rows).cogroup(keyed).applyInArrow(nearest, f"{vector}, near double, own long, p array<double>")
+    homes = (met.groupBy("c").agg(*[F.first(k).alias(k) for k in ("label", "dim", "deal", "tiles", "n", "v")],
+                                  F.min_by(F.struct("near", "own", "p"), F.struct("near", "own")).alias("best"))
+             .select("label", "dim", "deal", "tiles", "c", "n", "v", "best.*"))
+    copies = tiled(homes).cogroup(keyed).applyInArrow(reached, "label string, dim int, own long, c long, n long, v array<double>, cells array<long>")
+    return (copies.withColumn("cell", F.explode("cells"))
+            .select("label", "dim", "cell", (F.col("cell") == F.col("own")).alias("home"), "c", "n", "v"))
 
 
 def links(assigned: DataFrame, cosine: float, block: int = BLOCK) -> DataFrame:
@@ -143,11 +183,11 @@ def links(assigned: DataFrame, cosine: float, block: int = BLOCK) -> DataFrame:
 
 
 def near_duplicates(vectors: DataFrame, id: str = "vec_id", vector: str = "embedding", label: str = "label",
-                    cosine: float = COSINE, cell: int = CELL, block: int = BLOCK) -> DataFrame:
+                    cosine: float = COSINE, cell: int = CELL, block: int = BLOCK, deal: int = DEAL, tile: int = TILE) -> DataFrame:
     """One row per row of ``vectors``: id, ``n_links``, ``component_id`` (smallest linked id) and ``kept``."""
     rows, distinct = classes(vectors, id, vector, label)
     radius = float(np.sqrt(max(0.0, 2 - 2 * cosine)))
-    assigned = checkpointed(cells(distinct, radius, cell))
+    assigned = checkpointed(cells(distinct, radius, cell, deal, tile))
     found = checkpointed(links(assigned, cosine, block))
     roots = connected(found.select("a", "b"))
     counted = found.groupBy(F.col("a").alias("c")).agg(F.sum("links").alias("links"))
