@@ -1,9 +1,9 @@
 """URL filters: host-suffix and path-prefix expressions joined to rules by short hashes.
 
 A url is expanded into one expression for every suffix of its host at a dot and every
-prefix of its path that is as long as some rule's path.  Expressions meet rules by an
-equality join on the first bytes of a digest -- small keys to shuffle -- and the full
-digest confirms.  Of the rules that fit, the longest wins.
+prefix of its path that is as long as some rule's path.  Expressions meet rules by one
+equality join whose key is the first bytes of a digest together with the whole digest.
+Of the rules that fit, the longest wins.
 
 Work is done once for each distinct (host, path), so a host with a third of all urls
 costs no more than its distinct paths; the answers are joined back.
@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Hex digits of a digest that the join compares first.
+#: Hex digits of a digest in the short part of the join key.
 PREFIX_DIGITS = 8
 
 
