@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Words everywhere in this package: runs of anything but space and U+0009..U+000D.
@@ -28,6 +28,11 @@ def small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS else df
 
 
+def let(value: Column, use) -> Column:
+    """``use(value)``, with the value computed once a row."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def byte_slices(texts, limit: int = SLICE_BYTES):
     """``(first row, end row, bytes, offsets)`` over an Arrow string array; null is empty."""
     texts = pa.array(texts) if not isinstance(texts, pa.Array) else texts

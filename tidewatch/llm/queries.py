@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import re
+import zlib
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tidewatch.llm import chat, mixing, packing, pii, quality_classifier, quality_rules, simhash, substring_dedup, url_filter, vector_join
+from tidewatch.llm import (chat, mixing, packing, periodic_runs, pii, quality_classifier, quality_rules, secret_ownership, simhash,
+                           substring_dedup, url_filter, vector_join, whitening)
+from tidewatch.llm.common import WORD
 from tidewatch.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -171,9 +176,6 @@ FROM parts p LEFT JOIN fits f ON f.host = p.host AND f.path = p.path AND f.place
 """
 
 
-_GRAMS = sorted(quality_rules.NGRAM_LIMITS)
-
-
 @query
 def op10_compression_classifier(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -183,6 +185,97 @@ def op10_compression_classifier(spark, sf_dir):
         (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def _repeating_tails(ids: pa.Array, texts: pa.Array) -> pa.Array:
+    """The contract's input of op11: in one text of ten the words from some place on repeat its first ones."""
+    out = []
+    for i, t in zip(ids.to_pylist(), texts.to_pylist()):
+        h = zlib.crc32((i or "").encode())
+        found = re.findall(WORD, t or "") if i is not None and h % 10 == 0 else []
+        if found:
+            n, g = len(found), h // 10
+            a = g % n
+            p = 1 + (n - a) // (3 + g % 8)
+            t = " ".join(found[:a] + [found[a + k % p] for k in range(n - a)])
+        out.append(t)
+    return pa.array(out, pa.string())
+
+
+@query
+def op11_periodic_runs(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    text = F.arrow_udf(_repeating_tails, "string")(F.col("doc_id").cast("string"), F.col("text"))
+    out = periodic_runs.periodic_runs(docs.select("doc_id", text.alias("text")))
+    runs = F.col("periodic.runs")
+    none = F.expr("cast(null as struct<start:bigint,length:bigint,period:bigint>)")
+    top = F.aggregate(runs, none, lambda best, r: F.when(
+        best.isNull() | (r.length * best.period > best.length * r.period), r).otherwise(best))
+    lines = F.transform(runs, lambda r: F.concat(F.concat_ws(",", r.start, r.length, r.period), F.lit("\n")))
+    out = out.select("doc_id", F.size(runs).cast("long").alias("n_runs"), top.alias("top"),
+                     F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("periodic.collapsed", 256).alias("collapsed_sha256"))
+    return out.select("doc_id", "n_runs", "top.start", "top.length", "top.period",
+                      F.expr("1000 * top.length div top.period").alias("exponent_milli"), "runs_sha256", "collapsed_sha256")
+
+
+#: Fixed value: the contract's order of the kinds of one start; spans the method adds come last.
+SECRET_KINDS = ("assign", "access", "hex", "own")
+
+
+@query
+def op12_secret_ownership(spark, sf_dir):
+    out = secret_ownership.secrets(read_table(spark, sf_dir, "documents"))
+    base = F.filter("secrets", lambda s: s.kind != "own")
+    of = lambda field, value: F.size(F.filter("secrets", lambda s: s[field] == value)).cast("long")
+    listed = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start, s.end)), ",")
+    kinds = [of("kind", k).alias(f"n_{k}") for k in SECRET_KINDS]
+    verdicts = [of("verdict", v).alias(f"n_{v}") for v in ("live", "example")]
+    return out.select("doc_id", *kinds, F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("secrets")).alias("spans"), *verdicts)
+
+
+ORACLE["op12_secret_ownership"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS t FROM documents
+), cut AS (
+%s
+), placed AS (
+  SELECT r, k, least, i, m, sum(length(piece)) OVER o + coalesce(sum(length(m)) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS s
+  FROM (SELECT r, k, least, unnest(range(1, len(ms) + 1)) AS i, unnest(ms) AS m, unnest(pieces[:len(ms)]) AS piece FROM cut)
+  WINDOW o AS (PARTITION BY r, k ORDER BY i)
+), valued AS (
+  SELECT r, k, s, s + length(m) AS e, least, CASE WHEN k = 'assign' THEN regexp_extract(m, '%s', 2) ELSE m END AS v FROM placed
+), marked AS (
+  SELECT *, length(v) >= 16 AND %d * len(regexp_extract_all(v, '%s')) >= length(v) AS random FROM valued WHERE length(v) >= least
+), base AS (SELECT * FROM marked WHERE k <> 'own'
+), found AS (
+  SELECT * FROM base UNION ALL
+  SELECT * FROM marked o WHERE k = 'own' AND random AND NOT EXISTS (SELECT 1 FROM base b WHERE b.r = o.r AND b.s < o.e AND b.e > o.s)
+), known AS (
+  SELECT v, count(DISTINCT coalesce(source, chr(0))) AS owners, count(DISTINCT (source, doc_id)) AS repositories
+  FROM found JOIN d USING (r) GROUP BY v
+), judged AS (
+  SELECT r, k, s, e, %s AS place, CASE WHEN owners >= %d OR repositories > %d THEN 'example' WHEN random THEN 'live' ELSE 'weak' END AS verdict
+  FROM found JOIN known USING (v)
+), shown AS (SELECT *, k || ':' || s || ':' || e AS span FROM judged WHERE k <> 'own' OR verdict = 'live'
+), sums AS (
+  SELECT r, %s, string_agg(span, ',' ORDER BY s, place) FILTER (WHERE k <> 'own') AS base_spans, string_agg(span, ',' ORDER BY s, place) AS spans,
+    count(*) FILTER (WHERE verdict = 'live') AS n_live, count(*) FILTER (WHERE verdict = 'example') AS n_example FROM shown GROUP BY r
+)
+SELECT doc_id, %s, sha256(coalesce(base_spans, '')) AS base_sha256, coalesce(spans, '') AS spans,
+  coalesce(n_live, 0) AS n_live, coalesce(n_example, 0) AS n_example FROM d LEFT JOIN sums USING (r)
+""" % (" UNION ALL\n".join("  SELECT r, '%s' AS k, %d AS least, regexp_extract_all(t, '%s') AS ms, string_split_regex(t, '%s') AS pieces FROM d"
+                          % (k, secret_ownership.LEAST[k], p, p) for k, p in
+                          ((k, secret_ownership.PATTERNS[k].replace("'", "''")) for k in SECRET_KINDS)),
+       secret_ownership.PATTERNS["assign"].replace("'", "''"), secret_ownership.CHARS_PER_CHANGE, secret_ownership.CHANGE,
+       "CASE k " + " ".join(f"WHEN '{k}' THEN {i}" for i, k in enumerate(SECRET_KINDS)) + " END",
+       secret_ownership.EXAMPLE_OWNERS, secret_ownership.MAX_REPOSITORIES,
+       ", ".join(f"count(*) FILTER (WHERE k = '{k}') AS n_{k}" for k in SECRET_KINDS),
+       ", ".join(f"coalesce(n_{k}, 0) AS n_{k}" for k in SECRET_KINDS))
+
+
+@query
+def op13_whitening(spark, sf_dir):
+    return whitening.whitened(read_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL:
     ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
