@@ -35,6 +35,23 @@ def test_measures_equal_brute_force(words):
     assert got == [brute(t, words, (3, 5, 6, 7)) for t in texts]
 
 
+def thue_morse(n, one, two):
+    return "".join(one if bin(i).count("1") % 2 == 0 else two for i in range(n))
+
+
+def test_pieces_that_collide_in_polynomial_hashes(words):
+    """Thue-Morse words and their complements have equal polynomial hashes modulo a power of two."""
+    texts = []
+    for n in (1024, 2048, 4096):
+        a, b = thue_morse(n, "a", "b"), thue_morse(n, "b", "a")
+        texts += [f"{a}\n{b}", f"{a} x y z u {b} x y z u", f"{a}\n{b}\n{a}"]
+        texts += [" ".join(a) + "\n" + " ".join(b)]
+    texts.append("w" * 5000 + "\n" + "w" * 5001 + "\n" + "w" * 5000)
+    got = Q.measures(pa.array(texts), (3, 5, 6, 7)).to_pylist()
+    assert got == [brute(t, words, (3, 5, 6, 7)) for t in texts]
+    assert got[0]["n_dup_lines"] == 0 and got[2]["n_dup_lines"] == 1
+
+
 def test_sliced_and_empty_arrays(words):
     texts = ["skip", "a b c d e f a b c d e", None, "q"]
     whole = Q.measures(pa.array(texts), (5,)).to_pylist()

@@ -28,6 +28,14 @@ def small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS else df
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until ``df`` has no column of it in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def let(value: Column, use) -> Column:
     """``use(value)``, with the value computed once a row."""
     return F.get(F.transform(F.array(value), use), F.lit(0))
@@ -68,6 +76,21 @@ def word_spans(data: np.ndarray, offsets: np.ndarray):
     return starts, ends, np.searchsorted(offsets, starts, "right") - 1
 
 
+def piece_ids(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Dense ids of non-empty pieces, in order and apart or side by side: equal ids exactly where the bytes are equal."""
+    lengths = ends - starts
+    offsets = np.zeros(len(starts) + 1, np.int64)
+    np.cumsum(lengths, out=offsets[1:])
+    marks = np.zeros(len(data) + 1, np.int8)
+    marks[starts] += 1
+    marks[ends] -= 1                                       # a piece may begin where the one before it ends
+    inside = np.cumsum(marks[:-1], dtype=np.int8).astype(bool)
+    small = offsets[-1] < 1 << 31
+    kind, offs = (pa.binary(), offsets.astype(np.int32)) if small else (pa.large_binary(), offsets)
+    pieces = pa.Array.from_buffers(kind, len(starts), [None, pa.py_buffer(offs), pa.py_buffer(data[inside])])
+    return pieces.dictionary_encode().indices.to_numpy().astype(np.int32)
+
+
 def powers(base: int, n: int) -> np.ndarray:
     """base**0 .. base**(n-1) modulo 2**64, by doubling."""
     out = np.ones(max(n, 1), np.uint64)

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import byte_slices, word_spans
+from tidewatch.llm.common import byte_slices, piece_ids, word_spans
 
 MIN_LENGTH, EXPONENT = 24, 3
 #: Equal words in a row that make a grid place a candidate; below the shortest possible match.
@@ -42,21 +42,6 @@ JOIN_WORDS = 1 << 17
 RESULT = "runs array<struct<start:bigint,length:bigint,period:bigint>>, collapsed string"
 
 
-def word_ids(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Dense ids of words: equal ids exactly where the bytes are equal."""
-    lengths = ends - starts
-    offsets = np.zeros(len(starts) + 1, np.int64)
-    np.cumsum(lengths, out=offsets[1:])
-    marks = np.zeros(len(data) + 1, np.int8)
-    marks[starts] += 1
-    np.subtract.at(marks, ends, 1)                         # a word may begin where the text before it ends
-    inside = np.cumsum(marks[:-1], dtype=np.int8).astype(bool)
-    small = offsets[-1] < 1 << 31
-    kind, offs = (pa.binary(), offsets.astype(np.int32)) if small else (pa.large_binary(), offsets)
-    words = pa.Array.from_buffers(kind, len(starts), [None, pa.py_buffer(offs), pa.py_buffer(data[inside])])
-    return words.dictionary_encode().indices.to_numpy().astype(np.int32)
-
-
 def _codes(keys: np.ndarray) -> tuple[np.ndarray, int]:
     found = pa.array(keys).dictionary_encode()
     return found.indices.to_numpy(zero_copy_only=False), len(found.dictionary)
@@ -293,7 +278,7 @@ def analysed(texts: pa.Array, min_length: int = MIN_LENGTH, exponent: int = EXPO
         n = len(offs) - 1
         starts, ends, doc = word_spans(data, offs)
         sizes = np.bincount(doc, minlength=n)
-        text, start, length, period = find_runs(word_ids(data, starts, ends), sizes, min_length, exponent)
+        text, start, length, period = find_runs(piece_ids(data, starts, ends), sizes, min_length, exponent)
         rows.append(np.bincount(text, minlength=n))
         starts_.append(start)
         lengths_.append(length)

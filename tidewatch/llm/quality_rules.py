@@ -1,7 +1,7 @@
 """Repetition rules: how much of a text sits inside repeated n-grams and lines.
 
-Rolling hashes of word n-grams (several lengths, from one running sum) and of
-lines find what a text repeats; the rules measure the characters inside it.
+Words and lines become exact ids; rolling hashes of n-grams of word ids (several lengths, from
+one running sum) find what a text repeats; the rules measure the characters inside it.
 The work is one Arrow UDF over the text column: no shuffle, whole texts, and
 memory bounded by one slice of a batch (see ``common.SLICE_BYTES``).
 
@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import Rolling, byte_slices, mixed, repeated, word_spans
+from tidewatch.llm.common import Rolling, byte_slices, free_name, mixed, piece_ids, repeated, word_spans
 
 SYMBOLS = "#*$%&|<>"
 #: Largest kept share of a text's word characters inside repeated n-grams, by n. The longer
@@ -48,7 +48,6 @@ def measures(texts: pa.Array, lengths: tuple[int, ...]) -> pa.Array:
         chars = points[ends] - points[starts]
         symbols = np.zeros(len(data) + 1, np.int64)
         np.cumsum(is_symbol[data], out=symbols[1:])
-        text = Rolling(data.astype(np.uint64) + np.uint64(1))
         salt = mixed(np.arange(1, n + 1, dtype=np.uint64))          # repeats count within a text only
 
         # lines: cut at text ends and line feeds; at one place the end comes before the next text's feed
@@ -62,13 +61,13 @@ def measures(texts: pa.Array, lengths: tuple[int, ...]) -> pa.Array:
         with_word = (line_starts < line_ends) & (words_to > words_from)
         line_starts, line_ends, line_doc = line_starts[with_word], line_ends[with_word], line_doc[with_word]
         words_from, words_to = words_from[with_word], words_to[with_word]
-        _, later = repeated(text.of(line_starts, line_ends) ^ salt[line_doc])
+        _, later = repeated(piece_ids(data, line_starts, line_ends).astype(np.int64) * n + line_doc)
         char_sums = np.zeros(len(starts) + 1, np.int64)
         np.cumsum(chars, out=char_sums[1:])
         line_chars = (char_sums[words_to] - char_sums[words_from]) * later
 
         # n-grams: a longer one can only repeat where the shorter one at its start does
-        grams = Rolling(text.of(starts, ends))
+        grams = Rolling(mixed(piece_ids(data, starts, ends).astype(np.uint64) + np.uint64(1)))
         at = np.arange(len(starts))
         covered = []
         for k in lengths:
@@ -125,7 +124,5 @@ def judged(docs: DataFrame, text: str = "text", into: str = "quality",
 
 def keep_good(docs: DataFrame, text: str = "text") -> DataFrame:
     """The rows of ``docs`` that the rules keep, with its own columns."""
-    name = "_quality"
-    while name in docs.columns:
-        name += "_"
+    name = free_name(docs, "_quality")
     return judged(docs, text, name).where(F.col(f"{name}.kept")).drop(name)
