@@ -79,3 +79,13 @@ def test_hot_length_is_split_into_buckets(spark, monkeypatch):
     rows = packing.pack(df, capacity=7).collect()
     assert len(rows) == 400 and len({(r.sequence_id, r.offset) for r in rows}) == 400
     check_places(rows, 7)
+
+
+def test_long_white_space(spark):
+    """The fast encoder's pattern engine refuses runs of a million blanks; ids must not change."""
+    n = 3_000_000
+    texts = ["a" + " " * n + "b", "\n" * n, ("a  \n\t" * (n // 30)) + " \n" * (n // 2) + "end", "x" * 100 + " " * 999_000]
+    rows = list(enumerate(texts))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = packing.pieces(df).collect()
+    assert Counter(tuple(r) for r in got) == Counter(expected_pieces(rows, 2048))

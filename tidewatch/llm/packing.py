@@ -45,23 +45,34 @@ def _encoder(ranks_path: str, pattern: str):
 
 
 def pieces(docs: DataFrame, id: str = "doc_id", text: str = "text", capacity: int = CAPACITY, end_id: int = END_ID,
-           ranks_path: str | None = None, pattern: str | None = None, with_ids: bool = False) -> DataFrame:
+           ranks_path: str | None = None, pattern: str | None = None, tokenizer_path: str | None = None,
+           with_ids: bool = False) -> DataFrame:
     """``(id, piece, start, length, ids_crc32[, ids])``: each document's ids, cut to the capacity.
 
     ``ids`` holds unsigned 32-bit little-endian ids.  The rank file has the vocabulary of
     the ``byte_bpe_50k.json`` file and gives the same ids (tested); it is read on the
-    executors from the installed tokenizer package unless ``ranks_path`` says otherwise.
+    executors from the installed tokenizer package unless ``ranks_path`` says otherwise.  A
+    text that its pattern engine refuses (a run of some million blanks) goes to that file's own tokenizer.
     """
 
     def run(batches):
         import public_tokenizers
 
         enc = _encoder(ranks_path or public_tokenizers.path("byte_bpe_50k.tiktoken"), pattern or public_tokenizers.PATTERN)
+
+        def encoded(t: str) -> np.ndarray:
+            try:
+                return enc.encode_to_numpy(t, disallowed_special=())
+            except ValueError:                              # the pattern engine's stack is full
+                from tokenizers import Tokenizer
+                whole = Tokenizer.from_file(tokenizer_path or public_tokenizers.path("byte_bpe_50k.json"))
+                return np.array(whole.encode(t, add_special_tokens=False).ids, np.uint32)
+
         for texts in batches:
             starts, lengths, crcs, blobs, ends = [], [], [], [], [0]
             for t in texts:
                 t = t.as_py() or ""
-                ids = np.append(enc.encode_to_numpy(t, disallowed_special=()), np.uint32(end_id)).astype("<u4")
+                ids = np.append(encoded(t), np.uint32(end_id)).astype("<u4")
                 first = len(ids) % capacity or capacity
                 cuts = [0, *range(first, len(ids) + 1, capacity)]
                 for a, b in zip(cuts, cuts[1:]):
