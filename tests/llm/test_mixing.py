@@ -91,3 +91,16 @@ def test_apportionment_is_highest_quotients(spark):
             best = max(mine, key=lambda r: (r[2] / (2 * won[r[1]] + 1), -r[1]))
             won[best[1]] += 1
         assert {i: got[g, i] for i in won} == won
+
+
+def test_very_long_text(spark, words):
+    """A text of 600,000 words costs time in proportion to its words, not their square."""
+    text = " ".join(f"w{i % 1000}" for i in range(600_000))
+    rows = [(0, text, "a"), (1, "few words here", "a"), (2, "some more words in another source", "b")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = {r.doc_id: r for r in mixing.mix(df).collect()}
+    got = {}
+    for r in mixing.mixed(df).collect():
+        got.setdefault(r.doc_id, []).append(len(words(r.text)))
+    assert {i: sum(n) for i, n in got.items()} == {i: r.taken for i, r in found.items() if r.taken}
+    assert found[0].spans and 600_000 <= found[0].taken <= 1_200_000

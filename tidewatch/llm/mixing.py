@@ -12,7 +12,7 @@ many shards, and apportionment ranks at most about two candidate seats a source
 
 Defined cases: a null or empty text has size 0 and is taken 0 times; a null source is
 a source of its own, sorted last; rows that repeat an id are rows of their own; an empty
-table gives an empty table; only the id, text and source columns are read unless asked
+table gives an empty table; a text of any length is one row, whose words are split once; only the id, text and source columns are read unless asked
 to be carried, and the operator's own columns win over carried ones of the same name.
 """
 
@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import WORD, small
+from tidewatch.llm.common import WORD, let, small
 from tidewatch.session import checkpointed
 
 WEIGHTS, TOTAL, MAX_REPEATS = (5, 2, 1), 1.5, 2
@@ -168,8 +168,8 @@ def mixed(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str =
     found = mix(packed, id, text, source, carry=("_own",), **how)
     whole = F.col("_own").getField(text)
     parts = F.regexp_extract_all(whole, F.lit(r"[\x20\x09-\x0D]*" + WORD), F.lit(0))
-    cut = F.array_join(F.flatten(F.transform("spans", lambda s: F.slice(parts, (s["from"] + 1).cast("int"),
-                                                                      (s.to - s["from"]).cast("int")))), "")
+    cut = let(parts, lambda ws: F.array_join(F.flatten(F.transform("spans", lambda s: F.slice(
+        ws, (s["from"] + 1).cast("int"), (s.to - s["from"]).cast("int")))), ""))
     words_in = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s.to - s["from"])
     last = F.when(words_in == 0, F.array().cast("array<string>")).when(words_in == F.col("size"), F.array(whole)).otherwise(F.array(cut))
     texts = F.concat(F.array_repeat(whole, F.col("copies").cast("int")), last)
