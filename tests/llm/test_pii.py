@@ -109,3 +109,41 @@ def test_a_long_run_of_digit_groups(spark):
     text = "1234 " * 30000 + "4111 1111 1111 1111"
     new, spans = out(spark, [text])[0]
     assert len(new) == len(text) and not new.endswith("1111 1111 1111")
+
+
+def test_values_of_any_length_overflow_no_stack(spark):
+    n, m = 200_000, 20_000
+    texts = ["a@b" + ".c" * n, "1234 " * m, "token='" + "s" * n + "'", "555-123-4567 " * (m // 10), "1.2.3." * n, "+1" + "-2" * n,
+             "password=\"" * n, "4111 1111 1111 1111 " * (m // 20), "a." * n + "@b.c", "2020-01-01T" * (m // 10)]
+    got = out(spark, texts)
+    assert "a@b.c" not in got[0][0] and [s.kind for s in got[0][1]] == ["email"]
+    assert len(got[7][1]) == m // 20 and {s.kind for s in got[7][1]} == {"card"}
+    assert "555-123-4567" not in got[3][0]
+
+
+def test_different_dates_stay_apart(spark):
+    days = [datetime.date(2000, 1, 1) + datetime.timedelta(i) for i in range(0, 146_097, 3)]
+    texts = sorted({d.strftime(f) for d in days for f in ("%d/%m/%Y", "%m/%d/%Y")})
+    got = [r[0] for r in out(spark, texts)]
+    assert len(set(got)) == len(texts) and sum(a == b for a, b in zip(texts, got)) < 20
+    read = lambda t: "d" if int(t[3:5]) <= 12 else "m"
+    assert [read(t) for t in texts] == [read(t) for t in got]
+
+
+def test_columns_named_like_working_ones_stay(spark):
+    df = spark.createDataFrame([(1, "mail a@b.co", 5, 6, 7)], "doc_id long, text string, _found int, _new int, _NEW_ int")
+    r = pii.pseudonymised(df)
+    assert r.columns == ["doc_id", "text", "_found", "_new", "_NEW_", "spans"]
+    assert tuple(r.first())[2:5] == (5, 6, 7)
+
+
+def test_key_comes_from_the_session(spark):
+    texts = ["call 555-123-4567 on 2020-02-03"]
+    plain = out(spark, texts)[0][0]
+    spark.conf.set(pii.KEY_SETTING, "another key")
+    try:
+        other = out(spark, texts)[0][0]
+        assert other != plain and other == out(spark, texts, key="another key")[0][0]
+    finally:
+        spark.conf.unset(pii.KEY_SETTING)
+    assert out(spark, texts)[0][0] == plain

@@ -12,9 +12,14 @@ Python, whole texts.  Cards are sought in whole runs of digit groups: from every
 each grouping of ``CARDS`` is tried until one passes the Luhn test, so numbers before or
 after a card do not hide it.
 
-Validation decides what is personal: a card number must pass the Luhn test, a date exist,
+Covered forms: mail addresses; ``name = value`` secrets and AKIA/ASIA keys; dotted IPv4 addresses; dates as
+``yyyy-mm-dd``, ``dd.mm.yyyy``, ``dd/mm/yyyy`` and ``mm/dd/yyyy``; social security numbers as ``ddd-dd-dddd``; phones in
+groups of 3-3-4 with separators, or 8 to 15 digits after a plus; cards of 13 to 19 digits, grouped or not.
+
+Validation decides what is personal: a card number must pass the Luhn test, a date exist (from the year 400 on),
 an address have octets up to 255, a social security number have no all-zero or reserved
-group.  What fails is left in place (``4.0.`` or an order number is not personal data).
+group.  What fails, and any other form (IPv6, IBAN, dates with month names or one-digit days, numbers without
+separators), is left in place (``4.0.`` or an order number is not personal data).
 
 Defined cases: a null text stays null with no spans; an empty one stays empty; repeated
 rows get equal results; other columns are untouched, and ``spans`` is replaced if present;
@@ -26,8 +31,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewatch.llm.common import free_name, let
+
 ROUNDS = 8
-#: The key of the permutations. Give a secret one in production; equal keys link equal values.
+#: The session setting that holds the secret key of the permutations; equal keys link equal values.
+KEY_SETTING = "spark.tidewatch.pseudonym.key"
+#: Without that setting, as in tests: anyone with this code can undo the pseudonyms.
 DEFAULT_KEY = "pseudonym-key-1"
 
 _EDGE = r"(?<![\p{L}\p{N}_])"
@@ -41,9 +50,10 @@ _NO_CARD = r"(?!(?<!\d)\d{4}[ \-](?:\d{4}[ \-]\d{4}[ \-]\d{4}(?!\d|[ \-]\d{4}(?!
 _PHONE = (rf"(?<![\p{{L}}\p{{N}}])(?:\+\d{{1,3}}[ .\-]?)?(?:\(\d{{3}}\)[ .\-]?|\d{{3}}[ .\-])\d{{3}}[ .\-]{_NO_CARD}\d{{4}}{_END}"
           # 8 to 15 digits after a plus, grouped in any way
           rf"|(?<![\p{{L}}\p{{N}}])\+\d(?:(?:[ .\-]?\(?|\)[ .\-]?){_NO_CARD}(?!(?<!\d)(?:{_DATE}|{_IP}))\d){{7,14}}{_END}")
-#: What is looked for, by kind, in order of precedence at one place.
+#: What is looked for, by kind, in order of precedence at one place.  Repeated groups are possessive or
+#: of few rounds: the engine would recurse once a round of any other, and overflow its stack on a long value.
 PATTERNS = {
-    "email": r"(?<![\p{L}\p{N}._%+\-])[\p{L}\p{N}._%+\-]++@[\p{L}\p{N}\-]++(?:\.[\p{L}\p{N}\-]++)+",
+    "email": r"(?<![\p{L}\p{N}._%+\-])[\p{L}\p{N}._%+\-]++@[\p{L}\p{N}\-]++(?:\.[\p{L}\p{N}\-]++)++",
     "secret": (r"(?i:\b(?:token|secret|password|passwd|api[_-]?key|access[_-]?key)\b[\"']?\s*[=:]\s*)(?:\"[^\"\s]{6,}+\"|'[^'\s]{6,}+'|[^\s\"'|]{6,}+)"
                rf"|{_EDGE}(?:AKIA|ASIA)[A-Z0-9]{{16}}{_END}"),
     "ip": _IP,
@@ -110,11 +120,6 @@ def _is_card(value: Column) -> Column:
     return F.length(digits).between(13, 19) & (_luhn_sum(digits, 0) % 10 == 0)
 
 
-def _let(value: Column, use) -> Column:
-    """``use(value)``, with the value computed once."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
 def _plain(value: Column) -> Column:
     return F.struct(F.lit(None).cast("string").alias("kind"), value.alias("value"))
 
@@ -124,7 +129,7 @@ def _run(value: Column) -> Column:
     def cards(parts: Column) -> Column:                    # groups at even places, separators at odd ones
         at = F.sequence(F.lit(0), F.size(parts) - 1, F.lit(2))
         ahead = lambda i: F.array_join(F.slice(parts, i + 1, F.lit(2 * CARD_GROUPS)), "")
-        return F.transform(at, lambda i: _let(ahead(i), lambda t: F.get(F.filter(
+        return F.transform(at, lambda i: let(ahead(i), lambda t: F.get(F.filter(
             F.array(*[F.regexp_extract(t, shape, 0) for shape in CARDS]), _is_card), F.lit(0))))
 
     def split(parts: Column, card: Column) -> Column:
@@ -141,10 +146,10 @@ def _run(value: Column) -> Column:
         pieces = lambda f: F.concat(
             F.flatten(F.transform(f.marks, lambda m: F.array(_plain(text(m.before, m.start)), F.struct(F.lit("card").alias("kind"), m.value.alias("value"))))),
             F.array(_plain(text(f.end, F.size(parts)))))
-        return _let(found, pieces)
+        return let(found, pieces)
 
     # most runs hold no card
-    return _let(F.regexp_extract_all(value, F.lit(r"\d+|[ \-]"), F.lit(0)), lambda parts: _let(cards(parts), lambda card: F.when(
+    return let(F.regexp_extract_all(value, F.lit(r"\d+|[ \-]"), F.lit(0)), lambda parts: let(cards(parts), lambda card: F.when(
         F.exists(card, lambda c: c.isNotNull()), split(parts, card)).otherwise(F.array(_plain(F.array_join(parts, ""))))))
 
 
@@ -179,22 +184,36 @@ def _ip(value: Column, key: Column) -> Column:
 CYCLE, CYCLE_LEFT, CYCLE_RIGHT = 146097, 189, 773
 
 
+#: Dates before this have images that cannot be written with four digits of year.
+FIRST_DATE = "0400-01-01"
+#: Steps along the permutation, each of which stays within its form for three dates in five.
+WALK = 80
+
+
 def _date(value: Column, key: Column) -> Column:
-    """Calendar dates are permuted within their 400-year cycle (1600-1999, 2000-2399, ...)."""
-    day_first = F.substr(value, F.lit(3), F.lit(1)).isin(".", "/")
+    """Calendar dates are permuted within their 400-year cycle (1600-1999, 2000-2399, ...).
+
+    ``d/m`` is read day first where that is a date.  A date that can only be read month first walks
+    the permutation on to one of its kind, so no two slash dates share an image.
+    """
+    start = F.lit("2000-01-01").cast("date")
     iso = value.rlike("^[0-9]{4}-")
-    month_first = F.substr(value, F.lit(3), F.lit(1)) == "/"
+    slash = F.substr(value, F.lit(3), F.lit(1)) == "/"
 
-    def one(pattern: str) -> Column:
+    def one(pattern: str, walks: bool = False) -> Column:
         day = F.try_to_timestamp(value, F.lit(pattern)).cast("date")
-        number = F.datediff(day, F.lit("2000-01-01").cast("date")).cast("long")
-        inner = F.pmod(number, F.lit(CYCLE))
-        image = feistel(inner, CYCLE_LEFT, CYCLE_RIGHT, key, "date")
-        moved = F.date_add(F.lit("2000-01-01").cast("date"), (number - inner + image).cast("int"))
-        return F.when(day.isNotNull(), F.date_format(moved, pattern))
+        number = F.datediff(day, start).cast("long")
+        cycle = number - F.pmod(number, F.lit(CYCLE))
+        permuted = lambda n: feistel(n, CYCLE_LEFT, CYCLE_RIGHT, key, "date")
+        moved = lambda n: F.date_add(start, (cycle + n).cast("int"))
+        image = permuted(F.pmod(number, F.lit(CYCLE)))
+        if walks:
+            image = F.aggregate(F.sequence(F.lit(1), F.lit(WALK)), image,
+                                lambda n, _: F.when(F.dayofmonth(moved(n)) > 12, n).otherwise(permuted(n)))
+        return F.when(day >= F.lit(FIRST_DATE).cast("date"), F.date_format(moved(image), pattern))
 
-    return (F.when(iso, one("yyyy-MM-dd")).when(~month_first & day_first, one("dd.MM.yyyy"))
-            .otherwise(F.coalesce(one("dd/MM/yyyy"), one("MM/dd/yyyy"))))
+    return (F.when(iso, one("yyyy-MM-dd")).when(~slash, one("dd.MM.yyyy"))
+            .otherwise(F.coalesce(one("dd/MM/yyyy"), one("MM/dd/yyyy", walks=True))))
 
 
 def _ssn(value: Column, key: Column) -> Column:
@@ -230,8 +249,8 @@ def _secret(value: Column, key: Column) -> Column:
     head = F.regexp_extract(value, r"(?i)^((?:token|secret|password|passwd|api[_-]?key|access[_-]?key)[\"']?\s*[=:]\s*[\"']?|AKIA|ASIA)", 1)
     quote = F.regexp_extract(value, "([\"'])$", 1)
     body = F.substr(value, F.length(head) + 1, F.length(value) - F.length(head) - F.length(quote))
-    blocks = F.transform(F.sequence(F.lit(0), ((F.length(body) - 1) / 64).cast("int")),
-                         lambda i: _digest(key, F.lit("secret"), i.cast("string"), body))
+    blocks = let(_digest(key, F.lit("secret"), body), lambda whole: F.transform(
+        F.sequence(F.lit(0), ((F.length(body) - 1) / 64).cast("int")), lambda i: _digest(key, F.lit("secret"), i.cast("string"), whole)))
     hexes = F.substr(F.array_join(blocks, ""), F.lit(1), F.length(body))
     return F.concat(head, F.when(head.isin("AKIA", "ASIA"), F.upper(hexes)).otherwise(hexes), quote)
 
@@ -259,13 +278,41 @@ def _pseudonym(found: Column, key: Column) -> Column:
     return out
 
 
-def pseudonymised(docs: DataFrame, text: str = "text", key: str = DEFAULT_KEY, spans: str | None = "spans") -> DataFrame:
+NO_MARKS = "cast(array() as array<struct<kind:string,start:int,length:int>>)"
+#: Pieces whose places are summed up together: appending to an array copies it, so a text's pieces go in two levels.
+PIECES = 256
+
+
+def _marks(found: Column, put) -> Column:
+    """``(kind, start, length)`` of every replaced piece of ``found``, whose new text is ``put(piece)``."""
+    def step(state: Column, f: Column) -> Column:
+        mark = F.struct(f.kind.alias("kind"), state.at.alias("start"), F.length(put(f)).alias("length"))
+        return F.struct(F.when(f.new.isNotNull(), F.concat(state.marks, F.array(mark)))
+                        .otherwise(state.marks).alias("marks"), (state.at + F.length(put(f))).alias("at"))
+
+    begin = F.struct(F.expr(NO_MARKS).alias("marks"), F.lit(0).alias("at"))
+    groups = F.transform(F.sequence(F.lit(1), F.size(found), F.lit(PIECES)),
+                         lambda i: F.aggregate(F.slice(found, i, F.lit(PIECES)), begin, step))
+
+    def joined(parts: Column) -> Column:
+        starts = F.aggregate(parts, F.struct(F.expr("cast(array() as array<int>)").alias("starts"), F.lit(0).alias("at")),
+                             lambda s, p: F.struct(F.concat(s.starts, F.array(s.at)).alias("starts"), (s.at + p.at).alias("at"))).starts
+        return F.flatten(F.zip_with(parts, starts, lambda p, at: F.transform(p.marks, lambda m: F.struct(
+            m.kind.alias("kind"), (m.start + at).alias("start"), m.length.alias("length")))))
+
+    return let(groups, joined)
+
+
+def pseudonymised(docs: DataFrame, text: str = "text", key: str | None = None, spans: str | None = "spans") -> DataFrame:
     """``docs`` with the text's personal values replaced, and a column of what was replaced.
 
+    The ``key`` is by default that of the session's setting ``KEY_SETTING``.
+
     ``spans`` holds ``(kind, start, length)`` of every replaced value in the *new* text,
     in code points from 0, and never the value itself; ``spans=None`` leaves it out.
     """
-    k, t = F.lit(key), F.col(text).cast("string")
+    k = F.lit(key if key is not None else docs.sparkSession.conf.get(KEY_SETTING, DEFAULT_KEY))
+    t = F.col(text).cast("string")
     values = F.regexp_extract_all(t, F.lit(ANY), F.lit(0))
     between = F.split(t, ANY, -1)                           # one more than values
     typed = F.transform(values, lambda v: F.struct(_kind(v).alias("kind"), v.alias("value")))
@@ -273,17 +320,11 @@ def pseudonymised(docs: DataFrame, text: str = "text", key: str = DEFAULT_KEY, s
     # the text in pieces: what is between values has no kind
     pieces = F.flatten(F.zip_with(between, typed, lambda b, f: F.concat(F.array(_plain(b)), F.coalesce(f, F.array(_plain(F.lit("")))))))
     made = F.transform(pieces, lambda f: F.struct(f.kind.alias("kind"), f.value.alias("value"), _pseudonym(f, k).alias("new")))
-    work = docs.withColumn("_found", F.when(t.rlike(MAYBE) & t.rlike(ANY), made))
-    found = F.col("_found")
+    held, changed = free_name(docs, "_found"), free_name(docs, "_new")
+    work = docs.withColumn(held, F.when(t.rlike(MAYBE) & t.rlike(ANY), made))
+    found = F.col(held)
     put = lambda f: F.coalesce(f.new, f.value)
-    out = work.withColumn("_new", F.array_join(F.transform(found, put), ""))
+    out = work.withColumn(changed, F.array_join(F.transform(found, put), ""))
     if spans:
-        def step(state: Column, f: Column) -> Column:
-            mark = F.struct(f.kind.alias("kind"), state.at.alias("start"), F.length(put(f)).alias("length"))
-            return F.struct(F.when(f.new.isNotNull(), F.concat(state.marks, F.array(mark)))
-                            .otherwise(state.marks).alias("marks"), (state.at + F.length(put(f))).alias("at"))
-
-        none = F.expr("cast(array() as array<struct<kind:string,start:int,length:int>>)")
-        marks = F.aggregate(found, F.struct(none.alias("marks"), F.lit(0).alias("at")), step, lambda s: s.marks)
-        out = out.withColumn(spans, F.when(found.isNotNull(), marks).otherwise(none))
-    return out.withColumn(text, F.coalesce("_new", t)).drop("_found", "_new")
+        out = out.withColumn(spans, F.when(found.isNotNull(), _marks(found, put)).otherwise(F.expr(NO_MARKS)))
+    return out.withColumn(text, F.coalesce(changed, t)).drop(held, changed)
