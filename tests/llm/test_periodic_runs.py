@@ -2,6 +2,7 @@ import hashlib
 import random
 import zlib
 
+import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -163,4 +164,10 @@ def test_query_equals_brute_force(spark, tmp_path, words):
     got = queries.op11_periodic_runs(spark, str(tmp_path))
     assert got.columns == ["doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256"]
     key = lambda r: tuple((x is None, str(x)) for x in r)
-    assert sorted(map(tuple, got.collect()), key=key) == sorted((expected(r[0], r[1], words) for r in rows), key=key)
+    want = sorted((expected(r[0], r[1], words) for r in rows), key=key)
+    assert sorted(map(tuple, got.collect()), key=key) == want
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    sql = con.execute(queries.ORACLE["op11_periodic_runs"])
+    assert [c[0] for c in sql.description] == got.columns
+    assert sorted(sql.fetchall(), key=key) == want

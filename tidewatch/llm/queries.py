@@ -216,6 +216,39 @@ def op11_periodic_runs(spark, sf_dir):
                       F.expr("1000 * top.length div top.period").alias("exponent_milli"), "runs_sha256", "collapsed_sha256")
 
 
+ORACLE["op11_periodic_runs"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
+), hashed AS (  -- CRC-32 of the decimal id, bit by bit
+  SELECT *, len(ws) AS n, xor(4294967295, list_reduce(list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT),
+    lambda acc, c: list_reduce([0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[], lambda x, _: xor(x >> 1, (x & 1) * 3988292384), xor(acc, c)),
+    4294967295::BIGINT)) AS h FROM d
+), planned AS (
+  SELECT *, (h // 10) % n AS a, 1 + (n - (h // 10) % n) // (3 + (h // 10) % 8) AS p FROM hashed WHERE n > 0
+), words AS (
+  SELECT r, n, i, ws[1 + CASE WHEN h % 10 = 0 AND i >= a THEN a + (i - a) % p ELSE i END] AS word
+  FROM (SELECT *, unnest(range(n)) AS i FROM planned)
+), pairs AS (
+  SELECT x.r, x.i, y.i - x.i AS q FROM words x JOIN words y ON x.r = y.r AND x.word = y.word AND y.i > x.i AND (y.i - x.i) * 3 <= x.n
+), likely AS (SELECT r, q FROM pairs GROUP BY r, q HAVING count(*) >= greatest(24 - q, 2 * q)
+), placed AS (
+  SELECT r, q, i, i - row_number() OVER (PARTITION BY r, q ORDER BY i) AS island FROM pairs SEMI JOIN likely USING (r, q)
+), stretches AS (
+  SELECT r, q, min(i) AS s, count(*) + q AS l FROM placed GROUP BY r, q, island HAVING count(*) + q >= greatest(24, 3 * q)
+), runs AS (SELECT r, s, l, min(q) AS q FROM stretches GROUP BY r, s, l
+), by_text AS (
+  SELECT r, count(*) AS n_runs, string_agg(s || ',' || l || ',' || q || chr(10), '' ORDER BY s, q) AS lines,
+    first({'s': s, 'l': l, 'q': q} ORDER BY l / q DESC, s, q) AS top FROM runs GROUP BY r
+), kept AS (
+  SELECT r, string_agg(word, ' ' ORDER BY i) AS collapsed FROM words w
+  WHERE NOT EXISTS (SELECT 1 FROM runs t WHERE t.r = w.r AND w.i >= t.s + t.q AND w.i < t.s + t.l) GROUP BY r
+)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, top.s AS start, top.l AS length, top.q AS period, 1000 * top.l // top.q AS exponent_milli,
+  sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(collapsed, '')) AS collapsed_sha256
+FROM d LEFT JOIN by_text USING (r) LEFT JOIN kept USING (r)
+"""
+
+
 #: Fixed value: the contract's order of the kinds of one start; spans the method adds come last.
 SECRET_KINDS = ("assign", "access", "hex", "own")
 
