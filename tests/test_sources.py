@@ -1,6 +1,7 @@
 """Checksums, fingerprints and the run manifest."""
 import glob
 import hashlib
+import subprocess
 import os
 
 from pyspark.sql import functions as F
@@ -41,3 +42,17 @@ def test_layers_follow_their_source(spark, tmp_path):
     assert materialized(spark, src, "t", build).count() == 3
     spark.range(2).write.mode("append").parquet(src)
     assert materialized(spark, src, "t", build).count() == 5
+
+
+def test_checksum_of_a_file_beyond_one_row(spark, tmp_path):
+    """3 GB, sparse: more than a row can hold; streamed in chunks."""
+    path = tmp_path / "large file%20.bin"
+    with open(path, "wb") as f:
+        f.write(b"head")
+        f.truncate(3 << 30)
+        f.seek((3 << 30) - 4)
+        f.write(b"tail")
+    (tmp_path / "small.bin").write_bytes(b"few")
+    want = subprocess.run(["sha256sum", str(path)], capture_output=True, text=True, check=True).stdout.lstrip("\\").split()[0]
+    got = {r.size_bytes: r.sha256 for r in files.file_checksums(spark, str(tmp_path)).collect()}
+    assert got == {3 << 30: want, 3: hashlib.sha256(b"few").hexdigest()}
