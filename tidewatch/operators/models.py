@@ -12,12 +12,12 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import MinMaxScaler, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.functions.exprs import scalar_row
 from tidewatch.operators import evaluation as ev
+from tidewatch.operators.isotonic import isotonic_fit, isotonic_scores
 from tidewatch.operators.ordering import running_sums
 from tidewatch.session import checkpointed
 
@@ -131,24 +131,52 @@ def load_model(bundle: str, variant: str = "model") -> PipelineModel:
 
 
 # --------------------------------------------------------------------- M4
-def group_folds(spark: SparkSession, df: DataFrame, group: str, n_folds: int = 5, greedy: int = 10_000) -> DataFrame:
+def _deal_equal(loads: list[int], size: int, count: int) -> tuple[list[tuple[int, list[int]]], list[int]]:
+    """``count`` groups of one ``size``, each to the lightest fold: ``(first rank, folds in turn)`` and the new loads.
+
+    Fold f takes its j-th group when ``load + j * size`` is least, so in round ``load // size + j`` and,
+    within a round, by ``load % size``.  The folds that take part only change where a round
+    reaches a further fold's first one: at most as many stretches as folds, whatever the count.
+    """
+    turn = sorted(range(len(loads)), key=lambda f: (loads[f] % size, f))
+    starts = sorted({load // size for load in loads})
+    runs, rank, loads = [], 0, list(loads)
+    rounds = [load // size for load in loads]
+    for i, start in enumerate(starts):
+        active = [f for f in turn if rounds[f] <= start]
+        left = count - rank
+        most = left if i + 1 == len(starts) else min(left, (starts[i + 1] - start) * len(active))
+        if most:
+            runs.append((rank, active))
+            for place, f in enumerate(active):
+                loads[f] += size * (most // len(active) + (place < most % len(active)))
+            rank += most
+    return runs, loads
+
+
+def group_folds(spark: SparkSession, df: DataFrame, group: str, n_folds: int = 5) -> DataFrame:
     """Group-to-fold table ``(group, fold, n)``: biggest group first, each to the currently lightest fold.
 
-    The ``greedy`` biggest groups are placed so on the driver (a top-k report of their
-    sizes); any further ones are smaller than all of these and are dealt by a hash.
+    Greedy at every number of groups.  The placement is made on the table of (size, number of groups of
+    that size), whose rows are at most sqrt(2 * rows): distinct sizes add up to no more than the rows.
+    Groups of one size take their folds by rank (equal sizes by name), from a two-phase
+    prefix sum, so neither many groups nor a size that most of them share meet in one place.
+
+    A NULL group is a group; an empty table gives no rows.
     """
-    sizes = checkpointed(df.groupBy(group).agg(F.count(F.lit(1)).alias("n")))
-    top = sizes.orderBy(F.desc("n"), F.asc(group)).limit(greedy).collect()
-    load = [0] * n_folds
-    rows = []
-    for r in top:
-        f = min(range(n_folds), key=lambda i: (load[i], i))
-        load[f] += r["n"]
-        rows.append((r[group], f))
-    placed = spark.createDataFrame(rows, f"_g {sizes.schema[group].dataType.simpleString()}, _f int")
-    out = sizes.join(F.broadcast(placed), sizes[group].eqNullSafe(placed._g), "left")         # <= greedy rows
-    rest = F.pmod(F.xxhash64(F.col(group)), F.lit(n_folds)).cast("int")
-    return out.select(group, F.coalesce("_f", rest).alias("fold"), "n")
+    sizes = df.groupBy(group).agg(F.count(F.lit(1)).alias("n")).withColumn("_one", F.lit(1))
+    ranked = running_sums(sizes, ["n", group], ["_one"], prefix="_to")
+    classes = ranked.groupBy("n").agg(F.min("_to_one").alias("_first"), F.count(F.lit(1)).alias("_count"))
+    classes = checkpointed(classes)
+    loads, rows = [0] * n_folds, []
+    for r in classes.orderBy(F.desc("n")).collect():                                         # <= sqrt(2 * rows)
+        runs, loads = _deal_equal(loads, r["n"], r["_count"])
+        rows.append((r["n"], r["_first"], runs))
+    plan = spark.createDataFrame(rows, "n bigint, _first bigint, _runs array<struct<start:bigint,folds:array<int>>>")
+    placed = ranked.join(plan, "n").withColumn("_rank", F.col("_to_one") - F.col("_first"))
+    run = F.element_at(F.filter("_runs", lambda x: x.start <= F.col("_rank")), -1)
+    fold = F.get(run.folds, F.pmod(F.col("_rank") - run.start, F.size(run.folds)).cast("int"))
+    return placed.select(group, fold.alias("fold"), "n")
 
 
 # --------------------------------------------------------------------- M3
@@ -180,22 +208,26 @@ def cv_summary(folds: DataFrame) -> DataFrame:
 # --------------------------------------------------------------------- M5
 def calibrated_gbt_scores(df: DataFrame, cols: Sequence[str], label: str, key: str, folds: int = 3,
                           rounds: int = 500, seed: int = 42, out: str = "calibrated_score",
-                          train: Column | None = None) -> DataFrame:
+                          train: Column | None = None, group: str | None = None) -> DataFrame:
     """Isotonic calibration with ``folds``-fold cross-fitting, averaged over folds.
 
-    The fold models and their calibrations are applied as columns of one table, so no
-    rows are joined.  The isotonic step fits the histogram of scores with counts as
-    weights.  ``train`` (a condition) limits what is fitted on; every row is scored.
+    The fold models and their calibrations are applied as columns of one table.  The isotonic
+    step (``operators.isotonic``) pools the histogram of held-out scores in a tree.  ``train`` (a condition)
+    limits what is fitted on; every row is scored.  Folds go by a hash of ``key``, or, with
+    ``group``, whole groups go to one fold (``group_folds``), so no group is on both sides.
     """
-    fold = F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(folds))
     fitted = df if train is None else df.where(train)
+    if group is None:
+        fitted = fitted.withColumn("_fold", F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(folds)))
+    else:
+        dealt = group_folds(df.sparkSession, fitted, group, folds).select(F.col(group).alias("_group"), F.col("fold").alias("_fold"))
+        fitted = checkpointed(fitted.join(dealt, F.col(group).eqNullSafe(F.col("_group"))).drop("_group"))
     res = df
     for k in range(folds):
-        model = fit_gbt(fitted.where(fold != k), cols, label, rounds=rounds)
-        held = score(model, fitted.where(fold == k), cols, "_p")
-        points = held.groupBy("_p").agg(F.avg(F.col(label).cast("double")).alias("_rate"), F.count(label).cast("double").alias("_n"))
-        iso = IsotonicRegression(featuresCol="_p", labelCol="_rate", weightCol="_n", predictionCol=f"_c{k}").fit(points)
-        res = iso.transform(score(model, res, cols, "_p")).drop("_p")
+        model = fit_gbt(fitted.where(F.col("_fold") != k), cols, label, rounds=rounds)
+        held = score(model, fitted.where(F.col("_fold") == k), cols, "_p").select("_p", label)
+        blocks = isotonic_fit(held, "_p", label)
+        res = isotonic_scores(score(model, res, cols, "_p"), "_p", blocks, f"_c{k}").drop("_p")
     mean = sum((F.col(f"_c{k}") for k in range(folds)), F.lit(0.0)) / folds
     return res.select(key, mean.alias(out))
 

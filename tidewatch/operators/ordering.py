@@ -30,7 +30,7 @@ from tidewatch.session import checkpointed
 DEFAULT_BUCKETS = None            # Spark's own number of partitions
 
 
-def _ranged(df: DataFrame, order_by: Sequence[str], n_buckets: int | None, out: str) -> DataFrame:
+def ranged(df: DataFrame, order_by: Sequence[str], n_buckets: int | None, out: str) -> DataFrame:
     """``df`` stored in key ranges, ``out`` = number of the range."""
     cols = [F.col(c) for c in order_by]
     parted = df.repartitionByRange(*cols) if n_buckets is None else df.repartitionByRange(n_buckets, *cols)
@@ -45,7 +45,7 @@ def running_sums(df: DataFrame, order_by: Sequence[str], value_cols: Sequence[st
     further steps on it do not run the input again.
     """
     b = "_tw_bucket"
-    bucketed = _ranged(df, order_by, n_buckets, b)
+    bucketed = ranged(df, order_by, n_buckets, b)
     totals = bucketed.groupBy(b).agg(*[F.sum(c).alias(f"_tot_{c}") for c in value_cols])
     w_off = Window.orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
@@ -95,6 +95,12 @@ def grouped_quantiles(df: DataFrame, by: Sequence[str], col: str, probs: Sequenc
     neither a hot group nor many distinct values meet in one task.
     """
     hist = df.where(F.col(col).isNotNull()).groupBy(*by, col).agg(F.count(F.lit(1)).alias("cnt"))
+    return histogram_quantiles(hist, by, col, probs, n_buckets)
+
+
+def histogram_quantiles(hist: DataFrame, by: Sequence[str], col: str, probs: Sequence[float],
+                        n_buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
+    """``grouped_quantiles`` of a histogram ``(*by, col, cnt)`` that is there already, one row per value."""
     cum = running_sums(hist, [*by, col], ["cnt"], prefix="cum_", n_buckets=n_buckets)
     ends = cum.groupBy(*by).agg(F.min(F.col("cum_cnt") - F.col("cnt")).alias("_base"), F.sum("cnt").alias("_n"))
     ranked = cum.join(ends, list(by)).withColumn("_to", F.col("cum_cnt") - F.col("_base"))
