@@ -39,7 +39,7 @@ def dpi_leaderboard(dept_week: DataFrame) -> DataFrame:
     w = K.DPI_WEIGHTS
     scored = dept.withColumns({
         "retention_score": F.lit(1.0) - F.col("attrition_rate"),
-        "workload_score": (F.lit(1.0) - F.col("average_montly_hours_mean") / max_hours) * 0.5
+        "workload_score": (F.lit(1.0) - F.coalesce(safe_ratio("average_montly_hours_mean", max_hours), F.lit(0.0))) * 0.5
         + F.col("satisfaction_level_mean") * 0.5,
         "compliance_score": F.when(max_density > 0, F.lit(1.0) - safe_ratio("violation_density", max_density))
         .otherwise(F.lit(1.0)),

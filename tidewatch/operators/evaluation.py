@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions import constants as K
 from tidewatch.functions.exprs import nan_to_null, safe_ratio, scalar_row, zero_if_undefined
-from tidewatch.operators.ordering import DEFAULT_BUCKETS, label_histogram, running_sums
+from tidewatch.operators.ordering import DEFAULT_BUCKETS, exact_quantiles, label_histogram, running_sums
 
 
 # --------------------------------------------------------------------- E1–E3, X5
@@ -85,7 +85,8 @@ def grid_sweep(df: DataFrame, score: str, label: str, grid: Sequence[float], inc
     hist = label_histogram(df, score, label, by)
     binned = passed_count(hist, score, grid, inclusive, "k")
     per_k = binned.groupBy(*by, "k").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
-    totals = per_k.groupBy(*by).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0).cast("bigint"))
+    totals = per_k.groupBy(*by).agg(total("pos").alias("P"), total("neg").alias("N"))
     dense = totals.select(*by, "P", "N", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("i"))
     joined = dense.join(per_k.withColumnRenamed("k", "i"), [*by, "i"], "left").fillna(0, ["pos", "neg"])
     w = Window.partitionBy(*by).orderBy("i").rowsBetween(Window.unboundedPreceding, Window.currentRow) \
@@ -161,22 +162,28 @@ def average_precision(df: DataFrame, score: str, label: str, n_buckets: int | No
 
 
 # --------------------------------------------------------------------- E6–E8
-def calibration_curve(df: DataFrame, prob: str, label: str, inner_edges: Sequence[float]) -> DataFrame:
-    """Reliability curve: bin = number of inner edges strictly below p; empty bins absent.
+def calibration_curve(df: DataFrame, prob: str, label: str, inner_edges: Sequence[float | Column]) -> DataFrame:
+    """Reliability curve: bin = number of distinct inner edges strictly below p; empty bins absent.
 
-    Rows without a probability or a label are left out; the bin is a JVM binary search.
+    ``inner_edges`` are numbers, or ascending columns such as ``quantile_edges``.  Rows without a
+    probability or a label are left out; an empty table has no bins.
     """
     scored = df.withColumn(prob, nan_to_null(prob)).where(F.col(prob).isNotNull() & F.col(label).isNotNull())
-    binned = passed_count(scored, prob, sorted(set(float(e) for e in inner_edges)), False, "bin")
+    if any(isinstance(e, Column) for e in inner_edges):
+        below = [(e < F.col(prob).cast("double")) & (e > before if before is not None else F.lit(True))
+                 for before, e in zip([None, *inner_edges], inner_edges)]
+        binned = scored.withColumn("bin", sum((F.when(b, 1).otherwise(0) for b in below), F.lit(0)))
+    else:
+        binned = passed_count(scored, prob, sorted(set(float(e) for e in inner_edges)), False, "bin")
     return binned.groupBy("bin").agg(F.count(F.lit(1)).alias("n"), F.avg(prob).alias("mean_pred"),
                                      F.avg(F.col(label).cast("double")).alias("frac_pos"))
 
 
-def quantile_edges(df: DataFrame, prob: str, n_bins: int = 10) -> list[float]:
-    """Inner quantile edges (exact, linear interpolation) — ``n_bins - 1`` values."""
-    from tidewatch.operators.ordering import exact_quantiles
+def quantile_edges(df: DataFrame, prob: str, n_bins: int = 10) -> list[Column]:
+    """Inner quantile edges (exact, linear interpolation): ``n_bins - 1`` values of one scalar subquery."""
     probs = [i / n_bins for i in range(1, n_bins)]
-    return [float(x) for x in exact_quantiles(df, prob, probs).first()["q"]]
+    edges = exact_quantiles(df, prob, probs).select(F.struct("q")).scalar().q
+    return [F.get(edges, F.lit(i)) for i in range(n_bins - 1)]
 
 
 def brier_score(df: DataFrame, prob: str, label: str, by: Sequence[str] = ()) -> DataFrame:
@@ -223,6 +230,24 @@ def benchmark_enhanced(df: DataFrame, score_cols: Sequence[str], label: str, bas
 
 
 # --------------------------------------------------------------------- evaluation flow
+def benchmark_heldout(df: DataFrame, score_cols: Sequence[str], label: str, baseline: str, split: str = "split",
+                      grid: Sequence[float] | None = None) -> DataFrame:
+    """H6 + H7 with thresholds fixed on the training part: each model's cheapest threshold there, and its
+    metrics and cost in both parts; the cost change is against the baseline in the same part."""
+    grid = grid if grid is not None else K.grid_100()
+    lg = long_scores(df, score_cols, label, keep=[split])
+    train = lg.where(F.col(split) == "train")
+    tau = best_threshold(grid_sweep(train, "score", label, grid, inclusive=False, by=["model"]), by=["model"]).select("model", "tau")
+    counts = confusion_counts(lg.join(F.broadcast(tau), "model"), "score", label, F.col("tau"), by=[split, "model", "tau"])     # one row per model
+    scored = with_metrics(with_cost(counts))
+    part = Window.partitionBy(split)                                                          # one row per model
+    base = F.max(F.when(F.col("model") == baseline, F.col("cost"))).over(part)
+    return scored.select(
+        F.col(split).alias("part"), F.col("model").alias("model_variant"), F.col("tau").alias("threshold"), "precision", "recall",
+        "f1_score", F.col("cost").cast("bigint").alias("total_cost"),
+        F.when(F.col("model") == baseline, F.lit(0.0)).otherwise(safe_ratio(base - F.col("cost"), base) * 100.0).alias("cost_reduction_pct"))
+
+
 def by_part(df: DataFrame, report, split: str = "split") -> DataFrame:
     """``report`` over the training part and the held-out part, with a ``part`` column."""
     parts = [report(df.where(F.col(split) == p)).withColumn("part", F.lit(p)) for p in ("train", "test")]

@@ -22,26 +22,39 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions import constants as K
 from tidewatch.functions.exprs import flag, safe_ratio, scalar_row
-from tidewatch.operators.ordering import grouped_quantiles
+from tidewatch.operators.ordering import histogram_quantiles
 from tidewatch.operators.profile import long_values
 
 KEYS = ["sales", "weekly_ts"]
 
 
 # --------------------------------------------------------------------- A8
+# FIXED VALUES — name: (column, quantile)
+THRESHOLDS = {"p95_hours": ("average_montly_hours", 0.95), "p75_projects": ("number_project", 0.75),
+              "p25_satisfaction": ("satisfaction_level", 0.25), "p75_tenure": ("time_spend_company", 0.75),
+              "median_hours": ("average_montly_hours", 0.5)}
+
+
+def threshold_histogram(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """``(*by, feature, value, cnt)`` of the columns behind the thresholds; histograms add up."""
+    long = long_values(df, list(dict.fromkeys(c for c, _ in THRESHOLDS.values())), by)
+    return long.where("value is not null").groupBy(*by, "feature", "value").agg(F.count(F.lit(1)).alias("cnt"))
+
+
+def thresholds_of(hist: DataFrame) -> DataFrame:
+    """One row: the thresholds of a histogram ``(feature, value, cnt)``."""
+    probs = sorted({p for _, p in THRESHOLDS.values()})
+    q = histogram_quantiles(hist, ["feature"], "value", probs)
+    return q.agg(*[F.max(F.when(F.col("feature") == c, F.col("q")[probs.index(p)])).alias(name) for name, (c, p) in THRESHOLDS.items()])
+
+
 def violation_thresholds(df: DataFrame) -> DataFrame:
     """One row: p95 hours, p75 projects, p25 satisfaction, p75 tenure, median hours.
 
     Exact linear-interpolated percentiles (the pandas default) from one histogram of all
     four columns, whatever the number of distinct values.
     """
-    wanted = {"p95_hours": ("average_montly_hours", 0.95), "p75_projects": ("number_project", 0.75),
-              "p25_satisfaction": ("satisfaction_level", 0.25), "p75_tenure": ("time_spend_company", 0.75),
-              "median_hours": ("average_montly_hours", 0.5)}
-    probs = sorted({p for _, p in wanted.values()})
-    long = long_values(df, list(dict.fromkeys(c for c, _ in wanted.values())))
-    q = grouped_quantiles(long, ["feature"], "value", probs)
-    return q.agg(*[F.max(F.when(F.col("feature") == c, F.col("q")[probs.index(p)])).alias(name) for name, (c, p) in wanted.items()])
+    return thresholds_of(threshold_histogram(df))
 
 
 # --------------------------------------------------------------------- A9
@@ -61,23 +74,32 @@ def violation_flags(df: DataFrame, thresholds: DataFrame | None = None) -> DataF
 
 
 # ------------------------------------------------------------------ A10/A11
-def dept_week_features(flagged: DataFrame, label: str = "left_flag") -> DataFrame:
-    """Department-week aggregate (null keys dropped, as a pandas group-by does)."""
-    agg = (
+def dept_week_partials(flagged: DataFrame, label: str = "left_flag") -> DataFrame:
+    """Mergeable sums and counts per department-week (null keys dropped, as a pandas group-by does)."""
+    means = [label, "satisfaction_level", "average_montly_hours", "time_spend_company"]
+    return (
         flagged.where(F.col("sales").isNotNull() & F.col("weekly_ts").isNotNull())
         .groupBy(*KEYS)
-        .agg(
-            F.sum(label).cast("bigint").alias("leavers"),
-            F.avg(label).alias("attrition_rate"),
-            F.avg("satisfaction_level").alias("satisfaction_level_mean"),
-            F.avg("average_montly_hours").alias("average_montly_hours_mean"),
-            F.avg("time_spend_company").alias("time_spend_company_mean"),
-            *[F.sum(v).cast("bigint").alias(f"{v}_sum") for v in K.VIOLATION_FLAGS],
-            F.count("EmployeeID").alias("headcount"),
-        )
+        .agg(*[F.sum(c).alias(f"{c}__sum") for c in means], *[F.count(c).alias(f"{c}__n") for c in means],
+             *[F.sum(v).cast("bigint").alias(f"{v}_sum") for v in K.VIOLATION_FLAGS],
+             F.count("EmployeeID").alias("headcount"))
     )
+
+
+def finished(partials: DataFrame, label: str = "left_flag") -> DataFrame:
+    """The department-week features of partials, one row per department-week."""
+    mean = lambda c: safe_ratio(f"{c}__sum", f"{c}__n")
     total = sum((F.col(f"{v}_sum") for v in K.VIOLATION_FLAGS), F.lit(0))
-    return agg.withColumn("violation_density", safe_ratio(total, "headcount"))
+    return partials.select(
+        *KEYS, F.col(f"{label}__sum").cast("bigint").alias("leavers"), mean(label).alias("attrition_rate"),
+        mean("satisfaction_level").alias("satisfaction_level_mean"), mean("average_montly_hours").alias("average_montly_hours_mean"),
+        mean("time_spend_company").alias("time_spend_company_mean"), *[f"{v}_sum" for v in K.VIOLATION_FLAGS], "headcount",
+        safe_ratio(total, "headcount").alias("violation_density"))
+
+
+def dept_week_features(flagged: DataFrame, label: str = "left_flag") -> DataFrame:
+    """Department-week aggregate."""
+    return finished(dept_week_partials(flagged, label), label)
 
 
 # --------------------------------------------------------------------- W1
@@ -91,9 +113,12 @@ def add_lags(dept_week: DataFrame, cols: Sequence[str] = tuple(K.LAGGED_COLUMNS)
     return dept_week.withColumns({f"{c}_lag1": F.lag(c, 1).over(w) for c in cols})
 
 
-def dept_week_gold(hr: DataFrame) -> DataFrame:
-    """Thresholds → flags → department-week aggregate → lags (19 columns)."""
-    flagged = violation_flags(hr, violation_thresholds(hr))
+def dept_week_gold(hr: DataFrame, thresholds: DataFrame | None = None) -> DataFrame:
+    """Thresholds → flags → department-week aggregate → lags (19 columns).
+
+    ``thresholds`` may be a stored row of ``violation_thresholds(hr)``.
+    """
+    flagged = violation_flags(hr, thresholds if thresholds is not None else violation_thresholds(hr))
     return add_lags(dept_week_features(flagged))
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewatch.functions import constants as K
-from tidewatch.functions.exprs import failing, scalar_row
+from tidewatch.functions.exprs import failing, safe_ratio, scalar_row
 from tidewatch.operators.ordering import grouped_quantiles
 from tidewatch.operators.profile import long_values
 
@@ -116,12 +116,12 @@ def missing_summary(df: DataFrame) -> DataFrame:
     for f in df.schema.fields:
         c = F.col(f.name)
         miss = c.isNull() | F.isnan(c) if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else c.isNull()
-        aggs.append(F.sum(F.when(miss, 1).otherwise(0)).cast("bigint").alias(f"m__{f.name}"))
+        aggs.append(F.count_if(miss).alias(f"m__{f.name}"))
         structs.append((f.name, dtype_name(f.dataType)))
     wide = df.agg(*aggs)
     return wide.select(F.inline(F.array(*[
         F.struct(F.lit(name).alias("column_name"), F.col(f"m__{name}").alias("missing_count"),
-                 (F.col(f"m__{name}") * 100.0 / F.col("__n")).alias("missing_pct"),
+                 safe_ratio(F.col(f"m__{name}") * 100.0, "__n").alias("missing_pct"),
                  F.lit(dt).alias("dtype"))
         for name, dt in structs]))).orderBy(F.desc("missing_count"), "column_name")
 
@@ -151,8 +151,8 @@ def cleanup_report(df: DataFrame, label: str = "left_flag") -> DataFrame:
     return dedup.agg(
         before.alias("rows_before"),
         (before - F.count(F.lit(1))).alias("duplicates_removed"),
-        F.sum(F.when(~kept, 1).otherwise(0)).cast("bigint").alias("rows_missing_left_removed"),
-        F.sum(F.when(kept & (F.col("sales") == ""), 1).otherwise(0)).cast("bigint").alias("blank_sales_to_na"),
-        F.sum(F.when(kept & (F.col("salary") == ""), 1).otherwise(0)).cast("bigint").alias("blank_salary_to_na"),
-        F.sum(F.when(kept, 1).otherwise(0)).cast("bigint").alias("rows_after"),
+        F.count_if(~kept).alias("rows_missing_left_removed"),
+        F.count_if(kept & (F.col("sales") == "")).alias("blank_sales_to_na"),
+        F.count_if(kept & (F.col("salary") == "")).alias("blank_salary_to_na"),
+        F.count_if(kept).alias("rows_after"),
     )

@@ -92,5 +92,7 @@ def class_weight(df: DataFrame, label: str = "left_flag") -> DataFrame:
 
 
 def pick_model_row(bench: DataFrame, name: str, model_col: str = "model") -> DataFrame:
-    """The benchmark row whose model name equals ``name`` case-insensitively."""
-    return bench.where(F.lower(F.col(model_col)) == name.lower())
+    """The one benchmark row whose model name equals ``name`` case-insensitively; an error if none or several do."""
+    found = bench.where(F.lower(F.col(model_col)) == name.lower()).agg(F.count(F.lit(1)).alias("n"), F.first(F.struct(*bench.columns)).alias("row"))
+    message = F.format_string(f"%d rows for model {name}, not one", "n")
+    return found.select(F.when(F.col("n") == 1, F.col("row")).otherwise(F.raise_error(message)).alias("row")).select("row.*")
