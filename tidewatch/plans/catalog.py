@@ -32,6 +32,7 @@ def _r(df: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ shared plans
+from tidewatch.plans import incremental  # noqa: E402
 from tidewatch.plans.layers import materialized  # noqa: E402
 
 
@@ -40,9 +41,14 @@ def _hr(spark, sf):
     return materialized(spark, sf, "silver_hr", lambda: fixtures.hr(spark, sf))
 
 
+def _thresholds(spark, sf):
+    """The silver layer's violation thresholds, one stored row."""
+    return materialized(spark, sf, "thresholds", lambda: features.violation_thresholds(_hr(spark, sf)))
+
+
 def _gold(spark, sf):
     """Gold layer: the 19-column department-week table, written once per session."""
-    return materialized(spark, sf, "gold_dept_week", lambda: features.dept_week_gold(_hr(spark, sf)))
+    return materialized(spark, sf, "gold_dept_week", lambda: features.dept_week_gold(_hr(spark, sf), _thresholds(spark, sf)))
 
 
 # ------------------------------------------------------------------ features
@@ -66,7 +72,22 @@ def q_dept_week_features(spark, sf):
 
 @query("dept_week_lags")
 def q_dept_week_lags(spark, sf):
-    return _r(features.dept_week_gold(_hr(spark, sf)))
+    return _r(features.dept_week_gold(_hr(spark, sf), _thresholds(spark, sf)))
+
+
+@query("dept_week_incremental")
+def q_dept_week_incremental(spark, sf):
+    """Gold kept by updates: a first load that lacks or misstates every 40th week's rows, then these weeks alone."""
+    hr, home = _hr(spark, sf), scratch_path(spark, "incremental")
+    week = F.datediff(F.col("weekly_ts").cast("date"), F.lit("1970-01-05").cast("date")) / 7
+    late = F.pmod(week.cast("int"), F.lit(40)) == 0
+    satisfied = F.when(late, F.lit(1.0)).otherwise(F.col("satisfaction_level")).alias("satisfaction_level")
+    first = hr.select(*[satisfied if c == "satisfaction_level" else F.col(c) for c in hr.columns])
+    incremental.land(first.where(~late | (F.col("EmployeeID") % 2 == 0)), f"{home}/silver")
+    incremental.update(spark, f"{home}/silver", home)
+    incremental.land(hr.where(late), f"{home}/silver")
+    incremental.update(spark, f"{home}/silver", home)
+    return _r(incremental.gold(spark, home))
 
 
 @query("employee_gold")
@@ -93,7 +114,7 @@ def q_infer_department(spark, sf):
 # ------------------------------------------------------------------ DPI
 @query("dpi_leaderboard")
 def q_dpi_leaderboard(spark, sf):
-    return _r(dpi.dpi_leaderboard(features.dept_week_gold(_hr(spark, sf))))
+    return _r(dpi.dpi_leaderboard(features.dept_week_gold(_hr(spark, sf), _thresholds(spark, sf))))
 
 
 @query("dpi_kpis")
@@ -649,7 +670,7 @@ def q_employee_alerts(spark, sf):
 
 
 # ------------------------------------------------------------------ streaming
-from tidewatch.streaming import weekly  # noqa: E402
+from tidewatch.streaming import weekly, windows  # noqa: E402
 
 
 @query("stream_weekly_risk")
@@ -658,6 +679,14 @@ def q_stream_weekly_risk(spark, sf):
     return _r(weekly.weekly_event_stream(spark, src, "ts", ["event_type"], "value"))
 
 
+@query("stream_weekly_closing")
+def q_stream_weekly_closing(spark, sf):
+    """Weekly windows per event type that close by event-time timers."""
+    src = f"{sf.rstrip('/')}/events.parquet"
+    stream = weekly.file_stream(spark, src, spark.read.parquet(src).schema)
+    return _r(windows.closing_weekly_stream(spark, stream, "ts", ["event_type"], "value")[0])
+
+
 @query("stream_weekly_alerts")
 def q_stream_weekly_alerts(spark, sf):
     scored = _scored(spark, sf)
@@ -754,16 +783,16 @@ for _key, _col in (("logreg_scores", "logreg_score"), ("gbt_scores", "gbt_score"
 
 @query("benchmark_models")
 def q_benchmark_models(spark, sf):
-    """Four fitted models at the naive fusion's threshold, for the training and the held-out part."""
+    """Four fitted models at the naive fusion's threshold of the training part, for that and the held-out part."""
     scores = _model_scores(spark, sf)
-    tau = _fused_tau(scores)
+    tau = _fused_tau(scores.where("split = 'train'"))
     return _r(ev.by_part(scores, lambda df: ev.benchmark_table(df, ENSEMBLE, "left_flag", tau)))
 
 
 @query("benchmark_variants")
 def q_benchmark_variants(spark, sf):
-    """Six variants, each at its own cheapest threshold, for the training and the held-out part."""
-    return _r(ev.by_part(_model_scores(spark, sf), lambda df: ev.benchmark_enhanced(df, VARIANTS, "left_flag", "gbt_score")))
+    """Six variants, each at its cheapest threshold of the training part, for that and the held-out part."""
+    return _r(ev.benchmark_heldout(_model_scores(spark, sf), VARIANTS, "left_flag", "gbt_score"))
 
 
 @query("evaluation_report")
@@ -806,7 +835,7 @@ def q_group_cv_summary(spark, sf):
 # ------------------------------------------------------------------ drift
 from tidewatch.operators import drift, governance  # noqa: E402
 
-DRIFT_CUT = "1995-01-01"
+DRIFT_CUT = "1998-05-01"
 DRIFT_COLS = K.NUMERIC_PROFILE_COLUMNS + ["score"]
 
 
@@ -835,6 +864,21 @@ def q_drift_rates(spark, sf):
     return _r(drift.rate_drift(s, "sales", "left_flag", "fused_score", "anomaly_score"))
 
 
+@query("drift_distribution")
+def q_drift_distribution(spark, sf):
+    """KS and Wasserstein distances of three scores between the periods, per department."""
+    s = drift.split_periods(_scored(spark, sf), "weekly_ts", DRIFT_CUT)
+    long = s.unpivot(["sales", "period"], ["score", "anomaly_score", "fused_score"], "feature", "value")
+    return _r(drift.distribution_drift(long, ["feature", "sales"], "value"))
+
+
+@query("benchmark_heldout")
+def q_benchmark_heldout(spark, sf):
+    """Two formula scores and their fusion at the cheapest thresholds of employees with an odd key, in both halves."""
+    half = _scored(spark, sf).withColumn("split", F.when(F.col("EmployeeID") % 2 == 1, "train").otherwise("test"))
+    return _r(ev.benchmark_heldout(half, ["supervised_score", "anomaly_score", "fused_score"], "left_flag", "supervised_score"))
+
+
 @query("drift_policy")
 def q_drift_policy(spark, sf):
     return _r(drift.drift_policy(drift.numeric_drift(_periods(spark, sf), DRIFT_COLS), _cat_drift(spark, sf)))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tidewatch.functions import constants as K
 from tidewatch.plans.sql_fixtures import (GOLD_CTES, GROUP_PREDS_CTE, HR_CTES, HR_DIRTY_CTE,
                                           HR_WIDE_CTE,
                                           rounded, with_ctes)
@@ -34,6 +35,8 @@ ORACLE["dept_week_features"] = rounded(gold_sql("SELECT * FROM dw"), DW_DOUBLES)
 
 ORACLE["dept_week_lags"] = rounded(gold_sql("SELECT * FROM dwl"), DW_DOUBLES + LAG_DOUBLES)
 
+ORACLE["dept_week_incremental"] = ORACLE["dept_week_lags"]
+
 ORACLE["employee_gold"] = rounded(gold_sql("""
 SELECT hr.*, dwl.* EXCLUDE (sales, weekly_ts),
   CAST(CASE salary WHEN 'low' THEN 1 WHEN 'medium' THEN 2 WHEN 'high' THEN 3 END AS INT) AS salary_ord,
@@ -732,13 +735,18 @@ ORACLE["stream_weekly_risk"] = rounded("""
 SELECT CAST(date_trunc('week', ts) AS TIMESTAMP) AS week_start, event_type, COUNT(*) AS n,
   AVG(value) AS avg_value, SUM(value) AS sum_value
 FROM events GROUP BY 1, 2""", ["avg_value", "sum_value"])
+ORACLE["stream_weekly_closing"] = rounded("""
+SELECT CAST(date_trunc('week', ts) AS TIMESTAMP) AS week_start, event_type, COUNT(*) AS n,
+  AVG(value) AS avg_value, SUM(value) AS sum_value,
+  date_trunc('week', ts) + INTERVAL 7 DAY <= (SELECT date_trunc('millisecond', MAX(ts)) FROM events) AS closed
+FROM events GROUP BY ALL""", ["avg_value", "sum_value"])
 ORACLE["stream_weekly_alerts"] = rounded(_alert_sql(f"""
 SELECT * EXCLUDE (phrases) REPLACE (array_to_string(top_drivers, '|') AS top_drivers) FROM (
   SELECT alerts.*, {_SUMMARY} AS summary FROM phr AS alerts) a"""), _ALERT_D)
 
 
 # ------------------------------------------------------------------ drift
-_PER = "per AS (SELECT *, CASE WHEN weekly_ts < TIMESTAMP '1995-01-01' THEN 'baseline' ELSE 'current' END AS period FROM hr)"
+_PER = "per AS (SELECT *, CASE WHEN weekly_ts < TIMESTAMP '1998-05-01' THEN 'baseline' ELSE 'current' END AS period FROM hr)"
 _DCOLS = ["satisfaction_level", "last_evaluation", "number_project", "average_montly_hours", "time_spend_company",
           "score"]
 
@@ -784,6 +792,47 @@ SELECT feature, metric, value,
 FROM (SELECT feature, 'rel_change' AS metric, ABS(rel_change) AS value FROM num
       UNION ALL SELECT feature, 'psi', SUM(psi_term) FROM cat GROUP BY feature) x""",
     _PER, _CAT, f"num AS ({_NUM_DRIFT})"), ["value"])
+ORACLE["drift_distribution"] = rounded(scored_sql("""
+SELECT feature, sales, n_base, n_cur, ks, ks_at, wasserstein, ks_critical, ks > ks_critical AS shifted FROM (
+  SELECT feature, sales, CAST(any_value(nb) AS BIGINT) AS n_base, CAST(any_value(nc) AS BIGINT) AS n_cur, max(gap) AS ks,
+    arg_min(x, (-round(gap, 12), x)) AS ks_at, sum(area) AS wasserstein,
+    1.3581015157406195 * sqrt((any_value(nb) + any_value(nc))::DOUBLE / (any_value(nb)::DOUBLE * any_value(nc)::DOUBLE)) AS ks_critical
+  FROM (
+    SELECT *, gap * (coalesce(lead(x) OVER (PARTITION BY feature, sales ORDER BY x), x) - x) AS area FROM (
+      SELECT feature, sales, x, sum(b) OVER g AS nb, sum(c) OVER g AS nc,
+        abs(sum(b) OVER o / sum(b) OVER g - sum(c) OVER o / sum(c) OVER g) AS gap
+      FROM (
+        SELECT feature, sales, x, count(*) FILTER (WHERE period = 'baseline')::DOUBLE AS b, count(*) FILTER (WHERE period = 'current')::DOUBLE AS c
+        FROM (
+          SELECT sales, unnest(['score', 'anomaly_score', 'fused_score']) AS feature, unnest([score, anomaly_score, fused_score]::DOUBLE[]) AS x,
+            CASE WHEN weekly_ts < TIMESTAMP '1998-05-01' THEN 'baseline' ELSE 'current' END AS period FROM scored) u
+        WHERE x IS NOT NULL AND sales IS NOT NULL GROUP BY feature, sales, x) h
+      WINDOW g AS (PARTITION BY feature, sales), o AS (PARTITION BY feature, sales ORDER BY x ROWS UNBOUNDED PRECEDING)) f) a
+  GROUP BY feature, sales) t"""), ["ks", "ks_at", "wasserstein", "ks_critical"])
+
+ORACLE["benchmark_heldout"] = rounded(scored_sql("""
+SELECT part, model_variant, threshold, precision, recall, f1_score, CAST(cost AS BIGINT) AS total_cost,
+  CASE WHEN model_variant = 'supervised_score' THEN 0e0
+    ELSE (max(CASE WHEN model_variant = 'supervised_score' THEN cost END) OVER (PARTITION BY part) - cost)
+      / max(CASE WHEN model_variant = 'supervised_score' THEN cost END) OVER (PARTITION BY part) * 100e0 END AS cost_reduction_pct
+FROM (
+  SELECT part, model_variant, threshold, 10e0 * fn + fp AS cost, CASE WHEN tp + fp > 0 THEN tp / (tp + fp)::DOUBLE ELSE 0 END AS precision,
+    CASE WHEN tp + fn > 0 THEN tp / (tp + fn)::DOUBLE ELSE 0 END AS recall,
+    CASE WHEN 2 * tp + fp + fn > 0 THEN 2 * tp / (2 * tp + fp + fn)::DOUBLE ELSE 0 END AS f1_score
+  FROM (
+    SELECT part, model_variant, threshold, count(*) FILTER (WHERE left_flag = 1 AND x > threshold) AS tp,
+      count(*) FILTER (WHERE left_flag = 0 AND x > threshold) AS fp, count(*) FILTER (WHERE left_flag = 1 AND NOT x > threshold) AS fn
+    FROM halves JOIN taus USING (model_variant) GROUP BY ALL) c) m""", """
+halves AS (
+  SELECT CASE WHEN EmployeeID % 2 = 1 THEN 'train' ELSE 'test' END AS part, left_flag,
+    unnest(['supervised_score', 'anomaly_score', 'fused_score']) AS model_variant, unnest([supervised_score, anomaly_score, fused_score]) AS x
+  FROM scored)""", _grid_cte("heldout_grid", K.grid_100()), """
+taus AS (
+  SELECT model_variant, arg_min(tau, (cost, i)) AS threshold FROM (
+    SELECT model_variant, i, tau, 10 * count(*) FILTER (WHERE left_flag = 1 AND NOT x > tau) + count(*) FILTER (WHERE left_flag = 0 AND x > tau) AS cost
+    FROM halves, heldout_grid WHERE part = 'train' GROUP BY model_variant, i, tau) t GROUP BY model_variant)"""),
+    ["threshold", "precision", "recall", "f1_score", "cost_reduction_pct"])
+
 ORACLE["drift_rates"] = rounded(scored_sql("""
 SELECT *, attrition_cur - attrition_base AS attrition_shift, score_cur - score_base AS score_shift,
   anomaly_rate_cur - anomaly_rate_base AS anomaly_rate_shift FROM (
@@ -794,7 +843,7 @@ SELECT *, attrition_cur - attrition_base AS attrition_shift, score_cur - score_b
     AVG(CASE WHEN period = 'current' THEN fused_score END) AS score_cur,
     AVG(CASE WHEN period = 'baseline' THEN CASE WHEN anomaly_score >= 0.5 THEN 1e0 ELSE 0e0 END END) AS anomaly_rate_base,
     AVG(CASE WHEN period = 'current' THEN CASE WHEN anomaly_score >= 0.5 THEN 1e0 ELSE 0e0 END END) AS anomaly_rate_cur
-  FROM (SELECT *, CASE WHEN weekly_ts < TIMESTAMP '1995-01-01' THEN 'baseline' ELSE 'current' END AS period FROM scored) s
+  FROM (SELECT *, CASE WHEN weekly_ts < TIMESTAMP '1998-05-01' THEN 'baseline' ELSE 'current' END AS period FROM scored) s
   WHERE sales IS NOT NULL GROUP BY sales) g"""),
     ["attrition_base", "attrition_cur", "score_base", "score_cur", "anomaly_rate_base", "anomaly_rate_cur",
      "attrition_shift", "score_shift", "anomaly_rate_shift"])
