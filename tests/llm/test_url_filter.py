@@ -27,3 +27,18 @@ def test_rules_and_precedence(spark):
     assert sorted(got, key=str) == sorted(expected, key=str)
     assert {r.verdict for r in U.judged(pages, df.limit(0)).collect()} == {"allow"}
     assert U.judged(pages.limit(0), df).count() == 0
+
+
+def test_join_key_is_the_short_prefix_alone(spark, monkeypatch):
+    pages = spark.createDataFrame([(1, "http://a.example.com/en/x"), (2, "http://b.net/fr/"), (3, None)], "page_id long, url string")
+    rules = spark.createDataFrame([("example.com", "/en/", "block"), ("net", "/es/", "block")], "host string, path string, verdict string")
+    out = U.judged(pages, rules)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    joins = [line for line in plan.split("\n") if "Join" in line and "rule_key" in line]
+    assert joins and all("[key#" in line and "digest" in line.split("Inner")[1] for line in joins)
+    want = [tuple(r) for r in out.orderBy("page_id").collect()]
+    # digests whose short parts all collide are told apart by the confirmation
+    monkeypatch.setattr(U, "PREFIX_DIGITS", 0)
+    assert [tuple(r) for r in U.judged(pages, rules).orderBy("page_id").collect()] == want
+    long = spark.createDataFrame([(1, "http://" + "x." * 3000 + "example.com/en/" + "y" * 100_000)], "page_id long, url string")
+    assert U.judged(long, rules).first().rule == "example.com/en/"

@@ -1,9 +1,9 @@
 """URL filters: host-suffix and path-prefix expressions joined to rules by short hashes.
 
 A url is expanded into one expression for every suffix of its host at a dot and every
-prefix of its path that is as long as some rule's path.  Expressions meet rules by one
-equality join whose key is the first bytes of a digest together with the whole digest.
-Of the rules that fit, the longest wins.
+prefix of its path that is as long as some rule's path.  Expressions meet rules by an
+equality join on the first bytes of a digest; what meets is confirmed by the whole digest, in a
+condition that Spark cannot make a join key of.  Of the rules that fit, the longest wins.
 
 Work is done once for each distinct (host, path), so a host with a third of all urls
 costs no more than its distinct paths; the answers are joined back.
@@ -11,7 +11,8 @@ costs no more than its distinct paths; the answers are joined back.
 Defined cases: a url that is null or has no ``://`` has an empty host and path; rules with
 a null host or path are left out; of rules equally long the longer host wins, then
 ``block``; pages that repeat stay repeated; other columns of pages are untouched and the
-operator's own (host, path, rule, verdict) replace theirs; no rules leave the default.
+operator's own (host, path, rule, verdict) replace theirs; no rules leave the default; a url of
+any length is expanded whole, into one expression a host label and length of a rule's path.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Hex digits of a digest in the short part of the join key.
+#: Hex digits of a digest that make the join key.
 PREFIX_DIGITS = 8
 
 
@@ -61,7 +62,8 @@ def judged(pages: DataFrame, rules: DataFrame, url: str = "url", default: str =
     work = pages.drop("host", "path", "rule", "verdict").withColumn("host", host).withColumn("path", path)
     distinct = work.select("host", "path").distinct()
     tried = expressions(distinct, lengths).withColumn("key", F.substring("digest", 1, PREFIX_DIGITS))
-    hits = tried.join(known, (tried.key == known.rule_key) & (tried.digest == known.rule_digest))
+    confirmed = tried.digest.between(known.rule_digest, known.rule_digest)                          # equal, but no key
+    hits = tried.join(known, (tried.key == known.rule_key) & confirmed)
     rule = F.concat("rule_host", "rule_path")
     best = hits.groupBy("host", "path").agg(F.max(F.struct(
         F.length(rule).alias("n"), F.length("rule_host").alias("h"), F.col("rule_verdict").alias("verdict"), rule.alias("rule"))).alias("_w"))
