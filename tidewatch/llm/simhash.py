@@ -147,6 +147,7 @@ def _links(distance: int):
             lo, hi = next(s for s in _segments(distance) if s[0] <= place[run[0]] < s[1])
             if (lo, hi) not in masks:
                 masks[lo, hi] = _changes(lo, hi, distance)
+            edges = 0
             for mask, n in zip(*masks[lo, hi]):
                 for flip in ([bit] if n == 0 else [np.uint64(0), bit] if n < distance else [np.uint64(0)]):
                     other = f ^ mask ^ flip
@@ -154,6 +155,10 @@ def _links(distance: int):
                     hit_at = np.flatnonzero((f[hit] == other) & (f < other))
                     found_a.append(f[hit_at])
                     found_b.append(other[hit_at])
+                    edges += len(hit_at)
+                if edges > 4 * len(f):                     # keep spanning edges only: memory follows the rows, not their links
+                    a, b = forest(np.concatenate(found_a).view(np.int64), np.concatenate(found_b).view(np.int64))
+                    found_a, found_b, edges = [a.view(np.uint64)], [b.view(np.uint64)], 0
         a, b = np.concatenate(found_a).view(np.int64), np.concatenate(found_b).view(np.int64)
         return forest(a, b)
 
