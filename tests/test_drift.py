@@ -3,7 +3,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidewatch.operators import dpi, drift, evaluation, quality, scoring
+from tidewatch.operators import dpi, drift, evaluation, ordering, quality, scoring
 
 
 def direct(a, b):
@@ -76,3 +76,19 @@ def test_held_out_thresholds_come_from_training(spark):
         s = [(y, a if m == "a_score" else b) for p, y, a, b in rows if p == "test"]
         assert got["test", m].total_cost == 10 * sum(y == 1 and not x > tau for y, x in s) + sum(y == 0 and x > tau for y, x in s)
     assert got["test", "b_score"].cost_reduction_pct == 0
+
+
+def test_sketches_merge_within_their_rank_error(spark):
+    """Quantiles of merged daily sketches; a new day is a merge of one more."""
+    rng = np.random.default_rng(3)
+    x = np.concatenate([rng.lognormal(size=60_000), np.full(20_000, 1.0)])
+    df = spark.createDataFrame([(int(i % 7), float(v)) for i, v in enumerate(x)] + [(0, None), (1, float("nan"))], "day int, v double")
+    days = ordering.quantile_sketches(df, ["day"], "v").cache()
+    probs, error = [0.01, 0.25, 0.5, 0.9, 0.999], ordering.rank_error()
+    for upto in (6, 7):
+        part = np.sort(x[np.arange(len(x)) % 7 < upto])
+        whole = ordering.merged_sketches(days.where(F.col("day") < upto), [])
+        assert whole.first().n == len(part) and len(whole.first().sketch) < 100_000
+        for p, v in zip(probs, ordering.sketch_quantiles(whole, [], probs).first().q):
+            under, to = np.searchsorted(part, v, "left") / len(part), np.searchsorted(part, v, "right") / len(part)
+            assert under - error <= p <= to + error

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions import constants as K
 from tidewatch.functions.exprs import flag, safe_ratio, scalar_row
-from tidewatch.operators.ordering import histogram_quantiles
+from tidewatch.operators.ordering import histogram_quantiles, merged_sketches, quantile_sketches, sketch_quantiles
 from tidewatch.operators.profile import long_values
 
 KEYS = ["sales", "weekly_ts"]
@@ -57,6 +57,21 @@ def violation_thresholds(df: DataFrame) -> DataFrame:
     return thresholds_of(threshold_histogram(df))
 
 
+def threshold_sketches(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """``(*by, feature, n, sketch)``: mergeable sketches of the columns behind the thresholds."""
+    return quantile_sketches(long_values(df, list(dict.fromkeys(c for c, _ in THRESHOLDS.values())), by), [*by, "feature"], "value")
+
+
+def approximate_thresholds(sketches: DataFrame) -> DataFrame:
+    """A8 without a shuffle of values: one row of thresholds within ``rank_error`` of their quantiles.
+
+    ``sketches`` may be of any parts of the table (``threshold_sketches``); they are merged.
+    """
+    probs = sorted({p for _, p in THRESHOLDS.values()})
+    q = sketch_quantiles(merged_sketches(sketches, ["feature"]), ["feature"], probs)
+    return q.agg(*[F.max(F.when(F.col("feature") == c, F.col("q")[probs.index(p)])).alias(name) for name, (c, p) in THRESHOLDS.items()])
+
+
 # --------------------------------------------------------------------- A9
 def violation_flags(df: DataFrame, thresholds: DataFrame | None = None) -> DataFrame:
     """Adds the four 0/1 row-level violation flags (NULL comparisons count as 0)."""

@@ -114,6 +114,36 @@ def histogram_quantiles(hist: DataFrame, by: Sequence[str], col: str, probs: Seq
     return ranked.groupBy(*by).agg(*aggs).select(*by, F.array(*q).alias("q"))
 
 
+# ---------------------------------------------------------------- approximate quantiles
+SKETCH_K = 2000
+
+
+def rank_error(k: int = SKETCH_K) -> float:
+    """Published normalised rank error (99 % confidence) of all quantiles of a KLL sketch of size ``k`` at once."""
+    return 2.446 / k ** 0.9433
+
+
+def quantile_sketches(df: DataFrame, by: Sequence[str], col: str, k: int = SKETCH_K) -> DataFrame:
+    """``(*by, n, sketch)``: a KLL sketch of each group's values, NULL and NaN left out.
+
+    Sketches merge (``merged_sketches``), so they are kept per day or week and a new one costs only
+    its own rows.  Their size does not grow with the values.
+    """
+    x = nan_to_null(F.col(col).cast("double"))
+    rows = df.select(*by, x.alias("_x")).where("_x is not null")
+    return rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.kll_sketch_agg_double("_x", F.lit(k)).alias("sketch"))
+
+
+def merged_sketches(sketches: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Sketches of finer groups added up to those of ``by``."""
+    return sketches.groupBy(*by).agg(F.sum("n").alias("n"), F.kll_merge_agg_double("sketch").alias("sketch"))
+
+
+def sketch_quantiles(sketches: DataFrame, by: Sequence[str], probs: Sequence[float]) -> DataFrame:
+    """``(*by, q)``: approximate quantiles, each within ``rank_error`` of its rank."""
+    return sketches.select(*by, F.array(*[F.kll_sketch_get_quantile_double("sketch", F.lit(float(p))) for p in probs]).alias("q"))
+
+
 def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float],
                     n_buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
     """Linear-interpolated exact quantiles (numpy / pandas default) as one row.

@@ -57,6 +57,22 @@ def q_violation_thresholds(spark, sf):
     return _r(features.violation_thresholds(_hr(spark, sf)))
 
 
+@query("threshold_sketches")
+def q_threshold_sketches(spark, sf):
+    """Thresholds from merged weekly sketches: whether each one's rank in the table is within the stated error."""
+    hr = _hr(spark, sf)
+    weekly_parts = materialized(spark, sf, "threshold_sketches", lambda: features.threshold_sketches(hr, ["weekly_ts"]))
+    found = features.approximate_thresholds(weekly_parts)
+    wide = found.select(F.inline(F.array(*[F.struct(F.lit(n).alias("threshold"), F.lit(c).alias("feature"), F.lit(p).alias("rank"), F.col(n).alias("value"))
+                                           for n, (c, p) in features.THRESHOLDS.items()])))
+    long = profile.long_values(hr, list(dict.fromkeys(c for c, _ in features.THRESHOLDS.values()))).withColumnRenamed("value", "x")
+    below = long.join(F.broadcast(wide), "feature").groupBy("threshold", "rank", "value").agg(                       # five rows
+        F.avg((F.col("x") < F.col("value")).cast("double")).alias("under"), F.avg((F.col("x") <= F.col("value")).cast("double")).alias("upto"))
+    error = rank_error()
+    return below.select("threshold", "rank", F.lit(error).alias("rank_error"),
+                        ((F.col("under") - error <= F.col("rank")) & (F.col("rank") <= F.col("upto") + error)).alias("within"))
+
+
 @query("violation_flags")
 def q_violation_flags(spark, sf):
     return features.violation_flags(_hr(spark, sf)).select(
@@ -125,6 +141,7 @@ def q_dpi_kpis(spark, sf):
 # ------------------------------------------------------------------ profile
 from tidewatch.functions import constants as K  # noqa: E402
 from tidewatch.operators import clean, profile, quality  # noqa: E402
+from tidewatch.operators.ordering import rank_error  # noqa: E402
 
 
 def _dirty(spark, sf):

@@ -27,6 +27,10 @@ ORACLE["violation_thresholds"] = rounded(
     gold_sql("SELECT * FROM thr"),
     ["p95_hours", "p75_projects", "p25_satisfaction", "p75_tenure", "median_hours"])
 
+ORACLE["threshold_sketches"] = """
+SELECT threshold, rank, 2.446e0 / pow(2000, 0.9433e0) AS rank_error, TRUE AS within
+FROM (VALUES ('p95_hours', 0.95::DOUBLE), ('p75_projects', 0.75), ('p25_satisfaction', 0.25), ('p75_tenure', 0.75), ('median_hours', 0.5)) t(threshold, rank)"""
+
 ORACLE["violation_flags"] = gold_sql(
     "SELECT EmployeeID, v1_overtime, v2_overload_satisfaction, v3_stagnation, "
     "v4_post_accident_overwork FROM flagged")
