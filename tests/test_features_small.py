@@ -61,3 +61,20 @@ def test_infer_department_unknown(spark):
     df = spark.createDataFrame([(1, 0, 0), (0, 0, 1), (0, 0, 0)], "dept_a int, dept_b int, dept_c int")
     out = features.infer_department(df, ["dept_a", "dept_b", "dept_c"]).collect()
     assert [r.sales_inferred for r in out] == ["a", "c", "unknown"]
+
+
+def test_wide_categories_are_sparse(spark):
+    """100,000 levels and a hot one: no dense columns, no error; unknown and NULL share the last slot."""
+    df = spark.range(150_000).selectExpr("id", "case when id % 3 = 0 then 'hot' when id = 1 then null else concat('c', id) end as c")
+    vocabulary = features.wide_vocabulary(df, "c")
+    first = vocabulary.orderBy("slot").limit(2).collect()
+    assert [(r.value, r.n, r.slot) for r in first] == [("hot", 50_000, 0), ("c10", 1, 1)] and vocabulary.count() == 100_000
+    out = features.sparse_one_hot(df, "c", vocabulary, "v")
+    assert out.columns == ["id", "c", "v"] and out.count() == 150_000
+    got = {r.id: r.v for r in out.where("id in (0, 1, 10)").collect()}
+    assert [(v.size, v.indices.tolist(), v.values.tolist()) for v in (got[0], got[1], got[10])] == [
+        (100_001, [0], [1.0]), (100_001, [100_000], [1.0]), (100_001, [1], [1.0])]
+    few = features.sparse_one_hot(df, "c", features.wide_vocabulary(df, "c", 1), "v").where("id in (0, 10)").collect()
+    assert sorted((r.id, r.v.size, r.v.indices[0]) for r in few) == [(0, 2, 0), (10, 2, 1)]
+    none = features.wide_vocabulary(df.limit(0), "c")
+    assert none.count() == 0 and features.sparse_one_hot(df, "c", none, "v").first().v.size == 1

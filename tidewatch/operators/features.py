@@ -17,12 +17,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml.feature import OneHotEncoder
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewatch.functions import constants as K
 from tidewatch.functions.exprs import flag, safe_ratio, scalar_row
-from tidewatch.operators.ordering import histogram_quantiles, merged_sketches, quantile_sketches, sketch_quantiles
+from tidewatch.operators.ordering import histogram_quantiles, merged_sketches, quantile_sketches, row_sequence, sketch_quantiles
 from tidewatch.operators.profile import long_values
 
 KEYS = ["sales", "weekly_ts"]
@@ -139,18 +140,43 @@ def dept_week_gold(hr: DataFrame, thresholds: DataFrame | None = None) -> DataFr
 
 # ------------------------------------------------------------------ T7–T9
 def category_levels(df: DataFrame, col: str, max_levels: int = 1000) -> list[str]:
-    """Distinct non-null categories, sorted — a small fitted vocabulary.
+    """Distinct non-null categories, sorted — a small fitted vocabulary for dense one-hot columns.
 
-    Fails loudly above ``max_levels`` instead of widening the table without bound.
+    Dense columns end at ``max_levels``; ``wide_vocabulary`` and ``sparse_one_hot`` take any number.
     """
     rows = (df.where(F.col(col).isNotNull()).select(col).distinct()
             .orderBy(col).limit(max_levels + 1).collect())
     levels = [r[0] for r in rows]
     if len(levels) > max_levels:
-        raise ValueError(f"{col} has more than {max_levels} categories; one-hot is not sensible")
+        raise ValueError(f"{col} has more than {max_levels} categories: use sparse_one_hot")
     return levels
 
 
+def wide_vocabulary(df: DataFrame, col: str, slots: int | None = None) -> DataFrame:
+    """``(value, n, slot)``: non-null categories by falling count, then value; the first ``slots`` of them, or all.
+
+    Counts collapse map-side, so a category of a third of the rows is one row a task; slots are
+    numbered by a two-phase prefix sum, so any number of categories will do.
+    """
+    counts = df.where(F.col(col).isNotNull()).groupBy(F.col(col).alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    if slots is not None:
+        counts = counts.orderBy(F.desc("n"), "value").limit(slots)
+    return row_sequence(counts.withColumn("_less", -F.col("n")), ["_less", "value"], "slot").select("value", "n", "slot")
+
+
+def sparse_one_hot(df: DataFrame, col: str, vocabulary: DataFrame, out: str) -> DataFrame:
+    """``df`` with a sparse vector column ``out``: one slot a category, and a last one for all others and NULL.
+
+    The vocabulary meets rows by a join that adaptive execution broadcasts where it is small and splits
+    where a category is hot.  The vector holds one entry whatever the number of slots.
+    """
+    size = vocabulary.agg(F.coalesce(F.max("slot") + 1, F.lit(0))).first()[0]
+    slots = vocabulary.select(F.col("value").alias("_value"), F.col("slot").cast("double").alias("_slot"))
+    found = df.join(slots, F.col(col) == F.col("_value"), "left").withColumn("_slot", F.coalesce("_slot", F.lit(float(size))))
+    encoder = OneHotEncoder(inputCol="_slot", outputCol=out, dropLast=False).fit(df.sparkSession.range(1).select(F.lit(float(size)).alias("_slot")))
+    return encoder.transform(found).drop("_value", "_slot")
+
+
 def employee_features(df: DataFrame, dept_levels: Sequence[str], variant: bool = False) -> DataFrame:
     """Salary ordinal, two interaction terms, department one-hot (``dept_<level>``)."""
     mapping = K.SALARY_ORDINAL_VARIANT if variant else K.SALARY_ORDINAL

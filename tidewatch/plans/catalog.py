@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tidewatch.functions.exprs import round_doubles
 from tidewatch.operators import dpi, features
 from tidewatch.sources import fixtures
+from tidewatch.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -118,6 +119,16 @@ def q_dept_week_fixed_rules(spark, sf):
     return _r(features.dept_week_fixed_rules(_hr(spark, sf)))
 
 
+@query("wide_one_hot")
+def q_wide_one_hot(spark, sf):
+    """Customers as a category of orders: rows per slot of the sparse vectors, the 500 commonest and the rest."""
+    orders = read_table(spark, sf, "orders").select("o_orderkey", F.col("o_custkey").cast("string").alias("customer"))
+    vocabulary = features.wide_vocabulary(orders, "customer", 500)
+    hot = features.sparse_one_hot(orders, "customer", vocabulary, "v").select("o_orderkey", F.col("v").cast("string").alias("v"))
+    slot = F.regexp_extract("v", r"\[(\d+)\]", 1).cast("long")       # "(size,[slot],[1.0])"
+    return hot.groupBy(slot.alias("slot"), F.regexp_extract("v", r"^\((\d+),", 1).cast("long").alias("size")).agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("infer_department")
 def q_infer_department(spark, sf):
     hr = _hr(spark, sf)
@@ -573,7 +584,7 @@ def q_preview_top_rows(spark, sf):
 
 @query("dataset_manifest")
 def q_dataset_manifest(spark, sf):
-    from tidewatch.sources.tables import TABLES, read_table
+    from tidewatch.sources.tables import TABLES
     m = files.dataset_manifest({t: read_table(spark, sf, t) for t in TABLES})
     return m.select("dataset", "n_rows", "n_columns")
 

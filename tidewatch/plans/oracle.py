@@ -83,6 +83,13 @@ SELECT *, CAST(v1_overtime_sum + v2_low_satisfaction_sum + v3_stagnation_sum + v
                           "average_montly_hours", "time_spend_company"] for s in ("mean", "std")]
     + ["attrition_rate", "violation_density"])
 
+ORACLE["wide_one_hot"] = """
+WITH c AS (SELECT o_custkey::VARCHAR AS v, count(*) AS n FROM orders GROUP BY 1),
+s AS (SELECT v, row_number() OVER (ORDER BY n DESC, v) - 1 AS slot FROM c),
+top AS (SELECT v, slot FROM s WHERE slot < 500)
+SELECT coalesce(t.slot, m.size - 1) AS slot, m.size, count(*) AS n
+FROM orders o LEFT JOIN top t ON o.o_custkey::VARCHAR = t.v, (SELECT count(*) + 1 AS size FROM top) m GROUP BY 1, 2"""
+
 ORACLE["infer_department"] = hr_sql("SELECT EmployeeID, COALESCE(sales, 'unknown') AS sales_inferred FROM hr")
 
 # ------------------------------------------------------------------ DPI
