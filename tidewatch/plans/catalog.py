@@ -419,7 +419,7 @@ def q_benchmark_kpi(spark, sf):
 # ------------------------------------------------------------------ fairness
 from tidewatch.operators import fairness  # noqa: E402
 from tidewatch.session import checkpointed, scratch_path  # noqa: E402
-from tidewatch.sources import files  # noqa: E402
+from tidewatch.sources import files, manifest  # noqa: E402
 
 
 def _hr_pred(spark, sf):
@@ -589,6 +589,20 @@ def q_dataset_manifest(spark, sf):
     return m.select("dataset", "n_rows", "n_columns")
 
 
+@query("dataset_changes")
+def q_dataset_changes(spark, sf):
+    """A table by department, one of which is rewritten: what two manifests of it say has changed, from the top."""
+    rows, home = _hr(spark, sf), scratch_path(spark, "manifest")
+    rows.repartition("sales").write.partitionBy("sales").parquet(f"{home}/table")
+    manifest.updated(spark, f"{home}/table")[0].write.parquet(f"{home}/first")
+    before = spark.read.parquet(f"{home}/first")
+    edited = rows.where("sales = 'BUILDING'").withColumn("left_flag", 1 - F.col("left_flag"))
+    edited.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("sales").parquet(f"{home}/table")
+    manifest.updated(spark, f"{home}/table", before)[0].write.parquet(f"{home}/second")
+    found = manifest.differences(before, spark.read.parquet(f"{home}/second"))
+    return found.groupBy("partition", "change").agg(F.count(F.lit(1)).alias("files"), F.sum(F.coalesce("rows_before", "rows_after")).alias("n_rows"))
+
+
 @query("dataset_fingerprint")
 def q_dataset_fingerprint(spark, sf):
     from tidewatch.sources.tables import TABLES, read_table

@@ -577,6 +577,10 @@ SELECT EmployeeID, left_flag, CASE WHEN place <= ROUND(size * 0.3e0) THEN 'test'
     ROW_NUMBER() OVER (PARTITION BY left_flag ORDER BY md5('42|' || CAST(EmployeeID AS VARCHAR)), EmployeeID) AS place
   FROM hr) x""")
 # biggest group first, each to the lightest fold so far: one recursion step per group
+ORACLE["dataset_changes"] = hr_sql("""
+SELECT 'sales=BUILDING' AS partition, change, 1::BIGINT AS files, CAST(COUNT(*) AS BIGINT) AS n_rows
+FROM hr, (VALUES ('removed'), ('added')) t(change) WHERE sales = 'BUILDING' GROUP BY change""")
+
 ORACLE["group_folds"] = "WITH RECURSIVE " + hr_sql("""
 SELECT sales, CAST(fold AS INT) AS fold, n FROM deal WHERE place > 0""", """
 sizes AS (SELECT sales, COUNT(*) AS n, ROW_NUMBER() OVER (ORDER BY COUNT(*) DESC, sales) AS place FROM hr GROUP BY sales),
