@@ -53,8 +53,10 @@ def _last_state(spark: SparkSession, home: str) -> dict:
 
 
 def _drop(spark: SparkSession, path: str, weeks: list[str]) -> None:
+    there = set(store.names(spark, path))
     for w in weeks:                                        # a week may end up with no row of a table
-        store.remove(spark, f"{path}/{WEEK}={w}")
+        if f"{WEEK}={w}" in there:
+            store.remove(spark, f"{path}/{WEEK}={w}")
 
 
 def update(spark: SparkSession, silver: str, home: str) -> dict:
