@@ -20,16 +20,20 @@ from pyspark.sql import functions as F
 from tidewatch.llm.common import Rolling, byte_slices, free_name, mixed, piece_ids, repeated, word_spans
 
 SYMBOLS = "#*$%&|<>"
-#: Largest kept share of a text's word characters inside repeated n-grams, by n. The longer
-#: lengths are those published repetition filters use, with looser shares as first occurrences
-#: count too (a short text may repeat one passage); 3 finds words repeated a few times each.
-NGRAM_LIMITS = {3: 0.75, 5: 0.30, 6: 0.30, 7: 0.30, 8: 0.30, 9: 0.30, 10: 0.30}
-LINE_LIMIT = 0.30                  # of word characters, inside lines equal to an earlier line
+#: Largest kept share of a text's word characters inside repeated n-grams, by n. From 5 on the
+#: lengths and shares of published repetition filters (Rae et al. 2021, table A1): the share
+#: inside n-grams falls with n, so only falling limits let every length decide. 3 finds words
+#: repeated a few times each.
+NGRAM_LIMITS = {3: 0.75, 5: 0.15, 6: 0.14, 7: 0.13, 8: 0.12, 9: 0.11, 10: 0.10}
+#: The limits from 5 on bind where this many separate stretches of the text are inside repeated
+#: n-grams. A text of any length that says one passage twice or three times has fewer.
+MIN_STRETCHES = 4
+LINE_LIMIT = 0.20                  # of word characters, inside lines equal to an earlier line (same table)
 SYMBOLS_PER_WORD = 0.10
 BASE_WORDS, BASE_REPEAT_PERCENT, BASE_WINDOW = 10, 20, 5
 
 MEASURES = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
-            "dup_line_chars long, dup_ngram_chars array<long>")
+            "dup_line_chars long, dup_ngram_chars array<long>, dup_ngram_stretches array<long>")
 
 
 def measures(texts: pa.Array, lengths: tuple[int, ...]) -> pa.Array:
@@ -37,7 +41,7 @@ def measures(texts: pa.Array, lengths: tuple[int, ...]) -> pa.Array:
     is_symbol = np.zeros(256, bool)
     is_symbol[list(SYMBOLS.encode())] = True
     columns = {k: [] for k in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "dup_line_chars")}
-    spans = []
+    spans, stretches = [], []
     for _, _, data, offs in byte_slices(texts):
         n = len(offs) - 1
         starts, ends, doc = word_spans(data, offs)
@@ -86,24 +90,28 @@ def measures(texts: pa.Array, lengths: tuple[int, ...]) -> pa.Array:
         columns["dup_line_chars"].append(np.bincount(line_doc, line_chars, n).astype(np.int64))
         columns["n_repeat_words"].append(per_doc(covered[lengths.index(BASE_WINDOW)]))
         spans.append(np.stack([per_doc(c * chars) for c in covered], 1))
+        goes_on = np.zeros(len(starts), bool)                       # the word before is of the same text
+        goes_on[1:] = doc[1:] == doc[:-1]
+        stretches.append(np.stack([per_doc(c & ~(goes_on & np.roll(c, 1))) for c in covered], 1))
     flat = {k: np.concatenate(v) if v else np.zeros(0, np.int64) for k, v in columns.items()}
     arrays = [pa.array(v, pa.int64()) for v in flat.values()]
-    by_length = np.concatenate(spans).ravel() if spans else np.zeros(0, np.int64)
-    rows = len(flat["n_words"])
-    arrays.append(pa.ListArray.from_arrays(pa.array(np.arange(rows + 1) * len(lengths), pa.int32()),
-                                           pa.array(by_length, pa.int64())))
-    return pa.StructArray.from_arrays(arrays, [*flat, "dup_ngram_chars"])
+    ends_of = pa.array(np.arange(len(flat["n_words"]) + 1) * len(lengths), pa.int32())
+    for by_length in (spans, stretches):
+        values = np.concatenate(by_length).ravel() if by_length else np.zeros(0, np.int64)
+        arrays.append(pa.ListArray.from_arrays(ends_of, pa.array(values, pa.int64())))
+    return pa.StructArray.from_arrays(arrays, [*flat, "dup_ngram_chars", "dup_ngram_stretches"])
 
 
 def judged(docs: DataFrame, text: str = "text", into: str = "quality",
            ngram_limits: dict[int, float] = NGRAM_LIMITS, line_limit: float = LINE_LIMIT,
-           symbols_per_word: float = SYMBOLS_PER_WORD) -> DataFrame:
+           symbols_per_word: float = SYMBOLS_PER_WORD, min_stretches: int = MIN_STRETCHES) -> DataFrame:
     """``docs`` with one struct column ``into``: the measures, ``base_failed`` and ``kept``.
 
     The verdict keeps a text that passes the base rules, whose share of word
-    characters inside repeated n-grams is at most the limit of every length,
-    inside repeated lines at most ``line_limit``, and which has at most
-    ``symbols_per_word`` symbols a word.  A column named ``into`` is replaced.
+    characters inside repeated n-grams is at most the limit of every length (of
+    5 words and more: unless these n-grams cover fewer than ``min_stretches`` separate
+    stretches of the text), inside repeated lines at most ``line_limit``, and which has at
+    most ``symbols_per_word`` symbols a word.  A column named ``into`` is replaced.
     """
     lengths = tuple(sorted(ngram_limits))
     if BASE_WINDOW not in lengths:
@@ -118,7 +126,8 @@ def judged(docs: DataFrame, text: str = "text", into: str = "quality",
     failed = (q.n_words < BASE_WORDS) | (100 * q.n_repeat_words > BASE_REPEAT_PERCENT * q.n_words)
     good = (q.dup_line_chars <= line_limit * q.word_chars) & (q.n_symbols <= symbols_per_word * q.n_words)
     for i, k in enumerate(lengths):
-        good &= q.dup_ngram_chars[i] <= ngram_limits[k] * q.word_chars
+        within = q.dup_ngram_chars[i] <= ngram_limits[k] * q.word_chars
+        good &= within | (q.dup_ngram_stretches[i] < min_stretches) if k >= BASE_WINDOW else within
     return out.withColumn(into, q.withField("base_failed", failed).withField("kept", ~failed & good))
 
 

@@ -33,6 +33,7 @@ def op1_quality_rules(spark, sf_dir):
     out = quality_rules.judged(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "dup_line_chars"]
     grams = [F.col("quality.dup_ngram_chars")[i].alias(f"dup_{k}gram_chars") for i, k in enumerate(_GRAMS)]
+    grams += [F.col("quality.dup_ngram_stretches")[i].alias(f"dup_{k}gram_stretches") for i, k in enumerate(_GRAMS)]
     return out.select("doc_id", *[F.col(f"quality.{c}").alias(c) for c in names], *grams)
 
 
@@ -47,9 +48,10 @@ WITH d AS (
 ), words AS (SELECT doc_id, generate_subscripts(ws, 1) AS i, unnest(ws) AS word FROM d
 ), grams AS (SELECT doc_id, i, word, %s FROM words WINDOW o AS (PARTITION BY doc_id ORDER BY i)
 ), twice AS (SELECT doc_id, i, word, %s FROM grams
-), covered AS (SELECT doc_id, word, %s FROM twice
+), covered AS (SELECT doc_id, i, word, %s FROM twice
+), begun AS (SELECT *, %s FROM covered WINDOW o AS (PARTITION BY doc_id ORDER BY i)
 ), by_gram AS (
-  SELECT doc_id, count(*) FILTER (WHERE in5) AS n, %s FROM covered GROUP BY doc_id
+  SELECT doc_id, count(*) FILTER (WHERE in5) AS n, %s FROM begun GROUP BY doc_id
 ), m AS (
   SELECT doc_id, len(ws) AS n_words, length(array_to_string(ws, '')) AS word_chars,
     length(regexp_replace(t, '[^#*$%%&|<>]', '', 'g')) AS n_symbols, coalesce(l.n, 0) AS n_dup_lines,
@@ -61,10 +63,13 @@ SELECT *, NOT base_failed AND dup_line_chars <= %s * word_chars AND n_symbols <=
        ", ".join(f"g{k} IS NOT NULL AND count(*) OVER (PARTITION BY doc_id, g{k}) > 1 AS t{k}" for k in _GRAMS),
        ", ".join(f"bool_or(t{k}) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN {k - 1} PRECEDING AND CURRENT ROW) AS in{k}"
                  for k in _GRAMS),
-       ", ".join(f"(sum(length(word)) FILTER (WHERE in{k}))::BIGINT AS c{k}" for k in _GRAMS),
-       ", ".join(f"coalesce(c{k}, 0) AS dup_{k}gram_chars" for k in _GRAMS),
+       ", ".join(f"in{k} AND NOT coalesce(lag(in{k}) OVER o, false) AS b{k}" for k in _GRAMS),
+       ", ".join(f"(sum(length(word)) FILTER (WHERE in{k}))::BIGINT AS c{k}, count(*) FILTER (WHERE b{k}) AS s{k}" for k in _GRAMS),
+       ", ".join(f"coalesce(c{k}, 0) AS dup_{k}gram_chars, coalesce(s{k}, 0) AS dup_{k}gram_stretches" for k in _GRAMS),
        quality_rules.LINE_LIMIT, quality_rules.SYMBOLS_PER_WORD,
-       " AND ".join(f"dup_{k}gram_chars <= {quality_rules.NGRAM_LIMITS[k]} * word_chars" for k in _GRAMS))
+       " AND ".join(f"(dup_{k}gram_chars <= {quality_rules.NGRAM_LIMITS[k]} * word_chars"
+                    + (f" OR dup_{k}gram_stretches < {quality_rules.MIN_STRETCHES})" if k >= quality_rules.BASE_WINDOW else ")")
+                    for k in _GRAMS))
 
 
 @query
