@@ -1,12 +1,12 @@
-"""Distributed model jobs on MLlib: logistic, boosted trees, calibration, folds, CV.
+"""Distributed model jobs: logistic (MLlib), boosted trees (``operators.boosting``), calibration, folds, CV.
 
-Fitting is MLlib's distributed training; loops in this module run over a
-handful of folds (each iteration is a distributed fit), never over rows.
+Loops in this module run over a handful of folds, never over rows; the models of all
+folds are grown side by side.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.functions.exprs import scalar_row
+from tidewatch.operators import boosting
 from tidewatch.operators import evaluation as ev
 from tidewatch.operators.isotonic import isotonic_fit, isotonic_scores
 from tidewatch.operators.ordering import running_sums
@@ -84,33 +85,29 @@ def fit_logistic(train: DataFrame, cols: Sequence[str], label: str, C: float = 1
 # --------------------------------------------------------------------- M1 / M2
 def fit_gbt(train: DataFrame, cols: Sequence[str], label: str, rounds: int = 500, depth: int = 4,
             step: float = 0.05, subsample: float = 0.9, columns: float = 0.9, weight_col: str | None = None,
-            stop_gain: float | None = 1e-3, seed: int = 42) -> PipelineModel:
-    """Boosted trees (MLlib GBT) on row and column samples; ``weight_col`` gives the cost-weighted variant.
-
-    ``rounds`` is the most; with ``stop_gain`` a tenth of the rows (by a hash of the
-    features) is held back and boosting stops when a round lowers its loss by less than that
-    share.  ``stop_gain=None`` runs every round on all rows.
-    """
+            seed: int = 42) -> PipelineModel:
+    """Boosted trees by MLlib (first order, no leaf penalty) on row and column samples; every round runs.
+    The registered queries use ``boosting.fit``."""
     kw = dict(featuresCol="features", labelCol=label, maxIter=rounds, maxDepth=depth, stepSize=step,
               subsamplingRate=subsample, featureSubsetStrategy="all" if columns >= 1 else str(columns), seed=seed)
     if weight_col:
         kw["weightCol"] = weight_col
-    data = _prepared(train, cols).withColumn(label, F.col(label).cast("double"))
-    if stop_gain is not None:
-        kw.update(validationIndicatorCol="_held_back", validationTol=stop_gain)
-        data = data.withColumn("_held_back", F.pmod(F.xxhash64(F.lit(seed), *cols), F.lit(10)) == 0)
     pipe = Pipeline(stages=[VectorAssembler(inputCols=list(cols), outputCol="features", handleInvalid="keep"),
                             GBTClassifier(**kw)])
-    return pipe.fit(data)
+    return pipe.fit(_prepared(train, cols).withColumn(label, F.col(label).cast("double")))
 
 
-def with_class_weight(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
-    """Per-row weight: positives get max(1, neg/pos), negatives 1 (scalar subquery)."""
+def class_weight(df: DataFrame, label: str) -> Column:
+    """Scalar subquery: max(1, negatives / positives) of ``df``."""
     y = F.col(label)
     w = df.agg(F.greatest(F.lit(1.0), F.count_if(y == 0).cast("double")
                           / F.greatest(F.count_if(y == 1), F.lit(1)).cast("double")).alias("w"))
-    spw = w.select(F.struct("w")).scalar().w
-    return df.withColumn(out, F.when(y == 1, spw).otherwise(F.lit(1.0)))
+    return w.select(F.struct("w")).scalar().w
+
+
+def with_class_weight(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
+    """Per-row weight: positives get max(1, neg/pos), negatives 1 (scalar subquery)."""
+    return df.withColumn(out, F.when(F.col(label) == 1, class_weight(df, label)).otherwise(F.lit(1.0)))
 
 
 def score(model: PipelineModel, df: DataFrame, cols: Sequence[str], out: str) -> DataFrame:
@@ -182,18 +179,19 @@ def group_folds(spark: SparkSession, df: DataFrame, group: str, n_folds: int = 5
 # --------------------------------------------------------------------- M3
 def group_cv_metrics(spark: SparkSession, df: DataFrame, cols: Sequence[str], label: str, group: str,
                      n_folds: int = 5, rounds: int = 500) -> DataFrame:
-    """Per fold: AUROC and average precision of a cost-weighted GBT trained on the other folds."""
-    folds = group_folds(spark, df, group, n_folds)
-    data = checkpointed(df.join(folds.select(group, "fold"), group))
+    """Per fold: AUROC and average precision of cost-weighted trees fitted on the other folds (all grown in one pass)."""
+    folds = group_folds(spark, df, group, n_folds).select(F.col(group).alias("_group"), F.col("fold").alias("_fold"))
+    data = checkpointed(df.join(folds, F.col(group).eqNullSafe(F.col("_group"))).drop("_group"))
+    scale = [class_weight(data.where(F.col("_fold") != k), label) for k in range(n_folds)]
+    weights = {str(k): F.when(F.col("_fold") != k, F.when(F.col(label) == 1, scale[k]).otherwise(1.0)) for k in range(n_folds)}
+    forest = boosting.fit(data, cols, label, weights, rounds=rounds)
+    scored = checkpointed(data.withColumn("p", F.get(forest.scores(), F.col("_fold"))).select("p", label, "_fold"))
     out = None
     for k in range(n_folds):
-        train = with_class_weight(data.where(F.col("fold") != k), label)
-        model = fit_gbt(train, cols, label, rounds=rounds, weight_col="weight")
-        scored = score(model, data.where(F.col("fold") == k), cols, "p").select("p", label)
-        auc = scalar_row(ev.auroc(scored, "p", label)).auroc
-        ap = scalar_row(ev.average_precision(scored, "p", label)).average_precision
-        row = train.agg(F.max("weight").alias("scale_pos_weight")).select(
-            F.lit(k + 1).alias("fold"), ap.alias("auprc"), auc.alias("auroc"), "scale_pos_weight")
+        held = scored.where(F.col("_fold") == k).select("p", label)
+        auc = scalar_row(ev.auroc(held, "p", label)).auroc
+        ap = scalar_row(ev.average_precision(held, "p", label)).average_precision
+        row = spark.range(1).select(F.lit(k + 1).alias("fold"), ap.alias("auprc"), auc.alias("auroc"), scale[k].alias("scale_pos_weight"))
         out = row if out is None else out.unionByName(row)
     return out
 
@@ -208,28 +206,42 @@ def cv_summary(folds: DataFrame) -> DataFrame:
 # --------------------------------------------------------------------- M5
 def calibrated_gbt_scores(df: DataFrame, cols: Sequence[str], label: str, key: str, folds: int = 3,
                           rounds: int = 500, seed: int = 42, out: str = "calibrated_score",
-                          train: Column | None = None, group: str | None = None) -> DataFrame:
-    """Isotonic calibration with ``folds``-fold cross-fitting, averaged over folds.
+                          train: Column | None = None, group: str | None = None,
+                          beside: Mapping[str, Column] | None = None) -> DataFrame:
+    """Isotonic calibration of cost-weighted trees with ``folds``-fold cross-fitting, averaged over folds.
 
     The fold models and their calibrations are applied as columns of one table.  The isotonic
     step (``operators.isotonic``) pools the histogram of held-out scores in a tree.  ``train`` (a condition)
     limits what is fitted on; every row is scored.  Folds go by a hash of ``key``, or, with
     ``group``, whole groups go to one fold (``group_folds``), so no group is on both sides.
+    ``beside`` names further models by their row weights; they grow in the same jobs and their scores are
+    columns of the result under those names.  ``cross_fitted_score`` is the uncalibrated score by models that
+    have not seen the row: of its own fold for a row of ``train``, the folds' mean for any other.
     """
-    fitted = df if train is None else df.where(train)
+    rows = df.withColumn("_train", F.lit(True) if train is None else F.coalesce(train, F.lit(False)))
     if group is None:
-        fitted = fitted.withColumn("_fold", F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(folds)))
+        rows = rows.withColumn("_fold", F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(folds)))
     else:
-        dealt = group_folds(df.sparkSession, fitted, group, folds).select(F.col(group).alias("_group"), F.col("fold").alias("_fold"))
-        fitted = checkpointed(fitted.join(dealt, F.col(group).eqNullSafe(F.col("_group"))).drop("_group"))
-    res = df
+        dealt = group_folds(df.sparkSession, rows.where("_train"), group, folds)
+        dealt = dealt.select(F.col(group).alias("_group"), F.col("fold").alias("_fold"))
+        rows = rows.join(dealt, F.col(group).eqNullSafe(F.col("_group")), "left").drop("_group")
+    rows = checkpointed(rows)
+    weights = dict(beside or {})
+    for k in range(folds):
+        fitted = F.col("_train") & (F.col("_fold") != k)
+        scale = class_weight(rows.where(fitted), label)
+        weights[f"_fold {k}"] = F.when(fitted, F.when(F.col(label) == 1, scale).otherwise(1.0))
+    forest = boosting.fit(rows, cols, label, weights, rounds=rounds, seed=seed)
+    scored = checkpointed(rows.withColumn("_ps", forest.scores()).select(key, label, "_train", "_fold", "_ps"))
+    res = scored
     for k in range(folds):
-        model = fit_gbt(fitted.where(F.col("_fold") != k), cols, label, rounds=rounds)
-        held = score(model, fitted.where(F.col("_fold") == k), cols, "_p").select("_p", label)
-        blocks = isotonic_fit(held, "_p", label)
-        res = isotonic_scores(score(model, res, cols, "_p"), "_p", blocks, f"_c{k}").drop("_p")
+        p = F.col("_ps")[len(weights) - folds + k]
+        blocks = isotonic_fit(scored.where(F.col("_train") & (F.col("_fold") == k)).select(p.alias("_p"), label), "_p", label)
+        res = isotonic_scores(res.withColumn("_p", p), "_p", blocks, f"_c{k}").drop("_p")
     mean = sum((F.col(f"_c{k}") for k in range(folds)), F.lit(0.0)) / folds
-    return res.select(key, mean.alias(out))
+    raw = [F.col("_ps")[len(weights) - folds + k] for k in range(folds)]
+    unseen = F.when(F.col("_train"), F.get(F.array(*raw), F.col("_fold").cast("int"))).otherwise(sum(raw, F.lit(0.0)) / folds)
+    return res.select(key, mean.alias(out), unseen.alias("cross_fitted_score"), *[F.col("_ps")[i].alias(c) for i, c in enumerate(beside or {})])
 
 
 # --------------------------------------------------------------------- M9

@@ -739,7 +739,7 @@ def q_stream_weekly_alerts(spark, sf):
 
 
 # ------------------------------------------------------------------ models (M1–M12) — rows-only checks
-from tidewatch.operators import iforest, models  # noqa: E402
+from tidewatch.operators import boosting, iforest, models  # noqa: E402
 
 
 def _emp_gold(spark, sf):
@@ -795,23 +795,23 @@ def _model_scores(spark, sf):
         train = emp.where(is_train)
         bundle = scratch_path(spark, "bundle")
         models.save_model(models.fit_logistic(train, linear, "left_flag"), bundle, "logreg")
-        models.save_model(models.fit_gbt(train, cols, "left_flag", rounds=100, depth=6, step=0.1, subsample=0.8, columns=0.8,
-                                         stop_gain=None), bundle, "gbt")
-        models.save_model(models.fit_gbt(models.with_class_weight(train, "left_flag"), cols, "left_flag", weight_col="weight"),
-                          bundle, "gbt_weighted")
-        out = emp
-        for name, features_of in (("logreg", linear), ("gbt", cols), ("gbt_weighted", cols)):
-            out = models.score(models.load_model(bundle, name), out, features_of, f"{name}_score")
-        calibrated = models.calibrated_gbt_scores(emp, cols, "left_flag", "EmployeeID", train=is_train)
+        out = models.score(models.load_model(bundle, "logreg"), emp, linear, "logreg_score")
+        trees = boosting.fit(train, cols, "left_flag", rounds=100, depth=6, step=0.1, subsample=0.8, columns=0.8)
+        trees.save(spark, f"{bundle}/gbt")
+        out = boosting.Forest.load(spark, f"{bundle}/gbt").score(out, "gbt_score")
+        weighted = F.when(is_train, F.when(F.col("left_flag") == 1, models.class_weight(train, "left_flag")).otherwise(1.0))
+        calibrated = models.calibrated_gbt_scores(emp, cols, "left_flag", "EmployeeID", train=is_train,
+                                                  beside={"gbt_weighted_score": weighted})
         anomaly = scoring.anomaly_score(_iforest_dept(spark, sf), "decision", "iforest_score").select("sales", "weekly_ts", "iforest_score")
         keep = ["EmployeeID", "sales", "salary", "weekly_ts", "left_flag", "split", "violation_density",
-                "logreg_score", "gbt_score", "gbt_weighted_score"]
+                "logreg_score", "gbt_score"]
         out = out.select(*keep).join(calibrated, "EmployeeID")
         out = scoring.attach_dept_score(out, anomaly, "iforest_score")
         out = out.withColumn("fused_score", scoring.fuse(F.col("gbt_score"), F.col("iforest_score"), K.FUSION_WEIGHT_SUPERVISED))
-        learned = models.learned_fusion_scores(out, ["gbt_weighted_score", "iforest_score", "violation_density"], "left_flag",
+        # the fusion learns from scores of models that have not seen the row: those of its own training fit are too sure
+        learned = models.learned_fusion_scores(out, ["cross_fitted_score", "iforest_score", "violation_density"], "left_flag",
                                                "EmployeeID", train=is_train)
-        return out.join(learned, "EmployeeID")
+        return out.drop("cross_fitted_score").join(learned, "EmployeeID")
 
     return materialized(spark, sf, "model_scores", build)
 
