@@ -126,3 +126,15 @@ def test_held_out_precision_not_below_first_order_trees(spark):
     ours = precision(boosting.fit(train, cols, "y", rounds=30, step=0.1).score(test, "p"))
     theirs = precision(models.score(models.fit_gbt(train, cols, "y", rounds=30, step=0.1), test, cols, "p"))
     assert ours > theirs - 0.005
+
+
+def test_calibration_by_groups_with_models_beside(spark):
+    """Every row is scored, also rows and groups outside the training part, a null group and extra columns."""
+    df, *_ = frame(spark)
+    df = df.withColumn("g", F.when(F.col("i") % 9 != 0, F.concat(F.lit("g"), F.col("i") % 9)))
+    got = models.calibrated_gbt_scores(df, ["a", "b", "c"], "y", "i", folds=2, rounds=3, train=F.col("i") < 300, group="g",
+                                       beside={"whole": F.when(F.col("i") < 300, 1.0)})
+    rows = got.collect()
+    assert sorted(r.i for r in rows) == list(range(400)) and got.columns == ["i", "calibrated_score", "cross_fitted_score", "whole"]
+    assert all(0 <= v <= 1 for r in rows for v in r[1:])
+    assert len({round(r.whole, 9) for r in rows}) > 2
