@@ -138,3 +138,33 @@ def test_calibration_by_groups_with_models_beside(spark):
     assert sorted(r.i for r in rows) == list(range(400)) and got.columns == ["i", "calibrated_score", "cross_fitted_score", "whole"]
     assert all(0 <= v <= 1 for r in rows for v in r[1:])
     assert len({round(r.whole, 9) for r in rows}) > 2
+
+
+def test_margins_sisters_and_joint_histograms_change_nothing(spark, monkeypatch):
+    """Trees are the same however often margins are kept or made anew and whichever features share a histogram."""
+    df, *_ = frame(spark)
+    weights = {"all": F.lit(1.0), "some": F.when(F.col("i") % 3 != 0, F.col("w"))}
+    kw = dict(rounds=13, depth=3, step=0.3)
+    a = boosting.fit(df, ["a", "b", "c"], "y", weights, **kw)
+    for name, v in (("ADVANCE_EVERY", 2), ("RESTART_EVERY", 6), ("JOINT_CELLS", 1), ("CHUNK_ROWS", 50)):
+        monkeypatch.setattr(boosting, name, v)
+    b = boosting.fit(df, ["a", "b", "c"], "y", weights, **kw)
+    assert np.array_equal(a.feature, b.feature) and np.array_equal(a.threshold, b.threshold) and np.allclose(a.value, b.value)
+    assert (a.feature[:, -1, 3:7] >= 0).any()                              # the last tree is grown to its depth
+    monkeypatch.setattr(boosting, "JOINT_CELLS", 24)
+    assert boosting._joint([2, 12, 3, 2, 40]) == [[4], [1, 0], [2, 3]]
+
+
+def test_scores_follow_each_row_down_its_trees(spark):
+    df, x, *_ = frame(spark, 200)
+    f = boosting.fit(df, ["a", "b", "c"], "y", {"m": F.col("w"), "n": F.lit(1.0)}, rounds=6, depth=4, min_hessian=8.0)
+    want = np.zeros((2, len(x)))
+    for m in range(2):
+        for t in range(6):
+            for i, row in enumerate(x):
+                node = 0
+                while f.feature[m, t, node] >= 0:
+                    node = 2 * node + 1 + int(row[f.feature[m, t, node]] > f.threshold[m, t, node])
+                want[m, i] += f.value[m, t, node]
+    got = np.array([r.p for r in df.withColumn("p", f.scores()).orderBy("i").collect()]).T
+    assert np.allclose(got, 1 / (1 + np.exp(-want)), rtol=0, atol=1e-12) and (f.feature == -1).any()

@@ -11,6 +11,11 @@ weight per row, 0 keeps a row out of it.  So five folds cost as many jobs as one
 
 Derivatives are added as integers of ``1 / UNIT``: the sums, and with them the trees, do not depend on how
 rows lie in partitions or on their order, nor on tasks that run again.
+So of two sister nodes only the one of fewer rows is counted (the other is the exact difference), and features of few
+bins share a histogram that is summed up to theirs at the end of a task.
+
+The rows stay in memory as numpy chunks with the margins of a few rounds ago; margins are made again from the stored
+rows and all trees every ``RESTART_EVERY`` rounds, so a lost chunk never needs a long chain of steps.
 
 Defined cases: rows with a null label or a null or zero weight take no part; null and NaN features count
 as 0; a table without rows, or of one class only, gives trees of single leaves; extra columns are left alone.
@@ -18,6 +23,7 @@ as 0; a table without rows, or of one class only, gives trees of single leaves;
 
 from __future__ import annotations
 
+import math
 import pickle
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
@@ -32,8 +38,12 @@ from tidewatch.session import scratch_path
 
 UNIT = 2.0 ** 20
 FAN_IN = 16
-MIN_TASK_ROWS = 4096              # fewer rows than this are not worth a task of their own
-STORE_EVERY = 20                  # rounds between two stored margins; a row repeats at most this many trees
+MIN_TASK_ROWS = 1 << 14           # fewer rows than this are not worth a task of their own
+MAX_TASK_ROWS = 1 << 20           # more rows than this are not left to one task
+CHUNK_ROWS = 1 << 15              # sums of units within a chunk stay exact in doubles
+JOINT_CELLS = 1024                # cells of a histogram over the bins of several features
+ADVANCE_EVERY = 5                 # rounds between two kept margins; a row repeats at most this many trees
+RESTART_EVERY = 40                # rounds between two margins made from the stored rows
 
 
 @dataclass
@@ -47,12 +57,21 @@ class Forest:
     value: np.ndarray              # a leaf's share of the margin, step included
 
     def scores(self) -> Column:
-        """Column of type ``array<double>``: the positive-class probability by each model, in order of ``names``."""
-        feature, threshold, value, n_cols = self.feature, self.threshold, self.value, len(self.columns)
+        """Column of type ``array<double>``: the positive-class probability by each model, in order of ``names``.
+
+        Values become their rank among the feature's thresholds once a batch, so that the trees compare bytes.
+        """
+        feature, value, n_cols = self.feature, self.value, len(self.columns)
+        edges = [np.unique(self.threshold[feature == i]) for i in range(n_cols)]
+        cut = np.zeros(feature.shape, np.int64)
+        for i, e in enumerate(edges):
+            cut[feature == i] = np.searchsorted(e, self.threshold[feature == i])
+        code = _code_type(max(map(len, edges), default=0))
 
         def run(rows: pa.Array) -> pa.Array:
             x = rows.flatten().to_numpy(zero_copy_only=False).reshape(len(rows), n_cols)
-            margins = np.stack([_margin(x, f, t, v) for f, t, v in zip(feature, threshold, value)], 1)
+            x = np.stack([np.searchsorted(e, x[:, i], "left") for i, e in enumerate(edges)]).astype(code)
+            margins = np.stack([_margin(x, f, t, v) for f, t, v in zip(feature, cut, value)], 1)
             p = 1.0 / (1.0 + np.exp(-margins))
             return pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1) * p.shape[1], pa.int32()), pa.array(p.ravel()))
 
@@ -83,20 +102,45 @@ def _number(c: str) -> Column:
     return F.when(x.isNull() | F.isnan(x), 0.0).otherwise(x)
 
 
+def _code_type(most: int) -> type:
+    return np.uint8 if most < 256 else np.uint16 if most < 65536 else np.int64
+
+
 def _places(x: np.ndarray, feature: np.ndarray, cut: np.ndarray, levels: int) -> np.ndarray:
-    """The node of one tree (heap order) that each row of ``x`` reaches within ``levels`` steps."""
-    at, rows = np.zeros(len(x), np.int64), np.arange(len(x))
-    for _ in range(levels):
-        f = feature[at]
-        at = np.where(f >= 0, 2 * at + 1 + (x[rows, f] > cut[at]), at)
+    """Per row of ``x`` (bin numbers, a feature a row) its place among the ``2 ** levels`` of that level, from the left.
+
+    A leaf above that level sends its rows on to its left.  Whole columns of small integers are compared
+    node by node, which costs a row less than following its own path.
+    """
+    at = np.zeros(x.shape[1], _code_type(2 ** levels - 1))
+    for level in range(levels):
+        right = np.zeros(x.shape[1], bool)
+        for i, (f, c) in enumerate(zip(feature[2 ** level - 1:].tolist(), cut[2 ** level - 1:2 ** (level + 1) - 1].tolist())):
+            if f >= 0:
+                over = x[f] > c
+                if level:
+                    over &= at == i
+                right |= over
+        at += at
+        at += right
     return at
 
 
+def _leaves(feature: np.ndarray, value: np.ndarray, levels: int) -> np.ndarray:
+    """The value of a tree at each place of its last level: its own, or of the leaf above it."""
+    out = value[:1]
+    for level in range(levels):
+        below = slice(2 ** (level + 1) - 1, 2 ** (level + 2) - 1)
+        split = np.repeat(feature[2 ** level - 1:2 ** (level + 1) - 1] >= 0, 2)
+        out = np.where(split, value[below], np.repeat(out, 2))
+    return out
+
+
 def _margin(x: np.ndarray, feature: np.ndarray, cut: np.ndarray, value: np.ndarray) -> np.ndarray:
     levels = (feature.shape[-1] + 1).bit_length() - 2
-    out = np.zeros(len(x))
+    out = np.zeros(x.shape[1])
     for f, c, v in zip(feature, cut, value):
-        out += v[_places(x, f, c, levels)]
+        out += _leaves(f, v, levels)[_places(x, f, c, levels)]
     return out
 
 
@@ -115,7 +159,7 @@ def _bin_edges(df: DataFrame, cols: Sequence[str], bins: int) -> list[np.ndarray
     return [np.unique(np.array(row[i] or [0.0])) for i in range(len(cols))]
 
 
-STORED = "_id long, _bins binary, _y double, _w array<double>, _m array<double>"
+STORED = "_id long, _bins binary, _y double, _w array<double>"
 
 
 def _stored(df: DataFrame, cols: Sequence[str], label: str, weights: Sequence[Column], edges: list[np.ndarray]) -> DataFrame:
@@ -128,28 +172,47 @@ def _stored(df: DataFrame, cols: Sequence[str], label: str, weights: Sequence[Co
     rows = df.where(F.col(label).isNotNull()).select(F.array(*[_number(c) for c in cols]).alias("_x"), F.col(label).cast("double").alias("_y"),
                                                      ws.alias("_w"))
     rows = rows.where(F.exists("_w", lambda w: w > 0))
-    return rows.select(F.monotonically_increasing_id().alias("_id"), F.arrow_udf(run, "binary")("_x").alias("_bins"), "_y", "_w",
-                       F.transform("_w", lambda w: F.lit(0.0)).alias("_m"))
-
-
-def _unpacked(batch: pa.RecordBatch, n_cols: int, n_models: int):
-    col = {c: batch.column(c) for c in batch.schema.names}
-    x = np.frombuffer(b"".join(col["_bins"].to_pylist()), np.uint8).reshape(-1, n_cols)
-    w, m = (col[c].flatten().to_numpy().reshape(-1, n_models) for c in ("_w", "_m"))
-    return col["_id"].to_numpy(), x, col["_y"].to_numpy(), w, m
+    return rows.select(F.monotonically_increasing_id().alias("_id"), F.arrow_udf(run, "binary")("_x").alias("_bins"), "_y", "_w")
 
 
 def _chunks(table: DataFrame, n_cols: int, n_models: int) -> RDD:
-    """The stored rows as numpy chunks, one per Arrow batch, kept in memory (a lost one is read again).  Thousands
-    of small jobs follow, in which planning a query would cost more than the work, hence no DataFrame here."""
+    """The stored rows as numpy chunks of about ``CHUNK_ROWS`` (ids, bins by feature, labels, weights by model), kept in
+    memory (a lost one is read again).  Thousands of small jobs follow, in which planning a query would cost more
+    than the work, hence no DataFrame here."""
+    def packed(held):
+        batch = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+        col = {c: batch.column(c) for c in batch.schema.names}
+        x = np.frombuffer(b"".join(col["_bins"].to_pylist()), np.uint8).reshape(-1, n_cols)
+        w = col["_w"].flatten().to_numpy().reshape(-1, n_models)
+        chunk = col["_id"].to_numpy(), np.ascontiguousarray(x.T), col["_y"].to_numpy(), np.ascontiguousarray(w.T)
+        return pa.RecordBatch.from_arrays([pa.array([pickle.dumps(chunk)], pa.binary())], ["chunk"])
+
     def pack(batches):
+        held = []
         for batch in batches:
-            blob = pickle.dumps(_unpacked(batch, n_cols, n_models))
-            yield pa.RecordBatch.from_arrays([pa.array([blob], pa.binary())], ["chunk"])
+            if batch.num_rows:
+                held.append(batch)
+            if sum(b.num_rows for b in held) >= CHUNK_ROWS:
+                yield packed(held)
+                held = []
+        if held:
+            yield packed(held)
 
     return table.mapInArrow(pack, "chunk binary").rdd.map(lambda r: pickle.loads(r.chunk)).persist(StorageLevel.MEMORY_AND_DISK)
 
 
+def _joint(sizes: Sequence[int]) -> list[list[int]]:
+    """Features in groups whose bins multiply to at most ``JOINT_CELLS``, the largest first: one histogram counts a whole group."""
+    groups: list[list[int]] = []
+    for f in sorted(range(len(sizes)), key=lambda f: -sizes[f]):
+        fits = (g for g in groups if math.prod(sizes[i] for i in g) * sizes[f] <= JOINT_CELLS)
+        g = next(fits, None)
+        if g is None:
+            groups.append(g := [])
+        g.append(f)
+    return groups
+
+
 def _added(parts: RDD, left: int) -> np.ndarray | None:
     """The sum of the ``left`` tasks' histograms: added by ``FAN_IN`` until few are left, so the driver gets at most that many."""
     while left > FAN_IN:
@@ -192,74 +255,121 @@ def fit(df: DataFrame, cols: Sequence[str], label: str, weights: Mapping[str, Co
     weights = dict(weights or {"model": F.lit(1.0)})
     cols, n_models, n_cols, n_nodes = list(cols), len(weights), len(cols), 2 ** (depth + 1) - 1
     edges = _bin_edges(df, cols, bins)
-    n_bins = 1 + max(len(e) for e in edges)
-    folders = [scratch_path(spark, "boosting") for _ in range(2)]
-    rows = _stored(df, cols, label, list(weights.values()), edges)
-    tasks = max(1, df.count() // MIN_TASK_ROWS)                            # coalesce lowers the number only
-    rows.coalesce(tasks).write.parquet(folders[0])
-    table = spark.read.schema(STORED).parquet(folders[0])
-    chunks = _chunks(table, n_cols, n_models)
+    sizes = [len(e) + 1 for e in edges]
+    n_bins, n_cells = max(sizes), sum(sizes)
+    starts = np.cumsum([0, *sizes[:-1]])
+    groups = _joint(sizes)
+    cells = np.concatenate([f * n_bins + np.arange(n) for f, n in enumerate(sizes)])         # of those of n_bins a feature
+    folder = scratch_path(spark, "boosting")
+    _stored(df, cols, label, list(weights.values()), edges).write.parquet(folder)
+    table = spark.read.schema(STORED).parquet(folder)
+    n_rows = table.count()
+    tasks = max(1, -(-n_rows // MAX_TASK_ROWS), min(n_rows // MIN_TASK_ROWS, spark.sparkContext.defaultParallelism))
+    base = _chunks(table.repartition(tasks), n_cols, n_models)
     feature = np.full((n_models, rounds, n_nodes), -1)
     cut = np.zeros((n_models, rounds, n_nodes), np.int64)
     value = np.zeros((n_models, rounds, n_nodes))
     rng = np.random.default_rng(seed)
     kept_columns = max(1, round(columns * n_cols))
 
-    def level_sums(first, t, level):
-        """Histograms of round ``t``'s nodes at ``level``, added over the rows of a task."""
+    def level_sums(first, t, level, wanted):
+        """Histograms of round ``t``'s nodes at ``level``, added over the rows of a task: of the root, or of the ``wanted``
+        child of each node above (its sister's is the difference)."""
         past = [(feature[m, first:t], cut[m, first:t], value[m, first:t]) for m in range(n_models)]
         now = [(feature[m, t], cut[m, t]) for m in range(n_models)]
-        start, width = 2 ** level - 1, 2 ** level
+        width = max(1, 2 ** level // 2)
+        spans = [math.prod(sizes[f] for f in g) for g in groups]
 
         def run(chunks):
-            total = np.zeros((n_models, 2, width * n_cols * n_bins), np.int64)
+            total = [np.zeros((n_models, 2, width * span), np.int64) for span in spans]
             for ids, x, y, w, margins in chunks:
+                codes = []
+                for g in groups:
+                    code = x[g[0]].astype(np.int64)
+                    for f in g[1:]:
+                        code *= sizes[f]
+                        code += x[f]
+                    codes.append(code)
                 for m in range(n_models):
-                    z = margins[:, m] + _margin(x, *past[m])
-                    p = 1.0 / (1.0 + np.exp(-z))
-                    at = _places(x, *now[m], level) - start
-                    use = (w[:, m] > 0) & (at >= 0)
+                    use = w[m] > 0
+                    if level:
+                        at = _places(x, *now[m], level)
+                        use &= wanted[m][at]
+                    use = np.flatnonzero(use)
                     if subsample < 1:
-                        use &= _sampled(ids, (seed * 1_000_003 + t) * 1_009 + m, subsample)
-                    cell = ((at[use, None] * n_cols + np.arange(n_cols)) * n_bins + x[use]).ravel()
-                    for i, d in enumerate((p - y, p * (1 - p))):
-                        units = np.round(d[use] * w[use, m] * UNIT)
-                        total[m, i] += np.bincount(cell, np.repeat(units, n_cols), total.shape[2]).astype(np.int64)
-            yield total.ravel()
+                        use = use[_sampled(ids[use], (seed * 1_000_003 + t) * 1_009 + m, subsample)]
+                    z = margins[m][use]
+                    if first < t:
+                        z += _margin(x[:, use], *past[m])
+                    p = 1.0 / (1.0 + np.exp(-z))
+                    wu = w[m][use] * UNIT
+                    units = [np.rint(d * wu) for d in (p - y[use], p * (1 - p))]
+                    node = (at[use] >> 1).astype(np.int64) if level else None
+                    for k, (code, span) in enumerate(zip(codes, spans)):
+                        cell = code[use] if node is None else node * span + code[use]
+                        for i, u in enumerate(units):
+                            total[k][m, i] += np.bincount(cell, u, width * span).astype(np.int64)
+            out = np.zeros((n_models, 2, width, n_cells), np.int64)
+            for g, joint in zip(groups, total):
+                joint = joint.reshape(n_models, 2, width, *[sizes[f] for f in g])
+                for j, f in enumerate(g):
+                    out[..., starts[f]:starts[f] + sizes[f]] = joint.sum(tuple(3 + i for i in range(len(g)) if i != j))
+            yield out
 
         return run
 
-    def with_margins(first, t):
-        past = [(feature[m, first:t], cut[m, first:t], value[m, first:t]) for m in range(n_models)]
-
-        def run(batches):
-            for batch in batches:
-                _, x, _, _, margins = _unpacked(batch, n_cols, n_models)
-                new = np.stack([margins[:, m] + _margin(x, *past[m]) for m in range(n_models)], 1)
-                ends = pa.array(np.arange(len(new) + 1) * n_models, pa.int32())
-                m = pa.ListArray.from_arrays(ends, pa.array(new.ravel()))
-                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("_id", "_bins", "_y", "_w")), m],
-                                                 ["_id", "_bins", "_y", "_w", "_m"])
+    def advanced(trees):
+        """Chunks with the margins after ``trees``; those without margins yet start from 0."""
+        def run(chunk):
+            ids, x, y, w, *margins = chunk
+            new = np.stack([_margin(x, *trees.value[m]) for m in range(n_models)])
+            return ids, x, y, w, margins[0] + new if margins else new
 
         return run
 
+    def trees(first, t):
+        small = _code_type(n_bins)
+        return spark.sparkContext.broadcast([(feature[m, first:t].astype(np.int16), cut[m, first:t].astype(small), value[m, first:t])
+                                             for m in range(n_models)])
+
+    def with_margins(parent, first, t):
+        """``parent``'s rows with the margins of round ``t``, kept in memory."""
+        shared = trees(first, t)
+        return parent.map(advanced(shared)).persist(StorageLevel.MEMORY_AND_DISK), shared
+
     first = 0
+    chunks, *sent = with_margins(base, 0, 0)
     for t in range(rounds):
-        if t - first == STORE_EVERY:                                       # two folders by turns: two copies at most
-            folders.reverse()
-            table.mapInArrow(with_margins(first, t), STORED).write.mode("overwrite").parquet(folders[0])
-            table, first = spark.read.schema(STORED).parquet(folders[0]), t
-            chunks.unpersist()
-            chunks = _chunks(table, n_cols, n_models)
+        past, done = None, []
+        if t - first == ADVANCE_EVERY:
+            # all trees anew from the stored rows now and then, else the new ones only: lineage stays short
+            anew, past = t % RESTART_EVERY < ADVANCE_EVERY, chunks
+            chunks, shared = with_margins(base if anew else past, 0 if anew else first, t)
+            done, sent, first = (sent, [shared], t) if anew else ([], [*sent, shared], t)
         allowed = [np.isin(np.arange(n_cols), rng.permutation(n_cols)[:kept_columns]) for _ in range(n_models)]
+        wanted, whole = None, None
         for level in range(depth):
-            sums = _added(chunks.mapPartitions(level_sums(first, t, level)), chunks.getNumPartitions())
+            sums = _added(chunks.mapPartitions(level_sums(first, t, level, wanted)), chunks.getNumPartitions())
+            if level == 0 and past is not None:                            # the new margins are made
+                past.unpersist()
+                for b in done:
+                    b.destroy()
             if sums is None:
                 break
-            sums = sums.reshape(n_models, 2, 2 ** level, n_cols, n_bins) / UNIT
+            if level:
+                both = np.zeros((n_models, 2, 2 ** level, n_cells), np.int64)
+                for m in range(n_models):
+                    for node in np.flatnonzero(wanted[m]):
+                        both[m, :, node] = sums[m, :, node >> 1]
+                        both[m, :, node ^ 1] = whole[m, :, node >> 1] - sums[m, :, node >> 1]
+                sums = both
+            whole, wanted = sums, np.zeros((n_models, 2 ** (level + 1)), bool)
+            dense = np.zeros((n_models, 2, 2 ** level, n_cols * n_bins))
+            dense[..., cells] = sums / UNIT
+            dense = dense.reshape(n_models, 2, 2 ** level, n_cols, n_bins)
             grown = False
             for m in range(n_models):
-                gain, f, b, gl, hl, g, h = best_splits(*sums[m], allowed[m], l2, min_hessian)
+                gain, f, b, gl, hl, g, h = best_splits(*dense[m], allowed[m], l2, min_hessian)
                 for i in range(2 ** level):
                     node = 2 ** level - 1 + i
                     if level == 0:
@@ -267,11 +377,15 @@ def fit(df: DataFrame, cols: Sequence[str], label: str, weights: Mapping[str, Co
                     if gain[i] <= 1e-6:
                         continue
                     feature[m, t, node], cut[m, t, node], grown = f[i], b[i], True
+                    wanted[m, 2 * i + int(2 * hl[i] > h[i])] = True                          # the child of fewer rows
                     for side, (sg, sh) in enumerate(((gl[i], hl[i]), (g[i] - gl[i], h[i] - hl[i]))):
                         value[m, t, 2 * node + 1 + side] = -step * sg / (sh + l2)
             if not grown:
                 break
-    chunks.unpersist()
+    for c in (chunks, base):
+        c.unpersist()
+    for b in sent:
+        b.destroy()
     top = [np.append(e, np.full(n_bins - len(e), np.inf)) for e in edges]
     threshold = np.where(feature >= 0, np.stack(top)[np.maximum(feature, 0), cut], 0.0)
     return Forest(list(weights), cols, feature, threshold, value)
