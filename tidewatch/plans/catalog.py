@@ -9,6 +9,7 @@ orders report the same digits.
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -418,7 +419,7 @@ def q_benchmark_kpi(spark, sf):
 
 # ------------------------------------------------------------------ fairness
 from tidewatch.operators import fairness  # noqa: E402
-from tidewatch.session import checkpointed, scratch_path  # noqa: E402
+from tidewatch.session import checkpointed, scratch_path, stored  # noqa: E402
 from tidewatch.sources import files, manifest  # noqa: E402
 
 
@@ -787,27 +788,41 @@ def _model_scores(spark, sf):
     """Every fitted model's score for every employee, with the train / test split: fitted on the
     training part once per session and stored, as a production bundle would be scored once."""
     def build():
-        emp, dw = _emp_gold(spark, sf)
-        emp = models.stratified_split(emp, "EmployeeID", TEST_SHARE)
+        emp, _ = _emp_gold(spark, sf)
         cols = models.feature_columns(emp, models.SUPERVISED_BASE)
         linear = models.feature_columns(emp, models.LOGISTIC_BASE)
+        bundle = scratch_path(spark, "bundle")
+        keep = ["EmployeeID", "sales", "salary", "weekly_ts", "left_flag", "split", "violation_density"]
+        emp = models.stratified_split(emp, "EmployeeID", TEST_SHARE)
+        emp = stored(emp.select(*dict.fromkeys([*keep, *cols, *linear])), "employees")       # every fit reads it many times
         is_train = F.col("split") == "train"
         train = emp.where(is_train)
-        bundle = scratch_path(spark, "bundle")
-        models.save_model(models.fit_logistic(train, linear, "left_flag"), bundle, "logreg")
+
+        def linear_bundle():
+            models.save_model(models.fit_logistic(train, linear, "left_flag"), bundle, "logreg")
+
+        def tree_bundle():
+            trees = boosting.fit(train, cols, "left_flag", rounds=100, depth=6, step=0.1, subsample=0.8, columns=0.8)
+            trees.save(spark, f"{bundle}/gbt")
+
+        def calibrated_scores():
+            weighted = F.when(is_train, F.when(F.col("left_flag") == 1, models.class_weight(train, "left_flag")).otherwise(1.0))
+            return models.calibrated_gbt_scores(emp.select("EmployeeID", "left_flag", "split", *cols), cols, "left_flag", "EmployeeID",
+                                                train=is_train, beside={"gbt_weighted_score": weighted})
+
+        # the fits are chains of small jobs that wait for each other; side by side they fill the cluster
+        with ThreadPoolExecutor(3) as pool:
+            calibrated, *fitted = [pool.submit(f) for f in (calibrated_scores, tree_bundle, linear_bundle)]
+            for f in fitted:
+                f.result()
+            calibrated = calibrated.result()
         out = models.score(models.load_model(bundle, "logreg"), emp, linear, "logreg_score")
-        trees = boosting.fit(train, cols, "left_flag", rounds=100, depth=6, step=0.1, subsample=0.8, columns=0.8)
-        trees.save(spark, f"{bundle}/gbt")
         out = boosting.Forest.load(spark, f"{bundle}/gbt").score(out, "gbt_score")
-        weighted = F.when(is_train, F.when(F.col("left_flag") == 1, models.class_weight(train, "left_flag")).otherwise(1.0))
-        calibrated = models.calibrated_gbt_scores(emp, cols, "left_flag", "EmployeeID", train=is_train,
-                                                  beside={"gbt_weighted_score": weighted})
         anomaly = scoring.anomaly_score(_iforest_dept(spark, sf), "decision", "iforest_score").select("sales", "weekly_ts", "iforest_score")
-        keep = ["EmployeeID", "sales", "salary", "weekly_ts", "left_flag", "split", "violation_density",
-                "logreg_score", "gbt_score"]
-        out = out.select(*keep).join(calibrated, "EmployeeID")
+        out = out.select(*keep, "logreg_score", "gbt_score").join(calibrated, "EmployeeID")
         out = scoring.attach_dept_score(out, anomaly, "iforest_score")
         out = out.withColumn("fused_score", scoring.fuse(F.col("gbt_score"), F.col("iforest_score"), K.FUSION_WEIGHT_SUPERVISED))
+        out = stored(out, "fitted-scores")
         # the fusion learns from scores of models that have not seen the row: those of its own training fit are too sure
         learned = models.learned_fusion_scores(out, ["cross_fitted_score", "iforest_score", "violation_density"], "left_flag",
                                                "EmployeeID", train=is_train)

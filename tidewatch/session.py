@@ -62,3 +62,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique sub-path of the shared folder for one job's output."""
     base = shared_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once as Parquet in the shared folder: smaller than a checkpoint, and read by column."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
