@@ -793,8 +793,8 @@ def _model_scores(spark, sf):
         linear = models.feature_columns(emp, models.LOGISTIC_BASE)
         bundle = scratch_path(spark, "bundle")
         keep = ["EmployeeID", "sales", "salary", "weekly_ts", "left_flag", "split", "violation_density"]
-        emp = models.stratified_split(emp, "EmployeeID", TEST_SHARE)
-        emp = stored(emp.select(*dict.fromkeys([*keep, *cols, *linear])), "employees")       # every fit reads it many times
+        whole = models.stratified_split(emp, "EmployeeID", TEST_SHARE)
+        emp = stored(whole.select(*dict.fromkeys([*keep, *cols, *linear])), "employees")     # every fit reads it many times
         is_train = F.col("split") == "train"
         train = emp.where(is_train)
 
@@ -807,8 +807,8 @@ def _model_scores(spark, sf):
 
         def calibrated_scores():
             weighted = F.when(is_train, F.when(F.col("left_flag") == 1, models.class_weight(train, "left_flag")).otherwise(1.0))
-            return models.calibrated_gbt_scores(emp.select("EmployeeID", "left_flag", "split", *cols), cols, "left_flag", "EmployeeID",
-                                                train=is_train, beside={"gbt_weighted_score": weighted})
+            return models.calibrated_gbt_scores(whole, cols, "left_flag", "EmployeeID", train=is_train,
+                                                beside={"gbt_weighted_score": weighted})
 
         # the fits are chains of small jobs that wait for each other; side by side they fill the cluster
         with ThreadPoolExecutor(3) as pool:
