@@ -47,7 +47,7 @@ from tidewatch.sources import store
 UNIT = 2.0 ** 20
 FAN_IN = 16
 MIN_TASK_ROWS = 1 << 14           # fewer rows than this are not worth a task of their own
-CHUNK_ROWS = 1 << 16              # sums of units within a chunk stay exact in doubles
+CHUNK_ROWS = 1 << 15              # sums of units within a chunk stay exact in doubles
 JOINT_CELLS = 4096                # cells of a histogram over the bins of several features
 ADVANCE_EVERY = 1                 # rounds between two kept margins; a row repeats at most this many trees
 RESTART_EVERY = 250               # rounds of one barrier stage; the next makes its margins from the stored rows
@@ -403,8 +403,10 @@ def fit(df: DataFrame, cols: Sequence[str], label: str, weights: Mapping[str, Co
 
         def collect():
             for g, joint in zip(groups, total):
-                for j, f in enumerate(g):
-                    own = joint.reshape(n_models, width, *[sizes[f] for f in g]).sum(tuple(2 + i for i in range(len(g)) if i != j))
+                left = joint
+                for f in g:                                                # its own sums, and what is left for the features after it
+                    left = left.reshape(n_models, width, sizes[f], -1)
+                    own, left = left.sum(3), left.sum(2)
                     out[:, :, starts[f]:starts[f] + sizes[f]] += own.view(np.float64).reshape(*own.shape, 2).astype(np.int64)
                 joint[:] = 0
 
